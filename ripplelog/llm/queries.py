@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ripplelog.llm.language_id import identify_language
 from ripplelog.llm.line_dedup import drop_repeated_lines
+from ripplelog.llm.mixing import taken_words
 
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -36,5 +38,19 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
-QUERIES = {"op3_line_dedup": op3_line_dedup}
+def crc(doc_id: str = "doc_id"):
+    return F.crc32(F.col(doc_id).cast("string"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", F.coalesce(crc() % 3 == 1, F.lit(False)))
+    return identify_language(docs, ~F.col("held_out")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return taken_words(docs).select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+QUERIES = {"op3_line_dedup": op3_line_dedup, "op6_language_id": op6_language_id, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op3_line_dedup": OP3_SQL}
