@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ripplelog.llm.byte_bpe import Vocabulary, decode, encode
 from ripplelog.llm.language_id import identify_language
 from ripplelog.llm.line_dedup import drop_repeated_lines
 from ripplelog.llm.mixing import taken_words
@@ -38,6 +39,19 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = encode(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN)
+    return decode(encoded.select("doc_id", "ids"), vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), " "), "UTF-8"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def crc(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string"))
 
@@ -52,5 +66,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(docs).select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op3_line_dedup": op3_line_dedup, "op6_language_id": op6_language_id, "op9_mixing": op9_mixing}
+QUERIES = {"op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op6_language_id": op6_language_id, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op3_line_dedup": OP3_SQL}
