@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplelog.llm.common import WORD, parts_for
+from ripplelog.llm.common import WORD, parts_for, stage
 
 BLOCK = 32  # words
 SHARD = 4096  # slots
@@ -66,7 +66,8 @@ def placed(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text
     """
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
     sized = docs.select(F.col(doc_id).alias("_id"), F.col(source).alias("source"), F.xxhash64(text).alias("_row"), size.alias("size"))
-    n = parts_for(docs.count(), ROWS_A_BUCKET)
+    sized = stage(sized)  # the only step that reads the texts
+    n = parts_for(sized.count(), ROWS_A_BUCKET)
     sized = sized.withColumn("_bucket", F.pmod(F.xxhash64("_id", "_row"), F.lit(n)))
     within = Window.partitionBy("source", "_bucket").orderBy("_id", "_row").rowsBetween(Window.unboundedPreceding, -1)
     over = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -124,7 +125,8 @@ def slots(goals: DataFrame, block: int = BLOCK, shard: int = SHARD, cap: int = C
                 key = (np.uint64(row["k"]) << np.uint64(32)) + (t // n).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D) + np.uint64(seed)
                 yield pa.RecordBatch.from_pydict({"shard": np.full(len(t), row["shard"]), "source": pa.array([row["source"]] * len(t), pa.string()), "block": permuted(t % n, n, key)})
 
-    return runs.repartition("shard", "k").mapInArrow(fill, "shard long, source string, block long")
+    tasks = int(goals.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # by number, as few bytes grow to many rows
+    return runs.repartition(tasks, "shard", "k").mapInArrow(fill, "shard long, source string, block long")
 
 
 def pieces(places: DataFrame, goals: DataFrame, block: int = BLOCK, **options) -> DataFrame:
@@ -136,7 +138,8 @@ def pieces(places: DataFrame, goals: DataFrame, block: int = BLOCK, **options) -
     named = spread.select(F.xxhash64("source").alias("h"), "source", "start", "block", low.alias("first"), high.alias("past"))
     filled = slots(goals, block, **options).select("shard", F.xxhash64("source").alias("h"), F.col("source").alias("of"), F.col("block").alias("b"))
     on = (F.col("h") == F.col("h2")) & (F.col("block") == F.col("b")) & F.col("source").eqNullSafe(F.col("of"))
-    return named.join(filled.withColumnRenamed("h", "h2"), on).select("shard", "source", "start", "first", "past")
+    # the slots look like a few rows to the planner, as one row with the sources' shares stands at their beginning
+    return named.join(filled.withColumnRenamed("h", "h2").hint("merge"), on).select("shard", "source", "start", "first", "past")
 
 
 def _same(a: str, b: str) -> Column:
