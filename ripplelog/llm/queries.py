@@ -9,6 +9,7 @@ from ripplelog.llm.byte_bpe import Vocabulary, decode, encode
 from ripplelog.llm.language_id import identify_language
 from ripplelog.llm.line_dedup import drop_repeated_lines
 from ripplelog.llm.mixing import taken_words
+from ripplelog.llm.ngram_join import jaccard_components
 
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -61,10 +62,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(docs, ~F.col("held_out")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents").select("doc_id", "text"), n=4, percent=85)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return taken_words(docs).select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op6_language_id": op6_language_id, "op9_mixing": op9_mixing}
+QUERIES = {"op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op6_language_id": op6_language_id, "op7_ngram_join": op7_ngram_join, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op3_line_dedup": OP3_SQL}
