@@ -10,6 +10,7 @@ from ripplelog.llm.language_id import identify_language
 from ripplelog.llm.line_dedup import drop_repeated_lines
 from ripplelog.llm.mixing import taken_words
 from ripplelog.llm.ngram_join import jaccard_components
+from ripplelog.llm.quality import judge
 
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -53,6 +54,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def crc(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string"))
 
@@ -71,5 +76,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(docs).select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op6_language_id": op6_language_id, "op7_ngram_join": op7_ngram_join, "op9_mixing": op9_mixing}
+QUERIES = {"op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_language_id": op6_language_id, "op7_ngram_join": op7_ngram_join, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op3_line_dedup": OP3_SQL}
