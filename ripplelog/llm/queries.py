@@ -9,6 +9,7 @@ from ripplelog.llm.byte_bpe import Vocabulary, decode, encode
 from ripplelog.llm.language_id import identify_language
 from ripplelog.llm.line_dedup import drop_repeated_lines
 from ripplelog.llm.mixing import taken_words
+from ripplelog.llm.nearest import nearest
 from ripplelog.llm.ngram_join import jaccard_components
 from ripplelog.llm.quality import judge
 
@@ -20,6 +21,26 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), lambda vec_id: vec_id % 50 == 0)
+
+
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), n AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) / (q.norm * c.norm) AS score
+  FROM n q JOIN n c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
@@ -76,5 +97,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(docs).select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_language_id": op6_language_id, "op7_ngram_join": op7_ngram_join, "op9_mixing": op9_mixing}
-ORACLE_SQL = {"op3_line_dedup": OP3_SQL}
+QUERIES = {"op1_nearest": op1_nearest, "op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_language_id": op6_language_id, "op7_ngram_join": op7_ngram_join, "op9_mixing": op9_mixing}
+ORACLE_SQL = {"op1_nearest": OP1_SQL, "op3_line_dedup": OP3_SQL}
