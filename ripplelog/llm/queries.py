@@ -12,6 +12,7 @@ from ripplelog.llm.mixing import taken_words
 from ripplelog.llm.nearest import nearest
 from ripplelog.llm.ngram_join import jaccard_components
 from ripplelog.llm.quality import judge
+from ripplelog.llm.secrets import scan
 
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -92,10 +93,19 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents").select("doc_id", "text"), n=4, percent=85)
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def line(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    found = scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = line(F.filter("spans", lambda x: x["kind"] != "tagged"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.encode(base, "UTF-8"), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return taken_words(docs).select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_nearest": op1_nearest, "op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_language_id": op6_language_id, "op7_ngram_join": op7_ngram_join, "op9_mixing": op9_mixing}
+QUERIES = {"op1_nearest": op1_nearest, "op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_language_id": op6_language_id, "op7_ngram_join": op7_ngram_join, "op8_secrets": op8_secrets, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op1_nearest": OP1_SQL, "op3_line_dedup": OP3_SQL}
