@@ -1,6 +1,62 @@
-STAGES = []
+"""From raw documents to token ids, in five stages. Each one is written as Parquet and read again by the next."""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ripplelog.llm.byte_bpe import Vocabulary, decode, encode
+from ripplelog.llm.common import stage
+from ripplelog.llm.language_id import UNKNOWN, identify_language
+from ripplelog.llm.line_dedup import drop_repeated_lines
+from ripplelog.llm.mixing import mixed_documents
+from ripplelog.llm.ngram_join import jaccard_components
+
+#: A text is rejected if no language's classifier comes closer to yes than this.
+LEAST_SCORE = 0.3
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without letters, and those in none of the languages that the labelled documents are in."""
+    judged = identify_language(docs)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes long lines that many documents share out of all but one."""
+    kept = drop_repeated_lines(docs)
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each group of near duplicates (five-word shingles, similarity 0.8) the document of the smallest doc_id."""
+    found = jaccard_components(docs, n=5, percent=80)
+    heads = found.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(heads, "doc_id", "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))  # of rows that share a doc_id
+    return named.withColumn("_nth", first).where("_nth = 1").select(*docs.columns).union(docs.where("doc_id IS NULL"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Draws the sources to their target weights: a row for each time that words of a document are taken."""
+    return mixed_documents(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, and whether they decode to its text again."""
+    vocabulary = Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    decoded = decode(encode(docs.select("doc_id", "lang", "source", "text"), vocabulary, public_tokenizers.PATTERN), vocabulary)
+    same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    return decoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+
+
+STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_duplicates), ("mixing", mixing), ("tokens", tokens)]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

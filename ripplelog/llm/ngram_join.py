@@ -25,7 +25,7 @@ from ripplelog.llm.components import components
 from ripplelog.llm.packed import SCHEMA, pack, tables, to_bytes
 from ripplelog.llm.words import mix, shingle_sets
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
 FRAGMENTS = 4  # for each power of two of the counts
 
 
@@ -109,12 +109,11 @@ def counted(docs: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes: i
 
     def ordered(group: pa.Table) -> pa.Table:
         ids, sets = chosen_sets(group)
-        grams = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]))
+        _, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)
         answers = sorted((t.column("bucket")[0].as_py(), t.column("levels")[0].as_py()) for t in tables(group, "levels"))
-        levels = np.frombuffer(b"".join(x for _, x in answers), np.uint8)
+        levels = np.split(np.frombuffer(b"".join(x for _, x in answers), np.uint8)[place], np.cumsum([len(s) for s in sets])[:-1])
         out = {"doc": [], "n": [], "prefix": [], "grams": []}
-        for d, s in zip(ids, sets, strict=True):
-            level = levels[np.searchsorted(grams, s)]
+        for d, s, level in zip(ids, sets, levels, strict=True) if sets else ():
             least = int(_least_overlap(np.array(len(s)), percent))
             shared = level > 0
             k = int(shared.sum())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ripplelog.llm.byte_bpe import Vocabulary, decode, encode
 from ripplelog.llm.language_id import identify_language
 from ripplelog.llm.line_dedup import drop_repeated_lines
+from ripplelog.llm.lm_scoring import score_texts
 from ripplelog.llm.mixing import taken_words
 from ripplelog.llm.nearest import nearest
 from ripplelog.llm.ngram_join import jaccard_components
@@ -42,6 +43,11 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_texts(docs, trained=crc() % 10 != 0, held_out=crc() % 10 == 0, deleted=crc() % 10 == 1)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
@@ -107,5 +113,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(docs).select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_nearest": op1_nearest, "op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_language_id": op6_language_id, "op7_ngram_join": op7_ngram_join, "op8_secrets": op8_secrets, "op9_mixing": op9_mixing}
+QUERIES = {"op1_nearest": op1_nearest, "op2_lm_scoring": op2_lm_scoring, "op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_language_id": op6_language_id, "op7_ngram_join": op7_ngram_join, "op8_secrets": op8_secrets, "op9_mixing": op9_mixing}
 ORACLE_SQL = {"op1_nearest": OP1_SQL, "op3_line_dedup": OP3_SQL}

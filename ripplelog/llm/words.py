@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,11 +33,37 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words, np.cumsum(counts)
 
 
+#: A random number for each byte, and the base whose powers tell places apart.
+_BYTE = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_SEGMENT = 1 << 20
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
 def word_hashes(words: pa.Array) -> np.ndarray:
-    """64-bit fingerprints; each distinct word is hashed once."""
-    coded = words.dictionary_encode()
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()), np.uint64, len(coded.dictionary))
-    return hashes[coded.indices.to_numpy(zero_copy_only=False)]
+    """64-bit fingerprints: polynomials of the bytes modulo 2**64, from running sums over many words at a time."""
+    words = words.cast(pa.large_binary())
+    n = len(words)
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + n + 1] if n else np.zeros(1, np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    out, start = np.zeros(n, np.uint64), 0
+    up = down = np.zeros(0, np.uint64)
+    while start < n:
+        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + _SEGMENT, side="right")) - 1)
+        low, high = offsets[start], offsets[stop]
+        if len(up) <= high - low:
+            up, down = (_powers(x, max(_SEGMENT, int(high - low)) + 1) for x in (_BASE, pow(_BASE, -1, 2**64)))
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(_BYTE[data[low:high]] * up[: high - low], out=sums[1:])
+        at = offsets[start : stop + 1] - low
+        out[start:stop] = mix((sums[at[1:]] - sums[at[:-1]]) * down[at[:-1]] + np.diff(at).astype(np.uint64))
+        start = stop
+    return out
 
 
 def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
