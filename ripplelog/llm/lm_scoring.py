@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ripplelog.llm.common import parts_for, stage, text_bytes
 from ripplelog.llm.packed import SCHEMA, pack, tables, to_bytes
-from ripplelog.llm.words import mix, split_words, word_hashes
+from ripplelog.llm.words import mix, slices, split_words, word_hashes
 
 BLOCK_BYTES = 10 << 20
 #: Stand before and after every text; no word has these fingerprints but by chance.
@@ -46,8 +46,7 @@ class Grams:
     def of(cls, parts: list[pa.Table], order: int) -> Grams:
         ids, part, sizes, rows, firsts = [], [], [], [], []
         for table in parts:
-            for i in range(0, table.num_rows, 1000):
-                t = table.slice(i, 1000)
+            for t in slices(table, "_text", 1 << 20):
                 words, ends = split_words(t.column("_text").combine_chunks())
                 h = word_hashes(words)
                 n = np.diff(ends, prepend=0)

@@ -23,16 +23,15 @@ from pyspark.sql import functions as F
 from ripplelog.llm.common import parts_for, stage, text_bytes
 from ripplelog.llm.components import components
 from ripplelog.llm.packed import SCHEMA, pack, tables, to_bytes
-from ripplelog.llm.words import mix, shingle_sets
+from ripplelog.llm.words import mix, shingle_sets, slices
 
 BLOCK_BYTES = 12 << 20
 FRAGMENTS = 4  # for each power of two of the counts
 
 
 def _sets(texts: pa.ChunkedArray | pa.Array, n: int) -> Iterator[np.ndarray]:
-    texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
-    for i in range(0, len(texts), 1000):
-        yield from shingle_sets(texts.slice(i, 1000), n)
+    for part in slices(pa.table({"t": texts}), "t", 1 << 20):
+        yield from shingle_sets(part.column("t").combine_chunks(), n)
 
 
 def fingerprints(docs: DataFrame, n: int) -> DataFrame:

@@ -13,10 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ripplelog.llm.words import slices
+
 # The patterns, the group that holds the secret and how long it has to be.
 PATTERNS = {
     "assign": (r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
@@ -33,7 +34,7 @@ FILES = 8 * 16
 #: Where each kind of feature begins in the weights: shape, own word, words before and after, file by coarse shape.
 OFFSETS = np.cumsum([0, SHAPES, WORDS, WORDS, WORDS, WORDS])
 FEATURES = OFFSETS[-1] + FILES
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def base_spans(text: str, may_hold_hex: bool = True) -> list[tuple[int, int, str, int, int]]:
@@ -261,21 +262,12 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", each: int
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for x in _cut(whole):
+            for x in slices(whole, "text", BATCH_BYTES):
                 yield _scan(x, field)
 
     return rows.mapInArrow(scanned, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_assign long, n_access long, n_hex long, n_tagged long, spans array<struct<kind: string, start: long, end: long>>")
 
 
-def _cut(x: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    sizes = np.cumsum(pc.binary_length(x.column("text")).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < len(x):
-        stop = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + BATCH_BYTES)))
-        yield x.slice(start, stop - start)
-        start = stop
-
-
 def _scan(x: pa.RecordBatch, field: Field) -> pa.RecordBatch:
     raw = x.column("text").cast(pa.large_binary())
     offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]

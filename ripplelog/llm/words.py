@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 
+def slices(x: pa.RecordBatch | pa.Table, column: str, most: int) -> Iterator[pa.RecordBatch | pa.Table]:
+    """The rows of x in parts of about `most` bytes of a text column, or of one longer text."""
+    sizes = np.cumsum(pc.binary_length(pc.fill_null(x.column(column), "")).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(sizes):
+        before = sizes[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(sizes, before + most, side="right")))
+        yield x.slice(start, stop - start)
+        start = stop
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits that spreads every bit."""
     x = x ^ (x >> np.uint64(30))
