@@ -14,6 +14,7 @@ from ripplelog.llm.nearest import nearest
 from ripplelog.llm.ngram_join import jaccard_components
 from ripplelog.llm.quality import judge
 from ripplelog.llm.secrets import scan
+from ripplelog.llm.substring_dedup import drop_repeated_strings
 
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 A_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -113,5 +114,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(docs).select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_nearest": op1_nearest, "op2_lm_scoring": op2_lm_scoring, "op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_language_id": op6_language_id, "op7_ngram_join": op7_ngram_join, "op8_secrets": op8_secrets, "op9_mixing": op9_mixing}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = drop_repeated_strings(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {"op1_nearest": op1_nearest, "op2_lm_scoring": op2_lm_scoring, "op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_language_id": op6_language_id, "op7_ngram_join": op7_ngram_join, "op8_secrets": op8_secrets, "op9_mixing": op9_mixing, "op10_substring_dedup": op10_substring_dedup}
 ORACLE_SQL = {"op1_nearest": OP1_SQL, "op3_line_dedup": OP3_SQL}
