@@ -18,7 +18,7 @@ def log_rows(stream: Stream, log: DataFrame, synced_at: str, read_us: int, appen
     """A stream's rows of the log: of interest, with system columns, the latest of each key unless all are kept."""
     mine = log.where((F.col("schema_name") == stream.schema) & (F.col("table_name") == stream.table))
     rows = changelog.records(changelog.relevant(mine, stream.watch, stream.ignore), synced_at, read_us, stream.desired())
-    return latest.deduplicated(rows, stream.key, F.col("_position"), append).drop("schema_name", "table_name")
+    return latest.deduplicated(rows, stream.key, F.col("_position"), append).drop("schema_name", "table_name", "_position")
 
 
 def run(
