@@ -50,12 +50,14 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
     )
 
     # split before the join: the lambda below then reads an array and doesn't split anew for each line
-    rows = docs.select(*names, F.split(whole, "\n", -1).alias("_lines"), F.xxhash64(whole).alias("_row"))
-    joined = rows.join(lost, rows[doc_id].eqNullSafe(F.col("_lost_id")) & (F.col("_row") == F.col("_lost_row")), "left")
+    # the columns travel in a struct, so that their names don't matter
+    it = F.struct(*[F.col(f"`{c}`") for c in names if c != text]).alias("_it")
+    rows = docs.select(it, F.col(doc_id).alias("_id"), F.split(whole, "\n", -1).alias("_lines"), F.xxhash64(whole).alias("_row"))
+    joined = rows.join(lost, F.col("_id").eqNullSafe(F.col("_lost_id")) & (F.col("_row") == F.col("_lost_row")), "left")
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_lost"))
     kept = F.when(F.col("_lost").isNull(), F.col("_lines")).otherwise(F.transform(stay, lambda i: F.get(F.col("_lines"), i)))
     return joined.select(
-        *[F.array_join(kept, "\n").alias(c) if c == text else rows[c] for c in names],
+        *[F.array_join(kept, "\n").alias(c) if c == text else F.col(f"_it.`{c}`") for c in names],
         F.size("_lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("_lost"), F.lit(0)).cast("long").alias("n_dropped"),
     )

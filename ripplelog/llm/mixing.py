@@ -14,6 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ripplelog.llm.common import WORD, parts_for, stage
 
@@ -146,7 +147,7 @@ def _same(a: str, b: str) -> Column:
     return F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
 
 
-def taken_words(docs: DataFrame, block: int = BLOCK, cap: int = CAP, seed: int = 0) -> DataFrame:
+def taken_words(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, cap: int = CAP, seed: int = 0) -> DataFrame:
     """Per row of `docs`: _id, source, _row, size, start, source_size, target and taken (words that the mix takes).
 
     A null text has no words and is never taken; a null source is a source of its own. Rows that share a doc_id are
@@ -154,14 +155,14 @@ def taken_words(docs: DataFrame, block: int = BLOCK, cap: int = CAP, seed: int =
     """
     places = placed(docs)
     goals = targets(places, cap)
-    took = pieces(places, goals, block, cap=cap, seed=seed).groupBy("source", "start").agg(F.sum(F.col("past") - F.col("first")).alias("taken"))
+    took = pieces(places, goals, block, shard=shard, cap=cap, seed=seed).groupBy("source", "start").agg(F.sum(F.col("past") - F.col("first")).alias("taken"))
     rows = places.alias("p").join(goals.alias("g"), _same("p", "g")).select("p.*", "source_size", "target").alias("r")
     # empty rows start where the next one does: only rows with words look for theirs
     found = rows.join(took.alias("t"), _same("r", "t") & (F.col("r.start") == F.col("t.start")) & (F.col("r.size") > 0), "left")
     return found.select("r.*", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, block: int = BLOCK, cap: int = CAP, seed: int = 0) -> DataFrame:
+def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, cap: int = CAP, seed: int = 0) -> DataFrame:
     """The mix as documents: a row of `docs` for each time that some of its words are taken, with those words as text.
 
     The n-th row of a document holds the words that are taken n times or more; words that follow each other keep what
@@ -172,13 +173,17 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, cap: int = CAP, seed: i
 
     word = re.compile(WORD)
     places = placed(docs)
-    cuts = pieces(places, targets(places, cap), block, cap=cap, seed=seed).groupBy("source", "start").agg(F.collect_list(F.struct("first", "past")).alias("_cuts"))
+    cuts = pieces(places, targets(places, cap), block, shard=shard, cap=cap, seed=seed).groupBy("source", "start").agg(F.collect_list(F.struct("first", "past")).alias("_cuts"))
     at = places.where("size > 0").alias("p").join(cuts.alias("c"), _same("p", "c") & (F.col("p.start") == F.col("c.start")))
-    at = at.select(F.col("_id"), F.col("_row"), F.col("p.source").alias("_source"), F.row_number().over(Window.partitionBy("_id", "_row", "p.source").orderBy("p.start")).alias("_nth"), "_cuts")
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_row", "source").orderBy(F.lit(1)))
-    rows = docs.withColumn("_row", F.xxhash64("text")).withColumn("_nth", nth)
-    on = rows["doc_id"].eqNullSafe(at["_id"]) & (rows["_row"] == at["_row"]) & rows["source"].eqNullSafe(at["_source"]) & (rows["_nth"] == at["_nth"])
-    joined = rows.join(at, on).select(*[rows[c] for c in docs.columns], at["_cuts"])
+    alike = Window.partitionBy("_id", "_row", "source").orderBy("start")  # rows that are the same in all that counts are told apart by number
+    at = at.select("_id", "_row", "p.source", "p.start", "_cuts").withColumn("_nth", F.row_number().over(alike))
+    at = at.select(F.struct("_id", "_row", "source", "_nth").alias("_key"), "_cuts")
+    # the columns travel in a struct, so that their names don't matter
+    rows = docs.select(F.struct("*").alias("_it"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_row"), F.col("source").alias("source"))
+    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_row", "source").orderBy(F.lit(1))))
+    key = [F.col(c).eqNullSafe(F.col(f"_key.{c}")) for c in ("_id", "_row", "source", "_nth")]
+    joined = rows.join(at, key[0] & key[1] & key[2] & key[3]).select("_it", F.col("_it.text").alias("text"), "_cuts")
+    n_chars = docs.schema["n_chars"].dataType.simpleString() if "n_chars" in docs.columns else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -196,8 +201,9 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, cap: int = CAP, seed: i
                     whole = runs == [(0, len(spans))]
                     source_row.append(i)
                     texts.append(text if whole else "\n".join(text[spans[a][0] : spans[b - 1][1]] for a, b in runs))
-            out = x.take(pa.array(source_row, pa.int64()))
-            columns = [pa.array(texts, pa.string()) if f.name == "text" else pa.array([len(t) for t in texts], f.type) if f.name == "n_chars" else out.column(f.name) for f in x.schema if f.name != "_cuts"]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in x.schema if f.name != "_cuts"])
+            taken = x.column("_it").take(pa.array(source_row, pa.int64()))
+            yield pa.RecordBatch.from_arrays([taken, pa.array(texts, pa.string())], names=["_it", "text"])
 
-    return joined.mapInArrow(cut, docs.schema)
+    mixed = joined.mapInArrow(cut, T.StructType([joined.schema["_it"], T.StructField("text", T.StringType())]))
+    size = F.char_length("text").cast(n_chars).alias("n_chars") if n_chars else None
+    return mixed.select(*[F.col("text") if c == "text" else size if c == "n_chars" else F.col(f"_it.`{c}`") for c in docs.columns])
