@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: White space that separates words and is stripped from line ends: 0x20 and 0x09 to 0x0D.
@@ -45,3 +45,24 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
 def parts_for(n_bytes: int, each: int, least: int = 1) -> int:
     """How many parts of about `each` bytes; follows the size of the data without a cap."""
     return max(least, -(-n_bytes // each))
+
+
+def few_of_each(rows: DataFrame, kind: str, each: int) -> DataFrame:
+    """Up to `each` rows of every value of `kind`, those with the smallest hashes in the column h.
+
+    A threshold on the hash, from the values' counts, leaves about three times as many before any is moved, however many
+    rows a value has. For columns with few values: the counts go through the driver.
+    """
+    counts = {r[kind]: r["n"] for r in rows.groupBy(kind).agg(F.count(F.lit(1)).alias("n")).collect()}
+    share, low = F.abs(F.col("h") / F.lit(2.0**63)), F.lit(False)
+    for value, n in counts.items():
+        low = low | (F.col(kind).eqNullSafe(F.lit(value)) & (share * n <= 3 * each + 30))
+    ranked = rows.where(low).withColumn("rank", F.row_number().over(Window.partitionBy(kind).orderBy("h", "text")))
+    return ranked.where(F.col("rank") <= each)
+
+
+def unused(columns: list[str], name: str) -> str:
+    """`name`, with as many marks as it takes to be no column's name."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name

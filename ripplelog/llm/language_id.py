@@ -13,9 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ripplelog.llm.common import few_of_each, unused
+
 ORDERS = (1, 2, 3)
 CLASSES = 64
 UNKNOWN = "und"
@@ -111,18 +113,9 @@ def fit(rows: list[tuple[str, str]], landmarks: int = 128, ridge: float = 0.1) -
 
 
 def sample(labelled: DataFrame, each: int, max_bytes: int) -> list[tuple[str, str]]:
-    """Up to `each` texts of every language, of at most `max_bytes` bytes, chosen by a hash of the text.
-
-    A threshold on the hash, from the languages' counts, leaves about three times what is asked for before anything is
-    ranked, so that a language with a third of all rows is no burden.
-    """
+    """Up to `each` texts of every language, of at most `max_bytes` bytes, chosen by a hash of the text."""
     usable = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.octet_length("text") <= max_bytes))
-    hashed = usable.select("text", "lang", F.xxhash64("text").alias("h"))
-    counts = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = F.abs(F.col("h") / F.lit(2.0**63))
-    few = hashed.join(counts, "lang").where(share * F.col("n") <= 3 * each + 30)
-    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("rank") <= each)
-    rows = ranked.select("rank", "text", "lang").collect()
+    rows = few_of_each(usable.select("text", "lang", F.xxhash64("text").alias("h")), "lang", each).select("rank", "text", "lang").collect()
     return [(r.text, r.lang) for r in sorted(rows, key=lambda r: (r["rank"], r.lang))]
 
 
@@ -138,14 +131,15 @@ def identify_language(
     lang_pred or score are replaced; all others stay.
     """
     model = fit(sample(docs.where(F.lit(learn) if isinstance(learn, bool) else learn).select("text", "lang"), each, max_bytes), landmarks, ridge)
-    names = [c for c in docs.columns if c not in ("lang_pred", "score", "_letters")]
-    asked = docs.select(*names, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
+    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    letters = unused(names, "letters")
+    asked = docs.select(*names, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(letters))
     rows_at_once = max(16, 2**23 // model.width) if model else 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             labels, scores = np.full(len(x), UNKNOWN, object), np.zeros(len(x))
-            todo = np.flatnonzero(x.column("_letters").to_numpy(zero_copy_only=False)) if model else []
+            todo = np.flatnonzero(x.column(letters).to_numpy(zero_copy_only=False)) if model else []
             for i in range(0, len(todo), rows_at_once):
                 part = todo[i : i + rows_at_once]
                 texts = x.column("text").take(pa.array(part)).cast(pa.large_binary())

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ripplelog.llm.common import few_of_each
 from ripplelog.llm.words import slices
 
 # The patterns, the group that holds the secret and how long it has to be.
@@ -243,10 +244,7 @@ def sample(docs: DataFrame, each: int, max_bytes: int) -> list[str]:
     """Up to `each` texts with a find and as many without, of at most `max_bytes` bytes, those of the smallest hashes."""
     has = F.col("text").rlike(PATTERNS["assign"][0].replace("(?ai:", "(?i:")) | F.col("text").rlike("AKIA[A-Z0-9]{12}|[0-9a-f]{32}")
     rows = docs.where(F.octet_length("text") <= max_bytes).select("text", has.alias("has"), F.xxhash64("text").alias("h"))
-    found = []
-    for kind in (True, False):
-        found += rows.where(F.col("has") == kind).orderBy("h", "text").select("text").limit(each).collect()
-    return [r.text for r in found]
+    return [r.text for r in sorted(few_of_each(rows, "has", each).select("has", "rank", "text").collect(), key=lambda r: (not r.has, r["rank"]))]
 
 
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", each: int = 500, max_bytes: int = 16_384) -> DataFrame:
