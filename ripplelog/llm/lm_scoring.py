@@ -146,7 +146,8 @@ def score_texts(docs: DataFrame, trained: Column, held_out: Column, deleted: Col
     ranges = np.array([2**64 * i // blocks for i in range(1, blocks)], np.uint64)
     # the deleted part has blocks of its own, with odd numbers: learning the weights reads these alone
     number = F.pmod(F.xxhash64("_id", "_text"), F.lit(blocks)) * 2 + (F.col("_part") == DELETED).cast("int")
-    dealt = pack(rows.withColumn("block", number.cast("int")), "block", "text")
+    numbered = rows.withColumn("block", number.cast("int"))
+    dealt = pack(numbered, "block", "text")
     texts = {r["_part"]: r["n"] for r in rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def ask(group: pa.Table) -> pa.Table:
@@ -190,7 +191,7 @@ def score_texts(docs: DataFrame, trained: Column, held_out: Column, deleted: Col
     sums = answers.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_kept", "v_kept", "n_all", "v_all")]).first()
     kept = Counts(sums.n_kept, sums.v_kept, texts.get(TRAIN, 0))
     whole = Counts(sums.n_all, sums.v_all, texts.get(TRAIN, 0) + texts.get(DELETED, 0))
-    together = dealt.union(answers.select("block", "kind", "payload"))
+    counted = answers.select("block", "kind", "payload")
 
     def counts_of(group: pa.Table, which: str) -> tuple[Grams, np.ndarray]:
         g = Grams.of(tables(group, "text"), order)
@@ -209,7 +210,8 @@ def score_texts(docs: DataFrame, trained: Column, held_out: Column, deleted: Col
         cells, n = np.unique(cell, return_counts=True)
         return pa.table({"cell": cells, "n": n})
 
-    seen = together.where("block % 2 = 1").groupBy("block").applyInArrow(observe, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    out_of_counts = pack(numbered.where(F.col("_part") == DELETED), "block", "text").union(counted.where("block % 2 = 1"))
+    seen = out_of_counts.groupBy("block").applyInArrow(observe, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     weights = learn_weights(seen["cell"].to_numpy(np.int64), seen["n"].to_numpy(np.int64), order)
 
     def score(group: pa.Table) -> pa.Table:
@@ -237,4 +239,4 @@ def score_texts(docs: DataFrame, trained: Column, held_out: Column, deleted: Col
 
     kind = pa.int64() if dict(rows.dtypes)["_id"] == "bigint" else pa.int32() if dict(rows.dtypes)["_id"] == "int" else pa.string()
     fields = f"doc_id {dict(rows.dtypes)['_id']}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return together.groupBy("block").applyInArrow(score, fields)
+    return dealt.union(counted).groupBy("block").applyInArrow(score, fields)

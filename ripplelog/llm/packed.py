@@ -33,14 +33,14 @@ def pack(rows: DataFrame, block: str, kind: str, at_once: int = 32 << 20) -> Dat
         group, size = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            table = pa.Table.from_batches(group)
+            table = pa.Table.from_batches(group).combine_chunks()
             of = table.column(block).to_numpy()
             order = np.argsort(of, kind="stable")
-            cuts = np.flatnonzero(np.diff(of[order])) + 1
-            content = table.select(names)
-            for part in np.split(order, cuts):
-                payload = to_bytes(content.take(pa.array(part)).combine_chunks())
-                yield pa.RecordBatch.from_pydict({"block": pa.array([of[part[0]]], pa.int32()), "kind": [kind], "payload": pa.array([payload], pa.binary())})
+            edges = [0, *(np.flatnonzero(np.diff(of[order])) + 1).tolist(), len(of)]
+            content = table.select(names).take(pa.array(order))
+            for a, b in zip(edges, edges[1:], strict=False):
+                payload = to_bytes(content.slice(a, b - a))
+                yield pa.RecordBatch.from_pydict({"block": pa.array([of[order[a]]], pa.int32()), "kind": [kind], "payload": pa.array([payload], pa.binary())})
 
         for x in batches:
             for i in range(0, len(x), 1000):
