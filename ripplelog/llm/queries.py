@@ -100,6 +100,29 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents").select("doc_id", "text"), n=4, percent=85)
 
 
+OP7_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {A_Z}), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS grams FROM w
+), sized AS (
+  SELECT doc_id, len(grams) AS n FROM s
+), e AS (
+  SELECT doc_id, unnest(grams) AS g FROM s
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM e a JOIN e b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)
+), both_ways AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sized UNION SELECT both_ways.b, reached.other FROM reached JOIN both_ways ON both_ways.a = reached.doc_id
+)
+SELECT doc_id, any_value(n) AS n_shingles, min(other) AS component_id FROM sized JOIN reached USING (doc_id) GROUP BY doc_id
+"""
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     def line(spans):
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
@@ -120,4 +143,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_nearest": op1_nearest, "op2_lm_scoring": op2_lm_scoring, "op3_line_dedup": op3_line_dedup, "op4_byte_bpe": op4_byte_bpe, "op5_quality": op5_quality, "op6_language_id": op6_language_id, "op7_ngram_join": op7_ngram_join, "op8_secrets": op8_secrets, "op9_mixing": op9_mixing, "op10_substring_dedup": op10_substring_dedup}
-ORACLE_SQL = {"op1_nearest": OP1_SQL, "op3_line_dedup": OP3_SQL}
+ORACLE_SQL = {"op1_nearest": OP1_SQL, "op3_line_dedup": OP3_SQL, "op7_ngram_join": OP7_SQL}
