@@ -8,7 +8,8 @@
 4. The order is cut into fragments; a pair's overlap is counted in each fragment by itself and summed.
 
 Step 3 runs twice: first each n-gram's list is compared with one of its members, then, with what these links have joined
-taken together, whatever is still apart. Groups of near copies are therefore never written out as pairs.
+taken together, whatever is still apart, where sizes and sketches leave an overlap possible. Groups of near copies are
+therefore never written out as pairs.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from ripplelog.llm.words import mix, shingle_sets, slices
 
 BLOCK_BYTES = 12 << 20
 FRAGMENTS = 4  # for each power of two of the counts
+SKETCH = 8  # longs, with a set's n-grams counted by hash in eight bytes each
 
 
 def _sets(texts: pa.ChunkedArray | pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -52,9 +54,10 @@ def _least_overlap(size: np.ndarray, percent: int) -> np.ndarray:
 
 
 def counted(docs: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes: int) -> DataFrame:
-    """doc, n, prefix and grams of the chosen rows that can link at all.
+    """doc, n, k, prefix, sketch and grams of the chosen rows that can link at all.
 
-    grams: array of (count's power of two, hash), in the global order, of the n-grams that several chosen rows have;
+    n: the set's size; k: how many of its n-grams other rows have, too; sketch: these counted by hash, null for sets too
+    large for it; grams: array of (count's power of two, hash), in the global order, of the n-grams that several chosen rows have;
     prefix: how many of these are among the row's first n-grams, one of which any partner shares.
     """
     blocks = parts_for(n_bytes, BLOCK_BYTES)
@@ -111,7 +114,7 @@ def counted(docs: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes: i
         _, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)
         answers = sorted((t.column("bucket")[0].as_py(), t.column("levels")[0].as_py()) for t in tables(group, "levels"))
         levels = np.split(np.frombuffer(b"".join(x for _, x in answers), np.uint8)[place], np.cumsum([len(s) for s in sets])[:-1])
-        out = {"doc": [], "n": [], "prefix": [], "grams": []}
+        out = {"doc": [], "n": [], "k": [], "prefix": [], "sketch": [], "grams": []}
         for d, s, level in zip(ids, sets, levels, strict=True) if sets else ():
             least = int(_least_overlap(np.array(len(s)), percent))
             shared = level > 0
@@ -123,13 +126,16 @@ def counted(docs: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes: i
             key = (level[shared].astype(np.uint64) << np.uint64(56)) | (s[shared] >> np.uint64(8))
             out["doc"].append(d)
             out["n"].append(len(s))
+            out["k"].append(k)
+            cells = np.bincount((s[shared] >> np.uint64(8)) % np.uint64(8 * SKETCH), minlength=8 * SKETCH)
+            out["sketch"].append(cells.astype(np.uint8).view(np.int64) if cells.max() < 256 else None)
             out["prefix"].append(len(s) - least + 1 - (len(s) - k))
             out["grams"].append(key[order].view(np.int64))
-        return pa.table(out, pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("prefix", pa.int32()), ("grams", pa.list_(pa.int64()))]))
+        return pa.table(out, pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("prefix", pa.int32()), ("sketch", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))]))
 
     asked = dealt.groupBy("block").applyInArrow(ask, SCHEMA)
     answers = asked.groupBy("block").applyInArrow(answer, SCHEMA)
-    return dealt.union(answers).groupBy("block").applyInArrow(ordered, "doc long, n long, prefix int, grams array<long>")
+    return dealt.union(answers).groupBy("block").applyInArrow(ordered, "doc long, n long, k long, prefix int, sketch array<long>, grams array<long>")
 
 
 def _fragment(gram: Column) -> Column:
@@ -148,6 +154,33 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return summed.where(F.col("common") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """g, doc, n, k and early for the first n-grams of every set, one of which it shares with any partner.
+
+    early: among the fewer first ones that do for partners that are no smaller.
+    """
+    firsts = F.slice("grams", F.lit(1), F.greatest("prefix", F.lit(1)))
+    placed = sets.select("doc", "n", "k", F.posexplode(firsts).alias("place", "g"))
+    least = F.ceil(2 * percent * F.col("n") / F.lit(100 + percent))
+    return placed.select("g", "doc", "n", "k", (F.col("n") - F.col("k") + F.col("place") < F.col("n") - least + 1).alias("early"))
+
+
+def _can_link(percent: int) -> Column:
+    """Whether the sizes na and nb, and the n-grams ka and kb of these that others have, leave room for the overlap."""
+    sizes = F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb")
+    return sizes & ((100 + percent) * F.least("ka", "kb") >= percent * (F.col("na") + F.col("nb")))
+
+
+def _sketches_fit(percent: int) -> Column:
+    """Whether the overlap can be large enough when each cell of the sketches overlaps as far as it can."""
+
+    def cell(side: str, i: int, shift: int) -> Column:
+        return F.shiftright(F.get(f"sketch{side}", F.lit(i)), shift).bitwiseAND(F.lit(255))
+
+    most = sum((F.least(cell("a", i, 8 * j), cell("b", i, 8 * j)) for i in range(SKETCH) for j in range(8)), F.lit(0))
+    return F.coalesce((100 + percent) * most >= percent * (F.col("na") + F.col("nb")), F.lit(True))
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row of `docs`.
 
@@ -163,20 +196,20 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: s
     classes = stage(full.groupBy("s1", "s2", "n_shingles").agg(F.min("_id").alias("rep")))
     sets = stage(counted(rows.where("_id IS NOT NULL"), classes.select(F.col("rep").alias("_id"), "s1"), n, percent, text_bytes(docs, text)))
 
-    first = sets.select("doc", "n", F.explode(F.slice("grams", F.lit(1), F.greatest("prefix", F.lit(1)))).alias("g"))
-    first = stage(first)
-    sizes_fit = F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb")
-
-    heads = first.groupBy("g").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), "doc", "n")).alias("head"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    pairs = first.join(heads, "g").where("doc <> head.doc").select(F.col("head.doc").alias("a"), F.col("doc").alias("b"), F.col("head.n").alias("na"), F.col("n").alias("nb"))
-    links = stage(linked(pairs.where(sizes_fit).distinct(), sets, percent))
+    first = stage(_prefixes(sets, percent))
+    # the member with the fewest n-grams of its own: in a group of near copies, what they were copied from
+    heads = first.groupBy("g").agg(F.min(F.struct((F.col("n") - F.col("k")).alias("own"), F.xxhash64("doc").alias("h"), "doc", "n", "k")).alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    pairs = first.join(heads, "g").where("doc <> head.doc")
+    pairs = pairs.select(F.col("head.doc").alias("a"), F.col("doc").alias("b"), F.col("head.n").alias("na"), F.col("n").alias("nb"), F.col("head.k").alias("ka"), F.col("k").alias("kb"))
+    links = stage(linked(pairs.where(_can_link(percent)).select("a", "b", "na", "nb").distinct(), sets, percent))
     joined = components(links)
 
-    known = stage(first.join(joined.withColumnRenamed("node", "doc"), "doc", "left").select("g", "doc", "n", F.coalesce("component", "doc").alias("c")))
+    known = stage(first.join(joined.withColumnRenamed("node", "doc"), "doc", "left").select("g", "doc", "n", "k", "early", F.coalesce("component", "doc").alias("c")))
     mixed = known.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g")
-    apart = known.join(mixed, "g")
-    other = apart.select("g", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    pairs = apart.select("g", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca")).join(other, "g").where((F.col("ca") < F.col("cb")) & sizes_fit)
+    apart = known.join(mixed, "g").join(sets.select("doc", "sketch"), "doc")
+    left, right = (apart.select("g", *(F.col(c).alias(f"{c if c != 'doc' else ''}{side}") for c in ("doc", "n", "k", "early", "c", "sketch"))) for side in "ab")
+    shorter_early = F.when((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))), F.col("earlya")).otherwise(F.col("earlyb"))
+    pairs = left.join(right, "g").where((F.col("ca") < F.col("cb")) & shorter_early & _can_link(percent) & _sketches_fit(percent))
     rest = stage(linked(pairs.select("a", "b", "na", "nb").distinct(), sets, percent))
 
     # a doc_id in several classes ties their representatives together
@@ -186,4 +219,4 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: s
     final = components(links.union(rest).union(tied))
 
     found = prints.join(classes, ["s1", "s2", "n_shingles"], "left").alias("p").join(final.alias("f"), F.col("rep") == F.col("node"), "left")
-    return found.select(F.col("_id").alias(doc_id), "n_shingles", F.coalesce("component", "rep", "_id").alias("component_id"))
+    return found.select(F.col("_id").alias(doc_id), "n_shingles", F.when(F.col("_id").isNotNull(), F.coalesce("component", "rep", "_id")).alias("component_id"))
