@@ -27,6 +27,7 @@ from ripplelog.llm.packed import SCHEMA, pack, tables, to_bytes
 from ripplelog.llm.words import mix, slices
 
 BLOCK_BYTES = 10 << 20
+ARRAY_BYTES = 1 << 18  # of segments for one suffix array
 _BYTE = np.random.default_rng(21).integers(1, 2**63, 256, dtype=np.uint64)
 _NOBODY = -(2**63)
 
@@ -125,8 +126,8 @@ def _earliest(keys: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndar
     return order[new], order[~new]
 
 
-def repeats(anchor: np.ndarray, left: np.ndarray, segments: list[bytes], doc: np.ndarray, row: np.ndarray, start: np.ndarray, length: int) -> Iterator[tuple[int, int, int]]:
-    """(segment, from, to): bytes of segments that an earlier place of another segment also holds, `length` or more at a time.
+def repeats(anchor: np.ndarray, left: np.ndarray, segments: list[bytes], doc: np.ndarray, row: np.ndarray, start: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Arrays of (segment, from, to): bytes of segments that an earlier place of another segment also holds, `length` or more at a time.
 
     left: how far a segment's anchor is from its beginning. Equal segments must have been taken together before.
     """
@@ -152,13 +153,13 @@ def repeats(anchor: np.ndarray, left: np.ndarray, segments: list[bytes], doc: np
     keys = np.stack([keys[:, 0] ^ mix(anchor[s]), keys[:, 1] ^ mix((left[s] - low).astype(np.uint64))], axis=1)
     begin = start[s] + low
     first, again = _earliest(keys, doc[s], row[s], begin)
-    yield from zip(s[again].tolist(), low[again].tolist(), (high[again] + length).tolist(), strict=True)
+    yield s[again], low[again], high[again] + length
     # one suffix array over the different ones; a mark that is no byte ends each
     symbols, where, of = [], [], []
     total = 0
     for i in first.tolist():
-        t = np.frombuffer(trimmed[i], np.uint8).astype(np.int64) + 1
-        symbols += [t, np.zeros(1, np.int64)]
+        t = np.frombuffer(trimmed[i], np.uint8).astype(np.int16) + 1
+        symbols += [t, np.zeros(1, np.int16)]
         n = len(t) - length + 1
         where.append(total + np.arange(n))
         of.append(np.full(n, i))
@@ -172,8 +173,8 @@ def repeats(anchor: np.ndarray, left: np.ndarray, segments: list[bytes], doc: np
     ordered = ordered[index_of[ordered] >= 0]
     same = np.zeros(len(ordered), bool)
     window = np.arange(length)
-    for i in range(1, len(ordered), 20_000):
-        a, b = ordered[i - 1 : i + 19_999], ordered[i : i + 20_000]
+    for i in range(1, len(ordered), 10_000):
+        a, b = ordered[i - 1 : i + 9_999], ordered[i : i + 10_000]
         same[i : i + len(b)] = (text[a[: len(b)][:, None] + window] == text[b[:, None] + window]).all(axis=1)
     which = np.cumsum(~same).astype(np.uint64)
     piece, offset = index_of[ordered], base_of[ordered]
@@ -181,7 +182,21 @@ def repeats(anchor: np.ndarray, left: np.ndarray, segments: list[bytes], doc: np
     owner = s[piece]
     # strings with other anchors cannot be equal to these, so that a group has one anchor at one place
     _, later = _earliest(np.stack([which, which], axis=1), doc[owner], row[owner], start[owner] + inner)
-    yield from zip(owner[later].tolist(), inner[later].tolist(), (inner[later] + length).tolist(), strict=True)
+    yield owner[later], inner[later], inner[later] + length
+
+
+def _by_anchor(rows: np.ndarray, anchor: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows in parts of about ARRAY_BYTES of segments; those of one anchor stay together."""
+    rows = rows[np.argsort(anchor[rows], kind="stable")]
+    reach = np.cumsum(sizes[rows])
+    ends = np.append(np.flatnonzero(np.diff(anchor[rows])) + 1, len(rows))
+    start = 0
+    while start < len(rows):
+        before = reach[start - 1] if start else 0
+        at = np.searchsorted(reach[ends - 1], before + ARRAY_BYTES, side="right")
+        stop = ends[max(at - 1, np.searchsorted(ends, start, side="right"))]
+        yield rows[start:stop]
+        start = stop
 
 
 def repeated_spans(rows: DataFrame, length: int, k: int, n_bytes: int) -> DataFrame:
@@ -273,11 +288,11 @@ def repeated_spans(rows: DataFrame, length: int, k: int, n_bytes: int) -> DataFr
             out.append(pa.table({"doc": c["doc"][again], "row": c["row"][again], "start": c["start"][again], "end": c["start"][again] + sizes[again]}, _SPANS))
             _, place, count = np.unique(c["anchor"][first], return_inverse=True, return_counts=True)
             apart = first[count[place] > 1]
-            if len(apart):
-                part = {x: c[x][apart] for x in c}
-                found = list(repeats(part["anchor"], part["left"], [segments[i] for i in apart.tolist()], part["doc"], part["row"], part["start"], length))
-                at, low, high = (np.array([f[j] for f in found], np.int64) for j in range(3))
-                out.append(pa.table({"doc": part["doc"][at], "row": part["row"][at], "start": part["start"][at] + low, "end": part["start"][at] + high}, _SPANS))
+            for some in _by_anchor(apart, c["anchor"], sizes):
+                part = {x: c[x][some] for x in c}
+                for at, low, high in repeats(part["anchor"], part["left"], [segments[i] for i in some.tolist()], part["doc"], part["row"], part["start"], length):
+                    spans = pa.table({"doc": part["doc"][at], "row": part["row"][at], "start": part["start"][at] + low, "end": part["start"][at] + high}, _SPANS)
+                    out.append(_merged(spans))
         return _merged(pa.concat_tables(out)) if out else _SPANS.empty_table()
 
     answers = texts.groupBy("block").applyInArrow(ask, SCHEMA).groupBy("block").applyInArrow(answer, SCHEMA)
