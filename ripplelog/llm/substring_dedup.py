@@ -28,6 +28,7 @@ from ripplelog.llm.words import mix, slices
 
 BLOCK_BYTES = 10 << 20
 ARRAY_BYTES = 1 << 18  # of segments for one suffix array
+HASHED_SEGMENTS = 4096
 _BYTE = np.random.default_rng(21).integers(1, 2**63, 256, dtype=np.uint64)
 _NOBODY = -(2**63)
 
@@ -131,20 +132,30 @@ def repeats(anchor: np.ndarray, left: np.ndarray, segments: list[bytes], doc: np
 
     left: how far a segment's anchor is from its beginning. Equal segments must have been taken together before.
     """
-    buffer = np.frombuffer(b"".join(segments), np.uint8)
     sizes = np.array([len(s) for s in segments], np.int64)
-    ends = np.cumsum(sizes)
     strings = sizes - length + 1
-    seg = np.repeat(np.arange(len(segments)), strings)
-    inner = np.arange(len(seg)) - np.repeat(np.cumsum(strings) - strings, strings)
-    at = (ends - sizes)[seg] + inner
-    # strings that stand in one segment alone, by fingerprint and place of the anchor, cannot repeat
-    print_ = mix(gram_hashes(buffer, length)[at] ^ mix(anchor[seg] + (left[seg] - inner).astype(np.uint64)))
-    _, back, count = np.unique(print_, return_inverse=True, return_counts=True)
+    seg = np.repeat(np.arange(len(segments), dtype=np.int32), strings)
+    inner = (np.arange(len(seg)) - np.repeat(np.cumsum(strings) - strings, strings)).astype(np.int32)
+    # strings that stand in one segment alone, by fingerprint and place of the anchor, cannot repeat; hashed some
+    # segments at a time, as one anchor may have very many
+    prints, first = [], 0
+    while first < len(segments):
+        last = min(len(segments), first + HASHED_SEGMENTS)
+        ends = np.cumsum(sizes[first:last])
+        n = strings[first:last]
+        mine = np.repeat(np.arange(first, last), n)
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at = np.repeat(ends - sizes[first:last], n) + within
+        hashed = gram_hashes(np.frombuffer(b"".join(segments[first:last]), np.uint8), length)[at]
+        prints.append(mix(hashed ^ mix(anchor[mine] + (left[mine] - within).astype(np.uint64))))
+        first = last
+    _, back, count = np.unique(np.concatenate(prints), return_inverse=True, return_counts=True)
     maybe = count[back] > 1
+    del prints, back, count
     edge = maybe & ~np.concatenate([[False], maybe[:-1] & (seg[1:] == seg[:-1])])
     close = maybe & ~np.concatenate([maybe[1:] & (seg[1:] == seg[:-1]), [False]])
-    s, low, high = seg[edge], inner[edge], inner[close]
+    s, low, high = (x.astype(np.int64) for x in (seg[edge], inner[edge], inner[close]))
+    del seg, inner, maybe, edge, close
     # trimmed: the same trimmed bytes with the same anchor are one, and repeats of its earliest
     trimmed = [segments[i][a : b + length] for i, a, b in zip(s.tolist(), low.tolist(), high.tolist(), strict=True)]
     if not trimmed:
