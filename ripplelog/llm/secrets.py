@@ -274,8 +274,11 @@ def _scan(x: pa.RecordBatch, field: Field) -> pa.RecordBatch:
     starts = offsets[:-1] - offsets[0]
     points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     # runs of hexadecimal digits that are long enough, to spare most texts that pattern
-    runs = np.flatnonzero(np.diff(_table(_DIGIT + b"abcdef")[data], prepend=0, append=0))
-    long = runs[::2][runs[1::2] - runs[::2] >= 32]
+    # a run ends with its text, whatever the next one begins with
+    hexes = _table(_DIGIT + b"abcdef")[data]
+    begin = np.unique(np.concatenate([starts[ends > starts], np.flatnonzero(np.diff(hexes)) + 1]))
+    finish = np.append(begin[1:], len(data))[: len(begin)]
+    long = begin[(hexes[begin] == 1) & (finish - begin >= 32)]
     hexed = set(np.searchsorted(ends, long, side="right").tolist())
     tokens = Tokens.of(data, ends)
     tags = field.tag(tokens)

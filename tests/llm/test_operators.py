@@ -274,6 +274,14 @@ def test_secrets(spark, docs, empty):
     assert secrets.scan(empty).count() == 0 and secrets.scan(docs).count() == docs.count()
 
 
+def test_secrets_at_the_start_of_a_text(spark):
+    """Hexadecimal digits at the end of the text before in the batch don't hide a secret at a text's start."""
+    texts = [(1, "cafe"), (2, "deadbeef" * 5), (3, "ends in a"), (4, ""), (5, "0" * 32 + " x"), (6, "a" * 31), (7, "b" * 31)]
+    table = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    found = {r.doc_id: (r.n_hex, [(s.kind, s.start, s.end) for s in r.spans if s.kind == "hex"]) for r in secrets.scan(table).collect()}
+    assert found == {1: (0, []), 2: (1, [("hex", 0, 40)]), 3: (0, []), 4: (0, []), 5: (1, [("hex", 0, 32)]), 6: (0, []), 7: (0, [])}
+
+
 def test_conditional_random_field_decodes_the_best_path():
     rng = np.random.default_rng(1)
     text = "a token = Xy12345678abc and more\nplain words here\nkey q1w2e3r4t5y6 z " * 3
