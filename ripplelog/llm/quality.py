@@ -195,13 +195,14 @@ def measure(docs: DataFrame, model: KneserNey, text: str = "text") -> DataFrame:
     return docs.select(text, *names).mapInArrow(counted, ", ".join([*fields, added]))
 
 
-def judge(docs: DataFrame, text: str = "text", lang: Column | str = "lang", width: float = 3.0, least: float = 0.1, short: float = 1.5) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", lang: Column | str = "lang", width: float = 1.0, short: float = 1.5) -> DataFrame:
     """doc_id, the five counts, nll, base_failed and kept for every row of `docs`.
 
     base_failed: fewer than 20 words, or more than 30% of the words stand in 8-word windows that the text repeats. Other
     rows are kept if their mean negative log-probability (log-perplexity) lies in their language's band: from the lower
-    quartile to the upper, widened on both sides by `width` times the distance between the quartiles, or `least` if
-    that is more; as the mean of few bytes varies, `short` by the square root of a text's bytes is added. Quartiles are over the language's rows that pass the base rules; a null language is one of its own.
+    quartile to the upper, widened on both sides by `width` times the distance between the quartiles; as the mean of few
+    bytes varies, `short` by the square root of a text's bytes, about its standard error, is added. Quartiles are over
+    the language's rows that pass the base rules; a null language is one of its own.
     Null and empty texts have no words. Rows that share a doc_id are judged each by itself; no other column is read.
     """
     rows = docs.select("doc_id", F.col(text).alias("text"), (F.col(lang) if isinstance(lang, str) else lang).alias("lang"))
@@ -209,7 +210,7 @@ def judge(docs: DataFrame, text: str = "text", lang: Column | str = "lang", widt
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     judged = measured.withColumn("base_failed", failed)
     bands = judged.where("NOT base_failed").groupBy("lang").agg(F.percentile_approx("nll", [0.25, 0.75], 10_000).alias("q"))
-    room = F.greatest(width * (F.get("q", F.lit(1)) - F.get("q", F.lit(0))), F.lit(least))
+    room = width * (F.get("q", F.lit(1)) - F.get("q", F.lit(0)))
     bands = bands.select(F.col("lang").alias("of"), (F.get("q", F.lit(0)) - room).alias("low"), (F.get("q", F.lit(1)) + room).alias("high"))
     noise = short / F.sqrt(F.greatest("n_bytes", F.lit(1)))
     inside = F.coalesce(F.col("nll").between(F.col("low") - noise, F.col("high") + noise), F.lit(False))

@@ -185,6 +185,18 @@ def test_quality(spark, docs, rows, empty):
     assert quality.judge(empty).count() == 0
 
 
+def test_quality_by_perplexity_alone(spark):
+    """Prose with marks in it passes the base rules but not its language's band; the prose it was made from passes."""
+    rng = random.Random(11)
+    vocab = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(400)]
+    prose = [" ".join(rng.choice(vocab) for _ in range(600)) for _ in range(80)]
+    marked = [" ".join(w + rng.choice("#*$%&|<>") * (j % 5 == 0) for j, w in enumerate(t.split(" "))) for t in prose[:2]]
+    table = spark.createDataFrame([(i, t, "en") for i, t in enumerate(prose + marked)], "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in quality.judge(table).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert sorted(d for d in found if not found[d].kept) == [80, 81]
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(0)
     counts = np.zeros(quality.CLASSES**quality.ORDER)
