@@ -104,6 +104,16 @@ def _estimates(g: Grams, counts: np.ndarray, total: Counts) -> tuple[np.ndarray,
     return np.minimum(p, 1.0), _bucket(context)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The numbers' lowest bytes, then the next ones and so on: those that are zero in most numbers pack well."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _unplaned(raw: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
 def learn_weights(cells: np.ndarray, n: np.ndarray, order: int, rounds: int = 100) -> np.ndarray:
     """Weights (buckets x orders and the floor) by expectation-maximisation over binned ratios to the floor.
 
@@ -130,7 +140,7 @@ def learn_weights(cells: np.ndarray, n: np.ndarray, order: int, rounds: int = 10
     return weights
 
 
-def score_texts(docs: DataFrame, trained: Column, held_out: Column, deleted: Column, order: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, trained: Column, held_out: Column, deleted: Column, order: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of `docs`.
 
     Tokens are the text's words, A-Z in lower case, and one end. The model learns from the rows where `trained` holds;
@@ -162,16 +172,16 @@ def score_texts(docs: DataFrame, trained: Column, held_out: Column, deleted: Col
             if len(a):
                 out["block"].append(bucket)
                 out["kind"].append(str(block))
-                out["payload"].append(to_bytes(pa.table({"gram": a, "count": c})))
+                out["payload"].append(to_bytes(pa.table({"gram": [_planes(np.diff(a, prepend=np.uint64(0)))], "count": [_planes(c)]})))
         return pa.table(out, pa.schema([("block", pa.int32()), ("kind", pa.string()), ("payload", pa.binary())]))
 
     def answer(group: pa.Table) -> pa.Table:
         bucket = group.column("block")[0].as_py()
         askers = group.column("kind").to_pylist()
         asked = [tables(group.slice(i, 1), a)[0] for i, a in enumerate(askers)]
-        sizes = [t.num_rows for t in asked]
-        grams = np.concatenate([t.column("gram").to_numpy() for t in asked])
-        counts = np.concatenate([t.column("count").to_numpy() for t in asked])
+        parts = [(np.cumsum(_unplaned(t.column("gram")[0].as_py(), np.uint64), dtype=np.uint64), _unplaned(t.column("count")[0].as_py(), np.uint32)) for t in asked]
+        sizes = [len(g) for g, _ in parts]
+        grams, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
         deleted_part = np.repeat([int(a) % 2 for a in askers], sizes)
         found, place = np.unique(grams, return_inverse=True)
         kept, gone = (np.bincount(place, weights=np.where(deleted_part == d, counts, 0), minlength=len(found)).astype(np.uint32) for d in (0, 1))

@@ -131,6 +131,15 @@ def test_lm_scoring(spark, docs, rows, empty):
     assert {r.n_known for r in nothing} == {0}
 
 
+def test_lm_scoring_sees_two_words_back(spark):
+    """Which word follows 'b' hangs on the word before it: models of one word's context score both texts the same."""
+    rows = [(i, "a b c" if i % 2 else "x b d") for i in range(100)] + [(100, "a b c"), (101, "a b d")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    d = F.col("doc_id")
+    found = {r.doc_id: r.score for r in lm_scoring.score_texts(table, d < 100, d >= 100, (d % 10).isin(1, 2)).collect()}
+    assert found[100] > found[101] + 0.3
+
+
 def test_mixture_is_a_distribution():
     """Estimates and weights of known counts: the mixture over all words of a context sums to one."""
     texts = ["a b a c", "a b b", "c a b"]
