@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,20 +15,29 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a temporary one only where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="ripplelog-")
-        spark.conf.set("spark.checkpoint.dir", path)
+    """The folder that driver and executors share: spark.checkpoint.dir, or the warehouse where it is unset."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return path.rstrip("/")
 
 
+def col(name: str) -> Column:
+    """The column of that very name, whatever marks are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def stage_path(spark: SparkSession) -> str:
+    """A new folder in the shared one, which goes when the session's JVM ends."""
+    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Writes df to the shared folder and reads it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    path = stage_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ascii_lower(c: Column) -> Column:
@@ -48,16 +56,17 @@ def parts_for(n_bytes: int, each: int, least: int = 1) -> int:
 
 
 def few_of_each(rows: DataFrame, kind: str, each: int) -> DataFrame:
-    """Up to `each` rows of every value of `kind`, those with the smallest hashes in the column h.
+    """Up to `each` different texts (column text) of every value of `kind`, those with the smallest hashes (column h).
 
-    A threshold on the hash, from the values' counts, leaves about three times as many before any is moved, however many
-    rows a value has. For columns with few values: the counts go through the driver.
+    A threshold on the hash, from the number of different hashes, leaves about three times as many before any is moved,
+    however many rows and copies a value has. For columns with few values: the numbers go through the driver.
     """
-    counts = {r[kind]: r["n"] for r in rows.groupBy(kind).agg(F.count(F.lit(1)).alias("n")).collect()}
+    numbers = {r[kind]: r["n"] for r in rows.groupBy(kind).agg(F.approx_count_distinct("h").alias("n")).collect()}
     share, low = F.abs(F.col("h") / F.lit(2.0**63)), F.lit(False)
-    for value, n in counts.items():
-        low = low | (F.col(kind).eqNullSafe(F.lit(value)) & (share * n <= 3 * each + 30))
-    ranked = rows.where(low).withColumn("rank", F.row_number().over(Window.partitionBy(kind).orderBy("h", "text")))
+    for value, n in numbers.items():
+        low = low | ((share * n <= 3 * each + 30) & F.col(kind).eqNullSafe(F.lit(value)))  # in this order: the kind may be dear to tell
+    single = rows.where(low).groupBy(kind, "h").agg(F.min("text").alias("text"))
+    ranked = single.withColumn("rank", F.row_number().over(Window.partitionBy(kind).orderBy("h")))
     return ranked.where(F.col("rank") <= each)
 
 

@@ -1,8 +1,9 @@
 """Jaccard join of documents on their word n-grams, by vertical partitioning.
 
-1. Every row gets its set's size and fingerprint; equal sets become one class with a representative.
+1. Every row gets its set's size and fingerprint (two 64-bit sums); equal sets become one class with a representative.
 2. The representatives' n-grams are counted: each block of documents asks for the counts of its distinct n-grams, packed
-   by hash range, and gets them back in the same order. Counts order all n-grams, rare ones first.
+   by hash range, and gets them back in the same order. Counts order all n-grams, rare ones first. The texts stay where
+   they are.
 3. A document whose n-grams mostly occur nowhere else links with nothing. Those that are left look for partners among
    the first of their n-grams in that order (two sets that link share one of these).
 4. The order is cut into fragments; a pair's overlap is counted in each fragment by itself and summed.
@@ -18,15 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ripplelog.llm.common import parts_for, stage, text_bytes
 from ripplelog.llm.components import components
-from ripplelog.llm.packed import SCHEMA, pack, tables, to_bytes
+from ripplelog.llm.packed import MESSAGE, MESSAGE_SCHEMA, blocks_of, columns, cut_to_ranges, from_bytes, in_order, message
 from ripplelog.llm.words import mix, shingle_sets, slices
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 FRAGMENTS = 4  # for each power of two of the counts
 SKETCH = 8  # longs, with a set's n-grams counted by hash in eight bytes each
 
@@ -36,16 +38,19 @@ def _sets(texts: pa.ChunkedArray | pa.Array, n: int) -> Iterator[np.ndarray]:
         yield from shingle_sets(part.column("t").combine_chunks(), n)
 
 
-def fingerprints(docs: DataFrame, n: int) -> DataFrame:
-    """_id, n_shingles, s1 and s2 for every row: a set's size and two sums of its n-grams' hashes."""
+def fingerprints(blocks: DataFrame, n: int) -> DataFrame:
+    """block, i, _id, n_shingles, s1 and s2 for every row of the blocks: its place, its set's size and two sums of its n-grams' hashes."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            sets = list(_sets(x.column("_text"), n))
-            s1, s2 = (np.array([mix(s ^ np.uint64(seed)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64) for seed in (0x51ED27, 0xA0761D6478BD642F))
-            yield pa.RecordBatch.from_arrays([x.column("_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(s1), pa.array(s2)], names=["_id", "n_shingles", "s1", "s2"])
+            for block, payload in zip(x.column("block").to_pylist(), x.column("payload"), strict=True):
+                t = from_bytes(payload.as_buffer())
+                sets = list(_sets(t.column("_text"), n))
+                s1, s2 = (np.array([mix(s ^ np.uint64(seed)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64) for seed in (0x51ED27, 0xA0761D6478BD642F))
+                columns_ = [pa.array(np.full(len(sets), block)), pa.array(np.arange(len(sets))), t.column("_id").combine_chunks(), pa.array([len(s) for s in sets], pa.int64()), pa.array(s1), pa.array(s2)]
+                yield pa.RecordBatch.from_arrays(columns_, names=["block", "i", "_id", "n_shingles", "s1", "s2"])
 
-    return docs.mapInArrow(of, "_id long, n_shingles long, s1 long, s2 long")
+    return blocks.mapInArrow(of, "block long, i long, _id long, n_shingles long, s1 long, s2 long")
 
 
 def _least_overlap(size: np.ndarray, percent: int) -> np.ndarray:
@@ -53,69 +58,61 @@ def _least_overlap(size: np.ndarray, percent: int) -> np.ndarray:
     return -(-size * percent // 100)
 
 
-def counted(docs: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes: int) -> DataFrame:
-    """doc, n, k, prefix, sketch and grams of the chosen rows that can link at all.
+def counted(blocks: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes: int) -> DataFrame:
+    """doc, n, k, prefix, sketch and grams of the chosen rows (block, i, doc) that can link at all.
 
     n: the set's size; k: how many of its n-grams other rows have, too; sketch: these counted by hash, null for sets too
     large for it; grams: array of (count's power of two, hash), in the global order, of the n-grams that several chosen rows have;
     prefix: how many of these are among the row's first n-grams, one of which any partner shares.
     """
-    blocks = parts_for(n_bytes, BLOCK_BYTES)
-    ranges = np.array([2**64 * i // blocks for i in range(1, blocks)], np.uint64)  # n-grams are dealt to as many buckets by hash
-    at = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int").alias("block")
-    texts = pack(docs.select(at("_id"), "_id", "_text"), "block", "text")
-    flags = pack(chosen.select(at("_id"), "_id", "s1"), "block", "chosen")
-    dealt = texts.union(flags)
-
-    def chosen_sets(group: pa.Table) -> tuple[list[int], list[np.ndarray]]:
-        wanted = {d: s for t in tables(group, "chosen") for d, s in zip(t.column("_id").to_pylist(), t.column("s1").to_pylist(), strict=True)}
-        ids, sets = [], []
-        for t in sorted(tables(group, "text"), key=lambda t: t.column("_id")[0].as_py()):
-            mine = t.filter(pa.array([d in wanted for d in t.column("_id").to_pylist()], pa.bool_()))
-            for d, s in zip(mine.column("_id").to_pylist(), _sets(mine.column("_text"), n), strict=True):
-                # a doc_id with several texts: the set that was chosen, once
-                if len(s) and d in wanted and mix(s ^ np.uint64(0x51ED27)).sum(dtype=np.uint64).view(np.int64) == wanted[d]:
-                    del wanted[d]
-                    ids.append(d)
-                    sets.append(s)
-        return ids, sets
-
-    def ask(group: pa.Table) -> pa.Table:
-        block = group.column("block")[0].as_py()
-        _, sets = chosen_sets(group)
-        grams, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
-        cuts = np.searchsorted(grams, ranges)
-        out = {"block": [], "kind": [], "payload": []}
-        for bucket, (g, c) in enumerate(zip(np.split(grams, cuts), np.split(counts, cuts), strict=True)):
-            if len(g):
-                out["block"].append(bucket)
-                out["kind"].append(str(block))
-                out["payload"].append(to_bytes(pa.table({"gram": g, "count": c.astype(np.uint32)})))
-        return pa.table(out, pa.schema([("block", pa.int32()), ("kind", pa.string()), ("payload", pa.binary())]))
+    parts = parts_for(n_bytes, BLOCK_BYTES)  # n-grams are dealt to as many buckets by hash
+
+    def named(group: pa.Table) -> pa.Table:
+        which = message(group.column("i").to_numpy(), group.column("doc").to_numpy())
+        return pa.table([[-1], group.column("block")[:1].combine_chunks(), [which]], schema=MESSAGE_SCHEMA)
+
+    wanted = chosen.groupBy("block").applyInArrow(named, MESSAGE)
+
+    def chosen_sets(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+        which = right.filter(pc.less(right.column("bucket"), 0))
+        if not left.num_rows or not which.num_rows:
+            return np.zeros(0, np.int64), []
+        i, doc = columns(which.column("payload")[0].as_py(), np.int64, np.int64)
+        order = np.argsort(i)
+        return doc[order], list(_sets(from_bytes(left.column("payload")[0].as_buffer()).column("_text").take(pa.array(i[order])), n))
+
+    def ask(left: pa.Table, right: pa.Table) -> pa.Table:
+        _, sets = chosen_sets(left, right)
+        if not sets:
+            return MESSAGE_SCHEMA.empty_table()
+        grams, counts = np.unique(np.concatenate(sets), return_counts=True)
+        del sets
+        return cut_to_ranges(left.column("block")[0].as_py(), grams, parts, counts.astype(np.uint32))  # within a block
 
     def answer(group: pa.Table) -> pa.Table:
-        bucket = group.column("block")[0].as_py()
-        askers = group.column("kind").to_pylist()
-        asked = [tables(group.slice(i, 1), a)[0] for i, a in enumerate(askers)]
-        grams = np.concatenate([t.column("gram").to_numpy() for t in asked])
-        counts = np.concatenate([t.column("count").to_numpy() for t in asked])
-        order = np.argsort(grams, kind="stable")
-        first = np.flatnonzero(np.diff(grams[order], prepend=~grams[order[:1]]))
+        asked = [columns(p.as_buffer().to_pybytes(), np.uint64, np.uint32) for p in group.column("payload")]
+        cuts = np.cumsum([len(g) for g, _ in asked])[:-1]
+        grams = np.concatenate([np.cumsum(g, dtype=np.uint64) for g, _ in asked])
+        counts = np.concatenate([c for _, c in asked])
+        del asked
+        order = np.argsort(grams)
+        grams = grams[order]
+        first = np.flatnonzero(np.diff(grams, prepend=~grams[:1]))
         total = np.add.reduceat(counts[order].astype(np.int64), first)
         level = np.minimum(255, np.where(total < 2, 0, np.floor(np.log2(total)))).astype(np.uint8)
         back = np.empty(len(grams), np.uint8)
         back[order] = np.repeat(level, np.diff(np.append(first, len(grams))))
-        parts = np.split(back, np.cumsum([t.num_rows for t in asked])[:-1])
-        payload = [to_bytes(pa.table({"bucket": pa.array([bucket], pa.int32()), "levels": pa.array([p.tobytes()], pa.binary())})) for p in parts]
-        return pa.table({"block": pa.array([int(a) for a in askers], pa.int32()), "kind": ["levels"] * len(askers), "payload": pa.array(payload, pa.binary())})
-
-    def ordered(group: pa.Table) -> pa.Table:
-        ids, sets = chosen_sets(group)
-        _, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)
-        answers = sorted((t.column("bucket")[0].as_py(), t.column("levels")[0].as_py()) for t in tables(group, "levels"))
-        levels = np.split(np.frombuffer(b"".join(x for _, x in answers), np.uint8)[place], np.cumsum([len(s) for s in sets])[:-1])
+        payloads = pa.array([message(x) for x in np.split(back, cuts)], pa.binary())
+        return pa.table([group.column("bucket").combine_chunks(), group.column("block").combine_chunks(), payloads], schema=MESSAGE_SCHEMA)
+
+    def ordered(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, sets = chosen_sets(left, right)
         out = {"doc": [], "n": [], "k": [], "prefix": [], "sketch": [], "grams": []}
-        for d, s, level in zip(ids, sets, levels, strict=True) if sets else ():
+        if sets:
+            _, place = np.unique(np.concatenate(sets), return_inverse=True)
+            levels = in_order(right.filter(pc.greater_equal(right.column("bucket"), 0)), np.uint8)[0]
+            levels = np.split(levels[place], np.cumsum([len(s) for s in sets])[:-1])
+        for d, s, level in zip(ids.tolist(), sets, levels, strict=True) if sets else ():
             least = int(_least_overlap(np.array(len(s)), percent))
             shared = level > 0
             k = int(shared.sum())
@@ -133,9 +130,9 @@ def counted(docs: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes: i
             out["grams"].append(key[order].view(np.int64))
         return pa.table(out, pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("prefix", pa.int32()), ("sketch", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))]))
 
-    asked = dealt.groupBy("block").applyInArrow(ask, SCHEMA)
-    answers = asked.groupBy("block").applyInArrow(answer, SCHEMA)
-    return dealt.union(answers).groupBy("block").applyInArrow(ordered, "doc long, n long, k long, prefix int, sketch array<long>, grams array<long>")
+    texts = blocks.groupBy("block")
+    answers = texts.cogroup(wanted.groupBy("block")).applyInArrow(ask, MESSAGE).groupBy("bucket").applyInArrow(answer, MESSAGE)
+    return texts.cogroup(wanted.union(answers).groupBy("block")).applyInArrow(ordered, "doc long, n long, k long, prefix int, sketch array<long>, grams array<long>")
 
 
 def _fragment(gram: Column) -> Column:
@@ -190,11 +187,14 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: s
     component_id. Rows that share a doc_id are one document with several texts: what links with one of them, links with
     all. Other columns of `docs` are not looked at.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text"))
-    prints = stage(fingerprints(rows, n))
+    rows = docs.select(F.col(doc_id).cast("long").alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
+    blocks = blocks_of(rows, "_text", BLOCK_BYTES, ["_id"])
+    prints = stage(fingerprints(blocks, n))
     full = prints.where("n_shingles > 0 AND _id IS NOT NULL")
-    classes = stage(full.groupBy("s1", "s2", "n_shingles").agg(F.min("_id").alias("rep")))
-    sets = stage(counted(rows.where("_id IS NOT NULL"), classes.select(F.col("rep").alias("_id"), "s1"), n, percent, text_bytes(docs, text)))
+    heads = full.groupBy("s1", "s2", "n_shingles").agg(F.min(F.struct("_id", "block", "i")).alias("head"))
+    # a class of equal sets has a number of its own: its smallest doc_id may have other texts and so be in other classes
+    classes = stage(heads.select("s1", "s2", "n_shingles", "head", F.monotonically_increasing_id().alias("doc")))
+    sets = stage(counted(blocks, classes.select("head.block", "head.i", "doc"), n, percent, text_bytes(docs, text)))
 
     first = stage(_prefixes(sets, percent))
     # the member with the fewest n-grams of its own: in a group of near copies, what they were copied from
@@ -212,11 +212,14 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: s
     pairs = left.join(right, "g").where((F.col("ca") < F.col("cb")) & shorter_early & _can_link(percent) & _sketches_fit(percent))
     rest = stage(linked(pairs.select("a", "b", "na", "nb").distinct(), sets, percent))
 
-    # a doc_id in several classes ties their representatives together
-    tied = full.join(classes, ["s1", "s2", "n_shingles"]).select("_id", "rep").where("_id <> rep")
-    several = full.groupBy("_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("_id")
-    tied = tied.join(several, "_id").select(F.col("_id").alias("a"), F.col("rep").alias("b"))
+    # a doc_id in several classes ties them together
+    classed = prints.join(classes.select("s1", "s2", "n_shingles", "doc"), ["s1", "s2", "n_shingles"], "left")
+    several = classed.where("doc IS NOT NULL AND _id IS NOT NULL").groupBy("_id").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b")
+    tied = classed.join(several.select("_id", "a"), "_id").select("a", F.col("doc").alias("b")).where("a <> b")
     final = components(links.union(rest).union(tied))
 
-    found = prints.join(classes, ["s1", "s2", "n_shingles"], "left").alias("p").join(final.alias("f"), F.col("rep") == F.col("node"), "left")
-    return found.select(F.col("_id").alias(doc_id), "n_shingles", F.when(F.col("_id").isNotNull(), F.coalesce("component", "rep", "_id")).alias("component_id"))
+    part = F.coalesce("component", "doc").alias("part")
+    named = stage(classes.join(final.withColumnRenamed("node", "doc"), "doc", "left").select("doc", "head", part))
+    smallest = named.groupBy("part").agg(F.min("head._id").alias("component_id"))
+    found = classed.join(named.select("doc", "part"), "doc", "left").join(smallest, "part", "left")
+    return found.select(F.col("_id").alias(doc_id), "n_shingles", F.when(F.col("_id").isNotNull(), F.coalesce("component_id", "_id")).alias("component_id"))

@@ -1,19 +1,35 @@
-"""Rows dealt out in blocks, each a compressed Arrow table: one shuffled row for many documents."""
+"""Rows dealt out in blocks, and the messages that blocks and buckets exchange.
+
+A block is the rows that a task has read together, up to a size: one compressed Arrow table. The blocks are written once,
+as a bucketed table, so that what is found out about a block later meets it without moving its texts again.
+
+A message holds columns of numbers, byte by byte: all lowest bytes, then all second ones and so on. There are at most as
+many messages as they have entries, as none is empty, and an entry that travels alone takes about as much as a row.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-SCHEMA = "block int, kind string, payload binary"
+from ripplelog.llm.common import parts_for, stage_path, text_bytes
+from ripplelog.llm.words import slices
+
+MESSAGE = "bucket int, block long, payload binary"
+MESSAGE_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("payload", pa.binary())])
+#: Spark's own limit on the buckets of a table is higher.
+MOST_BUCKETS = 50_000
 
 
 def to_bytes(table: pa.Table | pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as out:
         out.write(table)
     return sink.getvalue().to_pybytes()
 
@@ -22,6 +38,96 @@ def from_bytes(payload) -> pa.Table:
     return pa.ipc.open_stream(pa.py_buffer(payload) if isinstance(payload, bytes) else payload).read_all()
 
 
+def message(*columns: np.ndarray) -> bytes:
+    """The columns, of one length, as bytes; long ones are compressed."""
+    raw = np.int32(len(columns[0])).tobytes() + b"".join(c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in map(np.ascontiguousarray, columns))
+    return b"\0" + raw if len(raw) < 100 else b"\1" + np.int64(len(raw)).tobytes() + pa.compress(raw, "zstd", asbytes=True)
+
+
+def columns(payload: bytes, *kinds: type) -> list[np.ndarray]:
+    """What message() was made of."""
+    raw = payload[1:] if payload[:1] == b"\0" else pa.decompress(payload[9:], int(np.frombuffer(payload[1:9], np.int64)[0]), "zstd", asbytes=True)
+    n, at, out = int(np.frombuffer(raw[:4], np.int32)[0]), 4, []
+    for kind in map(np.dtype, kinds):
+        planes = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
+        at += n * kind.itemsize
+    return out
+
+
+def gaps(ordered: np.ndarray) -> np.ndarray:
+    """The distances between numbers in order, which pack better; np.cumsum gives the numbers again."""
+    return np.diff(ordered, prepend=np.uint64(0))
+
+
+def blocks_of(rows: DataFrame, text: str, size: int, order: list[str], apart: str | None = None) -> DataFrame:
+    """block, payload (to_bytes of the rows, sorted by `order`) of all rows, in blocks of about `size` bytes of `text`.
+
+    The blocks are a bucketed table in the shared folder: grouping by `block` doesn't shuffle them. A block is made of
+    what one task reads, so that a text longer than `size` is a block of its own and small partitions make small blocks.
+    Rows for which the boolean `apart` holds have blocks of their own, with odd numbers.
+    """
+    spark = rows.sparkSession
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, number, groups = TaskContext.get().partitionId() << 32, 0, {False: [0], True: [0]}
+
+        def flush(odd: bool) -> pa.RecordBatch:
+            nonlocal number
+            table = pa.Table.from_batches(groups[odd][1:])
+            table = table.take(pc.sort_indices(table, sort_keys=[(c, "ascending") for c in order], null_placement="at_start"))
+            number, groups[odd] = number + 1, [0]
+            return pa.RecordBatch.from_pydict({"block": pa.array([first + 2 * number + odd], pa.int64()), "payload": pa.array([to_bytes(table.combine_chunks())], pa.binary())})
+
+        for whole in batches:
+            for x in slices(whole, text, size // 4):
+                odd = x.column(apart) if apart else pa.array([False] * len(x))
+                for side, part in ((False, x.filter(pc.invert(odd))), (True, x.filter(odd))):
+                    if len(part):
+                        groups[side].append(part)
+                        groups[side][0] += pc.sum(pc.binary_length(part.column(text))).as_py() or 0
+                        if groups[side][0] >= size:
+                            yield flush(side)
+        for side in (False, True):
+            if len(groups[side]) > 1:
+                yield flush(side)
+
+    found = rows.mapInArrow(packed, "block long, payload binary")
+    name = f"blocks_{uuid.uuid4().hex}"
+    buckets = min(MOST_BUCKETS, parts_for(text_bytes(rows, text), size))
+    found.write.bucketBy(buckets, "block").format("parquet").option("path", stage_path(spark)).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name alone: the files are outside the warehouse and stay
+    return table
+
+
+def cut_to_ranges(block: int, keys: np.ndarray, parts: int, *others: np.ndarray) -> pa.Table:
+    """Messages of a block to `parts` buckets: keys (in order) by their range, with the other columns beside them."""
+    cuts = [0, *np.searchsorted(keys, np.array([2**64 * i // parts for i in range(1, parts)], np.uint64)).tolist(), len(keys)]
+    filled = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+    payloads = [message(gaps(keys[a:b]), *(c[a:b] for c in others)) for _, a, b in filled]
+    return pa.table([pa.array([i for i, _, _ in filled], pa.int32()), pa.array([block] * len(filled), pa.int64()), pa.array(payloads, pa.binary())], schema=MESSAGE_SCHEMA)
+
+
+def ask(blocks: DataFrame, question: Callable[[int, bytes], pa.Table]) -> DataFrame:
+    """The messages that `question` makes of each block's number and payload."""
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            for block, payload in zip(x.column("block").to_pylist(), x.column("payload"), strict=True):
+                yield from question(block, payload.as_buffer()).combine_chunks().to_batches()
+
+    return blocks.mapInArrow(asked, MESSAGE)
+
+
+def in_order(group: pa.Table, *kinds: type) -> list[np.ndarray]:
+    """A block's answers from all buckets, in the buckets' order, as one."""
+    answers = sorted(zip(group.column("bucket").to_pylist(), group.column("payload").to_pylist(), strict=True))
+    parts = [columns(p, *kinds) for _, p in answers]
+    return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, k) for k in kinds]
+
+
+SCHEMA = "block int, kind string, payload binary"
 def pack(rows: DataFrame, block: str, kind: str, at_once: int = 32 << 20) -> DataFrame:
     """The rows as (block, kind, payload): those of a block that a task has read together are one payload.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,12 +23,15 @@ def slices(x: pa.RecordBatch | pa.Table, column: str, most: int) -> Iterator[pa.
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits that spreads every bit."""
-    x = x ^ (x >> np.uint64(30))
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return x
+    out = x >> np.uint64(30)
+    out ^= x
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    spare = out >> np.uint64(27)
+    out ^= spare
+    out *= np.uint64(0x94D049BB133111EB)
+    np.right_shift(out, np.uint64(31), out=spare)
+    out ^= spare
+    return out
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -46,36 +50,35 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words, np.cumsum(counts)
 
 
-#: A random number for each byte, and the base whose powers tell places apart.
-_BYTE = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_SEGMENT = 1 << 20
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+#: Longer words are hashed one by one.
+_LONGEST = 64
 
 
 def word_hashes(words: pa.Array) -> np.ndarray:
-    """64-bit fingerprints: polynomials of the bytes modulo 2**64, from running sums over many words at a time."""
+    """64-bit hashes of words, eight bytes at a time; what was read so far is mixed before each next step.
+
+    Different words have the same hash by chance only, one pair in 2**64; results that count words rest on that.
+    """
     words = words.cast(pa.large_binary())
     n = len(words)
     offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + n + 1] if n else np.zeros(1, np.int64)
-    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
-    out, start = np.zeros(n, np.uint64), 0
-    up = down = np.zeros(0, np.uint64)
-    while start < n:
-        stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + _SEGMENT, side="right")) - 1)
-        low, high = offsets[start], offsets[stop]
-        if len(up) <= high - low:
-            up, down = (_powers(x, max(_SEGMENT, int(high - low)) + 1) for x in (_BASE, pow(_BASE, -1, 2**64)))
-        sums = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(_BYTE[data[low:high]] * up[: high - low], out=sums[1:])
-        at = offsets[start : stop + 1] - low
-        out[start:stop] = mix((sums[at[1:]] - sums[at[:-1]]) * down[at[:-1]] + np.diff(at).astype(np.uint64))
-        start = stop
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    starts, sizes = offsets[:-1] - offsets[0], np.diff(offsets)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), np.uint64, buffer=padded, strides=(1,))  # the eight bytes from each place on
+    out = mix(sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    todo = np.flatnonzero((sizes > 0) & (sizes <= _LONGEST))
+    step = 0
+    while len(todo):
+        read = eight[starts[todo] + step]
+        spare = np.maximum(0, step + 8 - sizes[todo]).astype(np.uint64) * np.uint64(8)
+        read = (read << spare) >> spare
+        out[todo] = mix((out[todo] ^ read) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(step))
+        step += 8
+        todo = todo[sizes[todo] > step]
+    for i in np.flatnonzero(sizes > _LONGEST).tolist():
+        digest = hashlib.blake2b(data[starts[i] : starts[i] + sizes[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
     return out
 
 
