@@ -13,17 +13,18 @@ import numpy as np
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Positions of all suffixes in order; the end counts as smaller than any symbol."""
+    """Positions of all suffixes in order; the end counts as smaller than any symbol. Symbols are small numbers."""
     n = len(symbols)
-    order = np.argsort(symbols, kind="stable")
+    order = np.argsort(symbols, kind="stable")  # by counting, for 16-bit symbols
     arranged = symbols[order]
     heads = np.flatnonzero(np.diff(arranged, prepend=arranged[:1] - 1)) if n else np.zeros(0, np.int64)
     head_of = np.empty(n, np.int64)
     head_of[order] = np.repeat(heads, np.diff(np.append(heads, n)))
     # compact arrays: four bytes a place each, an eighth of what lists of numbers take
     compact = lambda x: array("i", x.astype(np.int32).tobytes())
-    sa, group = compact(order), compact(head_of)  # suffixes by group; the place where each suffix's group begins
-    place = compact(np.argsort(order, kind="stable"))
+    inverse = np.empty(n, np.int64)
+    inverse[order] = np.arange(n)
+    sa, group, place = compact(order), compact(head_of), compact(inverse)  # suffixes by group; where each one's group begins; its place
     past = array("i", bytes(4 * n))  # where the group that begins at a place is over
     for a, b in zip(heads.tolist(), np.append(heads, n)[1:].tolist(), strict=True):
         past[a] = b
@@ -31,25 +32,54 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     end = n
     while end:
         start = group[sa[end - 1]]
-        members = sorted(sa[start:end])
+        if end - start == 1:  # most groups, in the end: one suffix, which lengthens one other
+            s = sa[start]
+            p = s - 1
+            while p >= 0 and group[p] > start:
+                p = before[p]
+            before[s] = p
+            if p >= 0:
+                g = group[p]
+                last = past[g] - 1
+                past[g] = last
+                i, other = place[p], sa[last]
+                sa[i], place[other] = other, i
+                sa[last], place[p], group[p] = p, last, last
+                past[last] = last + 1
+                length[p] += length[s]
+            end = start
+            continue
+        members = sa[start:end]
         size = length[members[0]]
+        # the nearest position before each one that is in a lower group, or in this one at first
         grows: dict[int, int] = {}
+        inside = []
         for s in members:
             p = s - 1
-            while p >= 0 and group[p] >= start:
+            while p >= 0 and group[p] > start:
                 p = before[p]
             before[s] = p
+            if p >= 0:
+                if group[p] == start:
+                    inside.append(s)
+                else:
+                    grows[p] = grows.get(p, 0) + 1
+        # a pointer inside the group is followed once and then points out of it
+        for s in inside:
+            p, way = before[s], [s]
+            while p >= 0 and group[p] == start:
+                way.append(p)
+                p = before[p]
+            for q in way:
+                before[q] = p
             if p >= 0:
                 grows[p] = grows.get(p, 0) + 1
         # those that meet this group most often are the highest of their own group
-        if len(grows) > 1 and max(grows.values()) > 1:
-            by_times: dict[int, list[int]] = {}
-            for p, k in grows.items():
-                by_times.setdefault(k, []).append(p)
-            rounds = sorted(by_times.items(), reverse=True)
-        else:
-            rounds = [(k, [p]) for p, k in grows.items()] if len(grows) == 1 else [(1, list(grows))] if grows else []
-        for k, chosen in rounds:
+        by_times: dict[int, list[int]] = {}
+        for p, k in grows.items():
+            by_times.setdefault(k, []).append(p)
+        for k in range(max(by_times, default=0), 0, -1) if len(by_times) > 1 else by_times:
+            chosen = by_times.get(k, ())
             touched = []
             for p in chosen:
                 g = group[p]

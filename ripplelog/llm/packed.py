@@ -125,43 +125,3 @@ def in_order(group: pa.Table, *kinds: type) -> list[np.ndarray]:
     answers = sorted(zip(group.column("bucket").to_pylist(), group.column("payload").to_pylist(), strict=True))
     parts = [columns(p, *kinds) for _, p in answers]
     return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, k) for k in kinds]
-
-
-SCHEMA = "block int, kind string, payload binary"
-def pack(rows: DataFrame, block: str, kind: str, at_once: int = 32 << 20) -> DataFrame:
-    """The rows as (block, kind, payload): those of a block that a task has read together are one payload.
-
-    `block` is an int column; it doesn't travel in the payload.
-    """
-    names = [c for c in rows.columns if c != block]
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, size = [], 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            table = pa.Table.from_batches(group).combine_chunks()
-            of = table.column(block).to_numpy()
-            order = np.argsort(of, kind="stable")
-            edges = [0, *(np.flatnonzero(np.diff(of[order])) + 1).tolist(), len(of)]
-            content = table.select(names).take(pa.array(order))
-            for a, b in zip(edges, edges[1:], strict=False):
-                payload = to_bytes(content.slice(a, b - a))
-                yield pa.RecordBatch.from_pydict({"block": pa.array([of[order[a]]], pa.int32()), "kind": [kind], "payload": pa.array([payload], pa.binary())})
-
-        for x in batches:
-            for i in range(0, len(x), 1000):
-                group.append(x.slice(i, 1000))
-                size += group[-1].nbytes
-                if size >= at_once:
-                    yield from flush()
-                    group, size = [], 0
-        if size:
-            yield from flush()
-
-    return rows.select(block, *names).mapInArrow(packed, SCHEMA)
-
-
-def tables(group: pa.Table, kind: str) -> list[pa.Table]:
-    """The payloads of one kind in a block's group."""
-    kinds = group.column("kind").to_pylist()
-    return [from_bytes(group.column("payload")[i].as_buffer()) for i, k in enumerate(kinds) if k == kind]

@@ -2,45 +2,62 @@
 
 1. In every string of the given length one k-gram, the one of the smallest hash, is its anchor: equal strings have equal
    anchors at equal places. Strings next to each other mostly share theirs, so a text is a row of short runs, each with
-   one anchor. Blocks of documents ask which of their anchors stand anywhere else.
-2. The bytes of runs with such anchors go to buckets by anchor. A run that is the same as an earlier one is a repeat as a
-   whole; only one of each kind is kept, in the block first and then in the bucket.
-3. What is left differs in part. Fingerprints trim these runs to the strings that may repeat; a suffix array of the
-   trimmed ones, by linear grouping, brings equal strings together, and their bytes are compared.
-4. The spans found go back to their documents.
+   one anchor; a run whose anchor moves from a string's second half to its first is cut there. All strings of a run share
+   more than half of their bytes, and a hash of these is the run's key.
+2. Blocks of documents ask about their runs by key. The answer says whether the same run stands in an earlier document,
+   in which case it is a repeat as a whole, and whether the key has other runs as well. No bytes move for this.
+3. The first of each kind of run, where its key has several kinds, differ in part. Their strings are asked about by
+   hash; runs are trimmed to the strings that other runs have, too, and go to buckets by key.
+4. A suffix array of a bucket's runs, by linear grouping, brings equal strings together; their bytes are compared, and all
+   but the first are repeats.
+5. The spans found go back to their documents.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ripplelog.llm.common import parts_for, stage, text_bytes
 from ripplelog.llm.gsaca import suffix_array
-from ripplelog.llm.packed import SCHEMA, pack, tables, to_bytes
+from ripplelog.llm.packed import MESSAGE, MESSAGE_SCHEMA, ask, blocks_of, columns, cut_to_ranges, from_bytes, in_order, message, to_bytes
 from ripplelog.llm.words import mix, slices
 
-BLOCK_BYTES = 10 << 20
-ARRAY_BYTES = 1 << 18  # of segments for one suffix array
-HASHED_SEGMENTS = 4096
+BLOCK_BYTES = 8 << 20
+#: Strings of one suffix array, in bytes. One place costs some 10 microseconds and 60 bytes.
+ARRAY_BYTES = 1 << 18
+SLICE = 1 << 18
 _BYTE = np.random.default_rng(21).integers(1, 2**63, 256, dtype=np.uint64)
 _NOBODY = -(2**63)
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
+EARLIER, VARIES, TIED = 1, 2, 4
 
 
-def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
-    """A hash of the k bytes from each place on, by doubling."""
-    h, width = _BYTE[data], 1
-    while width < k:
-        step = min(width, k - width)
-        h = mix(h[:-step] * np.uint64(0x9E3779B97F4A7C15) + h[step:])
-        width += step
-    return h
+def doubled(data: np.ndarray, most: int) -> list[np.ndarray]:
+    """Hashes of 1, 2, 4 and so on up to `most` bytes from each place on."""
+    levels, width = [_BYTE[data]], 1
+    while 2 * width <= most:
+        h = levels[-1][:-width] * _GOLD
+        h += levels[-1][width:]
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        levels.append(h)
+        width *= 2
+    return levels
+
+
+def gram_hashes(levels: list[np.ndarray], width: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of `width` bytes, from the places `at` on or from every place, put together of two that overlap."""
+    h = levels[width.bit_length() - 1]
+    step = width - (1 << (width.bit_length() - 1))
+    return mix(h[: len(h) - step] * _GOLD + h[step:]) if at is None else mix(h[at] * _GOLD + h[at + step])
 
 
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -53,49 +70,60 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def runs(data: np.ndarray, ends: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
-    """The runs of strings that share an anchor: text, first and last string's start, anchor's place and hash.
+    """The runs of strings that share an anchor: text, first and last string's start, anchor's place, key and digest.
 
     All places are in the joined bytes; no string reaches over the end of its text. The anchor of a string is the first
-    k-gram of the smallest hash.
+    k-gram of the smallest hash. Equal strings stand in runs of one key; runs of one digest and key hold the same bytes.
     """
-    none = tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)
-    if len(data) < length:
-        return none
-    w = length - k + 1
-    h = gram_hashes(data, k)
-    low = _sliding_min(h, w)
     sizes = np.diff(ends, prepend=0)
-    text = np.repeat(np.arange(len(ends)), np.maximum(0, sizes - length + 1))
-    if not len(text):
-        return none
-    starts = ends - sizes
-    at = np.arange(len(text)) + np.repeat(starts - (np.cumsum(c := np.maximum(0, sizes - length + 1)) - c), c)
-    value = low[at]
-    new = np.ones(len(at), bool)
-    new[1:] = (value[1:] != value[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
-    owner, a, b, v = text[first], at[first], at[last], value[first]
+    holds = sizes >= length
+    if not holds.any():
+        return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+    w = length - k + 1
+    half = w // 2
+    common = min(half + k, length - half + 1) if half else k
+    levels = doubled(data, length)
+    h = gram_hashes(levels, k)
+    low = _sliding_min(h, w)  # of every string's k-grams
+    inside = np.zeros(len(low) + 1, np.int8)
+    inside[(ends - sizes)[holds]] = 1
+    inside[(ends - length + 1)[holds]] -= 1
+    inside = np.cumsum(inside[:-1], dtype=np.int8) > 0  # strings that don't reach over a text's end
+    new = inside.copy()
+    new[1:] &= (low[1:] != low[:-1]) | ~inside[:-1]
+    last = inside.copy()
+    last[:-1] &= new[1:] | ~inside[1:]
+    a, b = np.flatnonzero(new), np.flatnonzero(last)
+    owner, v = np.searchsorted(ends, a, side="right"), low[a]
     # where each run's anchor is: places of the smallest hash among the strings over them
-    over = np.full(len(h), 0, np.uint64)
-    over[at] = value
-    width, high = 1, np.concatenate([np.zeros(w - 1, np.uint64), over])
+    low[~inside] = 0
+    width, high = 1, np.concatenate([np.zeros(w - 1, np.uint64), low, np.zeros(w - 1, np.uint64)])
     while width < w:
         step = min(width, w - width)
         high = np.maximum(high[:-step], high[step:])
         width += step
     anchors = np.flatnonzero(high[: len(h)] == h)
-    out = []
-    while len(a):
-        i = np.searchsorted(anchors, a)
-        while (wrong := h[anchors[i]] != v).any():  # an anchor of other strings stands before
-            i = i + wrong
-        p = anchors[i]
-        stop = np.minimum(b, p)  # strings after the anchor have the next one of the same hash
-        out.append((owner, a, stop, p, v))
-        more = stop < b
-        owner, a, b, v = owner[more], stop[more] + 1, b[more], v[more]
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+    # each string has the first of its run's anchors that is not before it
+    low_, high_ = np.searchsorted(anchors, a), np.searchsorted(anchors, b + w)
+    n = high_ - low_
+    run = np.repeat(np.arange(len(a)), n)
+    p = anchors[np.arange(len(run)) + np.repeat(low_ - (np.cumsum(n) - n), n)]
+    mine = h[p] == v[run]  # some are other runs' anchors
+    run, p = run[mine], p[mine]
+    start = a[run]
+    again = run[1:] == run[:-1]
+    start[1:][again] = p[:-1][again] + 1
+    stop = np.minimum(b[run], p)
+    # the anchor is in the second half of the strings up to p - half, in the first half of those behind
+    early, late = (start <= stop) & (start <= p - half), (start <= stop) & (stop > p - half)
+    owner = owner[run]
+    key = np.concatenate([gram_hashes(levels, common, p[early] - half), ~gram_hashes(levels, common, p[late])])
+    a = np.concatenate([start[early], np.maximum(start, p - half + 1)[late]])
+    b = np.concatenate([np.minimum(stop, p - half)[early], stop[late]])
+    owner, p = (np.concatenate([x[early], x[late]]) for x in (owner, p))
+    # the first and the last string hold all of a run's bytes
+    digest = mix((gram_hashes(levels, length, a) * _GOLD + gram_hashes(levels, length, b)) ^ mix((p - a).astype(np.uint64) << np.uint64(32) | (b - a).astype(np.uint64)))
+    return owner, a, b, p, key, digest
 
 
 def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -104,227 +132,320 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]], offsets[1:] - offsets[0]
 
 
-def _parts(group: pa.Table) -> Iterator[pa.Table]:
-    """The texts of a block, each row once."""
-    known: set[tuple[int, int]] = set()
-    for table in tables(group, "text"):
-        fresh = []
-        for key in zip(table.column("doc").to_pylist(), table.column("row").to_pylist(), strict=True):
-            fresh.append(key not in known)
-            known.add(key)
-        yield from slices(table.filter(pa.array(fresh, pa.bool_())), "text", 1 << 20)
+def _unique_rows(block: pa.Table) -> np.ndarray:
+    """Whether each row of a block is the first of those that share doc and row, which stand together."""
+    doc, row = (block.column(c).to_numpy() for c in ("doc", "row"))
+    return np.concatenate([np.ones(min(1, len(doc)), bool), (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])])
 
 
-_SPANS = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
+@dataclass
+class Runs:
+    """The runs of a block in its order: the text's place in the block, its doc and row, the first string's start in the
+    text, how many strings, how far the anchor is from the first, key and digest; and the bytes of those asked for."""
 
+    i: np.ndarray
+    doc: np.ndarray
+    row: np.ndarray
+    start: np.ndarray
+    n: np.ndarray
+    left: np.ndarray
+    key: np.ndarray
+    digest: np.ndarray
 
-def _earliest(keys: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of rows with equal keys, the first by document and start; and which rows are not the first of theirs."""
-    order = np.lexsort((start, row, doc, keys[:, 1], keys[:, 0]))
-    k = keys[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (k[1:] != k[:-1]).any(axis=1)
-    return order[new], order[~new]
-
+    @classmethod
+    def of(cls, block: pa.Table, length: int, k: int) -> Runs:
+        alone = block.filter(pa.array(_unique_rows(block)))
+        parts, before = [], 0
+        for t in slices(alone, "text", SLICE):
+            data, ends = _bytes_of(t.column("text").combine_chunks())
+            # a long text is read in stretches that share all bytes but one of a string
+            far = SLICE if len(t) == 1 and len(data) > 2 * SLICE else len(data) + 1
+            for begin in range(0, max(1, len(data)), far):
+                part = data[begin : begin + far + length - 1]
+                owner, a, b, p, key, digest = runs(part, np.minimum(ends, len(part)), length, k)
+                order = np.argsort(a, kind="stable")
+                owner, a, b, p = owner[order], a[order], b[order], p[order]
+                starts = (ends - np.diff(ends, prepend=0))[owner]
+                parts.append((owner + before, a + begin - starts, b - a + 1, p - a, key[order], digest[order]))
+            before += len(t)
+        if not parts:
+            none = np.zeros(0, np.int64)
+            parts = [(none, none, none, none, none.astype(np.uint64), none.astype(np.uint64))]
+        i, start, n, left, key, digest = (np.concatenate(x) for x in zip(*parts, strict=True))
+        doc, row = (alone.column(c).to_numpy() for c in ("doc", "row"))
+        return cls(i, doc[i], row[i], start, n, left, key, digest)
+
+    def kinds(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first of each kind (key and digest), in their order, and the place of every run's kind in these."""
+        order = np.lexsort((self.digest, self.key))  # stable: the first in the block stays the first of its kind
+        new = np.ones(len(order), bool)
+        new[1:] = (self.key[order[1:]] != self.key[order[:-1]]) | (self.digest[order[1:]] != self.digest[order[:-1]])
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(new) - 1
+        return order[new], place
+
+
+_SPANS = pa.schema([("i", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
+_TOLD = pa.schema([("block", pa.int64()), ("kind", pa.string()), ("n", pa.int64()), ("payload", pa.binary())])
+TOLD = "block long, kind string, n long, payload binary"
+
+
+def _told(block: int, kind: str, n: int, table: pa.Table) -> pa.Table:
+    return pa.table([[block], [kind], [n], [to_bytes(table)]], schema=_TOLD)
+
+
+def _merged(i: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Table:
+    """Overlapping and touching spans of a text as one."""
+    if not len(i):
+        return _SPANS.empty_table()
+    order = np.lexsort((start, i))
+    i, start, end = i[order], start[order], end[order]
+    number = np.cumsum(np.concatenate([[True], i[1:] != i[:-1]])) - 1
+    far = int(end.max()) + 1
+    reach = np.maximum.accumulate(end + number * far) - number * far
+    new = np.ones(len(i), bool)
+    new[1:] = (number[1:] != number[:-1]) | (start[1:] > reach[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(i)) - 1
+    return pa.table([i[first], start[first], reach[last]], schema=_SPANS)
 
-def repeats(anchor: np.ndarray, left: np.ndarray, segments: list[bytes], doc: np.ndarray, row: np.ndarray, start: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Arrays of (segment, from, to): bytes of segments that an earlier place of another segment also holds, `length` or more at a time.
 
-    left: how far a segment's anchor is from its beginning. Equal segments must have been taken together before.
-    """
-    sizes = np.array([len(s) for s in segments], np.int64)
-    strings = sizes - length + 1
-    seg = np.repeat(np.arange(len(segments), dtype=np.int32), strings)
-    inner = (np.arange(len(seg)) - np.repeat(np.cumsum(strings) - strings, strings)).astype(np.int32)
-    # strings that stand in one segment alone, by fingerprint and place of the anchor, cannot repeat; hashed some
-    # segments at a time, as one anchor may have very many
-    prints, first = [], 0
-    while first < len(segments):
-        last = min(len(segments), first + HASHED_SEGMENTS)
-        ends = np.cumsum(sizes[first:last])
-        n = strings[first:last]
-        mine = np.repeat(np.arange(first, last), n)
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        at = np.repeat(ends - sizes[first:last], n) + within
-        hashed = gram_hashes(np.frombuffer(b"".join(segments[first:last]), np.uint8), length)[at]
-        prints.append(mix(hashed ^ mix(anchor[mine] + (left[mine] - within).astype(np.uint64))))
-        first = last
-    _, back, count = np.unique(np.concatenate(prints), return_inverse=True, return_counts=True)
-    maybe = count[back] > 1
-    del prints, back, count
-    edge = maybe & ~np.concatenate([[False], maybe[:-1] & (seg[1:] == seg[:-1])])
-    close = maybe & ~np.concatenate([maybe[1:] & (seg[1:] == seg[:-1]), [False]])
-    s, low, high = (x.astype(np.int64) for x in (seg[edge], inner[edge], inner[close]))
-    del seg, inner, maybe, edge, close
-    # trimmed: the same trimmed bytes with the same anchor are one, and repeats of its earliest
-    trimmed = [segments[i][a : b + length] for i, a, b in zip(s.tolist(), low.tolist(), high.tolist(), strict=True)]
-    if not trimmed:
-        return
-    keys = np.frombuffer(b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in trimmed), np.uint64).reshape(-1, 2)
-    keys = np.stack([keys[:, 0] ^ mix(anchor[s]), keys[:, 1] ^ mix((left[s] - low).astype(np.uint64))], axis=1)
-    begin = start[s] + low
-    first, again = _earliest(keys, doc[s], row[s], begin)
-    yield s[again], low[again], high[again] + length
-    # one suffix array over the different ones; a mark that is no byte ends each
-    symbols, where, of = [], [], []
-    total = 0
-    for i in first.tolist():
-        t = np.frombuffer(trimmed[i], np.uint8).astype(np.int16) + 1
-        symbols += [t, np.zeros(1, np.int16)]
-        n = len(t) - length + 1
-        where.append(total + np.arange(n))
-        of.append(np.full(n, i))
-        total += len(t) + 1
-    text = np.concatenate(symbols)
-    index_of = np.full(total, -1)
-    index_of[np.concatenate(where)] = np.concatenate(of)
-    base_of = np.zeros(total, np.int64)
-    base_of[np.concatenate(where)] = np.concatenate([w - w[0] for w in where])
+def _later(group: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first row of each group by document, row and start; and the rows that stand at a later place than it."""
+    order = np.lexsort((start, row, doc, group))
+    g = group[order]
+    new = np.ones(len(order), bool)
+    new[1:] = g[1:] != g[:-1]
+    first = order[new]
+    of = np.empty(len(order), np.int64)
+    of[order] = np.cumsum(new) - 1
+    head = first[of] if len(order) else of
+    return first, np.flatnonzero((doc != doc[head]) | (row != row[head]) | (start != start[head]))
+
+
+def _groups(*keys: np.ndarray) -> np.ndarray:
+    """A number for each different combination of keys."""
+    order = np.lexsort(keys)
+    new = np.zeros(len(order), bool)
+    for k in keys:
+        new[1:] |= k[order[1:]] != k[order[:-1]]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def _segment_strings(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For all strings of some segments: the segment, the place in it, and the place in all of their joined bytes."""
+    n = sizes - length + 1
+    seg = np.repeat(np.arange(len(sizes)), n)
+    inner = np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n)
+    return seg, inner, inner + np.repeat(np.cumsum(sizes) - sizes, n)
+
+
+def _string_hashes(segments: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of all strings of the segments, their segments and their places in these; some segments at a time."""
+    hashes, segs, inners, before = [], [], [], 0
+    for part in slices(pa.table({"b": segments}), "b", SLICE):
+        data, ends = _bytes_of(part.column("b").combine_chunks())
+        seg, inner, at = _segment_strings(np.diff(ends, prepend=0), length)
+        hashes.append(gram_hashes(doubled(data, length), length, at) if len(at) else np.zeros(0, np.uint64))
+        segs.append((seg + before).astype(np.int32))
+        inners.append(inner.astype(np.int32))
+        before += part.num_rows
+    none = np.zeros(0, np.int32)
+    return np.concatenate([none.astype(np.uint64), *hashes]), np.concatenate([none, *segs]), np.concatenate([none, *inners])
+
+
+def _stretches(chosen: np.ndarray, seg: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chosen strings that follow each other in a segment: the segment, and the first and last string."""
+    beside = np.concatenate([[False], chosen[:-1] & (seg[1:] == seg[:-1])])
+    open_ = chosen & ~beside
+    close = chosen & ~np.concatenate([beside[1:] & chosen[1:], [False]])
+    return seg[open_].astype(np.int64), inner[open_].astype(np.int64), inner[close].astype(np.int64)
+
+
+def array_repeats(segments: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group, segment, place) of the strings of `segments`: equal strings are neighbours in a suffix array and have one group."""
+    data, ends = _bytes_of(segments)
+    sizes = np.diff(ends, prepend=0)
+    # a mark that is no byte ends each segment
+    text = np.zeros(len(data) + len(sizes), np.int16)
+    text[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = data.astype(np.int16) + 1
+    seg, inner, at = _segment_strings(sizes, length)
+    of = np.full(len(text), -1)
+    of[at + seg] = np.arange(len(seg))
     ordered = suffix_array(text)
-    ordered = ordered[index_of[ordered] >= 0]
+    ordered = ordered[of[ordered] >= 0]
     same = np.zeros(len(ordered), bool)
     window = np.arange(length)
     for i in range(1, len(ordered), 10_000):
         a, b = ordered[i - 1 : i + 9_999], ordered[i : i + 10_000]
         same[i : i + len(b)] = (text[a[: len(b)][:, None] + window] == text[b[:, None] + window]).all(axis=1)
-    which = np.cumsum(~same).astype(np.uint64)
-    piece, offset = index_of[ordered], base_of[ordered]
-    inner = low[piece] + offset
-    owner = s[piece]
-    # strings with other anchors cannot be equal to these, so that a group has one anchor at one place
-    _, later = _earliest(np.stack([which, which], axis=1), doc[owner], row[owner], start[owner] + inner)
-    yield owner[later], inner[later], inner[later] + length
-
-
-def _by_anchor(rows: np.ndarray, anchor: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
-    """The rows in parts of about ARRAY_BYTES of segments; those of one anchor stay together."""
-    rows = rows[np.argsort(anchor[rows], kind="stable")]
-    reach = np.cumsum(sizes[rows])
-    ends = np.append(np.flatnonzero(np.diff(anchor[rows])) + 1, len(rows))
-    start = 0
-    while start < len(rows):
-        before = reach[start - 1] if start else 0
-        at = np.searchsorted(reach[ends - 1], before + ARRAY_BYTES, side="right")
-        stop = ends[max(at - 1, np.searchsorted(ends, start, side="right"))]
-        yield rows[start:stop]
-        start = stop
-
-
-def repeated_spans(rows: DataFrame, length: int, k: int, n_bytes: int) -> DataFrame:
-    """doc, row, start, end: bytes of `rows` (doc, row, text) covered by strings that also start earlier."""
-    blocks = parts_for(n_bytes, BLOCK_BYTES)
-    ranges = np.array([2**64 * i // blocks for i in range(1, blocks)], np.uint64)
-    texts = pack(rows.withColumn("block", F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int")), "block", "text")
-
-    def dealt_out(block: int, keys: np.ndarray, columns: dict) -> pa.Table:
-        """Rows sorted by key, cut into the buckets' ranges."""
-        cuts = [0, *np.searchsorted(keys, ranges).tolist(), len(keys)]
-        whole = pa.table(columns)
-        filled = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
-        return pa.table(
-            {
-                "block": pa.array([i for i, _, _ in filled], pa.int32()),
-                "kind": pa.array([str(block)] * len(filled), pa.string()),
-                "payload": pa.array([to_bytes(whole.slice(a, b - a).combine_chunks()) for _, a, b in filled], pa.binary()),
-            }
-        )
-
-    def anchored(group: pa.Table) -> Iterator[tuple]:
-        for t in _parts(group):
-            data, ends = _bytes_of(t.column("text").combine_chunks())
-            yield t, data, ends, runs(data, ends, length, k)
+    return np.cumsum(~same), seg[of[ordered]], inner[of[ordered]]
 
-    def ask(group: pa.Table) -> pa.Table:
-        hashes = [r[4] for *_, r in anchored(group)]
-        anchors, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *hashes]), return_counts=True)
-        return dealt_out(group.column("block")[0].as_py(), anchors, {"anchor": anchors, "several": counts > 1})
+
+def _arrays(t: pa.Table, length: int) -> Iterator[pa.Table]:
+    """The segments in parts of about ARRAY_BYTES for one suffix array each. Those of a key stay together; where they are
+    more than that, they are cut into their strings, and these are dealt out by hash: equal ones stay together."""
+    sizes = pc.binary_length(t.column("bytes")).to_numpy().astype(np.int64)
+    reach = np.cumsum(sizes)
+    key = t.column("key").to_numpy()
+    edges = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+    start = 0
+    for a, b in zip(edges, edges[1:], strict=False):
+        alone = reach[b - 1] - (reach[a - 1] if a else 0)
+        if start < a and reach[b - 1] - (reach[start - 1] if start else 0) > ARRAY_BYTES:
+            yield t.slice(start, a - start)
+            start = a
+        if alone > ARRAY_BYTES:
+            whole = t.slice(a, b - a)
+            hashes, seg, inner = _string_hashes(whole.column("bytes").combine_chunks(), length)
+            raw = whole.column("bytes").to_pylist()
+            part = (hashes % np.uint64(max(1, len(seg) * length // ARRAY_BYTES))).astype(np.int64)
+            for p in np.unique(part).tolist():
+                mine = np.flatnonzero(part == p)
+                some = whole.take(pa.array(seg[mine])).drop_columns(["start", "bytes"])
+                cut = [raw[s][i : i + length] for s, i in zip(seg[mine].tolist(), inner[mine].tolist(), strict=True)]
+                yield some.append_column("start", pa.array(whole.column("start").to_numpy()[seg[mine]] + inner[mine])).append_column("bytes", pa.array(cut, pa.binary()))
+            start = b
+    if start < len(key):
+        yield t.slice(start)
+
+
+def settle(told: pa.Table, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Arrays of (block, i, start, end): bytes of the segments of a bucket that an earlier place also holds."""
+    t = told.take(pc.sort_indices(told, sort_keys=[("key", "ascending")]))
+    key, left, block, i, doc, row, start = (t.column(c).to_numpy() for c in ("key", "left", "block", "i", "doc", "row", "start"))
+    # segments that are the same as a whole go into an array once
+    kind = _groups(left, key, pc.dictionary_encode(t.column("bytes").combine_chunks()).indices.to_numpy())
+    first, later = _later(kind, doc, row, start)
+    sizes = pc.binary_length(t.column("bytes")).to_numpy().astype(np.int64)
+    yield block[later], i[later], start[later], (start + sizes)[later]
+    # rows that share doc and row but not the block: what is found for one of them holds for all
+    alike = np.ones(len(kind), bool)
+    alike[first] = alike[later] = False
+    twins: dict[int, list[int]] = {}
+    for j in np.flatnonzero(alike).tolist():
+        twins.setdefault(int(kind[j]), []).append(j)
+    for part in _arrays(t.append_column("at", pa.array(np.arange(len(kind)))).take(pa.array(np.sort(first))), length):
+        group, seg, inner = array_repeats(part.column("bytes").combine_chunks(), length)
+        at, begin = part.column("at").to_numpy()[seg], part.column("start").to_numpy()[seg] + inner
+        # a string's anchor is at the same place in all equal ones, so that a group never holds two keys
+        _, later = _later(group, doc[at], row[at], begin)
+        at, begin = at[later], begin[later]
+        yield block[at], i[at], begin, begin + length
+        for head in np.unique(at).tolist() if twins else ():
+            for j in twins.get(int(kind[head]), ()):
+                mine = begin[at == head]
+                yield np.full(len(mine), block[j]), np.full(len(mine), i[j]), mine, mine + length
+
+
+def repeated_spans(blocks: DataFrame, length: int, k: int, n_bytes: int) -> DataFrame:
+    """block, kind, n and payload (i, start, end): spans of the blocks' texts covered by strings that also start earlier."""
+    parts = parts_for(n_bytes, BLOCK_BYTES)
+
+    def question(block: int, payload) -> pa.Table:
+        r = Runs.of(from_bytes(payload), length, k)
+        first, _ = r.kinds()
+        return cut_to_ranges(block, r.key[first], parts, r.digest[first], r.doc[first])
 
     def answer(group: pa.Table) -> pa.Table:
-        bucket, askers = group.column("block")[0].as_py(), group.column("kind").to_pylist()
-        asked = [tables(group.slice(i, 1), a)[0] for i, a in enumerate(askers)]
-        _, place, count = np.unique(np.concatenate([t.column("anchor").to_numpy() for t in asked]), return_inverse=True, return_counts=True)
-        several = np.concatenate([t.column("several").to_numpy(zero_copy_only=False) for t in asked])
-        shared = (count[place] > 1) | several
-        parts = np.split(shared, np.cumsum([t.num_rows for t in asked])[:-1])
-        payload = [to_bytes(pa.table({"bucket": pa.array([bucket], pa.int32()), "shared": pa.array([np.packbits(p).tobytes()], pa.binary()), "n": [len(p)]})) for p in parts]
-        return pa.table({"block": pa.array([int(a) for a in askers], pa.int32()), "kind": ["shared"] * len(askers), "payload": pa.array(payload, pa.binary())})
-
-    def tell(group: pa.Table) -> pa.Table:
-        parts = list(anchored(group))
-        anchors = np.unique(np.concatenate([np.zeros(0, np.uint64), *(r[4] for *_, r in parts)]))
-        answers = sorted((t.column("bucket")[0].as_py(), t.column("shared")[0].as_py(), t.column("n")[0].as_py()) for t in tables(group, "shared"))
-        shared = np.concatenate([np.zeros(0, np.uint8), *(np.unpackbits(np.frombuffer(x, np.uint8), count=n) for _, x, n in answers)]).astype(bool)
-        columns: dict[str, list] = {c: [] for c in ("anchor", "left", "doc", "row", "start")}
-        segments, digests = [], []
-        for t, data, ends, (owner, a, b, p, v) in parts:
-            mine = np.flatnonzero(shared[np.searchsorted(anchors, v)])
-            raw = data.tobytes()
-            found = [raw[x : y + length] for x, y in zip(a[mine].tolist(), b[mine].tolist(), strict=True)]
-            segments += found
-            digests += [hashlib.blake2b(f, digest_size=16).digest() for f in found]
-            starts = ends - np.diff(ends, prepend=0)
-            for c, x in (("anchor", v[mine]), ("left", (p - a)[mine]), ("doc", t.column("doc").to_numpy()[owner[mine]]), ("row", t.column("row").to_numpy()[owner[mine]]), ("start", (a - starts[owner])[mine])):
-                columns[c].append(x)
-        if not segments:
-            return dealt_out(0, np.zeros(0, np.uint64), {"anchor": np.zeros(0, np.uint64)})
-        c = {k: np.concatenate(x) for k, x in columns.items()}
-        keys = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
-        keys = np.stack([keys[:, 0] ^ mix(c["anchor"]), keys[:, 1] ^ mix(c["left"].astype(np.uint64))], axis=1)
-        first, again = _earliest(keys, c["doc"], c["row"], c["start"])
-        first = first[np.argsort(c["anchor"][first], kind="stable")]
-        sizes = np.array([len(x) for x in segments], np.int64)
-        told = dealt_out(
-            group.column("block")[0].as_py(),
-            c["anchor"][first],
-            {**{x: c[x][first] for x in columns}, "bytes": pa.array([segments[i] for i in first.tolist()], pa.binary())},
-        )
-        # repeats within the block are known here; they go along as spans, to a bucket of their own number
-        spans = pa.table({"doc": c["doc"][again], "row": c["row"][again], "start": c["start"][again], "end": c["start"][again] + sizes[again]})
-        own = pa.table({"block": pa.array([group.column("block")[0].as_py()], pa.int32()), "kind": ["spans"], "payload": pa.array([to_bytes(spans)], pa.binary())})
-        return pa.concat_tables([told, own])
-
-    def settle(group: pa.Table) -> pa.Table:
-        kinds = group.column("kind").to_pylist()
-        known = tables(group, "spans")
-        told = [tables(group.slice(i, 1), x)[0] for i, x in enumerate(kinds) if x != "spans"]
-        out = [t.cast(_SPANS) for t in known]
-        if told:
-            t = pa.concat_tables(told)
-            c = {x: t.column(x).to_numpy() for x in ("anchor", "left", "doc", "row", "start")}
-            segments = t.column("bytes").to_pylist()
-            sizes = np.array([len(x) for x in segments], np.int64)
-            keys = np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=16).digest() for x in segments), np.uint64).reshape(-1, 2)
-            keys = np.stack([keys[:, 0] ^ mix(c["anchor"]), keys[:, 1] ^ mix(c["left"].astype(np.uint64))], axis=1)
-            first, again = _earliest(keys, c["doc"], c["row"], c["start"])
-            out.append(pa.table({"doc": c["doc"][again], "row": c["row"][again], "start": c["start"][again], "end": c["start"][again] + sizes[again]}, _SPANS))
-            _, place, count = np.unique(c["anchor"][first], return_inverse=True, return_counts=True)
-            apart = first[count[place] > 1]
-            for some in _by_anchor(apart, c["anchor"], sizes):
-                part = {x: c[x][some] for x in c}
-                for at, low, high in repeats(part["anchor"], part["left"], [segments[i] for i in some.tolist()], part["doc"], part["row"], part["start"], length):
-                    spans = pa.table({"doc": part["doc"][at], "row": part["row"][at], "start": part["start"][at] + low, "end": part["start"][at] + high}, _SPANS)
-                    out.append(_merged(spans))
-        return _merged(pa.concat_tables(out)) if out else _SPANS.empty_table()
-
-    answers = texts.groupBy("block").applyInArrow(ask, SCHEMA).groupBy("block").applyInArrow(answer, SCHEMA)
-    told = texts.union(answers).groupBy("block").applyInArrow(tell, SCHEMA)
-    return told.groupBy("block").applyInArrow(settle, "doc long, row long, start long, end long")
-
-
-def _merged(spans: pa.Table) -> pa.Table:
-    """Overlapping and touching spans of a document as one."""
-    doc, row, start, end = (spans.column(c).to_numpy() for c in ("doc", "row", "start", "end"))
-    order = np.lexsort((start, row, doc))
-    doc, row, start, end = doc[order], row[order], start[order], end[order]
-    if not len(doc):
-        return spans
-    number = np.cumsum(np.concatenate([[True], (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])])) - 1
-    reach = np.maximum.accumulate(end + number * (int(end.max()) + 1)) - number * (int(end.max()) + 1)
-    new = np.ones(len(doc), bool)
-    new[1:] = (number[1:] != number[:-1]) | (start[1:] > reach[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(doc)) - 1
-    return pa.table({"doc": doc[first], "row": row[first], "start": start[first], "end": reach[last]}, _SPANS)
+        asked = [columns(p.as_buffer().to_pybytes(), np.uint64, np.uint64, np.int64) for p in group.column("payload")]
+        sizes = [len(x[0]) for x in asked]
+        key, digest, doc = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in asked]), *(np.concatenate([x[c] for x in asked]) for c in (1, 2))
+        order = np.lexsort((doc, digest, key))
+        key, digest, doc = key[order], digest[order], doc[order]
+        new_key = np.concatenate([[True], key[1:] != key[:-1]])
+        new = new_key | np.concatenate([[True], digest[1:] != digest[:-1]])
+        head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        kinds_of = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_key))[np.cumsum(new_key) - 1]
+        tied = new & np.concatenate([(doc[1:] == doc[:-1]) & ~new[1:], [False]])  # the first one, with the next
+        flags = np.where(doc > doc[head], EARLIER, 0) | np.where(kinds_of > 1, VARIES, 0) | np.where(tied[head], TIED, 0)
+        back = np.empty(len(flags), np.uint8)
+        back[order] = flags
+        return pa.table([group.column("bucket").combine_chunks(), group.column("block").combine_chunks(), pa.array([message(x) for x in np.split(back, np.cumsum(sizes)[:-1])], pa.binary())], schema=MESSAGE_SCHEMA)
+
+    def tell(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return _TOLD.empty_table()
+        block, table = left.column("block")[0].as_py(), from_bytes(left.column("payload")[0].as_buffer())
+        r = Runs.of(table, length, k)
+        first, place = r.kinds()
+        flags = in_order(right, np.uint8)[0]
+        repeat = (flags[place] & EARLIER) > 0
+        again = np.ones(len(place), bool)
+        again[first] = False
+        gone = np.flatnonzero(repeat | again)
+        out = [_told(block, "spans", len(gone), _merged(r.i[gone], r.start[gone], r.start[gone] + r.n[gone] + length - 1))]
+        open_ = first[(flags & EARLIER == 0) & (flags & (VARIES | TIED) > 0)]
+        if len(open_):
+            texts = table.filter(pa.array(_unique_rows(table))).column("text").to_pylist()
+            raw: dict[int, bytes] = {}
+            cut = []
+            for i, s, n in zip(r.i[open_].tolist(), r.start[open_].tolist(), r.n[open_].tolist(), strict=True):
+                if i not in raw:
+                    raw[i] = (texts[i] or "").encode()
+                cut.append(raw[i][s : s + n + length - 1])
+            fields = {c: getattr(r, c)[open_] for c in ("key", "left", "i", "doc", "row", "start")}
+            out.append(_told(block, "open", int(r.n[open_].sum()), pa.table({**fields, "bytes": pa.array(cut, pa.binary())})))
+        return pa.concat_tables(out)
+
+    answers = ask(blocks, question).groupBy("bucket").applyInArrow(answer, MESSAGE)
+    told = stage(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(tell, TOLD))
+
+    # what is open: the first of each kind of run, where a key has several
+    opened = told.where("kind = 'open'")
+    strings = opened.agg(F.sum("n")).first()[0] or 0
+    parts_open = parts_for(8 * strings, BLOCK_BYTES // 4)
+
+    def question_open(block: int, payload) -> pa.Table:
+        hashes, _, _ = _string_hashes(from_bytes(payload).column("bytes").combine_chunks(), length)
+        found, count = np.unique(hashes, return_counts=True)
+        return cut_to_ranges(block, found, parts_open, (count > 1).astype(np.uint8))
+
+    def answer_open(group: pa.Table) -> pa.Table:
+        asked = [columns(p.as_buffer().to_pybytes(), np.uint64, np.uint8) for p in group.column("payload")]
+        _, place, count = np.unique(np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in asked]), return_inverse=True, return_counts=True)
+        several = (count[place] > 1) | np.concatenate([x[1] > 0 for x in asked])
+        cuts = np.cumsum([len(x[0]) for x in asked])[:-1]
+        return pa.table([group.column("bucket").combine_chunks(), group.column("block").combine_chunks(), pa.array([message(x.astype(np.uint8)) for x in np.split(several, cuts)], pa.binary())], schema=MESSAGE_SCHEMA)
+
+    def trim(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return MESSAGE_SCHEMA.empty_table()
+        block, t = left.column("block")[0].as_py(), from_bytes(left.column("payload")[0].as_buffer())
+        hashes, seg, inner = _string_hashes(t.column("bytes").combine_chunks(), length)
+        _, place = np.unique(hashes, return_inverse=True)
+        chosen = in_order(right, np.uint8)[0][place] > 0
+        seg, low, high = _stretches(chosen, seg, inner)
+        if not len(seg):
+            return MESSAGE_SCHEMA.empty_table()
+        whole = t.column("bytes").to_pylist()
+        cut = [whole[s][a : b + length] for s, a, b in zip(seg.tolist(), low.tolist(), high.tolist(), strict=True)]
+        c = {x: t.column(x).to_numpy()[seg] for x in ("key", "left", "i", "doc", "row", "start")}
+        trimmed = pa.table({**c, "left": c["left"] - low, "start": c["start"] + low, "bytes": pa.array(cut, pa.binary())})
+        bucket = (c["key"] % np.uint64(parts_open)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edges = [0, *(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(order)]
+        trimmed = trimmed.take(pa.array(order))
+        filled = list(zip(edges, edges[1:], strict=False))
+        return pa.table([pa.array(bucket[order][edges[:-1]], pa.int32()), pa.array([block] * len(filled), pa.int64()), pa.array([to_bytes(trimmed.slice(a, b - a).combine_chunks()) for a, b in filled], pa.binary())], schema=MESSAGE_SCHEMA)
+
+    def settled(group: pa.Table) -> pa.Table:
+        tables = []
+        for block, payload in zip(group.column("block").to_pylist(), group.column("payload"), strict=True):
+            t = from_bytes(payload.as_buffer())
+            tables.append(t.append_column("block", pa.array(np.full(t.num_rows, block))))
+        found = [np.concatenate(x) for x in zip(*settle(pa.concat_tables(tables), length), strict=True)]
+        out = []
+        for block in np.unique(found[0]).tolist():
+            mine = found[0] == block
+            out.append(_told(block, "spans", int(mine.sum()), _merged(*(x[mine] for x in found[1:]))))
+        return pa.concat_tables([_TOLD.empty_table(), *out])
+
+    answers = ask(opened.select("block", "payload"), question_open).groupBy("bucket").applyInArrow(answer_open, MESSAGE)
+    trimmed = opened.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(trim, MESSAGE)
+    return told.where("kind = 'spans'").union(trimmed.groupBy("bucket").applyInArrow(settled, TOLD))
 
 
 def drop_repeated_strings(docs: DataFrame, length: int = 100, k: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -335,33 +456,33 @@ def drop_repeated_strings(docs: DataFrame, length: int = 100, k: int = 20, doc_i
     n_spans counts the runs that went. What is kept may cut a character. Null and empty texts have no bytes. A null
     doc_id is smaller than any other; rows that share a doc_id follow each other by a hash of the text, and rows that
     share both count once and are treated alike. Other columns are not looked at.
+
+    Runs of strings that are the same as a whole are told by two 64-bit hashes of their bytes, all others byte by byte.
     """
     rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(_NOBODY)).alias("doc"), F.coalesce(text, F.lit("")).alias("text"))
     rows = rows.withColumn("row", F.xxhash64("text"))
-    n_bytes = text_bytes(docs, text)
-    blocks = parts_for(n_bytes, BLOCK_BYTES)
-    spans = stage(repeated_spans(rows.select("doc", "row", "text"), length, k, n_bytes))
-    number = F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int").alias("block")
-    dealt = pack(rows.select(number, "_id", "doc", "row", "text"), "block", "text").union(pack(spans.select(number, "doc", "row", "start", "end"), "block", "spans"))
+    blocks = blocks_of(rows, "text", BLOCK_BYTES, ["doc", "row"])
+    spans = repeated_spans(blocks, length, k, text_bytes(docs, text))
     kind = dict(rows.dtypes)["_id"]
-
-    def cut(group: pa.Table) -> pa.Table:
-        found: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        spans = [t.cast(_SPANS) for t in tables(group, "spans")]
-        if spans:
-            for d, r, a, b in zip(*(c.to_pylist() for c in _merged(pa.concat_tables(spans)).columns), strict=True):
-                found.setdefault((d, r), []).append((a, b))
-        ids, n, removed, count, kept = [], [], [], [], []
-        for t in tables(group, "text"):
-            ids += t.column("_id").to_pylist()
-            for d, r, x in zip(t.column("doc").to_pylist(), t.column("row").to_pylist(), t.column("text").to_pylist(), strict=True):
-                raw, mine = x.encode(), found.get((d, r), [])
-                edges = [0, *(e for s in mine for e in s), len(raw)]
-                n.append(len(raw))
-                removed.append(sum(b - a for a, b in mine))
-                count.append(len(mine))
-                kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-        long = pa.int64()
-        return pa.table({"doc_id": pa.array(ids, long if kind == "bigint" else None), "n_bytes": pa.array(n, long), "n_removed": pa.array(removed, long), "n_spans": pa.array(count, long), "kept": pa.array(kept, pa.binary())})
-
-    return dealt.groupBy("block").applyInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    fields = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
+    schema = pa.schema([("doc_id", to_arrow_type(rows.schema["_id"].dataType)), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
+
+    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return schema.empty_table()
+        table = from_bytes(left.column("payload")[0].as_buffer())
+        found: dict[int, list[tuple[int, int]]] = {}
+        spans = pa.concat_tables([_SPANS.empty_table(), *(from_bytes(p.as_buffer()) for p in right.column("payload"))])
+        for i, a, b in zip(*(c.to_pylist() for c in _merged(*(c.to_numpy() for c in spans.columns)).columns), strict=True):
+            found.setdefault(i, []).append((a, b))
+        n, removed, count, kept = [], [], [], []
+        for i, x in zip((np.cumsum(_unique_rows(table)) - 1).tolist(), table.column("text").to_pylist(), strict=True):
+            raw, mine = x.encode(), found.get(i, [])
+            edges = [0, *(e for s in mine for e in s), len(raw)]
+            n.append(len(raw))
+            removed.append(sum(b - a for a, b in mine))
+            count.append(len(mine))
+            kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+        return pa.table([table.column("_id"), n, removed, count, kept], schema=schema)
+
+    return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, fields)
