@@ -1,7 +1,7 @@
 """Language identification with a string kernel.
 
 The kernel of two texts is the number of byte-class n-grams of 1 to 3 that both hold (presence, not counts), divided by
-the geometric mean of what each holds. Landmark texts give a Nyström map of it, on which ridge regression learns one
+the geometric mean of how many each holds. Landmark texts give a Nyström map of it, on which ridge regression learns one
 language against the rest. As the kernel is linear in the presence bits, the map and the regression fold into one weight
 for each n-gram and language: scoring is a product of a batch's presence matrix with those weights.
 """
@@ -15,11 +15,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ripplelog.llm.common import few_of_each, unused
+from ripplelog.llm.common import col, few_of_each, unused
+from ripplelog.llm.words import slices
 
 ORDERS = (1, 2, 3)
 CLASSES = 64
+BATCH_BYTES = 1 << 20
+BATCH_CELLS = 1 << 23  # of a presence matrix
 UNKNOWN = "und"
 
 
@@ -38,19 +42,16 @@ def byte_classes() -> np.ndarray:
 class Model:
     languages: list[str]
     columns: list[np.ndarray]  # for each order, the column of an n-gram, or the last column if no landmark holds it
-    weights: np.ndarray  # n-grams x (languages and a column of ones)
+    weights: np.ndarray  # n-grams x languages
 
     @property
     def width(self) -> int:
         return len(self.weights)
 
-    def presence(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """A row of bits for each text; data: all their bytes, ends: where each ends."""
-        return presence(data, ends, self.columns, self.width)
-
     def scores(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        product = self.presence(data, ends).astype(np.float32) @ self.weights
-        return product[:, :-1] / np.sqrt(np.maximum(product[:, -1:], 1))
+        """A row of values for each text; data: all their bytes, ends: where each ends."""
+        bits, sizes = presence(data, ends, self.columns, self.width)
+        return (bits.astype(np.float32) @ self.weights) / np.sqrt(np.maximum(sizes, 1))[:, None]
 
 
 def grams(data: np.ndarray, ends: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -66,13 +67,27 @@ def grams(data: np.ndarray, ends: np.ndarray, order: int) -> tuple[np.ndarray, n
     return out[:n][inside], owner[:n][inside]
 
 
-def presence(data: np.ndarray, ends: np.ndarray, columns: list[np.ndarray], width: int) -> np.ndarray:
-    out = np.zeros((len(ends), width + 1), np.uint8)
+def presence(data: np.ndarray, ends: np.ndarray, columns: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each text the bits of the n-grams that have a column, and how many n-grams of any kind it holds."""
+    out, sizes = np.zeros((len(ends), width + 1), np.uint8), np.zeros(len(ends), np.int64)
     flat = out.ravel()
+    if len(ends) == 1 and len(data) > BATCH_BYTES:  # a long text, some of it at a time
+        for order, at in zip(ORDERS, columns, strict=True):
+            held = np.zeros(CLASSES**order, bool)
+            for i in range(0, len(data), BATCH_BYTES):
+                part = data[i : i + BATCH_BYTES + order - 1]
+                held[grams(part, np.array([len(part)]), order)[0]] = True
+            flat[at[held]] = 1
+            sizes += held.sum()
+        return out[:, :width], sizes
     for order, at in zip(ORDERS, columns, strict=True):
         code, owner = grams(data, ends, order)
-        flat[owner * (width + 1) + at[code]] = 1
-    return out[:, :width]
+        pairs = np.sort(owner.astype(np.uint64) << np.uint64(6 * order) | code)
+        pairs = pairs[np.diff(pairs, prepend=~pairs[:1]) != 0]
+        owner = (pairs >> np.uint64(6 * order)).astype(np.int64)
+        sizes += np.bincount(owner, minlength=len(ends))
+        flat[owner * (width + 1) + at[(pairs & np.uint64(CLASSES**order - 1)).astype(np.int64)]] = 1
+    return out[:, :width], sizes
 
 
 def _bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,8 +112,8 @@ def fit(rows: list[tuple[str, str]], landmarks: int = 128, ridge: float = 0.1) -
         width += len(seen)
     for at in columns:
         at[at < 0] = width
-    bits = np.concatenate([presence(*_bytes([t for t, _ in rows[i : i + 256]]), columns, width) for i in range(0, len(rows), 256)]).astype(np.float32)
-    size = np.sqrt(np.maximum(bits.sum(axis=1, keepdims=True), 1))
+    bits, sizes = zip(*(presence(*_bytes([t for t, _ in rows[i : i + 16]]), columns, width) for i in range(0, len(rows), 16)), strict=True)
+    bits, size = np.concatenate(bits).astype(np.float32), np.sqrt(np.maximum(np.concatenate(sizes), 1))[:, None].astype(np.float32)
     marked = bits[marks] / size[marks]
     kernel = (bits / size @ marked.T).astype(np.float64)
     values, vectors = np.linalg.eigh(kernel[marks])
@@ -108,8 +123,7 @@ def fit(rows: list[tuple[str, str]], landmarks: int = 128, ridge: float = 0.1) -
     signs = np.where(of[:, None] == np.arange(len(languages)), 1.0, -1.0)
     share = np.bincount(of, minlength=len(languages))[of][:, None]  # every language weighs the same
     solved = np.linalg.solve(features.T @ (features / share) + ridge / len(rows) * np.eye(features.shape[1]), features.T @ (signs / share))
-    weights = marked.T @ (nystroem @ solved)
-    return Model(languages, columns, np.hstack([weights, np.ones((width, 1))]).astype(np.float32))
+    return Model(languages, columns, (marked.T @ (nystroem @ solved)).astype(np.float32))
 
 
 def sample(labelled: DataFrame, each: int, max_bytes: int) -> list[tuple[str, str]]:
@@ -133,24 +147,24 @@ def identify_language(
     model = fit(sample(docs.where(F.lit(learn) if isinstance(learn, bool) else learn).select("text", "lang"), each, max_bytes), landmarks, ridge)
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
     letters = unused(names, "letters")
-    asked = docs.select(*names, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(letters))
-    rows_at_once = max(16, 2**23 // model.width) if model else 1
+    asked = docs.select(*map(col, names), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(letters))
+    rows_at_once = max(16, BATCH_CELLS // model.width) if model else 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            labels, scores = np.full(len(x), UNKNOWN, object), np.zeros(len(x))
-            todo = np.flatnonzero(x.column(letters).to_numpy(zero_copy_only=False)) if model else []
-            for i in range(0, len(todo), rows_at_once):
-                part = todo[i : i + rows_at_once]
-                texts = x.column("text").take(pa.array(part)).cast(pa.large_binary())
-                ends = np.frombuffer(texts.buffers()[1], np.int64)[: len(part) + 1]
-                data = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]]
-                values = model.scores(data, ends[1:] - ends[0])
-                best = values.argmax(axis=1)
-                labels[part] = np.array(model.languages, object)[best]
-                scores[part] = np.clip((values.max(axis=1) + 1) / 2, 0, 1)
-            keep = [x.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(labels, pa.string()), pa.array(scores)], names=[*names, "lang_pred", "score"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
-    return asked.mapInArrow(score, f"{fields}, lang_pred string, score double")
+        for whole in batches:
+            for some in slices(whole, "text", BATCH_BYTES):
+                for i in range(0, len(some), rows_at_once):
+                    x = some.slice(i, rows_at_once)
+                    labels, scores = np.full(len(x), UNKNOWN, object), np.zeros(len(x))
+                    todo = np.flatnonzero(x.column(letters).to_numpy(zero_copy_only=False)) if model else []
+                    if len(todo):
+                        texts = x.column("text").take(pa.array(todo)).cast(pa.large_binary())
+                        ends = np.frombuffer(texts.buffers()[1], np.int64)[: len(todo) + 1]
+                        data = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+                        values = model.scores(data, ends[1:] - ends[0])
+                        labels[todo] = np.array(model.languages, object)[values.argmax(axis=1)]
+                        scores[todo] = np.clip((values.max(axis=1) + 1) / 2, 0, 1)
+                    keep = [x.column(x.schema.names.index(n)) for n in names]
+                    yield pa.RecordBatch.from_arrays([*keep, pa.array(labels, pa.string()), pa.array(scores)], names=[*names, "lang_pred", "score"])
+
+    return asked.mapInArrow(score, T.StructType([*docs.select(*map(col, names)).schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
