@@ -1,8 +1,9 @@
 """Nearest neighbours by a block matrix join.
 
-Queries and candidates are dealt into blocks; every pair of blocks is a tile. A tile multiplies 8-bit codes and bounds
-what quantisation can have changed. Pairs that cannot be ruled out by these bounds are computed anew from the original
-vectors in double precision; heaps merge a query's best over the tiles of a task, and over the tasks.
+Queries are dealt into strips and candidates into groups of blocks; a strip meets every group once. Vectors travel as 8-bit
+codes with their scale and rounding error, and as they are. A tile, some queries by a block of candidates, multiplies the
+codes and bounds what quantisation can have changed. Pairs that cannot be ruled out by these bounds are computed anew from
+the original vectors in double precision; heaps merge a query's best over the tiles of a group, and over the groups.
 """
 
 from __future__ import annotations
@@ -15,27 +16,50 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ripplelog.llm.common import parts_for, stage
+from ripplelog.llm.common import col, parts_for, stage
 
-QUERY_BLOCK = 1024
-CANDIDATE_BLOCK = 2048
+QUERY_ROWS = 1024  # of a tile
+#: Bytes of a block of candidates, and of the strips and groups, two of which a task holds at a time.
+BLOCK_BYTES, STRIP_BYTES = 1 << 20, 32 << 20
+PACKED = "block int, dim int, ids binary, codes binary, scales binary, errors binary, vectors binary"
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """_id and _v (array<double>) of the vectors that take part; equal ids are one vector, the smallest as an array."""
-    v = F.col(embedding).cast("array<double>")
+    """_id and _v (array<float> or array<double>) of the vectors that take part; equal ids are one vector, the smallest as an array."""
+    kind = vectors.select(col(embedding)).schema[0].dataType.simpleString()
+    v = col(embedding) if kind == "array<float>" else col(embedding).cast("array<double>")
     bad = v.isNull() | F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) | ~F.exists(v, lambda x: x != 0)
-    return vectors.where(~bad & F.col(vec_id).isNotNull()).select(F.col(vec_id).cast("long").alias("_id"), v.alias("_v")).groupBy("_id").agg(F.min("_v").alias("_v"))
+    return vectors.where(~bad & col(vec_id).isNotNull()).select(col(vec_id).cast("long").alias("_id"), v.alias("_v")).groupBy("_id").agg(F.min("_v").alias("_v"))
+
+
+def _tamed(v: np.ndarray) -> np.ndarray:
+    """In double precision, each vector times a power of two, so that squares neither overflow nor vanish: cosines stay as they are."""
+    v = v.astype(np.float64)
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
 
 
 def _codes(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of the unit vectors in -127..127, each vector's scale, and the length of what rounding has left."""
+    v = _tamed(v)
     unit = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
     scale = np.abs(unit).max(axis=1, keepdims=True) / 127
     codes = np.rint(unit / scale)
     return codes.astype(np.int8), scale[:, 0], np.sqrt(((unit - codes * scale) ** 2).sum(axis=1))
 
 
+class Block:
+    """The vectors of one packed row."""
+
+    def __init__(self, row: dict, kind: type):
+        self.ids, self.scales, self.errors = (np.frombuffer(row[c], k) for c, k in (("ids", np.int64), ("scales", np.float64), ("errors", np.float64)))
+        self.codes, self.vectors = (np.frombuffer(row[c], k).reshape(len(self.ids), -1) for c, k in (("codes", np.int8), ("vectors", kind)))
+
+    def __getitem__(self, some: slice) -> Block:
+        out = object.__new__(Block)
+        out.__dict__.update({k: v[some] for k, v in self.__dict__.items()})
+        return out
+
+
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact products of int8 codes: sums of up to 1,024 of them are whole numbers that float32 holds exactly."""
     out = np.zeros((len(a), len(b)))
@@ -54,16 +78,17 @@ def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt(aa) * np.sqrt(bb))
 
 
-def tile(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, floor: np.ndarray) -> Iterator[tuple[int, float, int]]:
+def tile(asked: Block, found: Block, k: int, floor: np.ndarray) -> Iterator[tuple[int, float, int]]:
     """(query, cosine, id) of all pairs that can be among a query's k best; floor: a value that k of its pairs reach."""
-    (qc, qs, qe), (cc, cs, ce) = _codes(queries), _codes(vectors)
-    near = _product(qc, cc) * qs[:, None] * cs[None, :]
+    near = _product(asked.codes, found.codes) * asked.scales[:, None] * found.scales[None, :]
     # |x.y - x'.y'| <= |x - x'| |y| + |x'| |y - y'|, with unit x and y; a little more for the roundings on the way
-    error = qe[:, None] + (1 + qe[:, None]) * ce[None, :] + 1e-9
-    low = np.where(query_ids[:, None] == ids[None, :], -np.inf, near - error)
-    reach = np.maximum(floor, np.partition(low, -k, axis=1)[:, -k] if len(ids) > k else low.min(axis=1, initial=np.inf))
-    q, c = np.nonzero((near + error >= reach[:, None]) & (query_ids[:, None] != ids[None, :]))
-    return zip(q.tolist(), _cosines(queries[q], vectors[c]).tolist(), ids[c].tolist(), strict=True)
+    error = asked.errors[:, None] + (1 + asked.errors[:, None]) * found.errors[None, :] + 1e-9
+    own = asked.ids[:, None] == found.ids[None, :]
+    low = np.where(own, -np.inf, near - error)
+    reach = np.maximum(floor, np.partition(low, -k, axis=1)[:, -k] if len(found.ids) > k else -np.inf)
+    q, c = np.nonzero((near + error >= reach[:, None]) & ~own)
+    scores = [_cosines(_tamed(asked.vectors[q[i : i + 4096]]), _tamed(found.vectors[c[i : i + 4096]])) for i in range(0, len(q), 4096)]
+    return zip(q.tolist(), np.concatenate([np.zeros(0), *scores]).tolist(), found.ids[c].tolist(), strict=True)
 
 
 def nearest(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -75,46 +100,49 @@ def nearest(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 5
     compared. Other columns are not looked at; is_query says of a vec_id whether it is asked for.
     """
     rows = stage(usable(vectors, vec_id, embedding))
-    total, asked = rows.count(), rows.where(is_query(F.col("_id"))).count()
-    q_blocks, c_blocks = parts_for(asked, QUERY_BLOCK), parts_for(total, CANDIDATE_BLOCK)
-    block = lambda n: F.pmod(F.xxhash64("_id"), F.lit(n)).cast("int")
-    fields = "block int, dim int, ids array<long>, vectors array<double>"
-
-    def packed(rows: DataFrame) -> DataFrame:
-        def pack(group: pa.Table) -> pa.Table:
-            ids = group.column("_id").combine_chunks()
-            values = group.column("_v").combine_chunks().values if len(group) else pa.array([], pa.float64())
-            one = lambda x: pa.ListArray.from_arrays([0, len(x)], x)
-            return pa.table({"block": group.column("block")[:1].combine_chunks(), "dim": group.column("dim")[:1].combine_chunks(), "ids": one(ids), "vectors": one(values)})
-
-        return rows.groupBy("block", "dim").applyInArrow(pack, fields)
-
-    dims = rows.withColumn("dim", F.size("_v"))
-    queries = packed(dims.where(is_query(F.col("_id"))).withColumn("block", block(q_blocks)))
-    candidates = packed(dims.withColumn("block", block(c_blocks)))
-    # the stated queries' blocks meet all candidates' blocks: a tile for each two
-    numbered = candidates.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
-    tiles = numbered.alias("c").join(queries.alias("q"), (F.col("c.q") == F.col("q.block")) & (F.col("c.dim") == F.col("q.dim")))
-    tiles = tiles.select(F.col("q.block").alias("q"), F.col("c.block").alias("c"), "c.dim", F.col("q.ids").alias("q_ids"), F.col("q.vectors").alias("q_vectors"), "c.ids", "c.vectors")
-    n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    strips = tiles.repartition(n, "q", F.pmod("c", F.lit(n)))
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind, width = (np.float32, 4) if rows.schema["_v"].dataType.simpleString() == "array<float>" else (np.float64, 8)
+    each = F.size("_v").cast("long") * (1 + width) + 24
+    n_bytes, n_asked = rows.agg(F.coalesce(F.sum(each), F.lit(0)), F.coalesce(F.sum(F.when(is_query(F.col("_id")), each)), F.lit(0))).first()
+    strips, blocks = parts_for(n_asked, STRIP_BYTES), parts_for(n_bytes, BLOCK_BYTES)
+    # enough groups for all cores, where the vectors are few
+    groups = max(parts_for(n_bytes, STRIP_BYTES), min(blocks, 2 * vectors.sparkSession.sparkContext.defaultParallelism))
+
+    def pack(group: pa.Table) -> pa.Table:
+        ids, dim = group.column("_id").to_numpy(), group.column("dim")[0].as_py()
+        v = group.column("_v").combine_chunks().flatten().to_numpy().reshape(-1, dim)
+        codes, scales, errors = _codes(v)
+        row = {"block": pa.array([group.column("block")[0].as_py()], pa.int32()), "dim": pa.array([dim], pa.int32())}
+        return pa.table(row | {c: [x.tobytes()] for c, x in (("ids", ids), ("codes", codes), ("scales", scales), ("errors", errors), ("vectors", v))})
+
+    def packed(rows: DataFrame, n: int) -> DataFrame:
+        numbered = rows.select("_id", "_v", F.size("_v").alias("dim"), F.pmod(F.xxhash64("_id"), F.lit(n)).cast("int").alias("block"))
+        return numbered.groupBy("block", "dim").applyInArrow(pack, PACKED)
+
+    def dealt(rows: DataFrame, strip: Column, group: Column):
+        n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # by number, as few bytes are much work
+        return rows.withColumn("strip", strip).withColumn("part", group).repartition(n, "strip", "part", "dim").groupBy("strip", "part", "dim")
+
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    # the stated queries' strips meet all groups of candidates
+    queries = dealt(packed(rows.where(is_query(F.col("_id"))), strips), F.col("block"), numbers(groups))
+    candidates = dealt(packed(rows, blocks), numbers(strips), F.col("block") % groups)
+    result = pa.schema([("query_id", pa.int64()), ("score", pa.float64()), ("vec_id", pa.int64())])
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
         heaps: dict[int, list[tuple[float, int]]] = {}
-        for x in batches:
-            for i in range(len(x)):
-                ids, query_ids = (x.column(c)[i].values.to_numpy() for c in ("ids", "q_ids"))
-                dim = x.column("dim")[i].as_py()
-                values, asked = (x.column(c)[i].values.to_numpy().reshape(-1, dim) for c in ("vectors", "q_vectors"))
-                floor = np.array([h[0][0] if len(h := heaps.get(q, [])) == k else -np.inf for q in query_ids.tolist()])
-                for q, score, c in tile(query_ids, asked, ids, values, k, floor):
-                    heap = heaps.setdefault(int(query_ids[q]), [])
-                    if len(heap) < k:
-                        heapq.heappush(heap, (score, -c))
-                    elif (score, -c) > heap[0]:
-                        heapq.heapreplace(heap, (score, -c))
+        for strip in left.to_pylist():
+            for i in range(0, len(strip["ids"]) // 8, QUERY_ROWS):
+                asked = Block(strip, kind)[i : i + QUERY_ROWS]
+                for x in range(right.num_rows):
+                    floor = np.array([h[0][0] if len(h := heaps.get(q, [])) == k else -np.inf for q in asked.ids.tolist()])
+                    for q, score, c in tile(asked, Block(right.slice(x, 1).to_pylist()[0], kind), k, floor):
+                        heap = heaps.setdefault(int(asked.ids[q]), [])
+                        if len(heap) < k:
+                            heapq.heappush(heap, (score, -c))
+                        elif (score, -c) > heap[0]:
+                            heapq.heapreplace(heap, (score, -c))
         found = [(q, s, -c) for q, heap in heaps.items() for s, c in heap]
-        yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], t) for j, t in enumerate((pa.int64(), pa.float64(), pa.int64()))], names=["query_id", "score", "vec_id"])
+        return pa.table([pa.array([f[j] for f in found], t.type) for j, t in enumerate(result)], schema=result)
 
     def merge(group: pa.Table) -> pa.Table:
         scores, ids = group.column("score").to_pylist(), group.column("vec_id").to_pylist()
@@ -122,4 +150,4 @@ def nearest(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 5
         query = group.column("query_id")[0].as_py()
         return pa.table({"query_id": [query] * len(best), "rank": pa.array(range(1, len(best) + 1), pa.int32()), "vec_id": pa.array([c for _, c in best], pa.int64()), "score": pa.array([-s for s, _ in best], pa.float64())})
 
-    return strips.mapInArrow(search, "query_id long, score double, vec_id long").groupBy("query_id").applyInArrow(merge, "query_id long, rank int, vec_id long, score double")
+    return queries.cogroup(candidates).applyInArrow(search, "query_id long, score double, vec_id long").groupBy("query_id").applyInArrow(merge, "query_id long, rank int, vec_id long, score double")
