@@ -18,10 +18,10 @@ from pyspark.sql import types as T
 
 from ripplelog.llm.common import WORD, parts_for, stage
 
-BLOCK = 32  # words
+BLOCK = 16  # words
 SHARD = 4096  # slots
 CAP = 3  # times that a word may be taken
-ROWS_A_BUCKET = 100_000
+ROWS_A_BUCKET = 4_096
 
 
 def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -81,8 +81,9 @@ def placed(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text
 def slots(goals: DataFrame, block: int = BLOCK, shard: int = SHARD, cap: int = CAP, seed: int = 0) -> DataFrame:
     """Every slot of the mix: shard, source and the number of the source's block that fills it.
 
-    A shard gives each source the whole part of its expected slots and draws the rest of its slots from a multinomial
-    over the fractions. All shards draw by themselves from (seed, shard). A block is taken at most `cap` times.
+    Each shard draws how many of its slots go to which source from a multinomial with the sources' shares of the targets,
+    by itself from (seed, shard); slots are dealt evenly to the shards, `shard` at most. A block is taken at most `cap`
+    times: slots that a capped source draws beyond that stay empty.
     """
     blocks = F.ceil(F.col("source_size") / block).cast("long")
     # the last block of a source is short, so its mean block is a little shorter than `block`
@@ -92,22 +93,21 @@ def slots(goals: DataFrame, block: int = BLOCK, shard: int = SHARD, cap: int = C
     def draw(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in frames:
             counts = []
-            for s, want in zip(x["shard"], x["want"], strict=True):
-                mean = np.asarray(want)
-                whole = np.floor(mean)
-                part = mean - whole
-                extra = np.random.default_rng([seed, int(s)]).multinomial(round(part.sum()), part / part.sum()) if part.sum() > 0.5 else 0
-                counts.append((whole + extra).astype(np.int64))
+            for s, shards, want in zip(x["shard"], x["shards"], x["want"], strict=True):
+                all_slots = round(sum(want))
+                mine = all_slots * (int(s) + 1) // int(shards) - all_slots * int(s) // int(shards)
+                share = np.asarray(want) / np.sum(want)
+                counts.append(np.random.default_rng([seed, int(s)]).multinomial(mine, share / share.sum()))
             yield pd.DataFrame({"shard": x["shard"], "counts": counts})
 
-    # the sources' expected counts travel as one array, one row for each shard
-    order = F.array_sort(F.collect_list(F.struct(F.col("source").isNull().alias("last"), "source", "n", (F.col("want") / F.col("shards")).alias("mean"))))
+    # the sources' wanted slots travel as one array, one row for each shard
+    order = F.array_sort(F.collect_list(F.struct(F.col("source").isNull().alias("last"), "source", "n", "want")))
     drawn = (
         expected.agg(order.alias("all"), F.max("shards").alias("shards"))
         .where("shards > 0")
-        .select("all", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"))
+        .select("all", "shards", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"))
     )
-    means = drawn.select("shard", F.transform("all", lambda x: x["mean"]).alias("want"))
+    means = drawn.select("shard", "shards", F.transform("all", lambda x: x["want"]).alias("want"))
     counts = means.repartition("shard").mapInPandas(draw, "shard long, counts array<long>")
     per_source = (
         counts.select("shard", F.posexplode("counts").alias("k", "count"))
@@ -180,7 +180,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, cap
     at = at.select(F.struct("_id", "_row", "source", "_nth").alias("_key"), "_cuts")
     # the columns travel in a struct, so that their names don't matter
     rows = docs.select(F.struct("*").alias("_it"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_row"), F.col("source").alias("source"))
-    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_row", "source").orderBy(F.lit(1))))
+    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_row", "source").orderBy(F.xxhash64(F.col("_it").cast("string")))))
     key = [F.col(c).eqNullSafe(F.col(f"_key.{c}")) for c in ("_id", "_row", "source", "_nth")]
     joined = rows.join(at, key[0] & key[1] & key[2] & key[3]).select("_it", F.col("_it.text").alias("text"), "_cuts")
     n_chars = docs.schema["n_chars"].dataType.simpleString() if "n_chars" in docs.columns else None
@@ -206,4 +206,4 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, cap
 
     mixed = joined.mapInArrow(cut, T.StructType([joined.schema["_it"], T.StructField("text", T.StringType())]))
     size = F.char_length("text").cast(n_chars).alias("n_chars") if n_chars else None
-    return mixed.select(*[F.col("text") if c == "text" else size if c == "n_chars" else F.col(f"_it.`{c}`") for c in docs.columns])
+    return mixed.select(*[F.col("text") if c == "text" else size if c == "n_chars" else F.col("_it")[c].alias(c) for c in docs.columns])
