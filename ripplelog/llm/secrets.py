@@ -3,6 +3,10 @@
 A text's tokens are runs of the characters that keys are made of, and runs of other marks; every line is a chain. A token
 is tagged as the beginning of a secret, its inside, or outside, from its shape, the words next to it and how the file
 looks. The field learns from what the patterns find in a bounded sample, and tags every line of every text (Viterbi).
+
+So that it finds more than the patterns do, it sees each find several times: as it stands, and with its words or its shape
+hidden. It has to tell a secret by the marks and the shape alone, after a word that it doesn't know, and by the words
+alone, whatever the secret looks like.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ FILES = 8 * 16
 #: Where each kind of feature begins in the weights: shape, own word, words before and after, file by coarse shape.
 OFFSETS = np.cumsum([0, SHAPES, WORDS, WORDS, WORDS, WORDS])
 FEATURES = OFFSETS[-1] + FILES
+#: The columns of a token's features that are about words, and about its shape; what stands for a hidden one.
+WORD_COLUMNS, SHAPE_COLUMNS, NOTHING = [1, 2, 3, 4], [0, 5], int(FEATURES)
 BATCH_BYTES = 1 << 20
 
 
@@ -131,7 +137,7 @@ class Tokens:
 
 @dataclass
 class Field:
-    weights: np.ndarray  # features x 3
+    weights: np.ndarray  # features (and one for nothing) x 3
     moves: np.ndarray  # from x to
 
     def emissions(self, tokens: Tokens) -> np.ndarray:
@@ -177,10 +183,10 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def train(texts: list[str], rounds: int = 40, rate: float = 0.3, longest: int = 64, seed: int = 0) -> Field:
     """Learns from what the patterns find in `texts`: log-likelihood of whole chains, by adaptive gradient steps.
 
-    All lines with a find take part and twice as many without; lines are cut to chains of `longest` tokens here.
+    All lines with a find take part, and some four times as many without; lines are cut to chains of `longest` tokens here.
     """
     rng = np.random.default_rng(seed)
-    weights, moves = np.zeros((FEATURES, 3)), np.zeros((3, 3))
+    weights, moves = np.zeros((FEATURES + 1, 3)), np.zeros((3, 3))
     moves[O, I] = moves[I, B] = -4.0  # an inside needs a beginning
     raw = [t.encode() for t in texts]
     data, ends = _joined(raw)
@@ -202,14 +208,27 @@ def train(texts: list[str], rounds: int = 40, rate: float = 0.3, longest: int =
         weights[:, O] = 1.0
         return Field(weights, moves)
     rest = np.flatnonzero(~positive)
-    picked = np.concatenate([np.flatnonzero(positive), rng.permutation(rest)[: 2 * positive.sum() + 500]])
+    # lines without a find: any, and as many with a longer word that holds digits
+    digits = np.concatenate([[0], np.cumsum(_table(_DIGIT)[data], dtype=np.int64)])
+    looks = np.zeros(n_chains, bool)
+    looks[chain[(tokens.end - tokens.start >= 6) & (digits[tokens.end] > digits[tokens.start])]] = True
+    most = 2 * int(positive.sum()) + 500
+    like = rng.permutation(rest[looks[rest]])[:most]
+    found = np.flatnonzero(positive)
+    picked = np.concatenate([found, like, rng.permutation(np.setdiff1d(rest, like))[:most]])
     row = np.full(n_chains, -1)
     row[picked] = np.arange(len(picked))
     mine = np.flatnonzero(row[chain] >= 0)
-    r, t = row[chain[mine]], place[mine] % longest
-    size = np.bincount(r, minlength=len(picked))
-    features, y = tokens.features[mine], gold[mine]
-    n, width = len(picked), int(size.max())
+    r, t, features, y = row[chain[mine]], place[mine] % longest, tokens.features[mine], gold[mine]
+    again = [(r, t, features, y)]
+    for hidden in (WORD_COLUMNS, SHAPE_COLUMNS, WORD_COLUMNS):
+        some = np.flatnonzero(r < len(found))
+        masked = features[some].copy()
+        masked[:, hidden] = np.where(rng.random((len(some), len(hidden))) < 0.8, NOTHING, masked[:, hidden])
+        again.append((r[some] + len(picked) + (len(again) - 1) * len(found), t[some], masked, y[some]))
+    r, t, features, y = (np.concatenate(x) for x in zip(*again, strict=True))
+    size = np.bincount(r)
+    n, width = len(size), int(size.max())
     mask = np.arange(width)[None] < size[:, None]
     target = np.zeros((n, width, 3))
     target[r, t, y] = 1
@@ -231,11 +250,12 @@ def train(texts: list[str], rounds: int = 40, rate: float = 0.3, longest: int =
         slope_w = -1e-3 * n * weights / 100
         for j in range(features.shape[1]):
             for c in range(3):
-                slope_w[:, c] += np.bincount(features[:, j], weights=slope_t[:, c], minlength=FEATURES)
+                slope_w[:, c] += np.bincount(features[:, j], weights=slope_t[:, c], minlength=FEATURES + 1)
         slope_m = wanted_moves - pair.sum(axis=(0, 1))
         grown_w += slope_w**2
         grown_m += slope_m**2
         weights += rate * slope_w / np.sqrt(grown_w)
+        weights[NOTHING] = 0
         moves += rate * slope_m / np.sqrt(grown_m)
     return Field(weights, moves)
 
