@@ -85,6 +85,19 @@ def base_type(column_type: Column) -> Column:
     return out
 
 
+def base_type_of(field: T.StructField) -> str:
+    """The storage base type of a field: by its server type where that is known, else by its Spark type."""
+    if known := (field.metadata or {}).get("column_type"):
+        for name, starts in BASE_TYPES:
+            if known.lower().startswith(starts):
+                return name
+    kind = field.dataType
+    for name, kinds in (("INTEGER", T.IntegralType), ("NUMERIC", T.DecimalType), ("FLOAT", T.FractionalType), ("BOOLEAN", T.BooleanType), ("DATE", T.DateType), ("TIMESTAMP", (T.TimestampType, T.TimestampNTZType))):
+        if isinstance(kind, kinds):
+            return name
+    return "STRING"
+
+
 @dataclass(frozen=True)
 class ServerColumn:
     """One row of the server's column catalogue."""

@@ -14,11 +14,31 @@ def boolean(c: Column) -> Column:
     return F.when(c.isNotNull(), (c.cast("long") != 0).cast("int"))
 
 
-def json_text(c: Column, null_as_text: bool = False) -> Column:
-    """JSON as text; null stays null, or becomes the text null on request."""
+def json_text(c: Column, null_as_text: bool = False, kind: T.DataType | None = None) -> Column:
+    """JSON as text; null stays null, or becomes the text null on request.
+
+    kind: the column's type, where it isn't text: bytes are UTF-8, structs, maps and arrays are written as JSON, with all
+    bytes in them as text.
+    """
+    if isinstance(kind, T.BinaryType):
+        c = F.decode(c, "UTF-8")
+    elif isinstance(kind, T.StructType | T.MapType | T.ArrayType):
+        c = F.to_json(c.cast(_without_bytes(kind)))
     return F.coalesce(c, F.lit("null")) if null_as_text else c
 
 
+def _without_bytes(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.BinaryType):
+        return T.StringType()
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _without_bytes(f.dataType), f.nullable) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_without_bytes(kind.elementType), kind.containsNull)
+    if isinstance(kind, T.MapType):
+        return T.MapType(_without_bytes(kind.keyType), _without_bytes(kind.valueType), kind.valueContainsNull)
+    return kind
+
+
 def utc_text(c: Column) -> Column:
     """YYYY-MM-DD HH:MM:SS.ffffff; the session's time zone has to be UTC."""
     return F.date_format(c, UTC_FORMAT)
@@ -78,6 +98,8 @@ def normalised(field: T.StructField, binary: str = "plain") -> Column:
         out = utc_text(c)
     elif isinstance(field.dataType, T.DateType):
         out = date_text(c)
+    elif isinstance(field.dataType, T.StructType | T.MapType | T.ArrayType):
+        out = json_text(c, kind=field.dataType)
     else:
         out = c
     return out.alias(field.name)

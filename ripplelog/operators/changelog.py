@@ -25,9 +25,37 @@ def position(log_file: str = "log_file", log_pos: str = "log_pos", row_idx: str
     return F.struct(file_number(F.col(log_file)).alias("file_no"), F.col(log_file).alias("log_file"), F.col(log_pos).alias("log_pos"), F.col(row_idx).alias("row_idx"))
 
 
+#: Lists of so many tables become a filter that reaches the scan; lists of so many rows are broadcast; longer ones are joined.
+FILTERED, BROADCAST = 1_000, 100_000
+
+
+def small(rows: DataFrame, most: int = BROADCAST) -> DataFrame:
+    """rows, marked for broadcast if there are at most `most` of them."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
+def _listed(pairs: DataFrame) -> Column | None:
+    """Whether an event is of one of the pairs, as a plain filter; None if there are too many for one."""
+    found = pairs.limit(FILTERED + 1).collect()
+    if len(found) > FILTERED:
+        return None
+    of: dict[str, list[str]] = {}
+    for r in found:
+        of.setdefault(r.schema_name, []).append(r.table_name)
+    out = F.lit(False)
+    for schema, tables in of.items():
+        out = out | ((F.col("schema_name") == schema) & F.col("table_name").isin(*tables))
+    return out
+
+
+def _pairs(tables: DataFrame) -> DataFrame:
+    return tables.select("schema_name", "table_name").distinct().where("schema_name IS NOT NULL AND table_name IS NOT NULL")
+
+
 def of_tables(log: DataFrame, tables: DataFrame) -> DataFrame:
     """The events of the pairs (schema_name, table_name) in `tables`; pairs, not every schema with every table."""
-    return log.join(tables.select("schema_name", "table_name").distinct(), ["schema_name", "table_name"], "left_semi")
+    listed = _listed(_pairs(tables))
+    return log.join(small(_pairs(tables)), ["schema_name", "table_name"], "left_semi") if listed is None else log.where(listed)
 
 
 def of_kinds(log: DataFrame, kinds: Iterable[str] = ("insert", "update", "delete")) -> DataFrame:
@@ -92,11 +120,20 @@ def counters(log: DataFrame) -> DataFrame:
 
 def saved_and_skipped(log: DataFrame, catalogue: DataFrame) -> DataFrame:
     """How many events belong to a table of the catalogue, and how many do not."""
-    known = catalogue.select("schema_name", "table_name").distinct().withColumn("_known", F.lit(True))
-    joined = log.join(known, ["schema_name", "table_name"], "left")
-    return joined.agg(F.count_if(F.col("_known").isNotNull()).alias("saved"), F.count_if(F.col("_known").isNull()).alias("skipped"))
+    known = _listed(_pairs(catalogue))
+    if known is None:
+        log = log.join(small(_pairs(catalogue).withColumn("_known", F.lit(True))), ["schema_name", "table_name"], "left")
+        known = F.col("_known")
+    known = F.coalesce(known, F.lit(False))
+    return log.agg(F.count_if(known).alias("saved"), F.count_if(~known).alias("skipped"))
 
 
 def incomplete_images(log: DataFrame) -> DataFrame:
     """Updates without both images: a log like this was not written row by row with full images and can't be used."""
     return log.where((F.col("op") == "update") & (F.col("before").isNull() | F.col("after").isNull()))
+
+
+def require_images(log: DataFrame) -> None:
+    """Fails if an update lacks an image."""
+    if wrong := incomplete_images(log).select("log_file", "log_pos").limit(5).collect():
+        raise ValueError(f"the log has updates without both images, as at {wrong}: it has to be written row by row with full images")

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplelog.functions.ddl import Change
-from ripplelog.operators.changelog import file_number
+from ripplelog.operators.changelog import file_number, small
 
 
 class LayoutError(Exception):
@@ -65,37 +65,85 @@ def apply(layout: Layout, changes: Iterable[Change], server: Layout = ()) -> Lay
     return layout
 
 
-def history(start: dict[tuple[str, str], Layout], statements: Iterable[tuple[str, int, str, list[Change]]]) -> list[tuple]:
-    """(schema, table, log_file, log_pos, version, column names) for the first layouts and after each statement, in log
-    order. Statements on other tables are left out. DDL is rare: this runs on the driver over the statements alone."""
-    layouts = {(s.lower(), t.lower()): v for (s, t), v in start.items()}
-    names = {(s.lower(), t.lower()): (s, t) for s, t in start}
-    versions = dict.fromkeys(layouts, 0)
-    out = [(*names[k], None, -1, 0, [c.name for c in v]) for k, v in layouts.items()]
-    for log_file, log_pos, _, changes in statements:
-        for key in dict.fromkeys((c.schema_name.lower(), c.table_name.lower()) for c in changes):
-            if key in layouts:
-                layouts[key] = apply(layouts[key], [c for c in changes if (c.schema_name.lower(), c.table_name.lower()) == key])
-                versions[key] += 1
-                out.append((*names[key], log_file, log_pos, versions[key], [c.name for c in layouts[key]]))
-    return out
+HISTORY = "schema_name string, table_name string, log_file string, log_pos long, version int, columns array<string>, layout array<struct<name: string, column_type: string, key: string, charset: string, collation: string>>"
 
 
-HISTORY = "schema_name string, table_name string, log_file string, log_pos long, version int, columns array<string>"
+def first_layouts(catalogue: DataFrame) -> DataFrame:
+    """schema_name, table_name and layout of every table of a catalogue (see sources.server.catalogue)."""
+    null = F.lit(None).cast("string")
+
+    def column(c):
+        return F.struct(c["column_name"].alias("name"), c["column_type"].alias("column_type"), F.coalesce(c["column_key"], F.lit("")).alias("key"), null.alias("charset"), null.alias("collation"))
+
+    return catalogue.select("schema_name", "table_name", F.transform("columns", column).alias("layout"))
+
+
+def history(start: DataFrame, changes: DataFrame, server: DataFrame | None = None) -> DataFrame:
+    """The layouts of every table of `start`: version 0 at log_pos -1, and a further one after each statement, in log order.
+
+    start: schema_name, table_name and layout; changes: what column_changes finds in DDL events with log_file, log_pos and
+    row_idx. server: present layouts; tables that `start` doesn't know begin with theirs, and columns that a statement adds
+    are defined by theirs. Statements on tables that neither knows are left out. Each table's statements are one group.
+    """
+    key = [F.lower("schema_name").alias("s"), F.lower("table_name").alias("t")]
+    first = start.select(*key, "schema_name", "table_name", "layout", F.lit(0).alias("rank"))
+    if server is not None:
+        first = first.union(server.select(*key, "schema_name", "table_name", "layout", F.lit(1).alias("rank")))
+    said = changes.select(F.lower("change.schema_name").alias("s"), F.lower("change.table_name").alias("t"), "log_file", "log_pos", F.col("row_idx").cast("double").alias("row_idx"), file_number(F.col("log_file")).alias("no"), "change")
+
+    def fold(left, right):
+        import pyarrow as pa
+
+        known = sorted(left.to_pylist(), key=lambda r: r["rank"])
+        out = []
+        if known:
+            layout, now = (tuple(Column(**c) for c in known[i]["layout"]) for i in (0, -1))
+            named = known[0]["schema_name"], known[0]["table_name"]
+            out.append((*named, None, -1, 0, layout))
+            rows = sorted(right.to_pylist(), key=lambda r: (r["no"] or -1, r["log_pos"], r["row_idx"], r["change"]["n"]))
+            for at in dict.fromkeys((r["log_file"], r["log_pos"], r["row_idx"]) for r in rows):
+                mine = [Change(**{k: v for k, v in r["change"].items() if k != "n"}) for r in rows if (r["log_file"], r["log_pos"], r["row_idx"]) == at]
+                layout = apply(layout, mine, now if known[-1]["rank"] else ())
+                out.append((*named, at[0], at[1], len(out), layout))
+        columns = [list(x) for x in zip(*out, strict=True)] or [[] for _ in range(6)]
+        names = [[c.name for c in v] for v in columns[5]]
+        layouts = [[asdict(c) for c in v] for v in columns[5]]
+        return pa.table([pa.array(x, t) for x, t in zip((*columns[:5], names, layouts), kinds, strict=True)], names=fields)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    schema = to_arrow_schema(StructType.fromDDL(HISTORY))
+    fields, kinds = schema.names, schema.types
+    return first.groupBy("s", "t").cogroup(said.groupBy("s", "t")).applyInArrow(fold, HISTORY)
 
 
 def as_of(events: DataFrame, layouts: DataFrame) -> DataFrame:
     """events with the version and columns of the layout that held at their position.
 
     Each layout holds from its position up to the next one's, so that the join finds one for every event. A statement's
-    own position still has the layout before it.
+    own position still has the layout before it. Layouts are broadcast if there are few of them.
     """
     w = Window.partitionBy("schema_name", "table_name").orderBy("version")
     at = F.struct(F.coalesce(file_number(F.col("log_file")), F.lit(-1)).alias("no"), F.col("log_pos").alias("pos"))
-    held = layouts.withColumn("_from", at).withColumn("_to", F.lead("_from").over(w)).drop("log_file", "log_pos")
-    e = events.withColumn("_at", F.struct(file_number(F.col("log_file")).alias("no"), F.col("log_pos").alias("pos")))
-    on = (e["schema_name"] == held["schema_name"]) & (e["table_name"] == held["table_name"]) & (e["_at"] > held["_from"]) & (held["_to"].isNull() | (e["_at"] <= held["_to"]))
-    return e.join(held, on, "left").select(*[e[c] for c in events.columns], held["version"], held["columns"])
+    held = layouts.select("schema_name", "table_name", "version", "columns", at.alias("_from")).withColumn("_to", F.lead("_from").over(w))
+    held = small(held).alias("h")
+    e = events.withColumn("_at", F.struct(file_number(F.col("log_file")).alias("no"), F.col("log_pos").alias("pos"))).alias("e")
+    c = F.col
+    on = (c("e.schema_name") == c("h.schema_name")) & (c("e.table_name") == c("h.table_name")) & (c("e._at") > c("h._from")) & (c("h._to").isNull() | (c("e._at") <= c("h._to")))
+    return e.join(held, on, "left").select(*[c(f"e.`{n}`") for n in events.columns], "h.version", "h.columns")
+
+
+def mismatches(events: DataFrame, layouts: DataFrame) -> DataFrame:
+    """Events that have a value in a column which the table's layout didn't have at their position: the log and the layout
+    are not of the same time. Events of tables without a layout are left out."""
+    kept = as_of(events, layouts).where("columns IS NOT NULL")
+    upper = F.transform("columns", F.upper)
+    wrong = F.lit(False)
+    for name in events.schema["after"].dataType.names:
+        value = F.coalesce(F.col(f"after.`{name}`").cast("string"), F.col(f"before.`{name}`").cast("string"))
+        wrong = wrong | (value.isNotNull() & ~F.array_contains(upper, name.upper()))
+    return kept.where(wrong).select(*events.columns, "version")
 
 
 def schema_changes(changes: DataFrame) -> DataFrame:

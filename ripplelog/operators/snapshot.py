@@ -39,14 +39,19 @@ def after_key(table: DataFrame, last: Mapping[str, object]) -> Column:
     return reduce(Column.__or__, steps)
 
 
-def resumed(table: DataFrame, key: Iterable[str], last: Mapping[str, object] | None = None, most: Mapping[str, object] | None = None) -> DataFrame:
-    """The rows behind the last key that was read, up to the maxima at the first start, in the order of the key."""
-    key = list(key)
+def remaining(table: DataFrame, key: Iterable[str], last: Mapping[str, object] | None = None, most: Mapping[str, object] | None = None) -> DataFrame:
+    """The rows behind the last key that was read, up to the maxima at the first start."""
     if last:
         table = table.where(after_key(table, {k: last[k] for k in key}))
     for k, v in (most or {}).items():
         table = table.where(F.col(k) <= _typed(table, k, v))
-    return table.orderBy(*key)
+    return table
+
+
+def resumed(table: DataFrame, key: Iterable[str], last: Mapping[str, object] | None = None, most: Mapping[str, object] | None = None) -> DataFrame:
+    """What remains of the table, in the order of the key."""
+    key = list(key)
+    return remaining(table, key, last, most).orderBy(*key)
 
 
 def is_resumable(schema: T.StructType, key: Iterable[str]) -> bool:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplelog.functions import types, values
-from ripplelog.functions.ddl import changes, column_changes, register
+from ripplelog.functions.ddl import column_changes, register
 from ripplelog.operators import changelog, evolution, latest, offsets, snapshot
 from ripplelog.sources import server
+from ripplelog.plans.catalog import State, Stream, route, should_sync
+from ripplelog.plans.run import run
+from ripplelog.sources import sinks
 from ripplelog.sources.sinks import base_types
 from ripplelog.streaming.catchup import VersionedTable, catch_up
 
@@ -37,6 +39,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share; it goes when the session's JVM ends."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{shared.rstrip('/')}/query-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
 def event_order() -> Column:
     return F.struct("ts", "event_id")
 
@@ -275,7 +286,7 @@ def state_diff(spark, sf_dir):
 @query(LATEST_SQL)
 def stream_equals_batch(spark, sf_dir):
     """events as five staged files, caught up with in three batches into a table of versions."""
-    folder = tempfile.mkdtemp(prefix="ripplelog-") if not (shared := spark.conf.get("spark.checkpoint.dir", None)) else f"{shared.rstrip('/')}/catchup-{uuid.uuid4().hex}"
+    folder = new_folder(spark)
     events = table(spark, sf_dir, "events")
     events.repartitionByRange(5, "event_id").write.mode("overwrite").parquet(f"{folder}/log")
     target = VersionedTable(spark, f"{folder}/target")
@@ -345,14 +356,17 @@ def schema_changes(spark, sf_dir):
     return evolution.schema_changes(column_changes(twice)).select("schema", "table", "change_type", "column_name", F.unix_seconds("timestamp").alias("at_s"))
 
 
+def orders_layout(spark: SparkSession) -> DataFrame:
+    tables = spark.createDataFrame([("shop", "orders", "BASE TABLE")], "schema_name string, table_name string, table_type string")
+    return evolution.first_layouts(server.catalogue(column_catalogue(spark), tables))
+
+
 @query(
     """SELECT event_id, CASE WHEN event_id < 200 THEN 0 WHEN event_id < 500 THEN 1 ELSE 2 END AS version,
     CASE WHEN event_id < 200 THEN 'id,note,price,paid' WHEN event_id < 500 THEN 'EMAIL,id,price,paid' ELSE 'EMAIL,id,price,paid,RATE' END AS columns FROM events"""
 )
 def layout_asof(spark, sf_dir):
-    first = tuple(evolution.Column(c[2], c[3], c[5]) for c in sorted(COLUMNS, key=lambda c: c[4]) if c[1] == "orders")
-    statements = [(f, p, sql, changes(sql, s)) for f, p, _, _, s, sql in DDL_LOG]
-    layouts = spark.createDataFrame(evolution.history({("shop", "orders"): first}, statements), evolution.HISTORY)
+    layouts = evolution.history(orders_layout(spark), column_changes(ddl_log(spark)))
     # events up to 199 stand before the first statement, up to 499 before the second
     place = F.when(F.col("event_id") < 200, F.struct(F.lit("bin.9").alias("f"), F.lit(100).alias("p"))).when(F.col("event_id") < 500, F.struct(F.lit("bin.10").alias("f"), F.lit(50).alias("p"))).otherwise(F.struct(F.lit("bin.11").alias("f"), F.lit(4).alias("p")))
     log = table(spark, sf_dir, "events").select("event_id", place.alias("at")).select("event_id", F.lit("shop").alias("schema_name"), F.lit("orders").alias("table_name"), F.col("at.f").alias("log_file"), F.col("at.p").cast("long").alias("log_pos"))
@@ -372,3 +386,174 @@ def catalog_join(spark, sf_dir):
 def date_chunks(spark, sf_dir):
     chunks = values.date_chunks(F.lit("2024-01-01").cast("date"), F.lit("2024-01-31").cast("date"), 7)
     return spark.range(1).select(F.explode(chunks).alias("c")).select(F.col("c.start").alias("chunk_start"), F.col("c.end").alias("chunk_end"))
+
+
+@query("SELECT 's' AS schema_name, 't' || c_nationkey AS table_name, c_name AS column_name FROM customer WHERE c_nationkey % 2 = 0")
+def primary_keys(spark, sf_dir):
+    """Customers as columns of their nation's table, half of which are in primary keys."""
+    named = lambda k: [F.concat(F.lit("k"), k).alias("constraint_name"), F.lit("s").alias("schema_name"), F.concat(F.lit("t"), k).alias("table_name")]
+    kind = F.when(F.col("n_nationkey") % 2 == 0, "PRIMARY KEY").otherwise("UNIQUE").alias("constraint_type")
+    constraints = table(spark, sf_dir, "nation").select(*named(F.col("n_nationkey")), kind)
+    usage = table(spark, sf_dir, "customer").select(*named(F.col("c_nationkey")), F.col("c_name").alias("column_name"))
+    return server.primary_keys(constraints, usage)
+
+
+@query("SELECT 'bin.' || strftime(ts, '%Y%m%d') AS log_name, count(*) AS file_size FROM events GROUP BY ALL")
+def log_files(spark, sf_dir):
+    """A server's list of logs: a file for each day, its size as text."""
+    days = table(spark, sf_dir, "events").groupBy(F.concat(F.lit("bin."), F.date_format("ts", "yyyyMMdd")).alias("log_name")).agg(F.count(F.lit(1)).cast("string").alias("file_size"))
+    return offsets.log_files(days.agg(F.collect_list(F.struct("log_name", "file_size")).alias("logs")))
+
+
+@query("SELECT 'bin.' || strftime(ts, '%Y%m%d') AS log_file, event_id AS log_pos, CAST(100 AS BIGINT) AS file_size FROM events WHERE event_id > 100")
+def beyond_end(spark, sf_dir):
+    files = kept_files(spark, sf_dir).unionByName(table(spark, sf_dir, "events").select(F.concat(F.lit("bin."), F.date_format("ts", "yyyyMMdd")).alias("log_name"), F.lit(1).cast("long").alias("file_size"))).select("log_name").distinct()
+    return offsets.beyond_end(bookmarks(spark, sf_dir), files.withColumn("file_size", F.lit(100).cast("long"))).drop("stream")
+
+
+@query("SELECT event_id FROM events WHERE strftime(ts, '%Y%m%d') > '20240110' OR (strftime(ts, '%Y%m%d') = '20240110' AND event_id >= 400)")
+def pending_log(spark, sf_dir):
+    return offsets.pending(event_log(spark, sf_dir), "bin.20240110", 400).select(F.coalesce("after.event_id", "before.event_id").alias("event_id"))
+
+
+@query("SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events) WHERE n > 1 AND event_id % 97 = 0")
+def incomplete_images(spark, sf_dir):
+    log = event_log(spark, sf_dir).withColumn("after", F.when(F.col("log_pos") % 97 != 0, F.col("after")))
+    return changelog.incomplete_images(log).select(F.col("log_pos").alias("event_id"))
+
+
+@query("SELECT event_id FROM events WHERE epoch(ts) >= 1705000000")
+def since_time(spark, sf_dir):
+    return changelog.since(event_log(spark, sf_dir), 1_705_000_000).select(F.col("log_pos").alias("event_id"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderdate END AS at FROM orders")
+def zero_dates(spark, sf_dir):
+    text = F.when(F.col("o_orderkey") % 3 == 0, "0000-00-00 00:00:00").otherwise(values.utc_text(F.col("o_orderdate")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", values.zero_date_to_null(text, "timestamp_ntz").alias("at"))
+
+
+@query("SELECT c_custkey, upper(c_name) AS name FROM customer")
+def identifiers(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select("c_custkey", values.identifier(F.concat(F.lit("`"), "c_name", F.lit("`"))).alias("name"))
+
+
+@query(
+    """SELECT event_id, CASE WHEN value > 50 THEN 1 ELSE 0 END AS flag, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, strftime(ts, '%Y-%m-%d') AS day, to_base64(encode(event_type)) AS kind,
+    '{"user_id":' || user_id || ',"kinds":["' || event_type || '"]}' AS nested FROM events"""
+)
+def exported_values(spark, sf_dir):
+    """Booleans, times, dates, bytes, and a struct with bytes in it, as they are exported."""
+    kind = F.encode("event_type", "UTF-8")
+    rows = table(spark, sf_dir, "events").select("event_id", (F.col("value") > 50).alias("flag"), "ts", F.to_date("ts").alias("day"), kind.alias("kind"), F.struct("user_id", F.array(kind).alias("kinds")).alias("nested"))
+    return sinks.exported(rows, "base64")
+
+
+@query("SELECT doc_id, text FROM documents")
+def csv_round_trip(spark, sf_dir):
+    """Texts with quotes, commas and line feeds through CSV."""
+    folder, rows = new_folder(spark), table(spark, sf_dir, "documents").select("doc_id", "text")
+    sinks.write_csv(rows, folder, null="\\N")
+    return sinks.read_csv(spark, folder, rows.schema, null="\\N")
+
+
+@query("SELECT * FROM (VALUES ('automatic', 0, 0, 1), ('automatic', 1, 1, 1), ('unsupported', 1, 1, 0), ('available', -1, 1, 1), ('available', -1, 0, 0), ('available', 1, 0, 1), ('available', 0, 1, 0)) t(inclusion, selected, fallback, synced)")
+def field_selection(spark, sf_dir):
+    cases = [("automatic", 0, 0), ("automatic", 1, 1), ("unsupported", 1, 1), ("available", -1, 1), ("available", -1, 0), ("available", 1, 0), ("available", 0, 1)]
+    return spark.createDataFrame([(i, s, d, int(should_sync(i, None if s < 0 else bool(s), bool(d)))) for i, s, d in cases], "inclusion string, selected int, fallback int, synced int")
+
+
+@query("SELECT * FROM (VALUES ('a', 'snapshot', 1), ('b', 'snapshot', 0), ('c', 'incremental', 0), ('d', 'log', 0)) t(table_name, step, place)")
+def routing(spark, sf_dir):
+    """A table that was interrupted, one that was never read, one that is read by key, and one that is up to date."""
+    streams = [Stream("s", t, {"id": "automatic"}, ["id"], selected=True, method=m, replication_key="id") for t, m in (("a", "LOG_BASED"), ("b", "LOG_BASED"), ("c", "INCREMENTAL"), ("d", "LOG_BASED"))]
+    state = State({"bookmarks": {"s-b": {"last_pk_fetched": {"id": 3}, "log_pos": 4}, "s-d": {"log_file": "bin.1", "log_pos": 4}}, "currently_syncing": "s-b"})
+    plan = route(streams, state)
+    rows = [(s.table, step, i) for step, found in (("snapshot", plan.snapshots), ("incremental", plan.incremental), ("log", plan.from_log)) for i, s in enumerate(found)]
+    return spark.createDataFrame(rows, "table_name string, step string, place int")
+
+
+@query(
+    """SELECT * FROM (VALUES ('EVENT_ID', 'INTEGER', 'bigint'), ('TS', 'TIMESTAMP', 'timestamp_ntz'), ('USER_ID', 'INTEGER', 'bigint'), ('EVENT_TYPE', 'STRING', 'string'), ('VALUE', 'FLOAT', 'double'), ('PROPS', 'STRING', 'string'),
+    ('PRICE', 'NUMERIC', 'decimal(10,2)')) t(name, base_type, type)"""
+)
+def manifest_columns(spark, sf_dir):
+    schema = table(spark, sf_dir, "events").schema.add(types.ServerColumn("price", "decimal(10,2)", 9).field())
+    return spark.createDataFrame([(c["name"], c["base_type"], c["type"]) for c in sinks.manifest("t", ["event_id"], schema, True)["column_metadata"]], "name string, base_type string, type string")
+
+
+@query("SELECT event_id, 'u' || user_id AS table_name, CASE WHEN event_id % 2 = 0 THEN 'ADD' ELSE 'DROP' END AS type, 'c' || event_id AS column_name FROM events")
+def ddl_of_many_tables(spark, sf_dir):
+    """A statement for each event, on its user's table."""
+    column = F.concat(F.lit("`c"), "event_id", F.lit("`"))
+    action = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(" ADD COLUMN "), column, F.lit(" INT"))).otherwise(F.concat(F.lit(" DROP COLUMN "), column))
+    said = table(spark, sf_dir, "events").select("event_id", F.lit("s").alias("schema_name"), F.concat(F.lit("ALTER TABLE u"), "user_id", action).alias("ddl"))
+    return column_changes(said).select("event_id", "change.table_name", "change.type", "change.column_name")
+
+
+@query(
+    """SELECT 'u' || user_id AS table_name, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS INTEGER) AS version, event_id AS log_pos,
+    'ID,' || string_agg('C' || event_id, ',') OVER (PARTITION BY user_id ORDER BY event_id) AS columns FROM events"""
+)
+def layouts_of_many_tables(spark, sf_dir):
+    """Each event adds a column to its user's table: the layouts, folded for each table in the order of its log."""
+    events = table(spark, sf_dir, "events")
+    said = events.select(F.lit("bin.1").alias("log_file"), F.col("event_id").alias("log_pos"), F.lit(0).alias("row_idx"), F.lit("s").alias("schema_name"), F.concat(F.lit("ALTER TABLE u"), "user_id", F.lit(" ADD c"), "event_id", F.lit(" INT")).alias("ddl"))
+    null = F.lit(None).cast("string")
+    identity = F.struct(F.lit("ID").alias("name"), F.lit("int").alias("column_type"), F.lit("PRI").alias("key"), null.alias("charset"), null.alias("collation"))
+    start = events.select(F.lit("s").alias("schema_name"), F.concat(F.lit("u"), "user_id").alias("table_name"), F.array(identity).alias("layout")).distinct()
+    found = evolution.history(start, column_changes(said)).where("version > 0")
+    return found.select("table_name", "version", "log_pos", F.array_join("columns", ",").alias("columns"))
+
+
+@query("SELECT event_id, CASE WHEN event_id < 200 THEN 0 WHEN event_id < 500 THEN 1 ELSE 2 END AS version FROM events WHERE event_id < 500 OR event_id % 2 = 0")
+def layout_mismatch(spark, sf_dir):
+    """Rows with a rate that came by DDL at event 500, and with a note that was dropped at event 200."""
+    row = F.struct(F.col("event_id").alias("id"), F.when(F.col("event_id") < 500, 1.5).alias("rate"), F.when(F.col("event_id") % 2 == 0, "x").alias("note"))
+    place = F.when(F.col("event_id") < 200, F.struct(F.lit("bin.9").alias("f"), F.lit(100).alias("p"))).when(F.col("event_id") < 500, F.struct(F.lit("bin.10").alias("f"), F.lit(50).alias("p"))).otherwise(F.struct(F.lit("bin.11").alias("f"), F.lit(4).alias("p")))
+    log = table(spark, sf_dir, "events").select("event_id", F.lit("shop").alias("schema_name"), F.lit("orders").alias("table_name"), place["f"].alias("log_file"), place["p"].cast("long").alias("log_pos"), F.lit(None).cast("struct<id: bigint, rate: double, note: string>").alias("before"), row.alias("after"))
+    return evolution.mismatches(log, evolution.history(orders_layout(spark), column_changes(ddl_log(spark)))).select("event_id", "version")
+
+
+def _run_tables(spark: SparkSession, sf_dir: str) -> tuple[Stream, DataFrame, DataFrame]:
+    """customer as a server's table, and a log in which each tenth one is changed and then gets a column by DDL."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    stream = Stream("shop", "customer", {"c_custkey": "automatic", "c_name": "available"}, ["c_custkey"], selected=True)
+    image = lambda name, vip: F.struct("c_custkey", name.alias("c_name"), vip.cast("int").alias("vip"))
+    placed = lambda pos: [F.lit("bin.2").alias("log_file"), pos.cast("long").alias("log_pos"), F.lit(0).alias("row_idx"), F.lit(1_700_000_000).cast("long").alias("ts_s"), F.lit("shop").alias("schema_name"), F.lit("customer").alias("table_name")]
+    null, name = F.lit(None), F.col("c_name")
+    every = c.where("c_custkey % 10 = 0")
+    first = every.select(*placed(F.col("c_custkey") + 100), F.lit("update").alias("op"), image(name, null).alias("before"), image(F.lit("changed"), null).alias("after"), null.cast("string").alias("ddl"))
+    kind = first.schema["after"].dataType
+    said = spark.range(1).select(*placed(F.lit(10**9)), F.lit("ddl").alias("op"), null.cast(kind).alias("before"), null.cast(kind).alias("after"), F.lit("ALTER TABLE customer ADD COLUMN vip INT").alias("ddl"))
+    second = every.where("c_custkey % 20 = 0").select(*placed(F.col("c_custkey") + 2 * 10**9), F.lit("update").alias("op"), image(F.lit("changed"), null).alias("before"), image(F.lit("changed"), F.lit(1)).alias("after"), null.cast("string").alias("ddl"))
+    return stream, c, first.union(said).union(second)
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'changed' ELSE c_name END AS c_name, CASE WHEN c_custkey % 20 = 0 THEN 1 END AS vip FROM customer")
+def whole_run(spark, sf_dir):
+    """A run that takes a snapshot, and a second one from the log, with a column that DDL has added in between."""
+    stream, source, log = _run_tables(spark, sf_dir)
+    catalogue = spark.createDataFrame([("shop", "customer", [(1, "c_custkey", "bigint", "PRI"), (2, "c_name", "varchar(25)", "")])], "schema_name string, table_name string, columns array<struct<ordinal: int, column_name: string, column_type: string, column_key: string>>")
+    out, state, files = new_folder(spark), State(), spark.createDataFrame([("bin.2", 10**12)], "log_name string, file_size long")
+    for end in (4, 10**10):
+        found = run(spark, route([stream], state), state, out, lambda s: source, log, {"log_file": "bin.2", "log_pos": end}, SYNCED, files=files, catalogue=catalogue)
+    return found["shop-customer"].select("c_custkey", "c_name", "vip")
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def interrupted_snapshot(spark, sf_dir):
+    """A snapshot in ranges of the key that fails on the way, and the run after it, which goes on behind the last range."""
+    stream, source, _ = _run_tables(spark, sf_dir)
+    out, state = new_folder(spark), State()
+    go = lambda table: run(spark, route([stream], state), state, out, lambda s: table, source.where("false"), {"log_file": "bin.2", "log_pos": 4}, SYNCED, snapshot_parts=4)
+    most = source.agg(F.max("c_custkey")).first()[0]
+    fails = F.when(F.col("c_custkey") > most * 2 // 3, F.raise_error(F.lit("lost"))).otherwise(F.col("c_name"))
+    try:
+        go(source.select("c_custkey", fails.cast("string").alias("c_name")))
+    except Exception as e:
+        if "lost" not in str(e):
+            raise
+    if not state.get(stream, "last_pk_fetched"):
+        raise ValueError("no range was marked before the failure")
+    return go(source.where(F.col("c_custkey") > state.get(stream, "last_pk_fetched")["c_custkey"]))["shop-customer"].select("c_custkey", "c_name")

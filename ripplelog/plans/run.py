@@ -1,73 +1,183 @@
-"""One run: snapshots, key-based loads and the log, each into its target, then the state."""
+"""One run: checks, snapshots, key-based loads and the log, each into its target, with the state written after each."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ripplelog.operators import changelog, latest, snapshot
+from ripplelog.functions.ddl import column_changes
+from ripplelog.operators import changelog, evolution, latest, offsets, snapshot
 from ripplelog.operators.evolution import grown
 from ripplelog.plans.catalog import Plan, State, Stream
-from ripplelog.sources.sinks import is_incremental, manifest, write_json
+from ripplelog.sources.sinks import is_incremental, manifest, read_text, write_csv, write_json, write_slices
 from ripplelog.streaming.catchup import VersionedTable
 
+AUDIT = "SCHEMA_CHANGES"
+LAYOUTS = "schema_name string, table_name string, layout array<struct<name: string, column_type: string, key: string, charset: string, collation: string>>"
 
-def log_rows(stream: Stream, log: DataFrame, synced_at: str, read_us: int, append: bool) -> DataFrame:
-    """A stream's rows of the log: of interest, with system columns, the latest of each key unless all are kept."""
+
+def read_state(spark: SparkSession, out: str) -> State:
+    """The state that the last run left in `out`; an empty one if there was none."""
+    text = read_text(spark, f"{out}/state.json")
+    return State(json.loads(text) if text else None)
+
+
+def log_rows(stream: Stream, log: DataFrame, synced_at: str, read_us: int, append: bool, added: list[str] = ()) -> DataFrame:
+    """A stream's rows of the log: of interest, with system columns, the latest of each key unless all are kept. added:
+    columns that DDL has brought, which are read like the stream's own."""
     mine = log.where((F.col("schema_name") == stream.schema) & (F.col("table_name") == stream.table))
-    rows = changelog.records(changelog.relevant(mine, stream.watch, stream.ignore), synced_at, read_us, stream.desired())
+    rows = changelog.records(changelog.relevant(mine, stream.watch, stream.ignore), synced_at, read_us, [*stream.desired(), *added])
     return latest.deduplicated(rows, stream.key, F.col("_position"), append).drop("schema_name", "table_name", "_position")
 
 
+@dataclass
+class Run:
+    """What a run needs to know; see run()."""
+
+    spark: SparkSession
+    state: State
+    out: str
+    synced_at: str
+    read_us: int = 0
+    append: bool = False
+    export: str | None = None
+    results: dict[str, DataFrame] = field(default_factory=dict)
+
+    def save(self) -> None:
+        write_json(self.spark, f"{self.out}/state.json", self.state.document())
+
+    def finish(self, stream: Stream, rows: DataFrame, keep: bool) -> None:
+        """Writes the next version of a stream's target with its manifest, and the export if one is asked for."""
+        name = State.name(stream)
+        target = VersionedTable(self.spark, f"{self.out}/{name}")
+        now = target.version()
+        old = target.read() if keep and now is not None else None
+        if old is not None:
+            rows = old.unionByName(rows, allowMissingColumns=True) if self.append or not stream.key else latest.upsert(old, rows, stream.key)
+        target.write(rows, 0 if now is None else now + 1)
+        self.results[name] = target.read()
+        self.state.storage[name] = grown(self.state.storage.get(name, []), self.results[name].columns)
+        stored = evolution.in_storage_order(self.results[name], self.state.storage[name])
+        if self.export:
+            (write_slices if self.export == "slices" else write_csv)(stored, f"{self.out}/{name}.csv/v={target.version()}")
+        write_json(self.spark, f"{self.out}/{name}.manifest", manifest(name, stream.key, stored.schema, is_incremental(stream.method, keep)))
+
+    def snapshot(self, stream: Stream, table: DataFrame, parts: int) -> None:
+        """Reads a table up to its maxima at the first start, in ranges of its key where that can be resumed; each range is
+        marked in the state when it is written, and a run that was interrupted goes on behind the last one."""
+        folder = f"{self.out}/{State.name(stream)}.parts"
+        rows = snapshot.snapshot(table, stream.desired(), self.synced_at)
+        if parts > 1 and snapshot.is_resumable(table.schema, stream.key) and isinstance(table.schema[stream.key[0]].dataType, T.IntegralType):
+            first = stream.key[0]
+            most, last = self.state.get(stream, "max_pk_values"), self.state.get(stream, "last_pk_fetched")
+            if most is None:
+                most = {first: snapshot.max_key_values(table, [first]).first()[0]}
+                self.state.put(stream, max_pk_values=most)
+            left = snapshot.remaining(table, [first], last, most) if most[first] is not None else table
+            cuts = [r.high for r in snapshot.key_ranges(left, first, parts).where("high IS NOT NULL").orderBy("part").collect()]
+            for high in dict.fromkeys([*cuts[:-1], most[first]] if most[first] is not None else []):
+                part = snapshot.snapshot(snapshot.remaining(table, [first], last, {first: high}), stream.desired(), self.synced_at)
+                part.write.mode("overwrite").parquet(f"{folder}/upto={high}")
+                last = {first: high}
+                self.state.put(stream, last_pk_fetched=last)
+                self.save()
+            if last is not None:
+                rows = self.spark.read.schema(rows.schema).parquet(folder).select(*rows.columns)
+        self.finish(stream, rows, keep=False)
+        self.state.clear(stream, "last_pk_fetched", "max_pk_values")
+
+    def layouts(self, streams: list[Stream], log: DataFrame, catalogue: DataFrame | None) -> tuple[DataFrame, dict[str, list[str]]]:
+        """The layouts along the log, and the columns that it adds to each stream. New layouts go into the state, changes
+        into the audit table. The layouts at the start are the state's, or for other tables the catalogue's."""
+        known = [(s.schema, s.table, self.state.layouts[State.name(s)]) for s in streams if self.state.layouts.get(State.name(s))]
+        known = self.spark.createDataFrame(known, LAYOUTS)
+        server = evolution.first_layouts(catalogue) if catalogue is not None else None
+        changes = column_changes(log.where("op = 'ddl'").select("log_file", "log_pos", "row_idx", "ts_s", "schema_name", "ddl"))
+        mine = self.spark.createDataFrame([s.id for s in streams], "schema_name string, table_name string")
+        changes = changes.join(F.broadcast(mine.select(F.lower("schema_name").alias("s"), F.lower("table_name").alias("t"))), (F.lower("change.schema_name") == F.col("s")) & (F.lower("change.table_name") == F.col("t"))).drop("s", "t")
+        folder = f"{self.out}/layouts"
+        evolution.history(known, changes, server).write.mode("overwrite").parquet(folder)
+        held = self.spark.read.schema(evolution.HISTORY).parquet(folder)
+        last = {(r.schema_name.lower(), r.table_name.lower()): r.layout for r in held.groupBy("schema_name", "table_name").agg(F.max_by("layout", "version").alias("layout")).collect()}
+        for s in streams:
+            if layout := last.get((s.schema.lower(), s.table.lower())):
+                self.state.layouts[State.name(s)] = [c.asDict() for c in layout]
+        audit = VersionedTable(self.spark, f"{self.out}/{AUDIT}")
+        rows, now = evolution.schema_changes(changes), audit.version()
+        audit.write(rows if now is None else audit.read().union(rows).dropDuplicates(["column_name", "query", "timestamp"]), 0 if now is None else now + 1)
+        added = {State.name(s): [c.name for c in last.get((s.schema.lower(), s.table.lower()), ()) if c.name.lower() not in {x.lower() for x in s.inclusion}] for s in streams}
+        return held, added
+
+
 def run(
     spark: SparkSession,
     plan: Plan,
     state: State,
     out: str,
     read: Callable[[Stream], DataFrame],
-    log: Callable[[Stream], DataFrame],
+    log: DataFrame | Callable[[Stream], DataFrame],
     end: Mapping[str, object],
     synced_at: str,
     read_us: int = 0,
     append: bool = False,
+    files: DataFrame | None = None,
+    catalogue: DataFrame | None = None,
+    snapshot_parts: int = 1,
+    export: str | None = None,
 ) -> dict[str, DataFrame]:
     """Brings every planned stream's target up to date and returns them by name.
 
     `end` is the log's position (log_file, log_pos) taken before anything is read: what changes during a snapshot comes
-    again from the log. Each target is a table of versions under `out`, numbered on from the last; the state follows.
-    """
-    results = {}
-
-    def finish(stream: Stream, rows: DataFrame, keep: bool) -> None:
-        name = State.name(stream)
-        target = VersionedTable(spark, f"{out}/{name}")
-        now = target.version()
-        old = target.read() if keep and now is not None else None
-        if old is not None:
-            rows = old.unionByName(rows, allowMissingColumns=True) if append or not stream.key else latest.upsert(old, rows, stream.key)
-        target.write(rows, 0 if now is None else now + 1)
-        results[name] = target.read()
-        state.storage[name] = grown(state.storage.get(name, []), results[name].columns)
-        write_json(spark, f"{out}/{name}.manifest", manifest(name, stream.key, results[name].schema, is_incremental(stream.method, keep)))
+    again from the log. Each target is a table of versions under `out`, numbered on from the last. The state is written
+    after each table, so that a failure costs no more than the table it was in.
 
+    log: the change log, or a function that gives a stream's part of it. Each stream reads it from its own position on.
+    Before that, bookmarks are checked against `files` (log_name, file_size), where given, and the log's images are. DDL
+    events of the log change the layouts, which begin with the state's or the catalogue's (sources.server.catalogue) and
+    are kept in the state; columns they add are read from then on, changes are added to the table SCHEMA_CHANGES, and rows
+    that don't fit their table's layout fail. snapshot_parts: so many ranges of a numeric key, each marked when it is
+    there. export: csv (with a header) or slices (without), beside each target.
+    """
+    r = Run(spark, state, out, synced_at, read_us, append, export)
+    of = log if callable(log) else lambda s: log
+    if files is not None and plan.from_log:
+        placed = [(State.name(s), state.get(s, "log_file"), state.get(s, "log_pos")) for s in plan.from_log]
+        offsets.verify(spark.createDataFrame(placed, "stream string, log_file string, log_pos long"), files)
     for s in plan.snapshots:
         state.syncing = State.name(s)
-        finish(s, snapshot.snapshot(read(s), s.desired(), synced_at), keep=False)
+        r.save()
+        r.snapshot(s, read(s), snapshot_parts)
         state.put(s, initial_full_table_complete=True, **(dict(end) if s.method == "LOG_BASED" else {}))
+        state.trim(s)
+        r.save()
     for s in plan.incremental:
         state.syncing = State.name(s)
         rows = snapshot.since_bookmark(read(s), s.replication_key, state.get(s, "replication_key_value"))
         top = snapshot.next_bookmark(rows, s.replication_key).first()["bookmark"]
-        finish(s, snapshot.snapshot(rows, s.desired(), synced_at), keep=True)
+        r.finish(s, snapshot.snapshot(rows, s.desired(), synced_at), keep=True)
         if top is not None:
             state.put(s, replication_key=s.replication_key, replication_key_value=str(top))
+        state.trim(s)
+        r.save()
     for s in plan.from_log:
-        finish(s, log_rows(s, log(s), synced_at, read_us, append), keep=True)
+        state.syncing = State.name(s)
+        mine = offsets.pending(of(s), state.get(s, "log_file"), state.get(s, "log_pos"))
+        rows = mine.where((F.col("schema_name") == s.schema) & (F.col("table_name") == s.table))
+        changelog.require_images(rows)
+        added: dict[str, list[str]] = {}
+        if "ddl" in mine.columns:
+            held, added = r.layouts([s], mine, catalogue)
+            if wrong := evolution.mismatches(changelog.of_kinds(rows), held).select("log_file", "log_pos").limit(5).collect():
+                raise evolution.LayoutError(f"{s.id}: rows don't fit the layout, as at {wrong}")
+        r.finish(s, log_rows(s, mine, synced_at, read_us, append, added.get(State.name(s), [])), keep=True)
         state.put(s, **end)
-    for s in (*plan.snapshots, *plan.incremental, *plan.from_log):
         state.trim(s)
+        r.save()
     state.syncing = None
-    write_json(spark, f"{out}/state.json", state.document())
-    return results
+    r.save()
+    return r.results

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ripplelog.functions.types import base_type
+from ripplelog.functions.types import base_type, base_type_of
 from ripplelog.functions.values import normalised
 
 SLICE_ROWS = 100_000
@@ -35,11 +35,11 @@ def write_slices(rows: DataFrame, path: str, size: int = SLICE_ROWS) -> None:
 
 
 def manifest(destination: str, key: Iterable[str], schema: T.StructType, incremental: bool) -> dict:
-    """What a loader has to know of a table; names in upper case, each column with its types."""
+    """What a loader has to know of a table; names in upper case, each column with its base type and its server type."""
     columns = []
     for f in schema:
         known = f.metadata or {}
-        columns.append({"name": f.name.upper(), "type": known.get("column_type", f.dataType.simpleString()), "length": known.get("length"), "nullable": f.nullable})
+        columns.append({"name": f.name.upper(), "base_type": base_type_of(f), "type": known.get("column_type", f.dataType.simpleString()), "length": known.get("length"), "nullable": f.nullable})
     return {"destination": destination, "primary_key": [k.upper() for k in key], "columns": [c["name"] for c in columns], "column_metadata": columns, "incremental": incremental}
 
 
