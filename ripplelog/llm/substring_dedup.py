@@ -396,7 +396,7 @@ def repeated_spans(blocks: DataFrame, length: int, k: int, n_bytes: int) -> Data
     # what is open: the first of each kind of run, where a key has several
     opened = told.where("kind = 'open'")
     strings = opened.agg(F.sum("n")).first()[0] or 0
-    parts_open = parts_for(8 * strings, BLOCK_BYTES // 4)
+    parts_open = parts_for(8 * strings, BLOCK_BYTES // 16)
 
     def question_open(block: int, payload) -> pa.Table:
         hashes, _, _ = _string_hashes(from_bytes(payload).column("bytes").combine_chunks(), length)
