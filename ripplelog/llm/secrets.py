@@ -4,14 +4,15 @@ A text's tokens are runs of the characters that keys are made of, and runs of ot
 is tagged as the beginning of a secret, its inside, or outside, from its shape, the words next to it and how the file
 looks. The field learns from what the patterns find in a bounded sample, and tags every line of every text (Viterbi).
 
-So that it finds more than the patterns do, it sees each find several times: as it stands, and with its words or its shape
-hidden. It has to tell a secret by the marks and the shape alone, after a word that it doesn't know, and by the words
-alone, whatever the secret looks like.
+So that it finds more than the patterns do, it sees each find several times: as it stands, with its words or its shape
+hidden, and with another word, another joint and a made-up secret in its place, beside the same line with a plain word or a
+number there. It has to tell a secret by the marks and the shape, after a word that it doesn't know.
 """
 
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -180,25 +181,56 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts], dtype=np.int64)
 
 
-def train(texts: list[str], rounds: int = 40, rate: float = 0.3, longest: int = 64, seed: int = 0) -> Field:
-    """Learns from what the patterns find in `texts`: log-likelihood of whole chains, by adaptive gradient steps.
+#: What made-up secrets are made of: upper-case and lower-case hexadecimal, letters and digits, base 64, capitals and digits.
+ALPHABETS = ("0123456789abcdef", "0123456789ABCDEF", string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_uppercase + string.digits)
+JOINTS = (("=", ""), (" = ", ""), (": ", ""), (" : ", ""), ('="', '"'), (' = "', '"'), (" = '", "'"), (": '", "'"), ('": "', '"'))
 
-    All lines with a find take part, and some four times as many without; lines are cut to chains of `longest` tokens here.
+
+def variants(texts: list[str], rng: np.random.Generator, each: int = 3, most: int = 600) -> list[tuple[str, list[tuple[int, int]]]]:
+    """Lines like those in which the patterns find an assignment, with where their secrets are: behind another word or
+    another joint, and with a made-up secret of another shape. After each comes one with a plain word or a number there."""
+    plain = [w for t in texts[-200:] for w in re.findall(r"[^\W\d_]{3,12}", t)[:50]] or ["plain"]
+    pick = lambda x: x[int(rng.integers(len(x)))]
+    out = []
+    for text in texts:
+        for begin, _, kind, end, secret in base_spans(text):
+            if kind != "assign" or len(out) >= 2 * most:
+                continue
+            low, high = text.rfind("\n", 0, begin) + 1, text.find("\n", end)
+            before, after = text[low:begin][-120:], text[end : high if high >= 0 else len(text)].lstrip("\"'")[:120]
+            word = re.match(r"\w+", text[begin:secret])[0]
+            for _ in range(each):
+                joint, close = pick(JOINTS)
+                value = "".join(pick(alphabet) for alphabet in [pick(ALPHABETS)] for _ in range(int(rng.integers(10, 49))))
+                head = before + (word if rng.random() < 0.3 else pick(plain)) + joint
+                out.append((head + value + close + after, [(len(head), len(head) + len(value))]))
+                usual = pick(plain) if rng.random() < 0.6 else str(int(rng.integers(10 ** int(rng.integers(1, 9)))))
+                out.append((before + pick(plain) + joint + usual + close + after, []))
+    return out
+
+
+def train(texts: list[str], rounds: int = 45, rate: float = 0.3, longest: int = 64, seed: int = 0) -> Field:
+    """Learns from what the patterns find in `texts`, and variants of that: log-likelihood of whole chains, by adaptive
+    gradient steps.
+
+    All lines with a find take part, and 2,000 without at most; lines are cut to chains of `longest` tokens here.
     """
     rng = np.random.default_rng(seed)
     weights, moves = np.zeros((FEATURES + 1, 3)), np.zeros((3, 3))
     moves[O, I] = moves[I, B] = -4.0  # an inside needs a beginning
-    raw = [t.encode() for t in texts]
-    data, ends = _joined(raw)
+    told = [(t, [(secret, end) for _, _, _, end, secret in base_spans(t)]) for t in texts]
+    made = variants(texts, rng)
+    told += made
+    data, ends = _joined([t.encode() for t, _ in told])
     tokens = Tokens.of(data, ends)
     gold = np.full(len(tokens.start), O, np.int8)
-    for i, text in enumerate(texts):
+    for i, (text, finds) in enumerate(told):
         before = int(ends[i - 1]) if i else 0
-        for _, _, _, end, secret in base_spans(text):
+        for secret, end in finds:
             a, b = (before + len(text[:x].encode()) for x in (secret, end))
-            inside = np.flatnonzero((tokens.end > a) & (tokens.start < b) & (tokens.text == i))
-            gold[inside] = I
-            gold[inside[:1]] = B
+            low, high = np.searchsorted(tokens.end, a, side="right"), np.searchsorted(tokens.start, b)
+            gold[low:high] = I
+            gold[low : low + 1] = B
     place = np.arange(len(gold)) - np.repeat(f := np.flatnonzero(np.diff(tokens.line, prepend=-1)), np.diff(np.append(f, len(gold))))
     chain = np.cumsum((place % longest == 0).astype(np.int64)) - 1
     n_chains = int(chain[-1]) + 1 if len(chain) else 0
@@ -212,20 +244,27 @@ def train(texts: list[str], rounds: int = 40, rate: float = 0.3, longest: int =
     digits = np.concatenate([[0], np.cumsum(_table(_DIGIT)[data], dtype=np.int64)])
     looks = np.zeros(n_chains, bool)
     looks[chain[(tokens.end - tokens.start >= 6) & (digits[tokens.end] > digits[tokens.start])]] = True
-    most = 2 * int(positive.sum()) + 500
+    most = 1000
+    of = np.zeros(n_chains, np.int64)
+    of[chain] = tokens.text
+    usual = rest[of[rest] >= len(texts)]  # the variants' plain ones, all of them
+    rest = rest[of[rest] < len(texts)]
     like = rng.permutation(rest[looks[rest]])[:most]
     found = np.flatnonzero(positive)
-    picked = np.concatenate([found, like, rng.permutation(np.setdiff1d(rest, like))[:most]])
+    picked = np.concatenate([found, usual, like, rng.permutation(np.setdiff1d(rest, like))[:most]])
     row = np.full(n_chains, -1)
     row[picked] = np.arange(len(picked))
     mine = np.flatnonzero(row[chain] >= 0)
     r, t, features, y = row[chain[mine]], place[mine] % longest, tokens.features[mine], gold[mine]
     again = [(r, t, features, y)]
-    for hidden in (WORD_COLUMNS, SHAPE_COLUMNS, WORD_COLUMNS):
-        some = np.flatnonzero(r < len(found))
+    seen = np.flatnonzero(of[found] < len(texts))  # the patterns' own
+    turn = np.full(len(picked), -1)
+    turn[seen] = np.arange(len(seen))
+    for hidden in (WORD_COLUMNS, SHAPE_COLUMNS):
+        some = np.flatnonzero(turn[r] >= 0)
         masked = features[some].copy()
         masked[:, hidden] = np.where(rng.random((len(some), len(hidden))) < 0.8, NOTHING, masked[:, hidden])
-        again.append((r[some] + len(picked) + (len(again) - 1) * len(found), t[some], masked, y[some]))
+        again.append((turn[r[some]] + len(picked) + (len(again) - 1) * len(seen), t[some], masked, y[some]))
     r, t, features, y = (np.concatenate(x) for x in zip(*again, strict=True))
     size = np.bincount(r)
     n, width = len(size), int(size.max())
