@@ -22,11 +22,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ripplelog.llm.common import col
 
 #: Longer pieces are merged with a heap, in O(n log n), as a fold takes the square of a piece's length.
 LONG = 64
 NONE = 65_536
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 
 #: What the pattern's classes are among the code points up to 0xFF. Unicode's letters, numbers and spaces.
 LATIN = {r"\p{L}": "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"\p{N}": "0-9\xb2\xb3\xb9\xbc-\xbe", r"\s": "\t-\r \x85\xa0"}
@@ -167,7 +170,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "t
     A null or empty text has no ids. Texts of any length are encoded whole. A column already called `ids` is replaced.
     """
     names = [c for c in docs.columns if c != ids]
-    schema = docs.select(*names).schema
+    docs = docs.select(*map(col, names))
+    schema = docs.schema
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
         group, size = [], 0
@@ -192,7 +196,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "t
         for group in grouped(batches):
             numbers, order = Numbers(), []
             for x in group:
-                order += [np.fromiter(map(numbers.__getitem__, find(t or "")), np.int32) for t in x.column(text).to_pylist()]
+                order += [np.fromiter(map(numbers.__getitem__, find(t or "")), np.int32) for t in x.column(names.index(text)).to_pylist()]
             # pieces that are tokens have their id, long ones are merged one by one, all others by the fold
             pieces = [p.encode() for p in numbers]
             whole = np.array([known.get(b, -1) for b in pieces], np.int64)
@@ -219,10 +223,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "t
                 at += len(x)
                 past = np.concatenate([[0], np.cumsum(sizes[part])])
                 lists = pa.ListArray.from_arrays(past[rows].astype(np.int32), pa.array(ids_of[_spread(first[part], sizes[part])]))
-                yield pa.RecordBatch.from_arrays([*(x.column(c) for c in names), lists], names=[*names, ids])
+                yield pa.RecordBatch.from_arrays([*x.columns, lists], names=[*names, ids])
+            pa.default_memory_pool().release_unused()
 
-    fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), f"`{ids}` array<int>"])
-    return docs.select(*names).mapInArrow(encoded, fields)
+    return docs.mapInArrow(encoded, T.StructType([*schema, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
 
 def _spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
