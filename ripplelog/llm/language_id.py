@@ -23,7 +23,7 @@ from ripplelog.llm.words import slices
 ORDERS = (1, 2, 3)
 CLASSES = 64
 BATCH_BYTES = 1 << 20
-BATCH_CELLS = 1 << 23  # of a presence matrix
+BATCH_CELLS = 1 << 21  # of a presence matrix
 UNKNOWN = "und"
 
 
