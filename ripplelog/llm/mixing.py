@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ripplelog.llm.common import WORD, parts_for, stage
+from ripplelog.llm.common import WORD, col, parts_for, stage
+from ripplelog.llm.words import slices
 
 BLOCK = 16  # words
 SHARD = 4096  # slots
 CAP = 3  # times that a word may be taken
 ROWS_A_BUCKET = 4_096
+BATCH_BYTES = 1 << 20
 
 
 def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -179,14 +181,15 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, cap
     at = at.select("_id", "_row", "p.source", "p.start", "_cuts").withColumn("_nth", F.row_number().over(alike))
     at = at.select(F.struct("_id", "_row", "source", "_nth").alias("_key"), "_cuts")
     # the columns travel in a struct, so that their names don't matter
-    rows = docs.select(F.struct("*").alias("_it"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_row"), F.col("source").alias("source"))
+    others = F.struct(F.lit(0).alias("_"), *[col(c) for c in docs.columns if c != "text"]).alias("_it")
+    rows = docs.select(others, F.col("text").alias("text"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_row"), F.col("source").alias("source"))
     rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_row", "source").orderBy(F.xxhash64(F.col("_it").cast("string")))))
     key = [F.col(c).eqNullSafe(F.col(f"_key.{c}")) for c in ("_id", "_row", "source", "_nth")]
-    joined = rows.join(at, key[0] & key[1] & key[2] & key[3]).select("_it", F.col("_it.text").alias("text"), "_cuts")
+    joined = rows.join(at, key[0] & key[1] & key[2] & key[3]).select("_it", "text", "_cuts")
     n_chars = docs.schema["n_chars"].dataType.simpleString() if "n_chars" in docs.columns else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
+        for x in (part for whole in batches for part in slices(whole, "text", BATCH_BYTES)):
             source_row, texts = [], []
             for i, (text, cuts) in enumerate(zip(x.column("text").to_pylist(), x.column("_cuts").to_pylist(), strict=True)):
                 spans = [m.span() for m in word.finditer(text)]
