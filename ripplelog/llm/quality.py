@@ -1,8 +1,8 @@
-"""Quality rules: simple counts of a text, and its perplexity under a character n-gram model of its language.
+"""Quality rules: simple counts of a text, and its perplexity under a character n-gram model.
 
-Characters are code points. Spark counts the n-grams of all documents, language by language, and makes the modified
-Kneser-Ney estimates from the counts by joins and sums; as every text has been counted, the model holds all n-grams that
-can be asked for. It is kept as sorted arrays of hashes with their log-probabilities: as one pair of arrays that all tasks
+Characters are code points, with capitals, digits and some marks taken together. Spark counts the n-grams of all documents
+and makes the modified Kneser-Ney estimates from the counts by joins and sums; as every text has been counted, the model
+holds all n-grams that can be asked for. It is kept as sorted arrays of hashes with their log-probabilities: as one pair of arrays that all tasks
 get, if its size allows that, or as arrays for ranges of hashes, which answer what blocks of documents ask. Each language
 gets a band of log-perplexities from its own quartiles.
 """
@@ -31,25 +31,28 @@ BROADCAST_GRAMS = 4_000_000
 #: A task holds so many n-grams' counts before it adds them up.
 HELD_GRAMS = 1 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+#: What code points are read as: white space, capitals (of Latin, Greek, Cyrillic and Armenian), digits and the symbols that
+#: op5 counts are one character each; all others are themselves.
+_READ_AS = np.array([32 if 9 <= c <= 13 else ord("A") if chr(c).isupper() else ord("0") if 48 <= c <= 57 else ord("#") if c < 128 and c in SYMBOLS else c or 0xFFFD for c in range(0x590)], np.uint32)
 _NO_LANGUAGE = "\0"
 COUNTS = "doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, nll"
 
 
-def code_points(texts: pa.Array, languages: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def code_points(texts: pa.Array, models: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The code points of the texts, each text behind ORDER - 1 spaces; the places of its own; their n-grams' hashes; and
-    where each text's own code points end. White space is a space; null texts are empty.
+    where each text's own code points end. Null texts are empty.
 
-    An n-gram of ORDER ends at its place and belongs to its text's language.
+    An n-gram of ORDER ends at its place and belongs to its text's model.
     """
     texts = pc.fill_null(texts, "")
     sizes = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
     pad = " " * (ORDER - 1)
     points = np.frombuffer("".join([pad + t for t in texts.to_pylist()]).encode("utf-32-le"), np.uint32).copy()
-    points[(points >= 9) & (points <= 13)] = 32
-    points[points == 0] = 0xFFFD
+    low = points < len(_READ_AS)
+    points[low] = _READ_AS[points[low]]
     ends = np.cumsum(sizes)
     at = np.arange(sizes.sum()) + np.repeat((ORDER - 1) * np.arange(1, len(sizes) + 1), sizes)
-    h = np.repeat(word_hashes(languages), sizes)
+    h = np.repeat(word_hashes(models), sizes)
     for k in range(ORDER - 1, -1, -1):
         h *= _GOLD
         h += points[at - k]
@@ -72,28 +75,28 @@ def _tally(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """lang, gram (text of ORDER code points), h (its hash) and n of all n-grams of text by lang."""
+    """model, gram (text of ORDER code points), h (its hash) and n of all n-grams of text by model."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def added() -> tuple:
-            lang, gram, h, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            model, gram, h, n = (np.concatenate(x) for x in zip(*held, strict=True))
             _, at, back = np.unique(h, return_index=True, return_inverse=True)
-            return lang[at], gram[at], h[at], np.bincount(back, weights=n).astype(np.int64)
+            return model[at], gram[at], h[at], np.bincount(back, weights=n).astype(np.int64)
 
         def out() -> pa.RecordBatch:
-            lang, gram, h, n = added()
-            return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(gram.view(f"U{ORDER}")[:, 0].tolist(), pa.string()), pa.array(h.view(np.int64)), pa.array(n)], names=["lang", "gram", "h", "n"])
+            model, gram, h, n = added()
+            return pa.RecordBatch.from_arrays([pa.array(model, pa.string()), pa.array(gram.view(f"U{ORDER}")[:, 0].tolist(), pa.string()), pa.array(h.view(np.int64)), pa.array(n)], names=["model", "gram", "h", "n"])
 
         for whole in batches:
             for x in slices(whole, "text", BATCH_BYTES):
-                points, at, h, ends = code_points(x.column("text"), x.column("lang"))
+                points, at, h, ends = code_points(x.column("text"), x.column("model"))
                 if len(h):
                     one, n = _tally(h)
                     gram = np.stack([points[at[one] - k] for k in range(ORDER - 1, -1, -1)], axis=1)
-                    lang = np.array(x.column("lang").to_pylist(), object)[np.searchsorted(ends, one, side="right")]
-                    held.append((lang, gram, h[one], n))
+                    model = np.array(x.column("model").to_pylist(), object)[np.searchsorted(ends, one, side="right")]
+                    held.append((model, gram, h[one], n))
                     size += len(one)
                 if size > HELD_GRAMS:
                     held = [added()]
@@ -104,8 +107,8 @@ def counted(docs: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    rows = docs.mapInArrow(count, "lang string, gram string, h long, n long")
-    return rows.groupBy("lang", "gram", "h").agg(F.sum("n").alias("n"))
+    rows = docs.mapInArrow(count, "model string, gram string, h long, n long")
+    return rows.groupBy("model", "gram", "h").agg(F.sum("n").alias("n"))
 
 
 def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
@@ -118,29 +121,29 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
 def estimated(grams: DataFrame, order: int = ORDER) -> DataFrame:
     """h and p, the modified Kneser-Ney estimate of an n-gram's last code point behind the others, for all of `grams`.
 
-    Lower orders count how many different code points stand before. Languages are few: one row for each and order is collected.
+    Lower orders count how many different code points stand before. Models are few: one row for each and order is collected.
     """
     levels = {order: grams.withColumnRenamed("n", "c")}
     for k in range(order - 1, 0, -1):
-        fewer = levels[k + 1].groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.count(F.lit(1)).alias("c"))
+        fewer = levels[k + 1].groupBy("model", F.substring("gram", 2, k).alias("gram")).agg(F.count(F.lit(1)).alias("c"))
         levels[k] = stage(fewer)
     below = None
     for k in range(1, order + 1):
         having = [F.count_if(F.col("c") == j).alias(f"n{j}") for j in (1, 2, 3, 4)]
-        rows = levels[k].groupBy("lang").agg(*having, F.count(F.lit(1)).alias("kinds")).collect()
+        rows = levels[k].groupBy("model").agg(*having, F.count(F.lit(1)).alias("kinds")).collect()
         if not rows:
             return grams.select("h", F.lit(0.0).alias("p"))
-        of = F.create_map(*[x for r in rows for x in (F.lit(r.lang), F.array(*map(F.lit, [*_discounts(r.n1, r.n2, r.n3, r.n4), 1 / (r.kinds + 1)])))])[F.col("lang")]
+        of = F.create_map(*[x for r in rows for x in (F.lit(r.model), F.array(*map(F.lit, [*_discounts(r.n1, r.n2, r.n3, r.n4), 1 / (r.kinds + 1)])))])[F.col("model")]
         cut = levels[k].withColumn("d", F.get(of, F.least("c", F.lit(3)).cast("int") - 1)).withColumn("context", F.substring("gram", 1, k - 1))
-        totals = cut.groupBy("lang", "context").agg(F.sum("c").alias("total"), F.sum("d").alias("gone"))
-        joined = cut.join(F.broadcast(totals) if k == 1 else totals, ["lang", "context"])  # one row for each language at first
+        totals = cut.groupBy("model", "context").agg(F.sum("c").alias("total"), F.sum("d").alias("gone"))
+        joined = cut.join(F.broadcast(totals) if k == 1 else totals, ["model", "context"])  # one row for each model at first
         if below is None:
             lower = F.get(of, F.lit(3))
         else:
-            joined = joined.withColumn("shorter", F.substring("gram", 2, k - 1)).join(below.select("lang", F.col("gram").alias("shorter"), F.col("p").alias("below")), ["lang", "shorter"])
+            joined = joined.withColumn("shorter", F.substring("gram", 2, k - 1)).join(below.select("model", F.col("gram").alias("shorter"), F.col("p").alias("below")), ["model", "shorter"])
             lower = F.col("below")
         p = ((F.col("c") - F.col("d")) / F.col("total") + F.col("gone") / F.col("total") * lower).alias("p")
-        below = stage(joined.select("lang", "gram", p) if k < order else joined.select("h", p))
+        below = stage(joined.select("model", "gram", p) if k < order else joined.select("h", p))
     return below
 
 
@@ -199,8 +202,8 @@ def _dup_lines(text: str | None) -> int:
 
 def _measured(t: pa.RecordBatch | pa.Table, lookup: Callable[[np.ndarray], np.ndarray]) -> list[pa.Array]:
     """doc_id, lang and n_bytes as they are, the counts, and nll of some rows."""
-    texts, languages = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (t.column("text"), t.column("lang")))
-    _, _, h, ends = code_points(texts, languages)
+    texts, models = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (t.column("text"), t.column("model")))
+    _, _, h, ends = code_points(texts, models)
     sums = np.diff(np.concatenate([[0], np.cumsum(lookup(h), dtype=np.float64)])[ends], prepend=0)
     raw = pc.fill_null(texts, "").cast(pa.large_binary())
     offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
@@ -217,7 +220,7 @@ def _measured(t: pa.RecordBatch | pa.Table, lookup: Callable[[np.ndarray], np.nd
 
 def measure(rows: DataFrame, model: DataFrame, most: int = BROADCAST_GRAMS) -> DataFrame:
     """doc_id, lang, n_bytes, the counts and nll (the mean negative log-probability of a code point, null without any) of
-    doc_id, text, lang and n_bytes. A model (h, p) of more than `most` n-grams is never sent to a task as a whole."""
+    doc_id, text, lang, model and n_bytes. A model (h, p) of more than `most` n-grams is never sent to a task as a whole."""
     kind = dict(rows.dtypes)["doc_id"]
     fields = f"doc_id {kind}, lang string, n_bytes int, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, nll double"
     names = ["doc_id", "lang", "n_bytes", *COUNTS.split(", ")[1:]]
@@ -237,7 +240,7 @@ def measure(rows: DataFrame, model: DataFrame, most: int = BROADCAST_GRAMS) -> D
 
     def grams_of(payload) -> np.ndarray:
         t = from_bytes(payload)
-        found = [code_points(x.column("text").combine_chunks(), x.column("lang").combine_chunks())[2] for x in slices(t, "text", BATCH_BYTES)]
+        found = [code_points(x.column("text").combine_chunks(), x.column("model").combine_chunks())[2] for x in slices(t, "text", BATCH_BYTES)]
         found = [h[_tally(h)[0]] for h in found if len(h)]
         return np.sort(np.concatenate([np.zeros(0, np.uint64), *found]))
 
@@ -270,19 +273,20 @@ def measure(rows: DataFrame, model: DataFrame, most: int = BROADCAST_GRAMS) -> D
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, fields)
 
 
-def judge(docs: DataFrame, text: str = "text", lang: Column | str = "lang", width: float = 1.0, short: float = 1.5, most: int = BROADCAST_GRAMS) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", lang: Column | str = "lang", width: float = 1.0, short: float = 2.0, model: Column | None = None, most: int = BROADCAST_GRAMS) -> DataFrame:
     """doc_id, the five counts, nll, base_failed and kept for every row of `docs`.
 
     base_failed: fewer than 20 words, or more than 30% of the words stand in 8-word windows that the text repeats. Other
     rows are kept if their mean negative log-probability (log-perplexity) lies in their language's band: from the lower
     quartile to the upper, widened on both sides by `width` times the distance between the quartiles; as the mean of few
     code points varies, `short` by the square root of a text's bytes, about its standard error, is added. Quartiles are
-    over the language's rows that pass the base rules; a null language is one of its own. most: see measure().
+    over the language's rows that pass the base rules; a null language is one of its own. model: whose values have models of
+    their own, one for all texts if not given; most: see measure().
     Null and empty texts have no words. Rows that share a doc_id are judged each by itself; no other column is read.
     """
     lang = F.col(lang) if isinstance(lang, str) else lang
-    rows = docs.select("doc_id", F.col(text).alias("text"), F.coalesce(lang, F.lit(_NO_LANGUAGE)).alias("lang"), F.coalesce(F.octet_length(text), F.lit(0)).alias("n_bytes"))
-    measured = stage(measure(rows, estimated(stage(counted(rows.select("text", "lang")))), most))
+    rows = docs.select("doc_id", F.col(text).alias("text"), F.coalesce(lang, F.lit(_NO_LANGUAGE)).alias("lang"), (F.lit("") if model is None else F.coalesce(model, F.lit(_NO_LANGUAGE))).alias("model"), F.coalesce(F.octet_length(text), F.lit(0)).alias("n_bytes"))
+    measured = stage(measure(rows, estimated(stage(counted(rows.select("text", "model")))), most))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     judged = measured.withColumn("base_failed", failed)
     bands = judged.where("NOT base_failed").groupBy("lang").agg(F.percentile_approx("nll", [0.25, 0.75], 10_000).alias("q"))
