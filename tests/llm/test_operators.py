@@ -327,14 +327,21 @@ def brute_kneser_ney(texts, order=4):
     return {g: x for g, x in p.items() if len(g) == order}
 
 
+def test_code_points_that_are_read_as_one():
+    import pyarrow as pa
+
+    points, at, _, ends = quality.code_points(pa.array(["AbÉ\t19%|é🙂", None, "Жж"]), pa.array(["", "", ""]))
+    assert "".join(map(chr, points[at].tolist())) == "AbA 00##é🙂Aж" and ends.tolist() == [10, 10, 12] and len(points) == 12 + 9
+
+
 def test_kneser_ney(spark, monkeypatch):
     """The estimates, counted and joined by Spark, and each text's mean, against brute force; the same by both ways to ask."""
     rng = random.Random(4)
     texts = {(i, lang): "".join(rng.choice(letters) for _ in range(rng.randrange(0, 400))) for lang, letters in (("en", "aabbcde "), ("th", "กขค ะ"), (None, "zy🙂")) for i in range(8)}
     rows = [(i, t, lang, len(t.encode())) for (i, lang), t in texts.items()]
-    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_bytes int").fillna({"lang": quality._NO_LANGUAGE}).repartition(3)
-    grams = quality.counted(table.select("text", "lang")).cache()
-    found = {(r.lang, r.gram): r.p for r in grams.join(quality.estimated(grams), "h").collect()}
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_bytes int").fillna({"lang": quality._NO_LANGUAGE}).withColumn("model", F.col("lang")).repartition(3)
+    grams = quality.counted(table.select("text", "model")).cache()
+    found = {(r.model, r.gram): r.p for r in grams.join(quality.estimated(grams), "h").collect()}
     expected = {lang: brute_kneser_ney([t for (_, x), t in texts.items() if x == lang]) for lang in ("en", "th", None)}
     assert found == pytest.approx({(lang or quality._NO_LANGUAGE, g): p for lang, of in expected.items() for g, p in of.items()})
     monkeypatch.setattr(quality, "BLOCK_BYTES", 1000)
