@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ripplelog.llm.common import col
+from ripplelog.llm.common import col, release
 
 #: Longer pieces are merged with a heap, in O(n log n), as a fold takes the square of a piece's length.
 LONG = 64
@@ -224,7 +224,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "t
                 past = np.concatenate([[0], np.cumsum(sizes[part])])
                 lists = pa.ListArray.from_arrays(past[rows].astype(np.int32), pa.array(ids_of[_spread(first[part], sizes[part])]))
                 yield pa.RecordBatch.from_arrays([*x.columns, lists], names=[*names, ids])
-            pa.default_memory_pool().release_unused()
+            release()
 
     return docs.mapInArrow(encoded, T.StructType([*schema, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 

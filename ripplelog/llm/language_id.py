@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ripplelog.llm.common import col, few_of_each, unused
+from ripplelog.llm.common import col, few_of_each, release, unused
 from ripplelog.llm.words import slices
 
 ORDERS = (1, 2, 3)
@@ -166,5 +166,6 @@ def identify_language(
                         scores[todo] = np.clip((values.max(axis=1) + 1) / 2, 0, 1)
                     keep = [x.column(x.schema.names.index(n)) for n in names]
                     yield pa.RecordBatch.from_arrays([*keep, pa.array(labels, pa.string()), pa.array(scores)], names=[*names, "lang_pred", "score"])
+            release()
 
     return asked.mapInArrow(score, T.StructType([*docs.select(*map(col, names)).schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ripplelog.llm.common import parts_for, stage, text_bytes
+from ripplelog.llm.common import parts_for, release, stage, text_bytes
 from ripplelog.llm.packed import MESSAGE, MESSAGE_SCHEMA, ask, blocks_of, columns, cut_to_ranges, from_bytes, in_order, message
 from ripplelog.llm.words import mix, slices, split_words, word_hashes
 
@@ -173,6 +173,7 @@ def score_texts(docs: DataFrame, trained: Column, held_out: Column, deleted: Col
         return cut_to_ranges(block, grams, parts, counts)
 
     def answer(group: pa.Table) -> pa.Table:
+        release()
         odd = group.column("block").to_numpy() % 2 == 1
         asked = [columns(p.as_buffer().to_pybytes(), np.uint64, np.int64) for p in group.column("payload")]
         sizes = [len(g) for g, _ in asked]
@@ -202,6 +203,7 @@ def score_texts(docs: DataFrame, trained: Column, held_out: Column, deleted: Col
     counted = answers.select("bucket", "block", "payload")
 
     def counts_of(left: pa.Table, right: pa.Table, odd: bool) -> tuple[Grams, list[np.ndarray]]:
+        release()
         g = Grams.of(from_bytes(left.column("payload")[0].as_buffer()), order, drop)
         _, place = np.unique(g.grams.ravel(), return_inverse=True)
         return g, [x[place].reshape(g.grams.shape) for x in in_order(right, *[np.int64] * (1 + odd))]

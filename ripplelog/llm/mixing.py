@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ripplelog.llm.common import WORD, col, parts_for, stage
+from ripplelog.llm.common import WORD, col, parts_for, release, stage
 from ripplelog.llm.words import slices
 
-BLOCK = 16  # words
+BLOCK = 32  # words
 SHARD = 4096  # slots
 CAP = 3  # times that a word may be taken
 ROWS_A_BUCKET = 4_096
@@ -206,6 +206,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, cap
                     texts.append(text if whole else "\n".join(text[spans[a][0] : spans[b - 1][1]] for a, b in runs))
             taken = x.column("_it").take(pa.array(source_row, pa.int64()))
             yield pa.RecordBatch.from_arrays([taken, pa.array(texts, pa.string())], names=["_it", "text"])
+            release()
 
     mixed = joined.mapInArrow(cut, T.StructType([joined.schema["_it"], T.StructField("text", T.StringType())]))
     size = F.char_length("text").cast(n_chars).alias("n_chars") if n_chars else None

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ripplelog.llm.common import parts_for, stage, text_bytes
+from ripplelog.llm.common import parts_for, release, stage, text_bytes
 from ripplelog.llm.components import components
 from ripplelog.llm.packed import MESSAGE, MESSAGE_SCHEMA, blocks_of, columns, cut_to_ranges, from_bytes, in_order, message
 from ripplelog.llm.words import mix, shingle_sets, slices
@@ -49,6 +49,7 @@ def fingerprints(blocks: DataFrame, n: int) -> DataFrame:
                 s1, s2 = (np.array([mix(s ^ np.uint64(seed)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64) for seed in (0x51ED27, 0xA0761D6478BD642F))
                 columns_ = [pa.array(np.full(len(sets), block)), pa.array(np.arange(len(sets))), t.column("_id").combine_chunks(), pa.array([len(s) for s in sets], pa.int64()), pa.array(s1), pa.array(s2)]
                 yield pa.RecordBatch.from_arrays(columns_, names=["block", "i", "_id", "n_shingles", "s1", "s2"])
+                release()
 
     return blocks.mapInArrow(of, "block long, i long, _id long, n_shingles long, s1 long, s2 long")
 
@@ -103,6 +104,7 @@ def counted(blocks: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes:
         back = np.empty(len(grams), np.uint8)
         back[order] = np.repeat(level, np.diff(np.append(first, len(grams))))
         payloads = pa.array([message(x) for x in np.split(back, cuts)], pa.binary())
+        release()
         return pa.table([group.column("bucket").combine_chunks(), group.column("block").combine_chunks(), payloads], schema=MESSAGE_SCHEMA)
 
     def ordered(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -128,6 +130,7 @@ def counted(blocks: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes:
             out["sketch"].append(cells.astype(np.uint8).view(np.int64) if cells.max() < 256 else None)
             out["prefix"].append(len(s) - least + 1 - (len(s) - k))
             out["grams"].append(key[order].view(np.int64))
+        release()
         return pa.table(out, pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("prefix", pa.int32()), ("sketch", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))]))
 
     texts = blocks.groupBy("block")

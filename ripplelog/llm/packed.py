@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from ripplelog.llm.common import parts_for, stage_path, text_bytes
+from ripplelog.llm.common import parts_for, release, stage_path, text_bytes
 from ripplelog.llm.words import slices
 
 MESSAGE = "bucket int, block long, payload binary"
@@ -88,6 +88,7 @@ def blocks_of(rows: DataFrame, text: str, size: int, order: list[str], apart: st
                         groups[side][0] += pc.sum(pc.binary_length(part.column(text))).as_py() or 0
                         if groups[side][0] >= size:
                             yield flush(side)
+                            release()
         for side in (False, True):
             if len(groups[side]) > 1:
                 yield flush(side)
@@ -116,6 +117,7 @@ def ask(blocks: DataFrame, question: Callable[[int, bytes], pa.Table]) -> DataFr
         for x in batches:
             for block, payload in zip(x.column("block").to_pylist(), x.column("payload"), strict=True):
                 yield from question(block, payload.as_buffer()).combine_chunks().to_batches()
+                release()
 
     return blocks.mapInArrow(asked, MESSAGE)
 
