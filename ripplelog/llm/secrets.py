@@ -41,7 +41,7 @@ FILES = 8 * 16
 OFFSETS = np.cumsum([0, SHAPES, WORDS, WORDS, WORDS, WORDS])
 FEATURES = OFFSETS[-1] + FILES
 #: The columns of a token's features that are about words, and about its shape; what stands for a hidden one.
-WORD_COLUMNS, SHAPE_COLUMNS, NOTHING = [1, 2, 3, 4], [0, 5], int(FEATURES)
+WORD_COLUMNS, FILE_COLUMN, SHAPE_COLUMNS, NOTHING = [1, 2, 3, 4], 5, [0, 5], int(FEATURES)
 BATCH_BYTES = 1 << 20
 
 
@@ -248,7 +248,12 @@ def train(texts: list[str], rounds: int = 45, rate: float = 0.3, longest: int =
     of = np.zeros(n_chains, np.int64)
     of[chain] = tokens.text
     usual = rest[of[rest] >= len(texts)]  # the variants' plain ones, all of them
-    rest = rest[of[rest] < len(texts)]
+    # a line in which a long word mixes letters and digits may hold what the patterns miss: it says nothing
+    shape = tokens.features[:, 0]
+    mixed = (tokens.end - tokens.start >= 16) & (shape >> 3 & 1 > 0) & (shape >> 4 & 3 > 0)
+    unsure = np.zeros(n_chains, bool)
+    unsure[chain[mixed]] = True
+    rest = rest[(of[rest] < len(texts)) & ~unsure[rest]]
     like = rng.permutation(rest[looks[rest]])[:most]
     found = np.flatnonzero(positive)
     picked = np.concatenate([found, usual, like, rng.permutation(np.setdiff1d(rest, like))[:most]])
@@ -256,6 +261,8 @@ def train(texts: list[str], rounds: int = 45, rate: float = 0.3, longest: int =
     row[picked] = np.arange(len(picked))
     mine = np.flatnonzero(row[chain] >= 0)
     r, t, features, y = row[chain[mine]], place[mine] % longest, tokens.features[mine], gold[mine]
+    features = features.copy()
+    features[of[picked][r] >= len(texts), FILE_COLUMN] = NOTHING  # a variant is a line without its file
     again = [(r, t, features, y)]
     seen = np.flatnonzero(of[found] < len(texts))  # the patterns' own
     turn = np.full(len(picked), -1)
