@@ -361,12 +361,19 @@ def orders_layout(spark: SparkSession) -> DataFrame:
     return evolution.first_layouts(server.catalogue(column_catalogue(spark), tables))
 
 
+def orders_history(spark: SparkSession) -> DataFrame:
+    """The layouts of orders along DDL_LOG, written first, as a run does: they are folded once."""
+    folder = new_folder(spark)
+    evolution.history(orders_layout(spark), column_changes(ddl_log(spark).coalesce(1))).coalesce(1).write.parquet(folder)
+    return spark.read.schema(evolution.HISTORY).parquet(folder)
+
+
 @query(
     """SELECT event_id, CASE WHEN event_id < 200 THEN 0 WHEN event_id < 500 THEN 1 ELSE 2 END AS version,
     CASE WHEN event_id < 200 THEN 'id,note,price,paid' WHEN event_id < 500 THEN 'EMAIL,id,price,paid' ELSE 'EMAIL,id,price,paid,RATE' END AS columns FROM events"""
 )
 def layout_asof(spark, sf_dir):
-    layouts = evolution.history(orders_layout(spark), column_changes(ddl_log(spark)))
+    layouts = orders_history(spark)
     # events up to 199 stand before the first statement, up to 499 before the second
     place = F.when(F.col("event_id") < 200, F.struct(F.lit("bin.9").alias("f"), F.lit(100).alias("p"))).when(F.col("event_id") < 500, F.struct(F.lit("bin.10").alias("f"), F.lit(50).alias("p"))).otherwise(F.struct(F.lit("bin.11").alias("f"), F.lit(4).alias("p")))
     log = table(spark, sf_dir, "events").select("event_id", place.alias("at")).select("event_id", F.lit("shop").alias("schema_name"), F.lit("orders").alias("table_name"), F.col("at.f").alias("log_file"), F.col("at.p").cast("long").alias("log_pos"))
@@ -512,7 +519,7 @@ def layout_mismatch(spark, sf_dir):
     row = F.struct(F.col("event_id").alias("id"), F.when(F.col("event_id") < 500, 1.5).alias("rate"), F.when(F.col("event_id") % 2 == 0, "x").alias("note"))
     place = F.when(F.col("event_id") < 200, F.struct(F.lit("bin.9").alias("f"), F.lit(100).alias("p"))).when(F.col("event_id") < 500, F.struct(F.lit("bin.10").alias("f"), F.lit(50).alias("p"))).otherwise(F.struct(F.lit("bin.11").alias("f"), F.lit(4).alias("p")))
     log = table(spark, sf_dir, "events").select("event_id", F.lit("shop").alias("schema_name"), F.lit("orders").alias("table_name"), place["f"].alias("log_file"), place["p"].cast("long").alias("log_pos"), F.lit(None).cast("struct<id: bigint, rate: double, note: string>").alias("before"), row.alias("after"))
-    return evolution.mismatches(log, evolution.history(orders_layout(spark), column_changes(ddl_log(spark)))).select("event_id", "version")
+    return evolution.mismatches(log, orders_history(spark)).select("event_id", "version")
 
 
 def _run_tables(spark: SparkSession, sf_dir: str) -> tuple[Stream, DataFrame, DataFrame]:
