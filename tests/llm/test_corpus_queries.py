@@ -10,6 +10,7 @@ import duckdb
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from test_conversations import conversations
 from test_operators import A_Z, DOCS, SPLIT, brute_components, brute_spans, corpus
 
 import corpus_pipeline
@@ -35,13 +36,14 @@ def folder(spark, rows, tmp_path_factory):
     rng = random.Random(2)
     vectors = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(120)] + [(200, None), (250, [0.0] * 8), (300, [float("nan")] * 8)]
     spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{path}/embeddings.parquet")
+    spark.createDataFrame(conversations(), "conv_id long, turn long, role string, text string").repartition(3).write.parquet(f"{path}/conversations.parquet")
     return path
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, folder, name):
     found, db = QUERIES[name](spark, folder), duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet/*.parquet')")
     expected = db.execute(ORACLE_SQL[name])
     names = [d[0] for d in expected.description]
