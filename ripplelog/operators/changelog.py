@@ -34,20 +34,23 @@ def small(rows: DataFrame, most: int = BROADCAST) -> DataFrame:
     return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 
-def _listed(pairs: DataFrame) -> Column | None:
-    """Whether an event is of one of the pairs, as a plain filter; None if there are too many for one."""
-    found = pairs.limit(FILTERED + 1).collect()
-    if len(found) > FILTERED:
-        return None
+def one_of(pairs: Iterable[tuple[str, str]]) -> Column:
+    """Whether an event is of one of the pairs (schema, table), as a plain filter that reaches the scan."""
     of: dict[str, list[str]] = {}
-    for r in found:
-        of.setdefault(r.schema_name, []).append(r.table_name)
+    for schema, table in pairs:
+        of.setdefault(schema, []).append(table)
     out = F.lit(False)
     for schema, tables in of.items():
         out = out | ((F.col("schema_name") == schema) & F.col("table_name").isin(*tables))
     return out
 
 
+def _listed(pairs: DataFrame) -> Column | None:
+    """one_of the rows of `pairs`; None if there are too many for a filter."""
+    found = pairs.limit(FILTERED + 1).collect()
+    return None if len(found) > FILTERED else one_of((r.schema_name, r.table_name) for r in found)
+
+
 def _pairs(tables: DataFrame) -> DataFrame:
     return tables.select("schema_name", "table_name").distinct().where("schema_name IS NOT NULL AND table_name IS NOT NULL")
 
@@ -74,7 +77,7 @@ def differs(names: Iterable[str], before: str = "before", after: str = "after")
     return out
 
 
-def _known(columns: Iterable[str], wanted: Iterable[str]) -> list[str]:
+def known(columns: Iterable[str], wanted: Iterable[str]) -> list[str]:
     lower = {w.lower() for w in wanted}
     return [c for c in columns if c.lower() in lower]
 
@@ -82,12 +85,18 @@ def _known(columns: Iterable[str], wanted: Iterable[str]) -> list[str]:
 def relevant(log: DataFrame, watch: Iterable[str] = (), ignore: Iterable[str] = ()) -> DataFrame:
     """Drops updates that change nothing of interest: with `ignore`, those in ignored columns alone; else with `watch`,
     those in no watched column. `ignore` comes first if both are given. Names match in any case."""
-    columns = log.schema["after"].dataType.names
-    if ignored := _known(columns, ignore):
-        return log.where((F.col("op") != "update") | differs([c for c in columns if c not in ignored]))
-    if watched := _known(columns, watch):
-        return log.where((F.col("op") != "update") | differs(watched))
-    return log
+    of_interest = interest(log.schema["after"].dataType.names, watch, ignore)
+    return log if of_interest is None else log.where(of_interest)
+
+
+def interest(columns: Iterable[str], watch: Iterable[str] = (), ignore: Iterable[str] = ()) -> Column | None:
+    """The condition that relevant() filters by; None if everything is of interest."""
+    columns = list(columns)
+    if ignored := known(columns, ignore):
+        return (F.col("op") != "update") | differs([c for c in columns if c not in ignored])
+    if watched := known(columns, watch):
+        return (F.col("op") != "update") | differs(watched)
+    return None
 
 
 def system_columns(synced_at: str, deleted: Column, changed_s: Column, read_us: int) -> list[Column]:
@@ -102,7 +111,7 @@ def records(log: DataFrame, synced_at: str, read_us: int, desired: Iterable[str]
     given as emit_delete_on_key_change it is marked deleted.
     """
     names = log.schema["after"].dataType.names
-    names = _known(names, desired) or names
+    names = known(names, desired) or names
     at = F.timestamp_seconds("ts_s")
     events = of_kinds(log)
     if key := list(emit_delete_on_key_change):

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import asdict, dataclass, replace
+from collections.abc import Iterable, Iterator
+from dataclasses import astuple, dataclass, replace
+from itertools import groupby
 
+from pyspark.sql import Column as Col
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplelog.functions.ddl import Change
-from ripplelog.operators.changelog import file_number, small
+from ripplelog.operators.changelog import BROADCAST, file_number, small
 
 
 class LayoutError(Exception):
@@ -28,44 +30,84 @@ class Column:
 Layout = tuple[Column, ...]
 
 
-def _place(layout: Layout, name: str) -> int | None:
-    return next((i for i, c in enumerate(layout) if c.name.upper() == name.upper()), None)
-
-
-def drop_column(layout: Layout, change: Change) -> Layout:
-    i = _place(layout, change.column_name)
-    if i is None:
-        raise LayoutError(f"{change.table_name}: column {change.column_name} is to be dropped but isn't there")
-    return layout[:i] + layout[i + 1 :]
-
-
-def add_column(layout: Layout, change: Change, server: Layout = ()) -> Layout:
-    """The column first, behind another, or last. The server's present definition is taken if it has the column, else
-    what the statement says. A column that is already there stays as it is."""
-    if not layout:
-        raise LayoutError(f"{change.table_name}: there is no layout to add {change.column_name} to")
-    if _place(layout, change.column_name) is not None:
-        return layout
-    known = _place(server, change.column_name)
-    new = Column(change.column_name, (change.data_type or "").lower(), change.column_key or "", change.charset_name, change.collation)
-    new = replace(server[known] if known is not None else new, name=change.column_name.upper())
-    if change.first_position:
-        return (new, *layout)
-    if change.after_column is None:
-        return (*layout, new)
-    i = _place(layout, change.after_column)
-    if i is None:
-        raise LayoutError(f"{change.table_name}: {change.column_name} is to follow {change.after_column}, which isn't there")
-    return (*layout[: i + 1], new, *layout[i + 1 :])
+class _Place:
+    """A column's place in its table: it has the same neighbours as long as it is there."""
+
+    __slots__ = ("column", "since", "until", "next")
+
+    def __init__(self, column: Column | None, since: int):
+        self.column, self.since, self.until, self.next = column, since, None, None
+
+
+class Evolving:
+    """A table's columns along its statements. Columns never change places with each other, so all that ever were are one
+    list in order, each with the versions from and up to which it is there: space and time follow the statements."""
+
+    def __init__(self, table: str, layout: Iterable[Column]):
+        self.table, self.version, self.head = table, 0, _Place(None, 0)
+        self.last, self.live = self.head, {}
+        for c in layout:
+            self._insert(self.last, c)
+
+    def _insert(self, before: _Place, column: Column) -> None:
+        new = _Place(column, self.version)
+        new.next, before.next = before.next, new
+        if before is self.last:
+            self.last = new
+        self.live.setdefault(column.name.upper(), new)
+
+    def drop(self, change: Change) -> None:
+        place = self.live.pop(change.column_name.upper(), None)
+        if place is None:
+            raise LayoutError(f"{change.table_name}: column {change.column_name} is to be dropped but isn't there")
+        place.until = self.version
+
+    def add(self, change: Change, server: dict[str, Column]) -> None:
+        """The column first, behind another, or last. The server's present definition is taken if it has the column, else
+        what the statement says. A column that is already there stays as it is."""
+        if not self.live:
+            raise LayoutError(f"{change.table_name}: there is no layout to add {change.column_name} to")
+        name = change.column_name.upper()
+        if name in self.live:
+            return
+        said = Column(name, (change.data_type or "").lower(), change.column_key or "", change.charset_name, change.collation)
+        new = replace(server.get(name, said), name=name)
+        if change.first_position:
+            self._insert(self.head, new)
+        elif change.after_column is None:
+            self._insert(self.last, new)
+        elif (place := self.live.get(change.after_column.upper())) is None:
+            raise LayoutError(f"{change.table_name}: {change.column_name} is to follow {change.after_column}, which isn't there")
+        else:
+            self._insert(place, new)
+
+    def apply(self, changes: Iterable[Change], server: dict[str, Column]) -> None:
+        """One statement, and so the next version."""
+        self.version += 1
+        for c in changes:
+            if c.type == "DROP":
+                self.drop(c)
+            else:
+                self.add(c, server)
+
+    def places(self) -> Iterator[_Place]:
+        place = self.head.next
+        while place is not None:
+            yield place
+            place = place.next
 
 
 def apply(layout: Layout, changes: Iterable[Change], server: Layout = ()) -> Layout:
-    for c in changes:
-        layout = drop_column(layout, c) if c.type == "DROP" else add_column(layout, c, server)
-    return layout
+    """The layout after a statement."""
+    table = Evolving("", layout)
+    table.apply(changes, {c.name.upper(): c for c in server})
+    return tuple(p.column for p in table.places() if p.until is None)
 
 
-HISTORY = "schema_name string, table_name string, log_file string, log_pos long, version int, columns array<string>, layout array<struct<name: string, column_type: string, key: string, charset: string, collation: string>>"
+#: A row for each version (place is null), and one for each column with the versions from which and up to which it is there.
+HISTORY = "schema_name string, table_name string, version int, log_file string, log_pos long, until int, place int, name string, column_type string, key string, charset string, collation string"
+#: One row for each version with all its columns.
+LAYOUTS = "schema_name string, table_name string, version int, columns array<string>, layout array<struct<name: string, column_type: string, key: string, charset: string, collation: string>>"
 
 
 def first_layouts(catalogue: DataFrame) -> DataFrame:
@@ -79,7 +121,8 @@ def first_layouts(catalogue: DataFrame) -> DataFrame:
 
 
 def history(start: DataFrame, changes: DataFrame, server: DataFrame | None = None) -> DataFrame:
-    """The layouts of every table of `start`: version 0 at log_pos -1, and a further one after each statement, in log order.
+    """What every table of `start` looked like, as HISTORY: version 0 at log_pos -1, and a further one after each statement,
+    in log order; a column is a row, however many versions it is in. layouts() has whole layouts.
 
     start: schema_name, table_name and layout; changes: what column_changes finds in DDL events with log_file, log_pos and
     row_idx. server: present layouts; tables that `start` doesn't know begin with theirs, and columns that a statement adds
@@ -89,7 +132,7 @@ def history(start: DataFrame, changes: DataFrame, server: DataFrame | None = Non
     first = start.select(*key, "schema_name", "table_name", "layout", F.lit(0).alias("rank"))
     if server is not None:
         first = first.union(server.select(*key, "schema_name", "table_name", "layout", F.lit(1).alias("rank")))
-    said = changes.select(F.lower("change.schema_name").alias("s"), F.lower("change.table_name").alias("t"), "log_file", "log_pos", F.col("row_idx").cast("double").alias("row_idx"), file_number(F.col("log_file")).alias("no"), "change")
+    said = changes.select(F.lower("change.schema_name").alias("s"), F.lower("change.table_name").alias("t"), "log_file", "log_pos", F.col("row_idx").cast("double").alias("row_idx"), F.coalesce(file_number(F.col("log_file")), F.lit(-1)).alias("no"), "change")
 
     def fold(left, right):
         import pyarrow as pa
@@ -97,18 +140,17 @@ def history(start: DataFrame, changes: DataFrame, server: DataFrame | None = Non
         known = sorted(left.to_pylist(), key=lambda r: r["rank"])
         out = []
         if known:
-            layout, now = (tuple(Column(**c) for c in known[i]["layout"]) for i in (0, -1))
             named = known[0]["schema_name"], known[0]["table_name"]
-            out.append((*named, None, -1, 0, layout))
-            rows = sorted(right.to_pylist(), key=lambda r: (r["no"] or -1, r["log_pos"], r["row_idx"], r["change"]["n"]))
-            for at in dict.fromkeys((r["log_file"], r["log_pos"], r["row_idx"]) for r in rows):
-                mine = [Change(**{k: v for k, v in r["change"].items() if k != "n"}) for r in rows if (r["log_file"], r["log_pos"], r["row_idx"]) == at]
-                layout = apply(layout, mine, now if known[-1]["rank"] else ())
-                out.append((*named, at[0], at[1], len(out), layout))
-        columns = [list(x) for x in zip(*out, strict=True)] or [[] for _ in range(6)]
-        names = [[c.name for c in v] for v in columns[5]]
-        layouts = [[asdict(c) for c in v] for v in columns[5]]
-        return pa.table([pa.array(x, t) for x, t in zip((*columns[:5], names, layouts), kinds, strict=True)], names=fields)
+            table = Evolving(named[1], [Column(**c) for c in known[0]["layout"]])
+            now = {c["name"].upper(): Column(**c) for c in known[-1]["layout"]} if known[-1]["rank"] else {}
+            out.append((*named, 0, None, -1, *[None] * 7))
+            place = lambda r: (r["no"], r["log_file"], r["log_pos"], r["row_idx"])
+            for (_, log_file, log_pos, _), rows in groupby(sorted(right.to_pylist(), key=lambda r: (*place(r), r["change"]["n"])), place):
+                table.apply([Change(**{k: v for k, v in r["change"].items() if k != "n"}) for r in rows], now)
+                out.append((*named, table.version, log_file, log_pos, *[None] * 7))
+            out += [(*named, p.since, None, None, p.until, i, *astuple(p.column)) for i, p in enumerate(table.places())]
+        columns = zip(*out, strict=True) if out else [[]] * len(fields)
+        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=fields)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -118,32 +160,96 @@ def history(start: DataFrame, changes: DataFrame, server: DataFrame | None = Non
     return first.groupBy("s", "t").cogroup(said.groupBy("s", "t")).applyInArrow(fold, HISTORY)
 
 
-def as_of(events: DataFrame, layouts: DataFrame) -> DataFrame:
-    """events with the version and columns of the layout that held at their position.
+def versions(held: DataFrame) -> DataFrame:
+    """schema_name, table_name, version, log_file and log_pos of a HISTORY: where each version begins."""
+    return held.where("place IS NULL").select("schema_name", "table_name", "version", "log_file", "log_pos")
+
+
+def layouts(held: DataFrame, wanted: DataFrame) -> DataFrame:
+    """LAYOUTS of the versions in `wanted` (schema_name, table_name, version): what is asked for, in space and time."""
+    v = wanted.select("schema_name", "table_name", "version").distinct().alias("v")
+    c = held.where("place IS NOT NULL").alias("c")
+    there = (F.col("v.version") >= F.col("c.version")) & (F.col("c.until").isNull() | (F.col("v.version") < F.col("c.until")))
+    met = v.join(c, (F.col("v.schema_name") == F.col("c.schema_name")) & (F.col("v.table_name") == F.col("c.table_name")) & there, "left")
+    column = F.struct("c.place", F.struct(*[F.col(f"c.{n}") for n in ("name", "column_type", "key", "charset", "collation")]).alias("it"))
+    found = met.groupBy("v.schema_name", "v.table_name", "v.version").agg(F.array_sort(F.collect_list(F.when(F.col("c.place").isNotNull(), column))).alias("of"))
+    return found.select("schema_name", "table_name", "version", F.transform("of", lambda x: x["it"]["name"]).alias("columns"), F.transform("of", lambda x: x["it"]).alias("layout"))
+
+
+#: A table with more versions than this is not compared with each of its events.
+COMPARED = 100
+#: Of so many versions all layouts are made, without looking which ones are met.
+WHOLE = 1_000
 
-    Each layout holds from its position up to the next one's, so that the join finds one for every event. A statement's
-    own position still has the layout before it. Layouts are broadcast if there are few of them.
+
+def as_of(events: DataFrame, held: DataFrame, window: bool | None = None) -> DataFrame:
+    """events with the version of the layout (HISTORY) that held at their position; null for tables without one.
+
+    Each version holds from its position up to the next one's, so that every event finds one. A statement's own position
+    still has the layout before it. Short histories are broadcast and joined by range. Where there are many versions in all
+    or of a table, and with window=True, events and versions are put in order instead, see as_of_by_window.
     """
+    begins = versions(held)
+    if window is None:
+        counts = begins.groupBy("schema_name", "table_name").count().agg(F.sum("count").alias("n"), F.max("count").alias("most")).first()
+        window = (counts["n"] or 0) > BROADCAST or (counts["most"] or 0) > COMPARED
+    if window:
+        return as_of_by_window(events, begins)
     w = Window.partitionBy("schema_name", "table_name").orderBy("version")
-    at = F.struct(F.coalesce(file_number(F.col("log_file")), F.lit(-1)).alias("no"), F.col("log_pos").alias("pos"))
-    held = layouts.select("schema_name", "table_name", "version", "columns", at.alias("_from")).withColumn("_to", F.lead("_from").over(w))
-    held = small(held).alias("h")
-    e = events.withColumn("_at", F.struct(file_number(F.col("log_file")).alias("no"), F.col("log_pos").alias("pos"))).alias("e")
-    c = F.col
+    at = F.struct(_number().alias("no"), F.col("log_pos").alias("pos"))
+    begins = F.broadcast(begins.select("schema_name", "table_name", "version", at.alias("_from")).withColumn("_to", F.lead("_from").over(w))).alias("h")
+    e, c = events.withColumn("_at", at).alias("e"), F.col
     on = (c("e.schema_name") == c("h.schema_name")) & (c("e.table_name") == c("h.table_name")) & (c("e._at") > c("h._from")) & (c("h._to").isNull() | (c("e._at") <= c("h._to")))
-    return e.join(held, on, "left").select(*[c(f"e.`{n}`") for n in events.columns], "h.version", "h.columns")
-
-
-def mismatches(events: DataFrame, layouts: DataFrame) -> DataFrame:
-    """Events that have a value in a column which the table's layout didn't have at their position: the log and the layout
-    are not of the same time. Events of tables without a layout are left out."""
-    kept = as_of(events, layouts).where("columns IS NOT NULL")
-    upper = F.transform("columns", F.upper)
-    wrong = F.lit(False)
-    for name in events.schema["after"].dataType.names:
-        value = F.coalesce(F.col(f"after.`{name}`").cast("string"), F.col(f"before.`{name}`").cast("string"))
-        wrong = wrong | (value.isNotNull() & ~F.array_contains(upper, name.upper()))
-    return kept.where(wrong).select(*events.columns, "version")
+    return e.join(begins, on, "left").select(*[c(f"e.`{n}`") for n in events.columns], "h.version")
+
+
+def _number() -> Col:
+    return F.coalesce(file_number(F.col("log_file")), F.lit(-1))
+
+
+def as_of_by_window(events: DataFrame, begins: DataFrame) -> DataFrame:
+    """as_of for histories of any length: no range join, and no table's events are one task's.
+
+    Events are windows of their own for each table and log file. In a file's window, events and the versions that begin
+    there are in order of their position, and each event has the last version before it. The version that a file starts with
+    comes from a second window for each table, over its files and versions alone, and is joined by table and file.
+    """
+    key = ["schema_name", "table_name"]
+    names = events.columns
+    rows = events.select(*key, _number().alias("_no"), F.col("log_pos").alias("_pos"), F.lit(0).alias("_kind"), F.lit(None).cast("int").alias("_version"), F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"))
+    marks = begins.select(*key, _number().alias("_no"), F.col("log_pos").alias("_pos"), F.lit(1).alias("_kind"), F.col("version").alias("_version"), F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"))
+    before = lambda by, order: F.max("_version").over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    files = rows.select(*key, "_no").distinct().select(*key, "_no", F.lit(0).alias("_kind"), F.lit(None).cast("int").alias("_version"))
+    files = files.union(marks.select(*key, "_no", "_kind", "_version")).withColumn("_first", before(key, ["_no", "_kind", "_version"])).where("_kind = 0").select(*key, "_no", "_first")
+    placed = rows.union(marks).withColumn("_version", before([*key, "_no"], ["_pos", "_kind", "_version"])).where("_kind = 0")
+    met = placed.join(files, [*key, "_no"])
+    return met.select(*[F.col("_row")[n].alias(n) for n in names], F.coalesce("_version", "_first").alias("version"))
+
+
+def with_columns(placed: DataFrame, held: DataFrame) -> DataFrame:
+    """What as_of returns, with the columns of each row's version: of all versions if they are few, else of those met."""
+    begins = versions(held)
+    wanted = begins if begins.limit(WHOLE + 1).count() <= WHOLE else placed.where("version IS NOT NULL")
+    found = layouts(held, wanted).select("schema_name", "table_name", "version", "columns")
+    return placed.join(small(found), ["schema_name", "table_name", "version"], "left")
+
+
+def mismatches(events: DataFrame, held: DataFrame) -> DataFrame:
+    """Events that have a value in a column which the table's layout (HISTORY) didn't have at their position: the log and the
+    layout are not of the same time. Events of tables without a layout are left out. events: before and after."""
+    there = lambda n: F.col(f"after.`{n}`").isNotNull() | F.col(f"before.`{n}`").isNotNull()
+    return _mismatches(events, F.array_compact(F.array(*[F.when(there(n), n.upper()) for n in events.schema["after"].dataType.names])), held)
+
+
+def read_mismatches(read: DataFrame, held: DataFrame) -> DataFrame:
+    """mismatches of a table's rows as operators.fanout has read them: image, and the names of columns in the one before."""
+    now = F.array_compact(F.array(*[F.when(F.col(f"image.`{n}`").isNotNull(), n.upper()) for n in read.schema["image"].dataType.names]))
+    return _mismatches(read, F.array_union(now, F.transform("_also", F.upper)), held)
+
+
+def _mismatches(events: DataFrame, filled: Col, held: DataFrame) -> DataFrame:
+    kept = with_columns(as_of(events.withColumn("_filled", filled), held), held).where("columns IS NOT NULL")
+    return kept.where(F.size(F.array_except("_filled", F.transform("columns", F.upper))) > 0).select(*events.columns, "version")
 
 
 def schema_changes(changes: DataFrame) -> DataFrame:

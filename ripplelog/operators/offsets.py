@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ripplelog.operators.changelog import file_number
@@ -44,7 +47,34 @@ def verify(bookmarks: DataFrame, files: DataFrame) -> None:
         raise ValueError(f"bookmarks stand behind the end of a file: {wrong}")
 
 
+#: A log staged with this column has its files' numbers, so that positions are filters that reach the scan.
+NUMBER = "file_no"
+
+
+def number(log: DataFrame) -> Column:
+    """The number of a row's log file: the stored one, or what its name says."""
+    return F.col(NUMBER) if NUMBER in log.columns else file_number(F.col("log_file"))
+
+
+def number_of(log_file: str) -> int:
+    digits = re.search(r"(\d+)$", log_file)
+    if digits is None:
+        raise ValueError(f"no number at the end of the log file's name {log_file!r}")
+    return int(digits[1])
+
+
 def pending(log: DataFrame, log_file: str, log_pos: int) -> DataFrame:
     """The events of a log from a position on."""
-    no = file_number(F.lit(log_file))
-    return log.where((file_number(F.col("log_file")) > no) | ((file_number(F.col("log_file")) == no) & (F.col("log_pos") >= log_pos)))
+    no = number(log)
+    return log.where((no > number_of(log_file)) | ((no == number_of(log_file)) & (F.col("log_pos") >= log_pos)))
+
+
+def until(log: DataFrame, log_file: str, log_pos: int) -> DataFrame:
+    """The events of a log before a position: what stands at it is the next run's."""
+    no = number(log)
+    return log.where((no < number_of(log_file)) | ((no == number_of(log_file)) & (F.col("log_pos") < log_pos)))
+
+
+def least(bookmarks: Iterable[tuple[str, int]]) -> tuple[str, int]:
+    """The first of (log_file, log_pos), files by number."""
+    return min(bookmarks, key=lambda b: (number_of(b[0]), b[1]))

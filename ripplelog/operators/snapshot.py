@@ -59,10 +59,37 @@ def is_resumable(schema: T.StructType, key: Iterable[str]) -> bool:
     return bool(key) and all(isinstance(schema[k].dataType, RESUMABLE) for k in key)
 
 
-def key_ranges(table: DataFrame, key: str, parts: int) -> DataFrame:
-    """part, low and high: ranges of a numeric key for reading, and for marking, one by one."""
-    cuts = F.percentile_approx(key, [i / parts for i in range(parts + 1)], 10_000)
-    return table.agg(cuts.alias("c")).select(F.posexplode(F.transform(F.sequence(F.lit(0), F.size("c") - 2), lambda i: F.struct(F.get("c", i).alias("low"), F.get("c", i + 1).alias("high")))).alias("part", "r")).select("part", "r.low", "r.high")
+#: So many keys are sampled for each range that is to be cut.
+SAMPLED = 200
+
+
+def key_cuts(table: DataFrame, key: Iterable[str], parts: int, seed: int = 7) -> list[dict[str, str]]:
+    """Up to parts - 1 different keys, in order, that cut the table into ranges of about as many rows each.
+
+    Keys are tuples of any types that have an order; values are texts that cast back to them. The cuts come from a sample of
+    some SAMPLED keys for each range, ordered as tuples, so what is sent here is bounded by `parts` alone."""
+    key = list(key)
+    rows = table.count()
+    if parts < 2 or rows < 2:
+        return []
+    keys = table.select(*key)
+    keys = keys if rows <= parts * SAMPLED else keys.sample(min(1.0, 1.2 * parts * SAMPLED / rows), seed)
+    ordered = keys.distinct().orderBy(*key).select(*[F.col(k).cast("string").alias(k) for k in key])
+    found = [r.asDict() for r in ordered.limit(4 * parts * SAMPLED).collect()]
+    at = sorted({len(found) * i // parts for i in range(1, parts)} - {0})
+    return [found[i - 1] for i in at]
+
+
+def up_to(table: DataFrame, high: Mapping[str, object] | None) -> DataFrame:
+    """The rows up to a key and with it, spelled out as (a < x) OR (a = x AND b <= y); all of them without one."""
+    if high is None:
+        return table
+    keys, steps = list(high), []
+    for i, k in enumerate(keys):
+        equal = [F.col(p) == _typed(table, p, high[p]) for p in keys[:i]]
+        last = F.col(k) <= _typed(table, k, high[k]) if i == len(keys) - 1 else F.col(k) < _typed(table, k, high[k])
+        steps.append(reduce(Column.__and__, [*equal, last]))
+    return table.where(reduce(Column.__or__, steps))
 
 
 def since_bookmark(table: DataFrame, replication_key: str, bookmark: object | None) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 METHODS = ("FULL_TABLE", "INCREMENTAL", "LOG_BASED")
 BOOKMARK_KEYS = {
     "LOG_BASED": {"log_file", "log_pos", "version"},
-    "FULL_TABLE": {"last_pk_fetched", "max_pk_values", "version", "initial_full_table_complete"},
+    "FULL_TABLE": {"last_pk_fetched", "max_pk_values", "snapshot", "version", "initial_full_table_complete"},
     "INCREMENTAL": {"replication_key", "replication_key_value", "version"},
 }
 

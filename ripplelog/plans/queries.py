@@ -15,7 +15,8 @@ from ripplelog.plans.catalog import State, Stream, route, should_sync
 from ripplelog.plans.run import run
 from ripplelog.sources import sinks
 from ripplelog.sources.sinks import base_types
-from ripplelog.streaming.catchup import VersionedTable, catch_up
+from ripplelog.sources.versions import VersionedTable
+from ripplelog.streaming.catchup import catch_up
 
 SYNCED = "2024-02-01 00:00:00.000000"
 
@@ -362,7 +363,7 @@ def orders_layout(spark: SparkSession) -> DataFrame:
 
 
 def orders_history(spark: SparkSession) -> DataFrame:
-    """The layouts of orders along DDL_LOG, written first, as a run does: they are folded once."""
+    """What orders looked like along DDL_LOG, written first, as a run does: statements are folded once."""
     folder = new_folder(spark)
     evolution.history(orders_layout(spark), column_changes(ddl_log(spark).coalesce(1))).coalesce(1).write.parquet(folder)
     return spark.read.schema(evolution.HISTORY).parquet(folder)
@@ -377,7 +378,7 @@ def layout_asof(spark, sf_dir):
     # events up to 199 stand before the first statement, up to 499 before the second
     place = F.when(F.col("event_id") < 200, F.struct(F.lit("bin.9").alias("f"), F.lit(100).alias("p"))).when(F.col("event_id") < 500, F.struct(F.lit("bin.10").alias("f"), F.lit(50).alias("p"))).otherwise(F.struct(F.lit("bin.11").alias("f"), F.lit(4).alias("p")))
     log = table(spark, sf_dir, "events").select("event_id", place.alias("at")).select("event_id", F.lit("shop").alias("schema_name"), F.lit("orders").alias("table_name"), F.col("at.f").alias("log_file"), F.col("at.p").cast("long").alias("log_pos"))
-    return evolution.as_of(log, layouts).select("event_id", "version", F.array_join("columns", ",").alias("columns"))
+    return evolution.with_columns(evolution.as_of(log, layouts), layouts).select("event_id", "version", F.array_join("columns", ",").alias("columns"))
 
 
 @query("SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -509,8 +510,11 @@ def layouts_of_many_tables(spark, sf_dir):
     null = F.lit(None).cast("string")
     identity = F.struct(F.lit("ID").alias("name"), F.lit("int").alias("column_type"), F.lit("PRI").alias("key"), null.alias("charset"), null.alias("collation"))
     start = events.select(F.lit("s").alias("schema_name"), F.concat(F.lit("u"), "user_id").alias("table_name"), F.array(identity).alias("layout")).distinct()
-    found = evolution.history(start, column_changes(said)).where("version > 0")
-    return found.select("table_name", "version", "log_pos", F.array_join("columns", ",").alias("columns"))
+    folder = new_folder(spark)
+    evolution.history(start, column_changes(said)).write.parquet(folder)
+    held = spark.read.schema(evolution.HISTORY).parquet(folder)
+    begins = evolution.versions(held).where("version > 0")
+    return evolution.layouts(held, begins).join(begins, ["schema_name", "table_name", "version"]).select("table_name", "version", "log_pos", F.array_join("columns", ",").alias("columns"))
 
 
 @query("SELECT event_id, CASE WHEN event_id < 200 THEN 0 WHEN event_id < 500 THEN 1 ELSE 2 END AS version FROM events WHERE event_id < 500 OR event_id % 2 = 0")

@@ -61,6 +61,12 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """A folder with all that is in it, if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):

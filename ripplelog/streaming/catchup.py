@@ -10,47 +10,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from ripplelog.operators.latest import latest
-from ripplelog.sources.sinks import read_text, write_text
-
-
-class VersionedTable:
-    """A table of Parquet versions in a folder, with a pointer to the present one."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _pointer(self) -> str:
-        return f"{self.path}/CURRENT"
-
-    def version(self) -> int | None:
-        text = read_text(self.spark, self._pointer())
-        return int(text.split()[0]) if text else None
-
-    def previous(self) -> int | None:
-        text = read_text(self.spark, self._pointer())
-        return int(text.split()[1]) if text and len(text.split()) > 1 else None
-
-    def read(self, version: int | None = None) -> DataFrame | None:
-        version = self.version() if version is None else version
-        return None if version is None else self.spark.read.parquet(f"{self.path}/v={version}")
-
-    def write(self, rows: DataFrame, version: int) -> None:
-        """Writes the version and points to it. The one before stays, so that a repeated batch can start from it."""
-        now = self.version()
-        before = self.previous() if now == version else now
-        rows.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        write_text(self.spark, self._pointer(), f"{version}" if before is None else f"{version} {before}")
-
-    def upsert(self, changes: DataFrame, version: int, key: Iterable[str], order: Column) -> None:
-        """The latest rows of the version before and of the changes; the same again if this version was written before."""
-        key, now = list(key), self.version()
-        base = self.previous() if now == version else now
-        newest = latest(changes, key, order)
-        if base is not None:
-            newest = latest(self.read(base).unionByName(newest, allowMissingColumns=True), key, order)
-        self.write(newest, version)
-
+from ripplelog.sources.versions import VersionedTable
 
 def catch_up(
     spark: SparkSession, source: str, schema, target: VersionedTable, checkpoint: str, key: Iterable[str], order: Callable[[], Column], rows: Callable[[DataFrame], DataFrame] = lambda x: x, files_a_batch: int = 100

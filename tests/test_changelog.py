@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ripplelog.operators import changelog, latest, offsets, snapshot
-from ripplelog.streaming.catchup import VersionedTable, append, catch_up
+from ripplelog.sources.versions import VersionedTable
+from ripplelog.streaming.catchup import append, catch_up
 
 ROW = "struct<id: int, a: string, b: int, c: int>"
 SCHEMA = f"log_file string, log_pos long, row_idx int, ts_s long, schema_name string, table_name string, op string, before {ROW}, after {ROW}, ddl string"

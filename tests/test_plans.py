@@ -212,7 +212,7 @@ def test_lists_of_tables_are_filters_and_layouts_are_broadcast(spark, tmp_path):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert kept.count() == 2 and "Join" not in plan and "PushedFilters: []" not in plan
     assert tuple(changelog.saved_and_skipped(log, pairs).first()) == (2, 8)
-    held = spark.createDataFrame([("s", "t1", None, -1, 0, ["id"], None)], evolution.HISTORY)
+    held = spark.createDataFrame([("s", "t1", 0, None, -1, *[None] * 7)], evolution.HISTORY)
     plan = evolution.as_of(log, held)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
