@@ -109,3 +109,49 @@ def date_chunks(start: Column, end: Column, days: int) -> Column:
     """Arrays of (start, end): the range in pieces of so many days, the last one shorter."""
     firsts = F.sequence(start, end, F.expr(f"INTERVAL {int(days)} DAYS"))
     return F.transform(firsts, lambda d: F.struct(d.alias("start"), F.least(F.date_add(d, days - 1), end).alias("end")))
+
+
+def even_date_chunks(start: Column, end: Column, most: int) -> Column:
+    """Arrays of (start, end): the range in as few equal pieces of at most `most` days as there can be, each one beginning on
+    the day on which the one before ends; with most=0 every day but the last by itself."""
+    days = F.datediff(end, start)
+    piece = lambda a, b: F.struct(F.date_add(start, a.cast("int")).alias("start"), F.date_add(start, b.cast("int")).alias("end"))
+    if most == 0:
+        return F.transform(F.sequence(F.lit(0), F.greatest(days - 1, F.lit(0))), lambda i: piece(i, i))
+    parts = F.greatest(F.ceil(days / most), F.lit(1)).cast("int")
+    return F.transform(F.sequence(F.lit(0), parts - 1), lambda i: piece(F.floor(days * i / parts), F.floor(days * (i + 1) / parts)))
+
+
+def moment(text: Column, now: Column) -> Column:
+    """A date or time as text, or one before `now`: today, yesterday, or a number of minutes, hours, days, weeks, months or
+    years ago. Null for other texts."""
+    said = F.lower(F.trim(text))
+    pattern = r"^(\d{1,6})\s+(minute|hour|day|week|month|year)s?\s+ago$"
+    n, unit = F.regexp_extract(said, pattern, 1).try_cast("int"), F.regexp_extract(said, pattern, 2)
+    zero = F.lit(0)
+    ago = (
+        F.when(unit == "minute", now - F.make_dt_interval(zero, zero, n, F.lit(0.0)))
+        .when(unit == "hour", now - F.make_dt_interval(zero, n, zero, F.lit(0.0)))
+        .when(unit == "day", now - F.make_dt_interval(n, zero, zero, F.lit(0.0)))
+        .when(unit == "week", now - F.make_dt_interval(7 * n, zero, zero, F.lit(0.0)))
+        .when(unit == "month", now - F.make_ym_interval(zero, n))
+        .when(unit == "year", now - F.make_ym_interval(n, zero))
+    )
+    return F.when(said.isin("today", "now"), now).when(said == "yesterday", now - F.expr("INTERVAL 1 DAY")).when(unit != "", ago).otherwise(text.try_cast("timestamp_ntz"))
+
+
+def date_period(start: Column, end: Column, now: Column) -> Column:
+    """(start, end) of two texts as moment() reads them; fails where the start is behind the end."""
+    a, b = moment(start, now), moment(end, now)
+    wrong = F.raise_error(F.concat(F.lit("the start is behind the end: "), start, F.lit(", "), end)).cast("timestamp_ntz")
+    return F.struct(F.when(a > b, wrong).otherwise(a).alias("start"), b.alias("end"))
+
+
+def backfill_period(start: Column, end: Column, last: Column, now: Column) -> Column:
+    """The next (start, end) of a load in steps: the given period at first, where `last` is null; then as many days from the
+    end of the last one, one at least, up to now."""
+    days = F.greatest(F.datediff(last["end"], last["start"]), F.lit(1))
+    then = last["end"].cast("timestamp_ntz") + F.make_dt_interval(days, F.lit(0), F.lit(0), F.lit(0.0))
+    late = F.to_date(then) >= F.date_add(F.to_date(now), 1)
+    following = F.struct(last["end"].cast("timestamp_ntz").alias("start"), F.when(late, now).otherwise(then).alias("end"))
+    return F.when(last.isNull(), date_period(start, end, now)).otherwise(following)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 METHODS = ("FULL_TABLE", "INCREMENTAL", "LOG_BASED")
 BOOKMARK_KEYS = {
     "LOG_BASED": {"log_file", "log_pos", "version"},
@@ -24,6 +27,11 @@ def should_sync(inclusion: str, selected: bool | None, default: bool) -> bool:
     return default if selected is None else selected
 
 
+def is_synced(inclusion: Column, selected: Column, default: Column) -> Column:
+    """should_sync for the columns of a whole catalogue."""
+    return F.when(inclusion == "automatic", True).when(inclusion == "unsupported", False).otherwise(F.coalesce(selected, default))
+
+
 @dataclass
 class Stream:
     """One table: its columns by inclusion, its key, and what was asked for."""

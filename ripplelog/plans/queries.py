@@ -11,7 +11,7 @@ from ripplelog.functions import types, values
 from ripplelog.functions.ddl import column_changes, register
 from ripplelog.operators import changelog, evolution, latest, offsets, snapshot
 from ripplelog.sources import server
-from ripplelog.plans.catalog import State, Stream, route, should_sync
+from ripplelog.plans.catalog import State, Stream, is_synced, route
 from ripplelog.plans.run import run
 from ripplelog.sources import sinks
 from ripplelog.sources.sinks import base_types
@@ -306,20 +306,36 @@ def column_catalogue(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(COLUMNS, "schema_name string, table_name string, column_name string, column_type string, ordinal int, column_key string")
 
 
-@query("SELECT * FROM (VALUES ('orders', 'id,note,price,paid'), ('people', 'id,born')) t(table_name, columns)")
+def supplier_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as the columns of their nation's table, with types of all kinds."""
+    s = table(spark, sf_dir, "supplier")
+    size = (F.col("s_suppkey") % 60 + 1).cast("string")
+    kinds = [F.lit("bigint(20) unsigned"), F.concat(F.lit("DECIMAL("), size, F.lit(",2)")), F.concat(F.lit("varchar("), size, F.lit(")")), F.lit("tinyint(1)"), F.lit("Date"), F.lit("geometry"), F.lit("mediumint(8) unsigned"), F.lit("time")]
+    kind = F.element_at(F.array(*kinds), (F.col("s_suppkey") % len(kinds) + 1).cast("int"))
+    schema = F.when(F.col("s_nationkey") % 7 == 0, "mysql").otherwise("shop")
+    return s.select(schema.alias("schema_name"), F.concat(F.lit("t"), "s_nationkey").alias("table_name"), F.col("s_name").alias("column_name"), kind.alias("column_type"), F.col("s_suppkey").cast("int").alias("ordinal"), F.when(F.col("s_suppkey") % 9 == 0, "PRI").otherwise("").alias("column_key"))
+
+
+@query("SELECT 't' || n_nationkey AS table_name, string_agg(s_name, ',' ORDER BY s_suppkey) AS columns FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 7 <> 0 AND n_regionkey <> 2 GROUP BY ALL")
 def catalog_columns(spark, sf_dir):
-    kinds = spark.createDataFrame([("shop", "orders", "BASE TABLE"), ("shop", "people", "BASE TABLE"), ("shop", "v", "VIEW"), ("mysql", "user", "BASE TABLE")], "schema_name string, table_name string, table_type string")
-    found = server.catalogue(column_catalogue(spark), kinds)
+    """The catalogue without the server's own schema and without views, which the nations of a region are."""
+    n = table(spark, sf_dir, "nation")
+    kinds = n.select(F.when(F.col("n_nationkey") % 7 == 0, "mysql").otherwise("shop").alias("schema_name"), F.concat(F.lit("t"), "n_nationkey").alias("table_name"), F.when(F.col("n_regionkey") == 2, "VIEW").otherwise("BASE TABLE").alias("table_type"))
+    found = server.catalogue(supplier_columns(spark, sf_dir), kinds)
     return found.select("table_name", F.array_join(F.transform("columns", lambda c: c["column_name"]), ",").alias("columns"))
 
 
 @query(
-    """SELECT * FROM (VALUES ('id', 'INTEGER', 'decimal(20,0)'), ('price', 'NUMERIC', 'decimal(10,2)'), ('note', 'STRING', 'string'), ('paid', 'INTEGER', 'boolean'), ('born', 'DATE', 'date')) t(column_name, base_type, spark_type)"""
+    """SELECT s_name AS column_name, CASE s_suppkey % 8 WHEN 0 THEN 'INTEGER' WHEN 1 THEN 'NUMERIC' WHEN 2 THEN 'STRING' WHEN 3 THEN 'INTEGER' WHEN 4 THEN 'DATE' WHEN 6 THEN 'INTEGER' WHEN 7 THEN 'TIMESTAMP' END AS base_type,
+    CASE s_suppkey % 8 WHEN 0 THEN 'decimal(20,0)' WHEN 1 THEN CASE WHEN s_suppkey % 60 + 1 > 38 THEN 'string' ELSE 'decimal(' || greatest(s_suppkey % 60 + 1, 2) || ',2)' END WHEN 2 THEN 'string' WHEN 3 THEN 'boolean' WHEN 4 THEN 'date' WHEN 6 THEN 'int' WHEN 7 THEN 'interval day to second' END AS spark_type,
+    CASE WHEN s_suppkey % 9 = 0 THEN 'automatic' WHEN s_suppkey % 8 = 5 THEN 'unsupported' ELSE 'available' END AS inclusion FROM supplier"""
 )
 def type_mapping(spark, sf_dir):
-    spark_types = F.create_map(*[F.lit(x) for t in dict.fromkeys(c[3] for c in COLUMNS) for x in (t, types.spark_type(t).simpleString())])
-    named = base_types(column_catalogue(spark)).where("schema_name = 'shop' AND column_type NOT IN ('int', 'int(11)')")
-    return named.select("column_name", "base_type", F.element_at(spark_types, F.col("column_type")).alias("spark_type"))
+    """Base types by expression; Spark types and inclusion of the different server types, which are few, on the driver."""
+    columns = supplier_columns(spark, sf_dir)
+    known = [(r.column_type, r.column_key, kind.simpleString() if (kind := types.spark_type(r.column_type)) else None, types.inclusion(r.column_type, r.column_key)) for r in columns.select("column_type", "column_key").distinct().collect()]
+    known = spark.createDataFrame(known, "column_type string, column_key string, spark_type string, inclusion string")
+    return base_types(columns).join(known, ["column_type", "column_key"]).select("column_name", "base_type", "spark_type", "inclusion")
 
 
 DDL_LOG = [
@@ -333,28 +349,41 @@ def ddl_log(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(DDL_LOG, "log_file string, log_pos long, row_idx int, ts_s long, schema_name string, ddl string")
 
 
-@query(
-    """SELECT * FROM (VALUES ('bin.9', 0, 'DROP', 'orders', 'note', NULL), ('bin.9', 1, 'ADD', 'orders', 'email', 'VARCHAR(100)'), ('bin.10', 0, 'ADD', 'orders', 'rate', 'DECIMAL(19, 4)'),
-    ('bin.10', 0, 'ADD', 'people', 'nick', 'CHAR(3)')) t(log_file, change_no, type, table_name, column_name, data_type)"""
-)
+def part_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A statement for each part on the table of its brand, of three kinds."""
+    p, key = table(spark, sf_dir, "part"), F.col("p_partkey").cast("string")
+    name, size = F.regexp_replace("p_brand", "#", "_"), F.col("p_size").cast("string")
+    first = F.concat(F.lit("/* more */ ALTER TABLE "), name, F.lit(" ADD COLUMN `c"), key, F.lit("` VARCHAR("), size, F.lit(") CHARACTER SET utf8 FIRST, DROP COLUMN note, ALGORITHM=INPLACE"))
+    second = F.concat(F.lit("ALTER TABLE shop."), name, F.lit(" ADD (c"), key, F.lit(" DECIMAL("), size, F.lit(", 4) COMMENT 'a, (b)', KEY k (rate)), ADD INDEX i (rate)"))
+    third = F.concat(F.lit("USE other; alter table `"), name, F.lit("` ADD c"), key, F.lit(" char(3) AFTER id; "))
+    said = F.when(F.col("p_partkey") % 3 == 0, first).when(F.col("p_partkey") % 3 == 1, second).otherwise(third)
+    return p.select("p_partkey", F.lit("bin.1").alias("log_file"), F.col("p_partkey").alias("log_pos"), F.lit(0).alias("row_idx"), (1_700_000_000 + F.col("p_partkey")).cast("long").alias("ts_s"), F.when(F.col("p_partkey") % 3 == 0, "shop").otherwise("").alias("schema_name"), said.alias("ddl"))
+
+
+PART_CHANGES = """SELECT p_partkey, CASE WHEN p_partkey % 3 = 2 THEN 'other' ELSE 'shop' END AS schema_name, replace(p_brand, '#', '_') AS table_name, 'ADD' AS type, 'c' || p_partkey AS column_name,
+    CASE p_partkey % 3 WHEN 0 THEN 'VARCHAR(' || p_size || ')' WHEN 1 THEN 'DECIMAL(' || p_size || ', 4)' ELSE 'CHAR(3)' END AS data_type FROM part
+    UNION ALL SELECT p_partkey, 'shop', replace(p_brand, '#', '_'), 'DROP', 'note', NULL FROM part WHERE p_partkey % 3 = 0"""
+
+
+@query(f"SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 AND type = 'ADD' THEN 1 ELSE 0 END AS change_no, schema_name, table_name, type, column_name, data_type FROM ({PART_CHANGES})")
 def ddl_changes(spark, sf_dir):
-    found = column_changes(ddl_log(spark))
-    return found.select("log_file", "change_no", *[f"change.{c}" for c in ("type", "table_name", "column_name", "data_type")])
+    found = column_changes(part_statements(spark, sf_dir))
+    return found.select("p_partkey", "change_no", *[f"change.{c}" for c in ("schema_name", "table_name", "type", "column_name", "data_type")])
 
 
-@query("SELECT * FROM (VALUES ('ADD', 'shop', 't', 'c', 'INT'), ('DROP', 'shop', 't', 'd', NULL)) t(type, schema_name, table_name, column_name, data_type) ORDER BY 1")
+@query(PART_CHANGES)
 def ddl_table_function(spark, sf_dir):
+    """The same in SQL, by the table function."""
     register(spark)
-    return spark.sql("SELECT type, schema_name, table_name, column_name, data_type FROM column_changes('USE shop; ALTER TABLE t ADD c INT, DROP d', '')")
+    return spark.sql("SELECT p_partkey, c.schema_name, c.table_name, c.type, c.column_name, c.data_type FROM {said} s, LATERAL column_changes(s.ddl, s.schema_name) c", said=part_statements(spark, sf_dir))
 
 
-@query(
-    """SELECT * FROM (VALUES ('shop', 'orders', 'DROP_COLUMN', 'note', CAST(1700000000 AS BIGINT)), ('shop', 'orders', 'ADD_COLUMN', 'email', 1700000000), ('shop', 'orders', 'ADD_COLUMN', 'rate', 1700000060),
-    ('shop', 'people', 'ADD_COLUMN', 'nick', 1700000120)) t("schema", "table", change_type, column_name, at_s)"""
-)
+@query(f"""SELECT schema_name AS "schema", table_name AS "table", type || '_COLUMN' AS change_type, column_name, CAST(1700000000 + p_partkey AS BIGINT) AS at_s FROM ({PART_CHANGES})""")
 def schema_changes(spark, sf_dir):
-    twice = ddl_log(spark).union(ddl_log(spark))
-    return evolution.schema_changes(column_changes(twice)).select("schema", "table", "change_type", "column_name", F.unix_seconds("timestamp").alias("at_s"))
+    """Statements that are read twice are in the audit table once."""
+    said = part_statements(spark, sf_dir)
+    found = evolution.schema_changes(column_changes(said.union(said)))
+    return found.select("schema", "table", "change_type", "column_name", F.unix_seconds("timestamp").alias("at_s"))
 
 
 def orders_layout(spark: SparkSession) -> DataFrame:
@@ -390,10 +419,46 @@ def catalog_join(spark, sf_dir):
     return server.with_default_charset(columns, schemata).select("n_nationkey", "n_name", F.col("default_charset").alias("r_name"))
 
 
-@query("SELECT DATE '2024-01-01' + CAST(7 * i AS INTEGER) AS chunk_start, least(DATE '2024-01-01' + CAST(7 * i + 6 AS INTEGER), DATE '2024-01-31') AS chunk_end FROM range(5) t(i)")
+@query(
+    """SELECT o_custkey, f + CAST(30 * i AS INTEGER) AS chunk_start, least(f + CAST(30 * i + 29 AS INTEGER), l) AS chunk_end
+    FROM (SELECT o_custkey, f, l, unnest(range((l - f) // 30 + 1)) AS i FROM (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS f, CAST(max(o_orderdate) AS DATE) AS l FROM orders GROUP BY 1))"""
+)
 def date_chunks(spark, sf_dir):
-    chunks = values.date_chunks(F.lit("2024-01-01").cast("date"), F.lit("2024-01-31").cast("date"), 7)
-    return spark.range(1).select(F.explode(chunks).alias("c")).select(F.col("c.start").alias("chunk_start"), F.col("c.end").alias("chunk_end"))
+    """The time in which a customer has ordered, in pieces of 30 days."""
+    days = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("f"), F.to_date(F.max("o_orderdate")).alias("l"))
+    return days.select("o_custkey", F.explode(values.date_chunks(F.col("f"), F.col("l"), 30)).alias("c")).select("o_custkey", F.col("c.start").alias("chunk_start"), F.col("c.end").alias("chunk_end"))
+
+
+@query(
+    """SELECT o_custkey, f + CAST((l - f) * i // n AS INTEGER) AS chunk_start, f + CAST((l - f) * (i + 1) // n AS INTEGER) AS chunk_end
+    FROM (SELECT *, unnest(range(n)) AS i FROM (SELECT *, greatest(CAST(ceil((l - f) / 45) AS BIGINT), 1) AS n FROM (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS f, CAST(max(o_orderdate) AS DATE) AS l FROM orders GROUP BY 1)))"""
+)
+def even_date_chunks(spark, sf_dir):
+    """The same time in equal pieces of 45 days at most."""
+    days = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("f"), F.to_date(F.max("o_orderdate")).alias("l"))
+    return days.select("o_custkey", F.explode(values.even_date_chunks(F.col("f"), F.col("l"), 45)).alias("c")).select("o_custkey", F.col("c.start").alias("chunk_start"), F.col("c.end").alias("chunk_end"))
+
+
+@query(
+    """SELECT event_id, CASE event_id % 6 WHEN 0 THEN ts WHEN 1 THEN ts - INTERVAL 1 DAY WHEN 2 THEN ts - to_days(CAST(event_id % 40 AS INTEGER)) WHEN 3 THEN ts - to_hours(event_id % 40) WHEN 4 THEN ts - to_months(CAST(event_id % 40 AS INTEGER)) END AS at FROM events"""
+)
+def relative_dates(spark, sf_dir):
+    n = F.concat((F.col("event_id") % 40).cast("string"), F.lit(" "))
+    texts = [F.lit("Today"), F.lit("yesterday"), F.concat(n, F.lit("days ago")), F.concat(n, F.lit("hour ago")), F.concat(n, F.lit("months ago")), F.lit("some day")]
+    text = F.element_at(F.array(*texts), (F.col("event_id") % 6 + 1).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", values.moment(text, F.col("ts").cast("timestamp_ntz")).alias("at"))
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN TIMESTAMP '2024-01-01' ELSE l END AS start, CASE WHEN o_orderkey % 5 = 0 THEN TIMESTAMP '2024-01-03' WHEN CAST(l + to_days(greatest(d, 1)) AS DATE) >= DATE '1998-02-02' THEN TIMESTAMP '1998-02-01 12:00:00' ELSE l + to_days(greatest(d, 1)) END AS stop
+    FROM (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS l, CAST(o_orderkey % 4 AS INTEGER) AS d FROM orders)"""
+)
+def backfill_periods(spark, sf_dir):
+    """The next period of loads that go back in steps: of orders without a last one, and of those whose last one ended on their date."""
+    day = F.to_date("o_orderdate")
+    last = F.when(F.col("o_orderkey") % 5 != 0, F.struct(F.date_sub(day, (F.col("o_orderkey") % 4).cast("int")).alias("start"), day.alias("end")))
+    period = values.backfill_period(F.lit("2024-01-01"), F.lit("2024-01-03"), last, F.lit("1998-02-01 12:00:00").cast("timestamp_ntz"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", period.alias("p")).select("o_orderkey", F.col("p.start").alias("start"), F.col("p.end").alias("stop"))
 
 
 @query("SELECT 's' AS schema_name, 't' || c_nationkey AS table_name, c_name AS column_name FROM customer WHERE c_nationkey % 2 = 0")
@@ -465,29 +530,44 @@ def csv_round_trip(spark, sf_dir):
     return sinks.read_csv(spark, folder, rows.schema, null="\\N")
 
 
-@query("SELECT * FROM (VALUES ('automatic', 0, 0, 1), ('automatic', 1, 1, 1), ('unsupported', 1, 1, 0), ('available', -1, 1, 1), ('available', -1, 0, 0), ('available', 1, 0, 1), ('available', 0, 1, 0)) t(inclusion, selected, fallback, synced)")
+@query(
+    """SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN true WHEN p_size % 3 = 1 THEN false ELSE coalesce(CASE p_partkey % 3 WHEN 0 THEN false WHEN 1 THEN true END, p_partkey % 2 = 0) END AS synced FROM part"""
+)
 def field_selection(spark, sf_dir):
-    cases = [("automatic", 0, 0), ("automatic", 1, 1), ("unsupported", 1, 1), ("available", -1, 1), ("available", -1, 0), ("available", 1, 0), ("available", 0, 1)]
-    return spark.createDataFrame([(i, s, d, int(should_sync(i, None if s < 0 else bool(s), bool(d)))) for i, s, d in cases], "inclusion string, selected int, fallback int, synced int")
+    """Parts as columns: in or out by what they are, by what was selected, or by the default."""
+    inclusion = F.element_at(F.array(*[F.lit(x) for x in ("automatic", "unsupported", "available")]), (F.col("p_size") % 3 + 1).cast("int"))
+    selected = F.when(F.col("p_partkey") % 3 == 0, False).when(F.col("p_partkey") % 3 == 1, True)
+    return table(spark, sf_dir, "part").select("p_partkey", is_synced(inclusion, selected, F.col("p_partkey") % 2 == 0).alias("synced"))
 
 
-@query("SELECT * FROM (VALUES ('a', 'snapshot', 1), ('b', 'snapshot', 0), ('c', 'incremental', 0), ('d', 'log', 0)) t(table_name, step, place)")
+@query(
+    """SELECT table_name, step, CAST(row_number() OVER (PARTITION BY step ORDER BY rank, s_suppkey) - 1 AS INTEGER) AS place FROM (
+      SELECT s_suppkey, s_name AS table_name, CASE WHEN s_suppkey = 5 THEN 0 WHEN s_suppkey % 4 = 0 THEN 1 ELSE 2 END AS rank,
+             CASE WHEN s_suppkey % 5 = 1 THEN 'incremental' WHEN s_suppkey % 5 = 2 OR s_suppkey % 4 IN (0, 1) THEN 'snapshot' ELSE 'log' END AS step FROM supplier)"""
+)
 def routing(spark, sf_dir):
-    """A table that was interrupted, one that was never read, one that is read by key, and one that is up to date."""
-    streams = [Stream("s", t, {"id": "automatic"}, ["id"], selected=True, method=m, replication_key="id") for t, m in (("a", "LOG_BASED"), ("b", "LOG_BASED"), ("c", "INCREMENTAL"), ("d", "LOG_BASED"))]
-    state = State({"bookmarks": {"s-b": {"last_pk_fetched": {"id": 3}, "log_pos": 4}, "s-d": {"log_file": "bin.1", "log_pos": 4}}, "currently_syncing": "s-b"})
+    """Suppliers as tables: read in full or by key; without a bookmark, with a snapshot under way, or up to date; one was interrupted."""
+    names = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").orderBy("s_suppkey").collect()
+    streams = [Stream("s", r.s_name, {"id": "automatic"}, ["id"], selected=True, method={1: "INCREMENTAL", 2: "FULL_TABLE"}.get(r.s_suppkey % 5, "LOG_BASED"), replication_key="id") for r in names]
+    marks = {1: {"last_pk_fetched": {"id": 3}, "log_file": "bin.1", "log_pos": 4}, 2: {"log_file": "bin.1", "log_pos": 4}, 3: {"log_file": "bin.1", "log_pos": 9}}
+    state = State({"bookmarks": {f"s-{r.s_name}": marks[r.s_suppkey % 4] for r in names if r.s_suppkey % 4}, "currently_syncing": next((f"s-{r.s_name}" for r in names if r.s_suppkey == 5), None)})
     plan = route(streams, state)
     rows = [(s.table, step, i) for step, found in (("snapshot", plan.snapshots), ("incremental", plan.incremental), ("log", plan.from_log)) for i, s in enumerate(found)]
     return spark.createDataFrame(rows, "table_name string, step string, place int")
 
 
 @query(
-    """SELECT * FROM (VALUES ('EVENT_ID', 'INTEGER', 'bigint'), ('TS', 'TIMESTAMP', 'timestamp_ntz'), ('USER_ID', 'INTEGER', 'bigint'), ('EVENT_TYPE', 'STRING', 'string'), ('VALUE', 'FLOAT', 'double'), ('PROPS', 'STRING', 'string'),
-    ('PRICE', 'NUMERIC', 'decimal(10,2)')) t(name, base_type, type)"""
+    """SELECT * FROM (SELECT unnest(['EVENT_ID', 'TS', 'USER_ID', 'EVENT_TYPE', 'VALUE', 'PROPS', 'PRICE']) AS name, unnest(['INTEGER', 'TIMESTAMP', 'INTEGER', 'STRING', 'FLOAT', 'STRING', 'NUMERIC']) AS base_type,
+    unnest(['bigint', 'timestamp_ntz', 'bigint', 'string', 'double', 'string', 'decimal(10,2)']) AS type,
+    unnest([count(event_id), count(ts), count(user_id), count(event_type), count(value), count(props), count(value) FILTER (event_id % 3 = 0)]) AS filled FROM events)"""
 )
 def manifest_columns(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema.add(types.ServerColumn("price", "decimal(10,2)", 9).field())
-    return spark.createDataFrame([(c["name"], c["base_type"], c["type"]) for c in sinks.manifest("t", ["event_id"], schema, True)["column_metadata"]], "name string, base_type string, type string")
+    """The columns of a manifest, and how many rows have a value in them."""
+    price = types.ServerColumn("price", "decimal(10,2)", 9).field()
+    rows = table(spark, sf_dir, "events").withColumn("price", F.when(F.col("event_id") % 3 == 0, F.col("value").cast(price.dataType)).alias("price", metadata=price.metadata))
+    told = spark.createDataFrame([(c["name"], c["base_type"], c["type"]) for c in sinks.manifest("t", ["event_id"], rows.schema, True)["column_metadata"]], "name string, base_type string, type string")
+    counts = rows.agg(*[F.count(c).alias(c.upper()) for c in rows.columns])
+    return told.join(counts.select(F.explode(F.create_map(*[x for c in counts.columns for x in (F.lit(c), F.col(c))])).alias("name", "filled")), "name")
 
 
 @query("SELECT event_id, 'u' || user_id AS table_name, CASE WHEN event_id % 2 = 0 THEN 'ADD' ELSE 'DROP' END AS type, 'c' || event_id AS column_name FROM events")
