@@ -35,13 +35,15 @@ class Read:
     """What a read has found: rows by table in a folder, and counters.
 
     saved: events of followed tables; skipped: those of other tables (None where they were not read); unchanged: updates
-    that were left out for what they change; rows: what was written by (name, kind).
+    that were left out for what they change; statements: of all tables; by_kind: rows that were
+    written by (name, kind).
     """
 
     rows: DataFrame
     saved: int = 0
     skipped: int | None = None
     unchanged: int = 0
+    statements: int = 0
     by_kind: dict[tuple[str, str], int] = field(default_factory=dict)
 
     def of(self, name: str) -> DataFrame:
@@ -89,7 +91,7 @@ def read_once(log: DataFrame, followed: Iterable[Followed], end: Mapping[str, ob
     met = met.withColumn("_wanted", F.when(mine, _interest(columns, followed)).otherwise(said))
     lacking = mine & (F.col("op") == "update") & (F.col("before").isNull() | F.col("after").isNull())
     counts = [
-        F.count_if(mine).alias("saved"), F.count_if(rows & ~mine).alias("skipped"), F.count_if(mine & ~F.col("_wanted")).alias("unchanged"), F.count_if(lacking).alias("lacking"),
+        F.count_if(mine).alias("saved"), F.count_if(rows & ~mine).alias("skipped"), F.count_if(mine & ~F.col("_wanted")).alias("unchanged"), F.count_if(lacking).alias("lacking"), F.count_if(said).alias("statements"),
         F.min(F.when(lacking, F.struct("_file", "log_file", "log_pos"))).alias("lacking_at"),
     ]
     observed = len(followed) <= OBSERVED
@@ -106,7 +108,7 @@ def read_once(log: DataFrame, followed: Iterable[Followed], end: Mapping[str, ob
     told = watch.get
     if told["lacking"]:
         raise ValueError(f"the log has {told['lacking']} updates without both images, the first at {told['lacking_at']}: it has to be written row by row with full images")
-    found = Read(spark.read.schema(out.schema).parquet(folder), told["saved"], told["skipped"] if count_skipped else None, told["unchanged"])
+    found = Read(spark.read.schema(out.schema).parquet(folder), told["saved"], told["skipped"] if count_skipped else None, told["unchanged"], told["statements"])
     if observed:
         found.by_kind = {(f.name, kind): told[f"n{i}_{kind}"] for i, f in enumerate(followed) for kind in KINDS if told[f"n{i}_{kind}"]}
     else:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -648,3 +650,163 @@ def interrupted_snapshot(spark, sf_dir):
     if not state.get(stream, "last_pk_fetched"):
         raise ValueError("no range was marked before the failure")
     return go(source.where(F.col("c_custkey") > state.get(stream, "last_pk_fetched")["c_custkey"]))["shop-customer"].select("c_custkey", "c_name")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey % 7 <> 0")
+def snapshot_twice(spark, sf_dir):
+    """A table that is read in full, in ranges, twice: in between rows have changed and gone."""
+    stream = Stream("shop", "orders", {"o_orderkey": "automatic", "o_orderstatus": "available"}, ["o_orderkey"], selected=True, method="FULL_TABLE")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    later = o.where("o_orderkey % 7 <> 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 5 == 0, "X").otherwise(F.col("o_orderstatus")))
+    out, state = new_folder(spark), State()
+    for rows in (o, later):
+        found = run(spark, route([stream], state), state, out, lambda s, rows=rows: rows, o.where("false"), {}, SYNCED, snapshot_parts=4)
+    return found["shop-orders"].select("o_orderkey", "o_orderstatus")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem")
+def interrupted_composite_snapshot(spark, sf_dir):
+    """A snapshot in ranges of a key of two columns that fails on the way, and the run after it, which reads only what is left."""
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
+    rows = table(spark, sf_dir, "lineitem").select(*columns)
+    stream = Stream("shop", "lineitem", {c: "automatic" for c in columns}, columns[:2], selected=True, method="FULL_TABLE")
+    out, state = new_folder(spark), State()
+    go = lambda source: run(spark, route([stream], state), state, out, lambda s: source, rows.where("false"), {}, SYNCED, snapshot_parts=5)
+    fails = F.when(F.col("l_orderkey") > rows.agg(F.max("l_orderkey")).first()[0] * 2 // 3, F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("l_quantity"))
+    try:
+        go(rows.withColumn("l_quantity", fails))
+    except Exception as e:
+        if "lost" not in str(e):
+            raise
+    last = state.get(stream, "last_pk_fetched")
+    if not last:
+        raise ValueError("no range was marked before the failure")
+    return go(rows.where(snapshot.after_key(rows, last)))["shop-lineitem"].select(*columns)
+
+
+def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as inserts in three log files, with the files' numbers stored."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    no, image = F.col("o_orderkey") % 3 + 1, F.struct("o_orderkey", "o_custkey", "o_orderstatus")
+    return o.select(
+        F.concat(F.lit("bin."), no.cast("string")).alias("log_file"), no.alias("file_no"), F.col("o_orderkey").alias("log_pos"), F.lit(0).alias("row_idx"), F.lit(1_700_000_000).cast("long").alias("ts_s"),
+        F.lit("shop").alias("schema_name"), F.lit("orders").alias("table_name"), F.lit("insert").alias("op"), F.lit(None).cast("struct<o_orderkey: bigint, o_custkey: bigint, o_orderstatus: string>").alias("before"), image.alias("after"),
+    )
+
+
+@query(
+    """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 3 = 0 OR o_orderkey < 400 THEN 'first' ELSE 'second' END AS read_by
+    FROM orders WHERE o_orderkey % 3 = 0 OR (o_orderkey % 3 = 1 AND o_orderkey < 900)"""
+)
+def bounded_runs(spark, sf_dir):
+    """A log that grows while it is read: each run stops before its end, the next one goes on there; all events are kept, once."""
+    stream = Stream("shop", "orders", {c: "automatic" for c in ("o_orderkey", "o_custkey", "o_orderstatus")}, ["o_orderkey"], selected=True)
+    log = order_log(spark, sf_dir)
+    out, state = new_folder(spark), State({"bookmarks": {"shop-orders": {"log_file": "bin.1", "log_pos": 0}}})
+    for end, synced in (((2, 400), "first"), ((2, 900), "second")):
+        found = run(spark, route([stream], state), state, out, lambda s: None, log, {"log_file": f"bin.{end[0]}", "log_pos": end[1]}, synced, append=True)
+    return found["shop-orders"].select("o_orderkey", "o_orderstatus", F.col("_synced_at").alias("read_by"))
+
+
+def events_by_type(spark: SparkSession, sf_dir: str) -> tuple[list[Stream], DataFrame, State]:
+    """events as updates of the tables of their types, all but one of which are followed; one only from event 300 on."""
+    columns = ["event_id", "user_id", "value"]
+    e = table(spark, sf_dir, "events")
+    image = F.struct(*columns)
+    log = e.select(
+        F.lit("bin.1").alias("log_file"), F.col("event_id").alias("log_pos"), F.lit(0).alias("row_idx"), values.epoch_seconds(F.col("ts")).alias("ts_s"), F.lit("shop").alias("schema_name"), F.col("event_type").alias("table_name"),
+        F.when(F.col("event_id") % 11 == 0, "delete").otherwise("update").alias("op"), F.when(F.col("event_id") % 4 == 0, image).otherwise(F.struct("event_id", "user_id", (F.col("value") + 1).alias("value"))).alias("before"), image.alias("after"),
+    )
+    names = ("click", "purchase", "signup", "view")
+    streams = [Stream("shop", t, {c: "automatic" for c in columns}, ["user_id"], selected=True, watch=["value"] if t == "view" else []) for t in names]
+    state = State({"bookmarks": {f"shop-{t}": {"log_file": "bin.1", "log_pos": 300 if t == "signup" else 0} for t in names}})
+    return streams, log, state
+
+
+@query(
+    """SELECT event_type, user_id, event_id, gone FROM (SELECT *, event_id % 11 = 0 AS gone, row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id DESC) AS n FROM events
+    WHERE event_type <> 'error' AND event_id < 900 AND (event_type <> 'signup' OR event_id >= 300) AND (event_type <> 'view' OR event_id % 4 <> 0 OR event_id % 11 = 0)) WHERE n = 1"""
+)
+def one_read_for_all(spark, sf_dir):
+    """The latest rows of four tables by one read of the log they share, each from its own position, up to an end."""
+    streams, log, state = events_by_type(spark, sf_dir)
+    found = run(spark, route(streams, state), state, new_folder(spark), lambda s: None, log, {"log_file": "bin.1", "log_pos": 900}, SYNCED)
+    parts = [found[f"shop-{s.table}"].select(F.lit(s.table).alias("event_type"), "user_id", "event_id", F.col("_deleted_at").isNotNull().alias("gone")) for s in streams]
+    return reduce(DataFrame.union, parts)
+
+
+@query(
+    """WITH e AS (SELECT *, CASE WHEN event_id % 11 = 0 THEN 'delete' ELSE 'update' END AS op, event_type <> 'error' AND (event_type <> 'signup' OR event_id >= 300) AS mine,
+      event_type = 'view' AND event_id % 4 = 0 AND event_id % 11 <> 0 AS same FROM events WHERE event_id < 900)
+    SELECT 'saved' AS counter, NULL AS op, count(*) FILTER (mine) AS n FROM e UNION ALL SELECT 'skipped', NULL, count(*) FILTER (event_type = 'error') FROM e
+    UNION ALL SELECT 'unchanged', NULL, count(*) FILTER (mine AND same) FROM e UNION ALL SELECT 'shop-' || event_type, op, count(*) FROM e WHERE mine AND NOT same GROUP BY ALL"""
+)
+def run_counters(spark, sf_dir):
+    """What a run counts on the way of its one read."""
+    streams, log, state = events_by_type(spark, sf_dir)
+    out = new_folder(spark)
+    run(spark, route(streams, state), state, out, lambda s: None, log, {"log_file": "bin.1", "log_pos": 900}, SYNCED, count_skipped=True)
+    told = json.loads(sinks.read_text(spark, f"{out}/counters.json"))
+    rows = [(c, None, told[c]) for c in ("saved", "skipped", "unchanged")] + [(name, op, n) for name, kinds in told["rows"].items() for op, n in kinds.items()]
+    return spark.createDataFrame(rows, "counter string, op string, n long")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey = 7 THEN 'once more' WHEN c_custkey % 10 = 0 THEN 'changed' ELSE c_name END AS c_name FROM customer")
+def upsert_in_parts(spark, sf_dir):
+    """A table in eight parts, changed twice; the second change has one key and writes one part."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    target = VersionedTable(spark, new_folder(spark), ["c_custkey"], 8)
+    target.write(c, 0)
+    target.upsert(c.where("c_custkey % 10 = 0").withColumn("c_name", F.lit("changed")), 1)
+    before = target.content()["parts"]
+    target.upsert(c.where("c_custkey = 7").withColumn("c_name", F.lit("once more")), 2)
+    if len(moved := [p for p, f in target.content()["parts"].items() if before[p] != f]) != 1:
+        raise ValueError(f"a change of one key has rewritten the parts {moved}")
+    return target.read()
+
+
+def user_layouts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """events as a log of their users' tables, and what those looked like: each third event adds a column by DDL."""
+    null = F.lit(None).cast("string")
+    e = table(spark, sf_dir, "events")
+    log = e.select("event_id", F.concat(F.lit("bin."), (F.col("event_id") % 7 + 1).cast("string")).alias("log_file"), F.col("event_id").alias("log_pos"), F.lit(0).alias("row_idx"), F.lit("s").alias("schema_name"), F.concat(F.lit("u"), "user_id").alias("table_name"))
+    said = log.where("event_id % 3 = 0").withColumn("ddl", F.concat(F.lit("ALTER TABLE "), "table_name", F.lit(" ADD c"), "event_id", F.lit(" INT")))
+    identity = F.struct(F.lit("ID").alias("name"), F.lit("int").alias("column_type"), F.lit("PRI").alias("key"), null.alias("charset"), null.alias("collation"))
+    folder = new_folder(spark)
+    evolution.history(log.select("schema_name", "table_name", F.array(identity).alias("layout")).distinct(), column_changes(said)).write.parquet(folder)
+    return log, spark.read.schema(evolution.HISTORY).parquet(folder)
+
+
+LAYOUTS_BY_USER = """SELECT event_id, coalesce(CAST(count(*) FILTER (event_id % 3 = 0) OVER (PARTITION BY user_id ORDER BY event_id % 7, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS INTEGER), 0) AS version FROM events"""
+
+
+@query(LAYOUTS_BY_USER)
+def layout_asof_window(spark, sf_dir):
+    """The layout of each event by windows over the files of its table, without a join by range."""
+    log, held = user_layouts(spark, sf_dir)
+    return evolution.as_of(log, held, window=True).select("event_id", "version")
+
+
+@query(LAYOUTS_BY_USER)
+def layout_asof_range(spark, sf_dir):
+    """The same by the join with intervals, for short histories."""
+    log, held = user_layouts(spark, sf_dir)
+    return evolution.as_of(log, held, window=False).select("event_id", "version")
+
+
+@query(
+    """SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'int(' || p_size || ')' ELSE 'tinyint(1)' END AS column_type, CASE WHEN p_partkey % 2 = 0 THEN 'MUL' ELSE '' END AS key, CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 2 END AS place FROM part"""
+)
+def server_definition(spark, sf_dir):
+    """A column that a statement adds is what the server says it is by now; where the server doesn't have it, what the statement says."""
+    p, null = table(spark, sf_dir, "part"), F.lit(None).cast("string")
+    named = [F.lit("s").alias("schema_name"), F.concat(F.lit("t"), "p_partkey").alias("table_name")]
+    column = lambda name, kind, key: F.struct(F.lit(name).alias("name"), kind.alias("column_type"), key.alias("key"), null.alias("charset"), null.alias("collation"))
+    identity = column("id", F.lit("int"), F.lit("PRI"))
+    start = p.select(*named, F.array(identity).alias("layout"))
+    now = p.where("p_partkey % 2 = 0").select(*named, F.array(identity, column("flag", F.concat(F.lit("int("), "p_size", F.lit(")")), F.lit("MUL"))).alias("layout"))
+    ddl = F.concat(F.lit("ALTER TABLE t"), "p_partkey", F.lit(" ADD flag TINYINT(1)"), F.when(F.col("p_partkey") % 3 == 0, " FIRST").otherwise(""))
+    said = p.select(F.lit("bin.1").alias("log_file"), F.col("p_partkey").alias("log_pos"), F.lit(0).alias("row_idx"), F.lit("s").alias("schema_name"), ddl.alias("ddl"))
+    held = evolution.history(start, column_changes(said), now)
+    found = evolution.layouts(held, evolution.versions(held).where("version = 1")).select(F.substring("table_name", 2, 20).cast("long").alias("p_partkey"), F.posexplode("layout").alias("at", "c")).where("c.name = 'FLAG'")
+    return found.select("p_partkey", "c.column_type", "c.key", (F.col("at") + 1).alias("place"))

@@ -115,8 +115,8 @@ class Run:
             self.save()
             delete(self.spark, folder)
 
-    def layouts(self, streams: list[Stream], said: DataFrame, catalogue: DataFrame | None) -> tuple[DataFrame, dict[str, list[str]]]:
-        """The layouts along the statements, and the columns that they add to each stream. New layouts go into the state,
+    def layouts(self, streams: list[Stream], said: DataFrame, catalogue: DataFrame | None, n: int) -> tuple[DataFrame, dict[str, list[str]]]:
+        """The layouts along the n statements, and the columns that they add to each stream. New layouts go into the state,
         changes into the audit table. The layouts at the start are the state's, or for other tables the catalogue's. Of each
         table, the statements from its stream's position on count."""
         known = [(s.schema, s.table, self.state.layouts[State.name(s)]) for s in streams if self.state.layouts.get(State.name(s))]
@@ -136,7 +136,8 @@ class Run:
         for s in streams:
             if layout := last.get((s.schema.lower(), s.table.lower())):
                 self.state.layouts[State.name(s)] = [c.asDict() for c in layout]
-        self.audit(evolution.schema_changes(changes))
+        if n:
+            self.audit(evolution.schema_changes(changes))
         return held, {State.name(s): [c.name for c in last.get((s.schema.lower(), s.table.lower()), ()) if c.name.lower() not in {x.lower() for x in s.inclusion}] for s in streams}
 
     def audit(self, changes: DataFrame) -> None:
@@ -155,7 +156,8 @@ class Run:
         folder = f"{self.out}/read-{uuid.uuid4().hex}"
         try:
             found = read_once(log, followed, end, folder, count_skipped)
-            held, added = self.layouts(streams, found.of(DDL), catalogue) if "ddl" in log.columns else (None, {})
+            known = catalogue is not None or any(self.state.layouts.get(f.name) for f in followed)
+            held, added = self.layouts(streams, found.of(DDL), catalogue, found.statements) if "ddl" in log.columns and (found.statements or known) else (None, {})
             for s, f in zip(streams, followed, strict=True):
                 self.state.syncing = f.name
                 rows = found.of(f.name)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ripplelog.sources.sinks import read_text, write_text
+from ripplelog.sources.sinks import delete, read_text, write_text
 
 PART = "_part"
 
@@ -85,15 +85,9 @@ class VersionedTable:
             parts = {"0": f"v={version}"}
         else:
             self._write_parts(rows.withColumn(PART, self._bucket(self.buckets)).repartition(self.buckets, PART), version)
-            parts = {str(i): f"v={version}/{PART}={i}" for i in self._there(version)}
+            parts = {str(i): f"v={version}/{PART}={i}" for i in self._numbers(f"v={version}", f"{PART}=")}
         self._publish(version, self._content(parts, rows.schema), token)
 
-    def _there(self, version: int) -> list[int]:
-        """The parts that a version has written."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={version}")
-        found = folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(folder)
-        return sorted(int(name.partition("=")[2]) for name in (f.getPath().getName() for f in found) if name.startswith(f"{PART}="))
-
     def add(self, rows: DataFrame, version: int, token: str | None = None) -> None:
         """Rows beside those there are, which stay where they are."""
         base = self._base(version)
@@ -126,6 +120,29 @@ class VersionedTable:
         self.buckets = buckets
         self._publish(version, self._content(parts, schema), token)
 
+    def vacuum(self) -> None:
+        """Deletes what neither the present version nor the one before it is made of."""
+        at = self._pointer()
+        kept = {v: self.content(v) for v in (at.get("version"), at.get("previous")) if v is not None}
+        folders = {f for content in kept.values() for f in content["parts"].values()}
+        for v in self._numbers("", "v="):
+            if f"v={v}" in folders:
+                continue
+            written = {f"v={v}/{PART}={p}" for p in self._numbers(f"v={v}", f"{PART}=")}
+            if not written & folders:
+                delete(self.spark, f"{self.path}/v={v}")
+            for f in written - folders:
+                delete(self.spark, f"{self.path}/{f}")
+        for v in self._numbers("versions", ""):
+            if v not in kept:
+                delete(self.spark, f"{self.path}/versions/{v}.json")
+
+    def _numbers(self, folder: str, start: str) -> list[int]:
+        """The numbers of what stands in a folder under names with that start."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        names = [f.getPath().getName().removesuffix(".json") for f in at.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(at)]
+        return sorted(int(n[len(start) :]) for n in names if n.startswith(start) and n[len(start) :].isdigit())
+
     @staticmethod
     def _flagged(old: DataFrame, new: DataFrame) -> DataFrame:
         return old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
