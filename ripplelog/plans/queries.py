@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from ripplelog.functions import types, values
 from ripplelog.functions.ddl import column_changes, register
 from ripplelog.operators import changelog, evolution, latest, offsets, snapshot
-from ripplelog.sources import server
+from ripplelog.sources import log_source, server
 from ripplelog.plans.catalog import State, Stream, is_synced, route
 from ripplelog.plans.run import run
 from ripplelog.sources import sinks
 from ripplelog.sources.sinks import base_types
 from ripplelog.sources.versions import VersionedTable
-from ripplelog.streaming.catchup import catch_up
+from ripplelog.streaming.catchup import catch_up, follow
 
 SYNCED = "2024-02-01 00:00:00.000000"
 
@@ -810,3 +810,33 @@ def server_definition(spark, sf_dir):
     held = evolution.history(start, column_changes(said), now)
     found = evolution.layouts(held, evolution.versions(held).where("version = 1")).select(F.substring("table_name", 2, 20).cast("long").alias("p_partkey"), F.posexplode("layout").alias("at", "c")).where("c.name = 'FLAG'")
     return found.select("p_partkey", "c.column_type", "c.key", (F.col("at") + 1).alias("place"))
+
+
+def staged_events(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """events staged as a log with a file for each day: its folder and its schema."""
+    folder = f"{new_folder(spark)}/log"
+    rows = table(spark, sf_dir, "events").select(F.concat(F.lit("bin."), F.date_format("ts", "yyyyMMdd")).alias("log_file"), F.col("event_id").alias("log_pos"), F.lit(0).alias("row_idx"), "user_id", "event_type")
+    rows.repartition("log_file").sortWithinPartitions("log_pos").write.partitionBy("log_file").parquet(folder)
+    return folder, "log_file string, log_pos long, row_idx int, user_id long, event_type string"
+
+
+@query(
+    """SELECT event_id, user_id, event_type FROM events WHERE (CAST(ts AS DATE) > DATE '2024-01-05' OR (CAST(ts AS DATE) = DATE '2024-01-05' AND event_id >= 300))
+    AND (CAST(ts AS DATE) < DATE '2024-01-12' OR (CAST(ts AS DATE) = DATE '2024-01-12' AND event_id < 700))"""
+)
+def log_between_positions(spark, sf_dir):
+    """A staged log read by its data source, from the middle of a file to the middle of another."""
+    folder, schema = staged_events(spark, sf_dir)
+    log_source.register(spark)
+    found = spark.read.format(log_source.FORMAT).schema(schema).options(**log_source.options(folder, ("bin.20240105", 300), ("bin.20240112", 700))).load()
+    return found.select(F.col("log_pos").alias("event_id"), "user_id", "event_type")
+
+
+@query("SELECT user_id, event_id, event_type FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-20' OR (CAST(ts AS DATE) = DATE '2024-01-20' AND event_id < 600) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE) DESC, event_id DESC) = 1")
+def follow_to_positions(spark, sf_dir):
+    """The latest rows by a stream with a state for each key, which stops in the middle of a file twice and goes on there."""
+    folder, schema = staged_events(spark, sf_dir)
+    target = VersionedTable(spark, f"{folder}-target", ["user_id"], 4)
+    for end in (("bin.20240108", 500), ("bin.20240120", 600)):
+        follow(spark, folder, schema, target, f"{folder}-checkpoint", ["user_id"], end=end)
+    return target.read().select("user_id", F.col("log_pos").alias("event_id"), "event_type")
