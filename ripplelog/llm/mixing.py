@@ -1,7 +1,7 @@
 """Mixing sources to target weights with fixed-length blocks.
 
 Every source is one stream of words, cut into blocks of a fixed length. Each output shard draws how many of its slots go
-to which source; the slots of a source are numbered through and mapped to block numbers by pseudorandom permutations, a
+to which source, from multinomials that meet the sources' targets as a whole; the slots of a source are numbered through and mapped to block numbers by pseudorandom permutations, a
 new one for each pass over the source; a join by block number gives the words.
 """
 
@@ -21,6 +21,7 @@ from ripplelog.llm.words import slices
 
 BLOCK = 32  # words
 SHARD = 4096  # slots
+STRETCH = 256  # shards that are drawn together
 CAP = 3  # times that a word may be taken
 ROWS_A_BUCKET = 4_096
 BATCH_BYTES = 1 << 20
@@ -64,8 +65,8 @@ def targets(sized: DataFrame, cap: int = CAP) -> DataFrame:
 def placed(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The rows of `docs` as _id, source, _row (hash of the text), size, and start: where the row begins in its source's stream.
 
-    The stream's order is a hash of doc_id, then doc_id. Starts are summed in two steps, within buckets of bounded size
-    and over the buckets, so that no task gets a whole source.
+    The stream's order is a hash of doc_id, then doc_id. Starts are summed in three steps, within buckets of bounded size,
+    over the buckets of a shelf and over the shelves, so that no task gets a whole source.
     """
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
     sized = docs.select(F.col(doc_id).alias("_id"), F.col(source).alias("source"), F.xxhash64(text).alias("_row"), size.alias("size"))
@@ -73,19 +74,73 @@ def placed(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text
     n = parts_for(sized.count(), ROWS_A_BUCKET)
     sized = sized.withColumn("_bucket", F.pmod(F.xxhash64("_id", "_row"), F.lit(n)))
     within = Window.partitionBy("source", "_bucket").orderBy("_id", "_row").rowsBetween(Window.unboundedPreceding, -1)
-    over = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum")).withColumn("_from", F.coalesce(F.sum("_sum").over(over), F.lit(0)))
+    before = lambda c, order, *by: F.coalesce(F.sum(c).over(Window.partitionBy("source", *by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shelf = F.floor(F.col("_bucket") / ROWS_A_BUCKET)
+    sums = stage(sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum")).withColumn("_shelf", shelf))
+    shelves = sums.groupBy("source", "_shelf").agg(F.sum("_sum").alias("_sum")).withColumn("_base", before("_sum", "_shelf")).select(F.col("source").alias("_of"), F.col("_shelf").alias("_on"), "_base")
+    buckets = sums.withColumn("_at", before("_sum", "_bucket", "_shelf")).join(shelves, F.col("source").eqNullSafe(F.col("_of")) & (F.col("_shelf") == F.col("_on")))
+    buckets = buckets.select("source", "_bucket", (F.col("_base") + F.col("_at")).alias("_from"))
     inner = sized.withColumn("_at", F.coalesce(F.sum("size").over(within), F.lit(0))).alias("a")
     joined = inner.join(buckets.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a._bucket") == F.col("b._bucket")))
     return joined.select("_id", "a.source", "_row", "size", (F.col("_from") + F.col("_at")).alias("start"))
 
 
+def whole_slots(want: np.ndarray) -> np.ndarray:
+    """Whole numbers near `want`, which sum up to its rounded sum: those with the largest fractions are rounded up."""
+    out = np.floor(want).astype(np.int64)
+    left = round(float(want.sum())) - int(out.sum())
+    out[np.argsort(out - want, kind="stable")[:left]] += 1
+    return out
+
+
+def _share(rng: np.random.Generator, counts: np.ndarray, m: int) -> np.ndarray:
+    """How many of `m` slots, drawn from `counts` of them without putting back, are of each source.
+
+    NumPy draws from less than 1e9; beyond that, where they are as good as the same, from normal distributions."""
+    if counts.sum() < 1_000_000_000:
+        return rng.multivariate_hypergeometric(counts, m, method="marginals")
+    out, total = np.zeros_like(counts), int(counts.sum())
+    for i, c in enumerate(counts.tolist()):
+        share = c / total if total else 0.0
+        spread = (m * share * (1 - share) * (total - m) / max(1, total - 1)) ** 0.5
+        out[i] = min(max(round(m * share + spread * rng.standard_normal()), 0, m - (total - c)), c, m)
+        m, total = m - int(out[i]), total - c
+    return out
+
+
+def shard_counts(totals: np.ndarray, shards: int, low: int, high: int, seed: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(shard, slots of each source, slots of each source in the shards before) for the shards from `low` up to `high`.
+
+    The shards' counts are multinomial given the totals, which is: drawn from all slots without putting back. They are drawn
+    down a tree: the slots of a range of shards are divided between its halves by the range's own random numbers, so that
+    any stretch of shards can be drawn by itself, with the same result.
+    """
+    slots = int(totals.sum())
+
+    def edge(shard: int) -> int:
+        return slots * shard // shards
+
+    def draw(a: int, b: int, counts: np.ndarray, before: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        if b <= low or a >= high:
+            return
+        if b - a == 1:
+            yield a, counts, before
+            return
+        middle = (a + b) // 2
+        first = _share(np.random.default_rng([seed, a, b]), counts, edge(middle) - edge(a))
+        yield from draw(a, middle, first, before)
+        yield from draw(middle, b, counts - first, before + first)
+
+    yield from draw(0, shards, totals, np.zeros_like(totals))
+
+
 def slots(goals: DataFrame, block: int = BLOCK, shard: int = SHARD, cap: int = CAP, seed: int = 0) -> DataFrame:
     """Every slot of the mix: shard, source and the number of the source's block that fills it.
 
-    Each shard draws how many of its slots go to which source from a multinomial with the sources' shares of the targets,
-    by itself from (seed, shard); slots are dealt evenly to the shards, `shard` at most. A block is taken at most `cap`
-    times: slots that a capped source draws beyond that stay empty.
+    Slots are dealt evenly to the shards, `shard` at most. How many of its slots go to which source, each shard draws from
+    the multinomial with the sources' shares of the targets, given that all shards together give each source its whole number
+    of slots (shard_counts). So a source gets what its target asks for, up to a block for each pass over it. A block is
+    taken at most `cap` times: slots beyond that, which the whole numbers may ask for, stay empty.
     """
     blocks = F.ceil(F.col("source_size") / block).cast("long")
     # the last block of a source is short, so its mean block is a little shorter than `block`
@@ -94,30 +149,21 @@ def slots(goals: DataFrame, block: int = BLOCK, shard: int = SHARD, cap: int = C
 
     def draw(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in frames:
-            counts = []
-            for s, shards, want in zip(x["shard"], x["shards"], x["want"], strict=True):
-                all_slots = round(sum(want))
-                mine = all_slots * (int(s) + 1) // int(shards) - all_slots * int(s) // int(shards)
-                share = np.asarray(want) / np.sum(want)
-                counts.append(np.random.default_rng([seed, int(s)]).multinomial(mine, share / share.sum()))
-            yield pd.DataFrame({"shard": x["shard"], "counts": counts})
-
-    # the sources' wanted slots travel as one array, one row for each shard
+            for low, shards, want in zip(x["from"], x["shards"], x["want"], strict=True):
+                drawn = list(shard_counts(whole_slots(np.asarray(want)), int(shards), int(low), min(int(low) + STRETCH, int(shards)), seed))
+                yield pd.DataFrame({"shard": [s for s, _, _ in drawn], "counts": [c for _, c, _ in drawn], "firsts": [f for _, _, f in drawn]})
+
+    # the sources' wanted slots travel as one array, one row for each stretch of shards
     order = F.array_sort(F.collect_list(F.struct(F.col("source").isNull().alias("last"), "source", "n", "want")))
-    drawn = (
-        expected.agg(order.alias("all"), F.max("shards").alias("shards"))
-        .where("shards > 0")
-        .select("all", "shards", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"))
-    )
-    means = drawn.select("shard", "shards", F.transform("all", lambda x: x["want"]).alias("want"))
-    counts = means.repartition("shard").mapInPandas(draw, "shard long, counts array<long>")
-    per_source = (
-        counts.select("shard", F.posexplode("counts").alias("k", "count"))
+    stretches = F.sequence(F.lit(0).cast("long"), F.col("shards") - 1, F.lit(STRETCH).cast("long"))
+    drawn = expected.agg(order.alias("all"), F.max("shards").alias("shards")).where("shards > 0").select(F.transform("all", lambda x: x["want"]).alias("want"), "shards", F.explode(stretches).alias("from"))
+    counts = drawn.repartition("from").mapInPandas(draw, "shard long, counts array<long>, firsts array<long>")
+    runs = (
+        counts.select("shard", F.posexplode(F.arrays_zip("counts", "firsts")).alias("k", "c"))
         .join(expected.agg(order.alias("all")).select(F.posexplode("all").alias("k", "it")), "k")
-        .select("shard", "count", "k", "it.source", "it.n")
+        .select("shard", F.col("c.counts").alias("count"), F.col("c.firsts").alias("first"), "k", "it.source", "it.n")
+        .where("count > 0")
     )
-    first = Window.partitionBy("k").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    runs = per_source.withColumn("first", F.coalesce(F.sum("count").over(first), F.lit(0))).where("count > 0")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
