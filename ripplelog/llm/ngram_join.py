@@ -30,7 +30,8 @@ from ripplelog.llm.words import mix, shingle_sets, slices
 
 BLOCK_BYTES = 6 << 20
 FRAGMENTS = 4  # for each power of two of the counts
-SKETCH = 8  # longs, with a set's n-grams counted by hash in eight bytes each
+SKETCH = 8  # longs of 64 bits, each bit the parity of the n-grams that a hash sends there
+WIDE = 512  # sets of more shared n-grams have wider sketches as well, with two to four bits for each
 
 
 def _sets(texts: pa.ChunkedArray | pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -62,8 +63,8 @@ def _least_overlap(size: np.ndarray, percent: int) -> np.ndarray:
 def counted(blocks: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes: int) -> DataFrame:
     """doc, n, k, prefix, sketch and grams of the chosen rows (block, i, doc) that can link at all.
 
-    n: the set's size; k: how many of its n-grams other rows have, too; sketch: these counted by hash, null for sets too
-    large for it; grams: array of (count's power of two, hash), in the global order, of the n-grams that several chosen rows have;
+    n: the set's size; k: how many of its n-grams other rows have, too; sketch: the parities of these by hash, wide: more of
+    them, where SKETCH is too few; grams: array of (count's power of two, hash), in the global order, of the n-grams that several chosen rows have;
     prefix: how many of these are among the row's first n-grams, one of which any partner shares.
     """
     parts = parts_for(n_bytes, BLOCK_BYTES)  # n-grams are dealt to as many buckets by hash
@@ -109,7 +110,7 @@ def counted(blocks: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes:
 
     def ordered(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, sets = chosen_sets(left, right)
-        out = {"doc": [], "n": [], "k": [], "prefix": [], "sketch": [], "grams": []}
+        out = {"doc": [], "n": [], "k": [], "prefix": [], "sketch": [], "wide": [], "grams": []}
         if sets:
             _, place = np.unique(np.concatenate(sets), return_inverse=True)
             levels = in_order(right.filter(pc.greater_equal(right.column("bucket"), 0)), np.uint8)[0]
@@ -126,16 +127,16 @@ def counted(blocks: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes:
             out["doc"].append(d)
             out["n"].append(len(s))
             out["k"].append(k)
-            cells = np.bincount((s[shared] >> np.uint64(8)) % np.uint64(8 * SKETCH), minlength=8 * SKETCH)
-            out["sketch"].append(cells.astype(np.uint8).view(np.int64) if cells.max() < 256 else None)
+            out["sketch"].append(parities(s[shared], 64 * SKETCH))
+            out["wide"].append(parities(s[shared], 1 << (k - 1).bit_length() + 1) if k > WIDE else None)
             out["prefix"].append(len(s) - least + 1 - (len(s) - k))
             out["grams"].append(key[order].view(np.int64))
         release()
-        return pa.table(out, pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("prefix", pa.int32()), ("sketch", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))]))
+        return pa.table(out, pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("prefix", pa.int32()), ("sketch", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))]))
 
     texts = blocks.groupBy("block")
     answers = texts.cogroup(wanted.groupBy("block")).applyInArrow(ask, MESSAGE).groupBy("bucket").applyInArrow(answer, MESSAGE)
-    return texts.cogroup(wanted.union(answers).groupBy("block")).applyInArrow(ordered, "doc long, n long, k long, prefix int, sketch array<long>, grams array<long>")
+    return texts.cogroup(wanted.union(answers).groupBy("block")).applyInArrow(ordered, "doc long, n long, k long, prefix int, sketch array<long>, wide array<long>, grams array<long>")
 
 
 def _fragment(gram: Column) -> Column:
@@ -171,14 +172,45 @@ def _can_link(percent: int) -> Column:
     return sizes & ((100 + percent) * F.least("ka", "kb") >= percent * (F.col("na") + F.col("nb")))
 
 
-def _sketches_fit(percent: int) -> Column:
-    """Whether the overlap can be large enough when each cell of the sketches overlaps as far as it can."""
+def parities(grams: np.ndarray, bits: int) -> np.ndarray:
+    """Whether an odd number of the n-grams falls on each of `bits` bits, as longs. Where two sets' bits differ, an n-gram
+    is in one of them alone: the number of bits that differ is never more than that of such n-grams."""
+    odd = np.bincount((grams >> np.uint64(8)) % np.uint64(bits), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
-    def cell(side: str, i: int, shift: int) -> Column:
-        return F.shiftright(F.get(f"sketch{side}", F.lit(i)), shift).bitwiseAND(F.lit(255))
 
-    most = sum((F.least(cell("a", i, 8 * j), cell("b", i, 8 * j)) for i in range(SKETCH) for j in range(8)), F.lit(0))
-    return F.coalesce((100 + percent) * most >= percent * (F.col("na") + F.col("nb")), F.lit(True))
+def _sketches_fit(percent: int, differing: Column) -> Column:
+    """Whether the sets can link although as many n-grams as `differing` are in one of them alone, and those that no other
+    set has: a link leaves room for (100 - percent) of 100 + percent parts of both sizes."""
+    own = F.col("na") - F.col("ka") + F.col("nb") - F.col("kb")
+    return (100 + percent) * (own + differing) <= (100 - percent) * (F.col("na") + F.col("nb"))
+
+
+def _differing() -> Column:
+    """Bits in which the sketches differ."""
+    return sum((F.bit_count(F.get("sketcha", F.lit(i)).bitwiseXOR(F.get("sketchb", F.lit(i)))) for i in range(SKETCH)), F.lit(0))
+
+
+def candidates(first: DataFrame, joined: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b, na and nb of the sets that may link and that `joined` (node, component) leaves apart, each pair once.
+
+    Sets that share one of their first n-grams are compared by size and sketch while they are joined, so that of the texts
+    of one form, which share whole paragraphs, only those are given on that differ in about as little as links do. Sets
+    that are too large for their sketches are compared by their wider ones after that.
+    """
+    known = stage(first.join(joined.withColumnRenamed("node", "doc"), "doc", "left").select("g", "doc", "n", "k", "early", F.coalesce("component", "doc").alias("c")))
+    mixed = known.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g")
+    apart = known.join(mixed, "g").join(sets.select("doc", "sketch"), "doc")
+    left, right = (apart.select("g", *(F.col(c).alias(f"{c if c != 'doc' else ''}{side}") for c in ("doc", "n", "k", "early", "c", "sketch"))) for side in "ab")
+    shorter_early = F.when((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))), F.col("earlya")).otherwise(F.col("earlyb"))
+    pairs = left.join(right, "g").where((F.col("ca") < F.col("cb")) & shorter_early & _can_link(percent) & _sketches_fit(percent, _differing()))
+    pairs = stage(pairs.select("a", "b", "na", "nb", "ka", "kb").distinct())
+    large = pairs.where((F.col("ka") > WIDE) & (F.col("kb") > WIDE))
+    wide_a, wide_b = (sets.where("wide IS NOT NULL").select(F.col("doc").alias(side), F.col("wide").alias(f"wide{side}")) for side in "ab")
+    bits = F.aggregate(F.zip_with("widea", "wideb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    alike = F.size("widea") != F.size("wideb")  # next to a power of two; such pairs stay
+    large = large.join(wide_a, "a").join(wide_b, "b").where(alike | _sketches_fit(percent, bits))
+    return pairs.where((F.col("ka") <= WIDE) | (F.col("kb") <= WIDE)).select("a", "b", "na", "nb").union(large.select("a", "b", "na", "nb"))
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -207,13 +239,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, doc_id: s
     links = stage(linked(pairs.where(_can_link(percent)).select("a", "b", "na", "nb").distinct(), sets, percent))
     joined = components(links)
 
-    known = stage(first.join(joined.withColumnRenamed("node", "doc"), "doc", "left").select("g", "doc", "n", "k", "early", F.coalesce("component", "doc").alias("c")))
-    mixed = known.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g")
-    apart = known.join(mixed, "g").join(sets.select("doc", "sketch"), "doc")
-    left, right = (apart.select("g", *(F.col(c).alias(f"{c if c != 'doc' else ''}{side}") for c in ("doc", "n", "k", "early", "c", "sketch"))) for side in "ab")
-    shorter_early = F.when((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))), F.col("earlya")).otherwise(F.col("earlyb"))
-    pairs = left.join(right, "g").where((F.col("ca") < F.col("cb")) & shorter_early & _can_link(percent) & _sketches_fit(percent))
-    rest = stage(linked(pairs.select("a", "b", "na", "nb").distinct(), sets, percent))
+    rest = stage(linked(candidates(first, joined, sets, percent), sets, percent))
 
     # a doc_id in several classes ties them together
     classed = prints.join(classes.select("s1", "s2", "n_shingles", "doc"), ["s1", "s2", "n_shingles"], "left")

@@ -513,6 +513,41 @@ def test_secrets_that_no_pattern_matches(spark):
     assert right >= 12 and sum(map(bool, tagged(prose[80:]))) <= 5
 
 
+def form_letters(n, words=(18, 30), seed=5):
+    """Texts of ten paragraphs, each in one of three wordings: they share paragraphs with a third of the others."""
+    rng = random.Random(seed)
+    wording = [[" ".join(f"{rng.choice('abcdefgh')}{rng.randrange(300)}" for _ in range(rng.randrange(*words))) for _ in range(3)] for _ in range(10)]
+    return [(i, "\n".join(rng.choice(p) for p in wording)) for i in range(n)]
+
+
+@pytest.mark.parametrize("n, words", [(500, (18, 30)), (2000, (18, 30)), (300, (150, 200))])
+def test_form_letters_are_not_compared_pair_by_pair(spark, monkeypatch, n, words):
+    """Of texts that share whole paragraphs only those are compared as a whole that are next to linking: candidates grow with
+    the documents (and their links), not with the pairs. The components are those of brute force."""
+    rows, counts = form_letters(n, words), []
+    checked = ngram_join.linked
+    monkeypatch.setattr(ngram_join, "linked", lambda pairs, *more: counts.append(pairs.count()) or checked(pairs, *more))
+    found = Counter(tuple(r) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 4, 85).collect())
+    sets = [frozenset(tuple(w[i : i + 4]) for i in range(len(w) - 3)) for w in (t.split() for _, t in rows)]
+    part = list(range(n))
+
+    def root(i):
+        while part[i] != i:
+            i = part[i]
+        return i
+
+    for i in range(n):
+        for j in range(i):
+            # sizes first: sets are only cut where they can link
+            if 100 * min(len(sets[i]), len(sets[j])) >= 85 * max(len(sets[i]), len(sets[j])):
+                common = len(sets[i] & sets[j])
+                if 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common):
+                    a, b = sorted((root(i), root(j)))
+                    part[b] = a
+    assert found == Counter((i, len(sets[i]), root(i)) for i in range(n))
+    assert counts[0] <= 40 * n and counts[1] <= 5 * n
+
+
 def test_mixing(spark, docs, rows, empty):
     found = mixing.taken_words(odd(docs), block=4, shard=64).collect()
     sizes = defaultdict(int)
