@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ripplelog.llm.common import parts_for, release, stage, text_bytes
-from ripplelog.llm.packed import MESSAGE, MESSAGE_SCHEMA, ask, blocks_of, columns, cut_to_ranges, from_bytes, in_order, message
+from ripplelog.llm.packed import MESSAGE, MESSAGE_SCHEMA, ask, blocks_of, columns, cut_to_ranges, from_bytes, in_order, message, messages, read, ungapped
 from ripplelog.llm.words import mix, slices, split_words, word_hashes
 
 BLOCK_BYTES = 7 << 20
@@ -36,8 +36,8 @@ OBSERVED_SCHEMA = pa.schema([("seen", pa.binary())])
 
 
 def _spare_bits(n_bytes: int, order: int) -> int:
-    """How many of an n-gram's 64 bits don't travel: so many stay that one in 2**24 n-grams is taken for another by chance,
-    or all. Two of these bits tell the order."""
+    """How many bits of an n-gram's 64 don't travel, where it is longer than a word: so many stay that one in 2**24 of them is
+    taken for another by chance, or all. Two bits of all n-grams tell the order; single words keep the other 62."""
     return max(2, 64 - 24 - int(np.ceil(np.log2(max(2, n_bytes * order / 2)))))
 
 
@@ -70,7 +70,8 @@ class Grams:
             for k in range(order):
                 if k:
                     run = np.concatenate([run[:1], mix(run[:-1] * np.uint64(0x9E3779B97F4A7C15) + flat[1:] + np.uint64(k))])
-                levels.append(((run[token] >> np.uint64(drop)) << np.uint64(drop)) | np.uint64(min(k, 3) << (drop - 2)))
+                spare = np.uint64(drop if k else 2)
+                levels.append(((run[token] >> spare) << spare) | np.uint64(min(k, 3)))
             rows.append(np.stack(levels))
             firsts.append(token == np.repeat(at - width + order - 1, n + 1))
             sizes.append(n + 1)
@@ -175,10 +176,8 @@ def score_texts(docs: DataFrame, trained: Column, held_out: Column, deleted: Col
     def answer(group: pa.Table) -> pa.Table:
         release()
         odd = group.column("block").to_numpy() % 2 == 1
-        asked = [columns(p.as_buffer().to_pybytes(), np.uint64, np.int64) for p in group.column("payload")]
-        sizes = [len(g) for g, _ in asked]
-        grams, counts = np.concatenate([np.cumsum(g, dtype=np.uint64) for g, _ in asked]), np.concatenate([c for _, c in asked])
-        del asked
+        sizes, (grams, counts) = read(group.column("payload"), np.uint64, np.int64)
+        grams = ungapped(sizes, grams)
         deleted_part = np.repeat(odd, sizes)
         order_ = np.argsort(grams)
         grams = grams[order_]
@@ -187,13 +186,13 @@ def score_texts(docs: DataFrame, trained: Column, held_out: Column, deleted: Col
         found, kept = grams[first], whole - gone
         back = np.empty((2, len(grams)), np.int64)
         back[:, order_] = np.repeat(np.stack([whole, kept]), np.diff(np.append(first, len(grams))), axis=1)
-        cuts = np.cumsum(sizes)[:-1]
         # the deleted part's blocks get the counts without it as well
-        payloads = [message(w, k) if o else message(w) for o, w, k in zip(odd, np.split(back[0], cuts), np.split(back[1], cuts), strict=True)]
-        single = (found >> np.uint64(drop - 2)) & np.uint64(3) == 0
+        both = [messages(sizes[~odd], back[0][~deleted_part]), messages(sizes[odd], *back[:, deleted_part])]
+        payloads = pa.concat_arrays(both).take(pa.array(np.argsort(np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)]))))
+        single = found & np.uint64(3) == 0
         pad = [None] * (len(payloads) - 1)
         sums = [pa.array([int(x), *pad], pa.int64()) for x in (kept[single].sum(), (kept[single] > 0).sum(), whole[single].sum(), (whole[single] > 0).sum())]
-        return pa.table([group.column("bucket").combine_chunks(), group.column("block").combine_chunks(), pa.array(payloads, pa.binary()), *sums], names=[*MESSAGE_SCHEMA.names, "n_kept", "v_kept", "n_all", "v_all"])
+        return pa.table([group.column("bucket").combine_chunks(), group.column("block").combine_chunks(), payloads, *sums], names=[*MESSAGE_SCHEMA.names, "n_kept", "v_kept", "n_all", "v_all"])
 
     fields = f"{MESSAGE}, n_kept long, v_kept long, n_all long, v_all long"
     answers = stage(ask(blocks, question).groupBy("bucket").applyInArrow(answer, fields))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ripplelog.llm.common import parts_for, release, stage, text_bytes
 from ripplelog.llm.components import components
-from ripplelog.llm.packed import MESSAGE, MESSAGE_SCHEMA, blocks_of, columns, cut_to_ranges, from_bytes, in_order, message
+from ripplelog.llm.packed import MESSAGE, MESSAGE_SCHEMA, blocks_of, columns, cut_to_ranges, from_bytes, in_order, message, messages, read, ungapped
 from ripplelog.llm.words import mix, shingle_sets, slices
 
 BLOCK_BYTES = 6 << 20
@@ -92,11 +92,8 @@ def counted(blocks: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes:
         return cut_to_ranges(left.column("block")[0].as_py(), grams, parts, counts.astype(np.uint32))  # within a block
 
     def answer(group: pa.Table) -> pa.Table:
-        asked = [columns(p.as_buffer().to_pybytes(), np.uint64, np.uint32) for p in group.column("payload")]
-        cuts = np.cumsum([len(g) for g, _ in asked])[:-1]
-        grams = np.concatenate([np.cumsum(g, dtype=np.uint64) for g, _ in asked])
-        counts = np.concatenate([c for _, c in asked])
-        del asked
+        sizes, (grams, counts) = read(group.column("payload"), np.uint64, np.uint32)
+        grams = ungapped(sizes, grams)
         order = np.argsort(grams)
         grams = grams[order]
         first = np.flatnonzero(np.diff(grams, prepend=~grams[:1]))
@@ -104,7 +101,7 @@ def counted(blocks: DataFrame, chosen: DataFrame, n: int, percent: int, n_bytes:
         level = np.minimum(255, np.where(total < 2, 0, np.floor(np.log2(total)))).astype(np.uint8)
         back = np.empty(len(grams), np.uint8)
         back[order] = np.repeat(level, np.diff(np.append(first, len(grams))))
-        payloads = pa.array([message(x) for x in np.split(back, cuts)], pa.binary())
+        payloads = messages(sizes, back)
         release()
         return pa.table([group.column("bucket").combine_chunks(), group.column("block").combine_chunks(), payloads], schema=MESSAGE_SCHEMA)
 

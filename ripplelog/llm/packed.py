@@ -41,7 +41,7 @@ def from_bytes(payload) -> pa.Table:
 def message(*columns: np.ndarray) -> bytes:
     """The columns, of one length, as bytes; long ones are compressed."""
     raw = np.int32(len(columns[0])).tobytes() + b"".join(c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in map(np.ascontiguousarray, columns))
-    return b"\0" + raw if len(raw) < 100 else b"\1" + np.int64(len(raw)).tobytes() + pa.compress(raw, "zstd", asbytes=True)
+    return b"\0" + raw if len(raw) < PLAIN else b"\1" + np.int64(len(raw)).tobytes() + pa.compress(raw, "zstd", asbytes=True)
 
 
 def columns(payload: bytes, *kinds: type) -> list[np.ndarray]:
@@ -55,11 +55,75 @@ def columns(payload: bytes, *kinds: type) -> list[np.ndarray]:
     return out
 
 
+#: Messages of fewer bytes, with the number of entries, are not compressed.
+PLAIN = 100
+
+
+def messages(sizes: np.ndarray, *cols: np.ndarray) -> pa.Array:
+    """message() of each of so many entries of the columns in turn. Short messages, which most are where there are very many
+    buckets, are written together, those of one length at a time."""
+    starts, each = np.cumsum(sizes) - sizes, sum(c.itemsize for c in cols)
+    cols, parts, order = [np.ascontiguousarray(c) for c in cols], [], []
+    short = 4 + sizes * each < PLAIN
+    for n in np.unique(sizes[short]).tolist():
+        mine = np.flatnonzero(short & (sizes == n))
+        rows = np.zeros((len(mine), 5 + n * each), np.uint8)
+        rows[:, 1:5] = np.frombuffer(np.int32(n).tobytes(), np.uint8)  # behind the mark of plain bytes
+        place, at = 5, starts[mine][:, None] + np.arange(n)
+        for c in cols:
+            planes = c[at].view(np.uint8).reshape(len(mine), n, c.itemsize).transpose(0, 2, 1)
+            rows[:, place : place + n * c.itemsize] = planes.reshape(len(mine), -1)
+            place += n * c.itemsize
+        offsets = np.arange(len(mine) + 1, dtype=np.int64) * rows.shape[1]
+        parts.append(pa.Array.from_buffers(pa.large_binary(), len(mine), [None, pa.py_buffer(offsets), pa.py_buffer(rows)]).cast(pa.binary()))
+        order.append(mine)
+    long = np.flatnonzero(~short)
+    parts.append(pa.array([message(*(c[x : x + n] for c in cols)) for x, n in zip(starts[long].tolist(), sizes[long].tolist(), strict=True)], pa.binary()))
+    return pa.concat_arrays(parts).take(pa.array(np.argsort(np.concatenate([*order, long]))))
+
+
+def read(payloads: pa.Array | pa.ChunkedArray, *kinds: type) -> tuple[np.ndarray, list[np.ndarray]]:
+    """How many entries each message has, and the columns of all of them, one message behind the other."""
+    payloads = payloads.combine_chunks() if isinstance(payloads, pa.ChunkedArray) else payloads
+    kinds, large = [np.dtype(k) for k in kinds], payloads.cast(pa.large_binary())
+    each = sum(k.itemsize for k in kinds)
+    offsets = np.frombuffer(large.buffers()[1], np.int64)[large.offset : large.offset + len(large) + 1] if len(large) else np.zeros(1, np.int64)
+    data = np.frombuffer(large.buffers()[2] or b"", np.uint8)
+    begins, lengths = offsets[:-1], np.diff(offsets)
+    plain = (data[begins] == 0) & (lengths <= PLAIN) if len(large) else np.zeros(0, bool)
+    sizes = np.where(plain, (lengths - 5) // each, 0)
+    longer = {i: columns(large[i].as_py(), *kinds) for i in np.flatnonzero(~plain).tolist()}
+    for i, found in longer.items():
+        sizes[i] = len(found[0])
+    starts = np.cumsum(sizes) - sizes
+    out = [np.empty(int(sizes.sum()), k) for k in kinds]
+    for n in np.unique(sizes[plain]).tolist():
+        mine, place = np.flatnonzero(plain & (sizes == n)), 5
+        at = (starts[mine][:, None] + np.arange(n)).ravel()
+        for j, k in enumerate(kinds):
+            planes = data[begins[mine][:, None] + np.arange(place, place + n * k.itemsize)].reshape(len(mine), k.itemsize, n).transpose(0, 2, 1)
+            out[j][at] = np.ascontiguousarray(planes).view(k).ravel()
+            place += n * k.itemsize
+    for i, found in longer.items():
+        for j, c in enumerate(found):
+            out[j][starts[i] : starts[i] + sizes[i]] = c
+    return sizes, out
+
+
 def gaps(ordered: np.ndarray) -> np.ndarray:
     """The distances between numbers in order, which pack better; np.cumsum gives the numbers again."""
     return np.diff(ordered, prepend=np.uint64(0))
 
 
+def ungapped(sizes: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """The numbers of which each message has the gaps."""
+    if not len(steps):
+        return steps
+    total = np.cumsum(steps, dtype=np.uint64)
+    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+    return total - np.repeat(total[starts] - steps[starts], sizes[sizes > 0])
+
+
 def blocks_of(rows: DataFrame, text: str, size: int, order: list[str], apart: str | None = None) -> DataFrame:
     """block, payload (to_bytes of the rows, sorted by `order`) of all rows, in blocks of about `size` bytes of `text`.
 
@@ -102,12 +166,21 @@ def blocks_of(rows: DataFrame, text: str, size: int, order: list[str], apart: st
     return table
 
 
+def ranges(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Which of `parts` equal ranges of 64-bit numbers each key is in: key * parts / 2**64, by halves."""
+    n, low = np.uint64(parts), np.uint64(32)
+    return (((keys >> low) * n + (((keys & np.uint64(0xFFFFFFFF)) * n) >> low)) >> low).astype(np.int64)
+
+
 def cut_to_ranges(block: int, keys: np.ndarray, parts: int, *others: np.ndarray) -> pa.Table:
-    """Messages of a block to `parts` buckets: keys (in order) by their range, with the other columns beside them."""
-    cuts = [0, *np.searchsorted(keys, np.array([2**64 * i // parts for i in range(1, parts)], np.uint64)).tolist(), len(keys)]
-    filled = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
-    payloads = [message(gaps(keys[a:b]), *(c[a:b] for c in others)) for _, a, b in filled]
-    return pa.table([pa.array([i for i, _, _ in filled], pa.int32()), pa.array([block] * len(filled), pa.int64()), pa.array(payloads, pa.binary())], schema=MESSAGE_SCHEMA)
+    """Messages of a block to `parts` buckets: keys (in order) by their range, with the other columns beside them. The work
+    follows the keys, not the buckets."""
+    bucket = ranges(keys, parts)
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    sizes = np.diff(np.append(starts, len(keys)))
+    steps = gaps(keys)
+    steps[starts] = keys[starts]  # each message begins anew
+    return pa.table([pa.array(bucket[starts], pa.int32()), pa.array(np.full(len(starts), block), pa.int64()), messages(sizes, steps, *others)], schema=MESSAGE_SCHEMA)
 
 
 def ask(blocks: DataFrame, question: Callable[[int, bytes], pa.Table]) -> DataFrame:
@@ -124,6 +197,5 @@ def ask(blocks: DataFrame, question: Callable[[int, bytes], pa.Table]) -> DataFr
 
 def in_order(group: pa.Table, *kinds: type) -> list[np.ndarray]:
     """A block's answers from all buckets, in the buckets' order, as one."""
-    answers = sorted(zip(group.column("bucket").to_pylist(), group.column("payload").to_pylist(), strict=True))
-    parts = [columns(p, *kinds) for _, p in answers]
-    return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, k) for k in kinds]
+    order = np.argsort(group.column("bucket").to_numpy(), kind="stable")
+    return read(group.column("payload").combine_chunks().take(pa.array(order)), *kinds)[1]

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ripplelog.llm.common import SPACES, parts_for, stage, text_bytes
-from ripplelog.llm.packed import MESSAGE, MESSAGE_SCHEMA, ask, blocks_of, columns, cut_to_ranges, from_bytes, in_order, message
+from ripplelog.llm.packed import MESSAGE, MESSAGE_SCHEMA, ask, blocks_of, cut_to_ranges, from_bytes, in_order, messages, ranges, read, ungapped
 from ripplelog.llm.words import mix, slices, word_hashes
 
 ORDER = 4
@@ -236,7 +236,6 @@ def measure(rows: DataFrame, model: DataFrame, most: int = BROADCAST_GRAMS) -> D
         return rows.mapInArrow(counted_rows, fields)
 
     blocks, parts = blocks_of(rows, "text", BLOCK_BYTES, ["doc_id"]), parts_for(text_bytes(rows), BLOCK_BYTES)
-    limits = np.array([2**64 * i // parts for i in range(1, parts)], np.uint64)
 
     def grams_of(payload) -> np.ndarray:
         t = from_bytes(payload)
@@ -250,12 +249,12 @@ def measure(rows: DataFrame, model: DataFrame, most: int = BROADCAST_GRAMS) -> D
     def ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             h = x.column("h").to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(limits, h, side="right").astype(np.int32)), x.column("h"), x.column("p")], names=["bucket", "h", "p"])
+            yield pa.RecordBatch.from_arrays([pa.array(ranges(h, parts).astype(np.int32)), x.column("h"), x.column("p")], names=["bucket", "h", "p"])
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         lookup = Sorted(right.column("h").to_numpy().view(np.uint64), np.log(right.column("p").to_numpy()))
-        asked = [np.cumsum(columns(p.as_buffer().to_pybytes(), np.uint64)[0], dtype=np.uint64) for p in left.column("payload")]
-        return pa.table([left.column("bucket"), left.column("block"), pa.array([message(lookup(h)) for h in asked], pa.binary())], schema=MESSAGE_SCHEMA)
+        sizes, (steps,) = read(left.column("payload"), np.uint64)
+        return pa.table([left.column("bucket").combine_chunks(), left.column("block").combine_chunks(), messages(sizes, lookup(ungapped(sizes, steps)))], schema=MESSAGE_SCHEMA)
 
     schema = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in T.StructType.fromDDL(fields)])
 

@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from ripplelog.llm.common import parts_for, stage, text_bytes
 from ripplelog.llm.gsaca import suffix_array
-from ripplelog.llm.packed import MESSAGE, MESSAGE_SCHEMA, ask, blocks_of, columns, cut_to_ranges, from_bytes, in_order, message, to_bytes
+from ripplelog.llm.packed import MESSAGE, MESSAGE_SCHEMA, ask, blocks_of, cut_to_ranges, from_bytes, in_order, messages, read, to_bytes, ungapped
 from ripplelog.llm.words import mix, slices
 
 BLOCK_BYTES = 8 << 20
@@ -350,9 +350,8 @@ def repeated_spans(blocks: DataFrame, length: int, k: int, n_bytes: int) -> Data
         return cut_to_ranges(block, r.key[first], parts, r.digest[first], r.doc[first])
 
     def answer(group: pa.Table) -> pa.Table:
-        asked = [columns(p.as_buffer().to_pybytes(), np.uint64, np.uint64, np.int64) for p in group.column("payload")]
-        sizes = [len(x[0]) for x in asked]
-        key, digest, doc = np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in asked]), *(np.concatenate([x[c] for x in asked]) for c in (1, 2))
+        sizes, (key, digest, doc) = read(group.column("payload"), np.uint64, np.uint64, np.int64)
+        key = ungapped(sizes, key)
         order = np.lexsort((doc, digest, key))
         key, digest, doc = key[order], digest[order], doc[order]
         new_key = np.concatenate([[True], key[1:] != key[:-1]])
@@ -363,7 +362,7 @@ def repeated_spans(blocks: DataFrame, length: int, k: int, n_bytes: int) -> Data
         flags = np.where(doc > doc[head], EARLIER, 0) | np.where(kinds_of > 1, VARIES, 0) | np.where(tied[head], TIED, 0)
         back = np.empty(len(flags), np.uint8)
         back[order] = flags
-        return pa.table([group.column("bucket").combine_chunks(), group.column("block").combine_chunks(), pa.array([message(x) for x in np.split(back, np.cumsum(sizes)[:-1])], pa.binary())], schema=MESSAGE_SCHEMA)
+        return pa.table([group.column("bucket").combine_chunks(), group.column("block").combine_chunks(), messages(sizes, back)], schema=MESSAGE_SCHEMA)
 
     def tell(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
@@ -404,11 +403,10 @@ def repeated_spans(blocks: DataFrame, length: int, k: int, n_bytes: int) -> Data
         return cut_to_ranges(block, found, parts_open, (count > 1).astype(np.uint8))
 
     def answer_open(group: pa.Table) -> pa.Table:
-        asked = [columns(p.as_buffer().to_pybytes(), np.uint64, np.uint8) for p in group.column("payload")]
-        _, place, count = np.unique(np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in asked]), return_inverse=True, return_counts=True)
-        several = (count[place] > 1) | np.concatenate([x[1] > 0 for x in asked])
-        cuts = np.cumsum([len(x[0]) for x in asked])[:-1]
-        return pa.table([group.column("bucket").combine_chunks(), group.column("block").combine_chunks(), pa.array([message(x.astype(np.uint8)) for x in np.split(several, cuts)], pa.binary())], schema=MESSAGE_SCHEMA)
+        sizes, (steps, more) = read(group.column("payload"), np.uint64, np.uint8)
+        _, place, count = np.unique(ungapped(sizes, steps), return_inverse=True, return_counts=True)
+        several = (count[place] > 1) | (more > 0)
+        return pa.table([group.column("bucket").combine_chunks(), group.column("block").combine_chunks(), messages(sizes, several.astype(np.uint8))], schema=MESSAGE_SCHEMA)
 
     def trim(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:

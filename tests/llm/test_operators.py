@@ -4,11 +4,13 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,6 +248,44 @@ def test_messages_grow_with_the_input_alone(spark, monkeypatch, size):
     assert min(len(g) for g, _ in found) > 0 and len(found) <= entries <= 3 * 21 * size // 80
 
 
+def test_routing_costs_what_the_keys_do():
+    """A million buckets cost no more than twice what a thousand do, there and back, although nearly each key is a message."""
+    keys = np.sort(np.random.default_rng(3).integers(0, 2**64, 200_000, np.uint64))
+
+    def there_and_back(parts):
+        table = packed.cut_to_ranges(5, keys, parts, np.arange(len(keys)))
+        sizes, (steps, at) = packed.read(table.column("payload"), np.uint64, np.int64)
+        assert (packed.ungapped(sizes, steps) == keys).all() and (at == np.arange(len(keys))).all()
+        assert (np.repeat(table.column("bucket").to_numpy(), sizes) == packed.ranges(keys, parts)).all()
+        shuffled = table.take(pa.array(np.random.default_rng(1).permutation(len(table))))
+        assert (packed.in_order(shuffled, np.uint64, np.int64)[1] == at).all()
+
+    def seconds(parts):
+        took = []
+        for _ in range(3):
+            began = time.process_time()
+            there_and_back(parts)
+            took.append(time.process_time() - began)
+        return min(took)
+
+    assert seconds(1_000_000) < 2 * seconds(1_000) + 0.2
+
+
+def test_messages_of_many_entries_and_few():
+    rng = np.random.default_rng(2)
+    for sizes in ([], [1], [3], [1, 1, 2, 1, 500, 1], [40, 1]):
+        sizes = np.array(sizes, np.int64)
+        cols = [rng.integers(0, 2**63, sizes.sum()).astype(np.uint64), rng.integers(0, 200, sizes.sum()).astype(np.uint8), rng.random(sizes.sum()).astype(np.float32)]
+        found = packed.messages(sizes, *cols)
+        for payload, *parts in zip(found.to_pylist(), *(np.split(c, np.cumsum(sizes)[:-1]) if len(sizes) else [] for c in cols), strict=True):
+            assert payload == packed.message(*parts)
+        back, out = packed.read(pa.chunked_array([found.slice(0, 1), found.slice(1)]), np.uint64, np.uint8, np.float32)
+        assert back.tolist() == sizes.tolist() and all((a == b).all() and a.dtype == b.dtype for a, b in zip(out, cols, strict=True))
+    keys = np.array([0, 1, 2**63, 2**64 - 1], np.uint64)
+    for parts in (1, 3, 1000, 2**31):
+        assert packed.ranges(keys, parts).tolist() == [int(k) * parts >> 64 for k in keys.tolist()]
+
+
 def test_messages():
     for n in (0, 1, 5, 1000):
         x, y = np.sort(np.random.default_rng(n).integers(0, 2**63, n, dtype=np.uint64)), np.arange(n, dtype=np.int64) - 3
