@@ -44,7 +44,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def new_folder(spark: SparkSession) -> str:
     """A new folder that driver and executors share; it goes when the session's JVM ends."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        if shared.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset, and the warehouse is a folder of one machine")
     path = f"{shared.rstrip('/')}/query-{uuid.uuid4().hex}"
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
