@@ -6,7 +6,9 @@ looks. The field learns from what the patterns find in a bounded sample, and tag
 
 So that it finds more than the patterns do, it sees each find several times: as it stands, with its words or its shape
 hidden, and with another word, another joint and a made-up secret in its place, beside the same line with a plain word or a
-number there. It has to tell a secret by the marks and the shape, after a word that it doesn't know.
+number there. Made-up secrets also stand in other places, in headers, addresses and sentences, and beside them stand things
+that look much like secrets and are none: addresses, file names, versions, identifiers. The field has to tell a secret by
+the marks and the shape, after a word that it doesn't know.
 """
 
 from __future__ import annotations
@@ -38,10 +40,11 @@ WORDS = 1 << 10
 SHAPES = 1 << 10
 FILES = 8 * 16
 #: Where each kind of feature begins in the weights: shape, own word, words before and after, file by coarse shape.
-OFFSETS = np.cumsum([0, SHAPES, WORDS, WORDS, WORDS, WORDS])
-FEATURES = OFFSETS[-1] + FILES
+OFFSETS = np.cumsum([0, SHAPES, WORDS, WORDS, WORDS, WORDS])  # texture comes behind the file
+TEXTURES = 1 << 9
+FEATURES = OFFSETS[-1] + FILES + TEXTURES
 #: The columns of a token's features that are about words, and about its shape; what stands for a hidden one.
-WORD_COLUMNS, FILE_COLUMN, SHAPE_COLUMNS, NOTHING = [1, 2, 3, 4], 5, [0, 5], int(FEATURES)
+WORD_COLUMNS, FILE_COLUMN, SHAPE_COLUMNS, NOTHING = [1, 2, 3, 4], 5, [0, 5, 6], int(FEATURES)
 BATCH_BYTES = 1 << 20
 
 
@@ -88,6 +91,10 @@ class Tokens:
         kind[list(_KEY)] = 1
         kind[[0x20, *range(0x09, 0x0E)]] = 0
         k = kind[data]
+        # an equals sign between a word and a value is a mark of its own; at the end of a word it belongs to it
+        equal, keyed = data == 0x3D, (k == 1) & (data != 0x3D)
+        follows, precedes = np.append(keyed[1:], False), np.concatenate([[False], (k == 1)[:-1]])
+        k = np.where(equal & (follows | ~precedes), 2, k)
         edge = np.flatnonzero(np.diff(k)) + 1
         starts = np.zeros(len(ends), np.int64)
         starts[1:] = ends[:-1]
@@ -132,8 +139,18 @@ class Tokens:
         density = (marks[ends] - marks[starts]) / np.maximum(ends - starts, 1)
         file = np.searchsorted([0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2], density, side="right")[owner]
         coarse = (digits > 0) + 2 * (size >= 16) + 4 * (size >= 32) + 8 * (other > 0)
-        columns = [shape, word, beside(1), beside(2), beside(-1), file * 16 + coarse]
-        return np.stack(columns, axis=1) + OFFSETS if n else np.zeros((0, 6), np.int64)
+        # how often the kind of character changes, how many marks stand inside, and the longest run of lower-case letters
+        sort = np.zeros(256, np.int8)
+        for i, members in enumerate((_DIGIT, _LOWER, _UPPER), 1):
+            sort[list(members)] = i
+        changes = np.concatenate([[0, 0], np.cumsum(np.diff(sort[data]) != 0, dtype=np.int32)])[: len(data) + 1]
+        change = (changes[finish] - changes[np.minimum(begin + 1, finish)]) / np.maximum(size - 1, 1)
+        runs = np.where(_table(_LOWER)[data] == 1, np.arange(len(data)) - np.maximum.accumulate(np.where(_table(_LOWER)[data] == 0, np.arange(len(data)), -1)), 0)
+        run = np.maximum.reduceat(np.append(runs, 0), begin) if n else np.zeros(0, np.int64)
+        run = np.minimum(run, size)
+        texture = np.searchsorted([0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.75], change, side="right") + 8 * np.minimum(other, 3) + 32 * np.searchsorted([4, 6, 9], run, side="right") + 128 * np.searchsorted([8, 16, 24], size, side="right")
+        columns = [shape, word, beside(1), beside(2), beside(-1), file * 16 + coarse, texture + FILES]
+        return np.stack(columns, axis=1) + [*OFFSETS, OFFSETS[-1]] if n else np.zeros((0, 7), np.int64)
 
 
 @dataclass
@@ -209,6 +226,52 @@ def variants(texts: list[str], rng: np.random.Generator, each: int = 3, most: in
     return out
 
 
+def _secret(rng: np.random.Generator, low: int = 12, high: int = 49) -> str:
+    alphabet = ALPHABETS[int(rng.integers(len(ALPHABETS)))]
+    while True:  # as long as it takes to have letters and digits
+        value = "".join(alphabet[int(i)] for i in rng.integers(len(alphabet), size=int(rng.integers(low, high))))
+        if any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
+            return value
+
+
+#: Places of secrets, and things that look like them and are none. w is a word, W one in capitals, C one with a capital, n a
+#: short number, d a date, v a version, h eight hexadecimal digits, u an identifier of five groups of them, s the secret.
+PLACES = (
+    "{W}_{W}={s}", "export {W}_{W}={s}", "{w}_{w}: {s}", "-- {w}={s}", "{w}://{w}:{s}@{w}.{w}/{w}", "{C}: {C} {s}", "{C}-{C}: {s}", "{w} {w} {s} {w} {w}", "{w} {w}: {s}", "{w} {w} \"{s}\", {w} {w}.", "{{\"{w}\": \"{s}\"}}",
+    "<{w}>{s}</{w}>", "{w} --{w} {s}", "{w} -{w} '{s}'", "{w}({s})", "{w} = {w}_{s}", "{w}_{s} {w}", "({w}: {s})", "[{w}] {s}", "{w}={n}&{w}={s}",
+)
+LOOKS = (
+    "https://{w}.{w}.{w}/{w}/{n}?{w}={n}&{w}={w}", "http://{w}.{w}/{w}/{w}-{w}-{n}.html#{w}", "https://{w}.{w}/{d}/{w}_{n}", "{w}@{w}.{w}", "{w}.{n}@{w}-{w}.{w}", "/{w}/{w}{n}/{w}_{n}.{w}", "{W}_{d}_{n}.jpg", "{w}-{n}x{n}.png", "{W}{n}{n}.{w}",
+    "v{v}", "{w}-{v}-{w}.{n}", "{w} {v}-{w}+{h}", "{w}=={v}", "{w}/{v} ({W} {n}.{n})", "{u}", "{w}: {u}", "{C}{C}{C}{n}", "{w}{C}{C}({w}{n})", "{w}_{w}_{n}_{w}", "{W}_{W}_{W}_{n}", "{d}T{n}:{n}:{n}Z", "{n}-{n}-{n}-{n}", "+{n} {n} {n}",
+    "{w}={n}", "{w}: {w}-{n}", "{w}={w}&{w}={n}", "#{h}", "0x{h}", "{n}.{n}.{n}.{n}:{n}", "{W}-{n}{W}{n}", "{w} {w} {W}{n}{W} {w}", "{w}://{w}.{w}:{n}/{w}", "{C}: {C} {n}", "export {W}_{W}={w}", "{w} --{w} {w}{n}", "<{w}>{C}{n}</{w}>", "{{\"{w}\": \"{w}-{n}\"}}",
+)
+
+
+def made_up(plain: list[str], rng: np.random.Generator, secrets: int = 900, looks: int = 1400) -> list[tuple[str, list[tuple[int, int]]]]:
+    """Lines with made-up secrets, and where they are, and lines with what only looks like them, between words of the corpus."""
+    pick = lambda x: x[int(rng.integers(len(x)))]
+    number = lambda: str(int(rng.integers(10 ** int(rng.integers(1, 6)))))
+    hexes = lambda n: "".join("0123456789abcdef"[int(i)] for i in rng.integers(16, size=n))
+    kinds = {
+        "w": lambda: pick(plain).lower(), "W": lambda: pick(plain).upper(), "C": lambda: pick(plain).capitalize(), "n": number, "h": lambda: hexes(8), "u": lambda: "-".join(map(hexes, (8, 4, 4, 4, 12))),
+        "d": lambda: f"20{int(rng.integers(10, 30))}-{int(rng.integers(1, 13)):02}-{int(rng.integers(1, 29)):02}", "v": lambda: ".".join(str(int(x)) for x in rng.integers(0, 30, size=3)), "s": lambda: _secret(rng),
+    }
+    words = lambda: " ".join(pick(plain) for _ in range(int(rng.integers(0, 5))))
+    out = []
+    for places, many in ((PLACES, secrets), (LOOKS, looks)):
+        for i in range(many):
+            line, spans = (head := words()) + (" " if head else ""), []
+            for literal, name, _, _ in string.Formatter().parse(places[i % len(places)]):
+                line += literal
+                if name:
+                    value = kinds[name]()
+                    spans += [(len(line), len(line) + len(value))] if name == "s" else []
+                    line += value
+            tail = words()
+            out.append((line + (" " + tail if tail else ""), spans))
+    return out
+
+
 def train(texts: list[str], rounds: int = 45, rate: float = 0.3, longest: int = 64, seed: int = 0) -> Field:
     """Learns from what the patterns find in `texts`, and variants of that: log-likelihood of whole chains, by adaptive
     gradient steps.
@@ -219,8 +282,9 @@ def train(texts: list[str], rounds: int = 45, rate: float = 0.3, longest: int =
     weights, moves = np.zeros((FEATURES + 1, 3)), np.zeros((3, 3))
     moves[O, I] = moves[I, B] = -4.0  # an inside needs a beginning
     told = [(t, [(secret, end) for _, _, _, end, secret in base_spans(t)]) for t in texts]
-    made = variants(texts, rng)
-    told += made
+    words = [w for t in texts[-200:] for w in re.findall(r"[^\W\d_]{3,12}", t)[:50]] or ["plain"]
+    told += variants(texts, rng)
+    told += made_up(words, rng) if any(finds for _, finds in told) else []
     data, ends = _joined([t.encode() for t, _ in told])
     tokens = Tokens.of(data, ends)
     gold = np.full(len(tokens.start), O, np.int8)
@@ -248,9 +312,10 @@ def train(texts: list[str], rounds: int = 45, rate: float = 0.3, longest: int =
     of = np.zeros(n_chains, np.int64)
     of[chain] = tokens.text
     usual = rest[of[rest] >= len(texts)]  # the variants' plain ones, all of them
-    # a line in which a long word mixes letters and digits may hold what the patterns miss: it says nothing
-    shape = tokens.features[:, 0]
-    mixed = (tokens.end - tokens.start >= 16) & (shape >> 3 & 1 > 0) & (shape >> 4 & 3 > 0)
+    # a line in which a long word changes between letters and digits again and again may hold what the patterns miss: it says
+    # nothing
+    shape, texture = tokens.features[:, 0], tokens.features[:, 6] - OFFSETS[-1] - FILES
+    mixed = (tokens.end - tokens.start >= 16) & (shape >> 3 & 1 > 0) & (shape >> 4 & 3 > 0) & (texture % 8 >= 3)
     unsure = np.zeros(n_chains, bool)
     unsure[chain[mixed]] = True
     rest = rest[(of[rest] < len(texts)) & ~unsure[rest]]
