@@ -65,7 +65,8 @@ class Run:
         token: what the rows are made of. A target that has them already, as the state was lost behind it, stays as it is.
         """
         name = State.name(stream)
-        target = VersionedTable(self.spark, f"{self.out}/{name}", stream.key, self.target_parts if stream.key and not self.append else 1)
+        in_parts = stream.key and not self.append and stream.method != "FULL_TABLE"  # others are written as a whole or added to
+        target = VersionedTable(self.spark, f"{self.out}/{name}", stream.key, self.target_parts if in_parts else 1)
         now = target.version()
         new = 0 if now is None else now + 1
         if token is None or token != target.token():
@@ -204,7 +205,7 @@ def run(
 
     `end` is the log's position (log_file, log_pos) taken before anything is read: what changes during a snapshot comes
     again from the log, and events from `end` on are the next run's. Each target is a table of versions under `out`, numbered
-    on from the last, in `target_parts` parts by key; the state is written after each table, so that a failure costs no more
+    on from the last, in `target_parts` parts by key (so many that one is some hundred MB); the state is written after each table, so that a failure costs no more
     than the table it was in.
 
     log: the change log, which is read once for all streams, from the first position that one of them needs; or a function
