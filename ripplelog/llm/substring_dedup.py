@@ -33,6 +33,7 @@ from ripplelog.llm.words import mix, slices
 BLOCK_BYTES = 8 << 20
 #: Strings of one suffix array, in bytes. One place costs some 10 microseconds and 60 bytes.
 ARRAY_BYTES = 1 << 18
+HEAVY_BYTES = 16 << 20
 SLICE = 1 << 18
 _BYTE = np.random.default_rng(21).integers(1, 2**63, 256, dtype=np.uint64)
 _NOBODY = -(2**63)
@@ -340,8 +341,10 @@ def settle(told: pa.Table, length: int) -> Iterator[tuple[np.ndarray, ...]]:
                 yield np.full(len(mine), block[j]), np.full(len(mine), i[j]), mine, mine + length
 
 
-def repeated_spans(blocks: DataFrame, length: int, k: int, n_bytes: int) -> DataFrame:
-    """block, kind, n and payload (i, start, end): spans of the blocks' texts covered by strings that also start earlier."""
+def repeated_spans(blocks: DataFrame, length: int, k: int, n_bytes: int, heavy: int = HEAVY_BYTES) -> DataFrame:
+    """block, kind, n and payload (i, start, end): spans of the blocks' texts covered by strings that also start earlier.
+
+    heavy: the segments of a context that have more bytes than this are not brought together, but each of their strings."""
     parts = parts_for(n_bytes, BLOCK_BYTES)
 
     def question(block: int, payload) -> pa.Table:
@@ -398,31 +401,50 @@ def repeated_spans(blocks: DataFrame, length: int, k: int, n_bytes: int) -> Data
     parts_open = parts_for(8 * strings, BLOCK_BYTES // 16)
 
     def question_open(block: int, payload) -> pa.Table:
-        hashes, _, _ = _string_hashes(from_bytes(payload).column("bytes").combine_chunks(), length)
+        t = from_bytes(payload)
+        hashes, _, _ = _string_hashes(t.column("bytes").combine_chunks(), length)
         found, count = np.unique(hashes, return_counts=True)
-        return cut_to_ranges(block, found, parts_open, (count > 1).astype(np.uint8))
+        keys, of = np.unique(t.column("key").to_numpy(), return_inverse=True)
+        weights = np.bincount(of, weights=pc.binary_length(t.column("bytes")).to_numpy()).astype(np.int64)
+        asked = cut_to_ranges(block, keys, parts_open, weights)  # of keys: how many bytes there are in all
+        asked = asked.set_column(0, "bucket", pc.add(asked.column("bucket"), pa.scalar(parts_open, pa.int32())))
+        return pa.concat_tables([cut_to_ranges(block, found, parts_open, (count > 1).astype(np.uint8)), asked])
 
     def answer_open(group: pa.Table) -> pa.Table:
-        sizes, (steps, more) = read(group.column("payload"), np.uint64, np.uint8)
-        _, place, count = np.unique(ungapped(sizes, steps), return_inverse=True, return_counts=True)
-        several = (count[place] > 1) | (more > 0)
-        return pa.table([group.column("bucket").combine_chunks(), group.column("block").combine_chunks(), messages(sizes, several.astype(np.uint8))], schema=MESSAGE_SCHEMA)
+        if group.column("bucket")[0].as_py() >= parts_open:
+            sizes, (steps, weights) = read(group.column("payload"), np.uint64, np.int64)
+            _, place = np.unique(ungapped(sizes, steps), return_inverse=True)
+            back = np.bincount(place, weights=weights)[place] > heavy
+        else:
+            sizes, (steps, more) = read(group.column("payload"), np.uint64, np.uint8)
+            _, place, count = np.unique(ungapped(sizes, steps), return_inverse=True, return_counts=True)
+            back = (count[place] > 1) | (more > 0)
+        return pa.table([group.column("bucket").combine_chunks(), group.column("block").combine_chunks(), messages(sizes, back.astype(np.uint8))], schema=MESSAGE_SCHEMA)
 
     def trim(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return MESSAGE_SCHEMA.empty_table()
         block, t = left.column("block")[0].as_py(), from_bytes(left.column("payload")[0].as_buffer())
         hashes, seg, inner = _string_hashes(t.column("bytes").combine_chunks(), length)
+        of_key = pc.greater_equal(right.column("bucket"), parts_open)
         _, place = np.unique(hashes, return_inverse=True)
-        chosen = in_order(right, np.uint8)[0][place] > 0
+        chosen = in_order(right.filter(pc.invert(of_key)), np.uint8)[0][place] > 0
+        firsts = np.searchsorted(seg, np.arange(t.num_rows))  # of each segment's strings
         seg, low, high = _stretches(chosen, seg, inner)
         if not len(seg):
             return MESSAGE_SCHEMA.empty_table()
+        _, of = np.unique(t.column("key").to_numpy(), return_inverse=True)
+        # the strings of a key that has too many bytes for a task are dealt out by themselves, equal ones to one bucket
+        alone = (in_order(right.filter(of_key), np.uint8)[0][of] > 0)[seg]
+        n = np.where(alone, high - low + 1, 1)
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        seg, low, high, alone = (np.repeat(x, n) for x in (seg, low, high, alone))
+        low, high = np.where(alone, low + step, low), np.where(alone, low + step, high)
         whole = t.column("bytes").to_pylist()
         cut = [whole[s][a : b + length] for s, a, b in zip(seg.tolist(), low.tolist(), high.tolist(), strict=True)]
         c = {x: t.column(x).to_numpy()[seg] for x in ("key", "left", "i", "doc", "row", "start")}
         trimmed = pa.table({**c, "left": c["left"] - low, "start": c["start"] + low, "bytes": pa.array(cut, pa.binary())})
-        bucket = (c["key"] % np.uint64(parts_open)).astype(np.int64)
+        bucket = (np.where(alone, mix(hashes[firsts[seg] + low]), c["key"]) % np.uint64(parts_open)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         edges = [0, *(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(order)]
         trimmed = trimmed.take(pa.array(order))
@@ -446,7 +468,7 @@ def repeated_spans(blocks: DataFrame, length: int, k: int, n_bytes: int) -> Data
     return told.where("kind = 'spans'").union(trimmed.groupBy("bucket").applyInArrow(settled, TOLD))
 
 
-def drop_repeated_strings(docs: DataFrame, length: int = 100, k: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_repeated_strings(docs: DataFrame, length: int = 100, k: int = 20, doc_id: str = "doc_id", text: str = "text", heavy: int = HEAVY_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (binary) of every row of `docs`.
 
     Every byte of the texts as UTF-8 goes that a string of `length` bytes covers which also starts earlier: in a smaller
@@ -460,7 +482,7 @@ def drop_repeated_strings(docs: DataFrame, length: int = 100, k: int = 20, doc_i
     rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(_NOBODY)).alias("doc"), F.coalesce(text, F.lit("")).alias("text"))
     rows = rows.withColumn("row", F.xxhash64("text"))
     blocks = blocks_of(rows, "text", BLOCK_BYTES, ["doc", "row"])
-    spans = repeated_spans(blocks, length, k, text_bytes(docs, text))
+    spans = repeated_spans(blocks, length, k, text_bytes(docs, text), heavy)
     kind = dict(rows.dtypes)["_id"]
     fields = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
     schema = pa.schema([("doc_id", to_arrow_type(rows.schema["_id"].dataType)), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])

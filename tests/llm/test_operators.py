@@ -678,8 +678,10 @@ def test_substring_dedup(spark, docs, rows, length, k):
     unique = [r for i, r in enumerate(rows) if r[0] not in {x[0] for x in rows[:i]}]
     more = [(3000 + i, "".join(rng.choice([*passages, "x" * rng.randrange(9), f"{i}-{rng.random()}", "ab" * length]) for _ in range(6))) for i in range(25)]
     table = spark.createDataFrame([(d, t) for d, t, *_ in unique] + more, "doc_id long, text string").withColumn("block", F.lit("odd")).repartition(3)
-    found = substring_dedup.drop_repeated_strings(table, length, k)
-    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found.collect()) == brute_spans([*unique, *more], length)
+    expected = brute_spans([*unique, *more], length)
+    for heavy in (substring_dedup.HEAVY_BYTES, 3 * length, 0):  # contexts of that many bytes are cut into strings
+        found = substring_dedup.drop_repeated_strings(table, length, k, heavy=heavy)
+        assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found.collect()) == expected
 
 
 def test_substring_dedup_of_repeated_rows(spark, empty):
