@@ -106,6 +106,8 @@ def apply(layout: Layout, changes: Iterable[Change], server: Layout = ()) -> Lay
 
 #: A row for each version (place is null), and one for each column with the versions from which and up to which it is there.
 HISTORY = "schema_name string, table_name string, version int, log_file string, log_pos long, until int, place int, name string, column_type string, key string, charset string, collation string"
+#: Up to so many tables and changes are read to the driver and folded there.
+FOLDED = 500
 #: One row for each version with all its columns.
 LAYOUTS = "schema_name string, table_name string, version int, columns array<string>, layout array<struct<name: string, column_type: string, key: string, charset: string, collation: string>>"
 
@@ -126,7 +128,8 @@ def history(start: DataFrame, changes: DataFrame, server: DataFrame | None = Non
 
     start: schema_name, table_name and layout; changes: what column_changes finds in DDL events with log_file, log_pos and
     row_idx. server: present layouts; tables that `start` doesn't know begin with theirs, and columns that a statement adds
-    are defined by theirs. Statements on tables that neither knows are left out. Each table's statements are one group.
+    are defined by theirs. Statements on tables that neither knows are left out. Each table's statements are one group; up to
+    FOLDED tables and statements are folded here, without tasks.
     """
     key = [F.lower("schema_name").alias("s"), F.lower("table_name").alias("t")]
     first = start.select(*key, "schema_name", "table_name", "layout", F.lit(0).alias("rank"))
@@ -134,21 +137,18 @@ def history(start: DataFrame, changes: DataFrame, server: DataFrame | None = Non
         first = first.union(server.select(*key, "schema_name", "table_name", "layout", F.lit(1).alias("rank")))
     said = changes.select(F.lower("change.schema_name").alias("s"), F.lower("change.table_name").alias("t"), "log_file", "log_pos", F.col("row_idx").cast("double").alias("row_idx"), F.coalesce(file_number(F.col("log_file")), F.lit(-1)).alias("no"), "change")
 
+    few = first.limit(FOLDED + 1).collect()
+    if len(few) <= FOLDED and len(some := said.limit(FOLDED + 1).collect()) <= FOLDED:
+        of: dict[tuple, tuple[list, list]] = {}
+        for rows, side in ((few, 0), (some, 1)):
+            for r in rows:
+                of.setdefault((r.s, r.t), ([], []))[side].append(r.asDict(True))
+        return start.sparkSession.createDataFrame([row for left, right in of.values() for row in _folded(left, right)], HISTORY)
+
     def fold(left, right):
         import pyarrow as pa
 
-        known = sorted(left.to_pylist(), key=lambda r: r["rank"])
-        out = []
-        if known:
-            named = known[0]["schema_name"], known[0]["table_name"]
-            table = Evolving(named[1], [Column(**c) for c in known[0]["layout"]])
-            now = {c["name"].upper(): Column(**c) for c in known[-1]["layout"]} if known[-1]["rank"] else {}
-            out.append((*named, 0, None, -1, *[None] * 7))
-            place = lambda r: (r["no"], r["log_file"], r["log_pos"], r["row_idx"])
-            for (_, log_file, log_pos, _), rows in groupby(sorted(right.to_pylist(), key=lambda r: (*place(r), r["change"]["n"])), place):
-                table.apply([Change(**{k: v for k, v in r["change"].items() if k != "n"}) for r in rows], now)
-                out.append((*named, table.version, log_file, log_pos, *[None] * 7))
-            out += [(*named, p.since, None, None, p.until, i, *astuple(p.column)) for i, p in enumerate(table.places())]
+        out = _folded(left.to_pylist(), right.to_pylist())
         columns = zip(*out, strict=True) if out else [[]] * len(fields)
         return pa.table([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=fields)
 
@@ -160,6 +160,22 @@ def history(start: DataFrame, changes: DataFrame, server: DataFrame | None = Non
     return first.groupBy("s", "t").cogroup(said.groupBy("s", "t")).applyInArrow(fold, HISTORY)
 
 
+def _folded(known: list[dict], said: list[dict]) -> list[tuple]:
+    """HISTORY of one table: its layouts, and what is said about it."""
+    known, out = sorted(known, key=lambda r: r["rank"]), []
+    if known:
+        named = known[0]["schema_name"], known[0]["table_name"]
+        table = Evolving(named[1], [Column(**c) for c in known[0]["layout"]])
+        now = {c["name"].upper(): Column(**c) for c in known[-1]["layout"]} if known[-1]["rank"] else {}
+        out.append((*named, 0, None, -1, *[None] * 7))
+        place = lambda r: (r["no"], r["log_file"], r["log_pos"], r["row_idx"])
+        for (_, log_file, log_pos, _), rows in groupby(sorted(said, key=lambda r: (*place(r), r["change"]["n"])), place):
+            table.apply([Change(**{k: v for k, v in r["change"].items() if k != "n"}) for r in rows], now)
+            out.append((*named, table.version, log_file, log_pos, *[None] * 7))
+        out += [(*named, p.since, None, None, p.until, i, *astuple(p.column)) for i, p in enumerate(table.places())]
+    return out
+
+
 def versions(held: DataFrame) -> DataFrame:
     """schema_name, table_name, version, log_file and log_pos of a HISTORY: where each version begins."""
     return held.where("place IS NULL").select("schema_name", "table_name", "version", "log_file", "log_pos")

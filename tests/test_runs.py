@@ -235,9 +235,12 @@ def statements(spark, n):
     return said, evolution.history(start, column_changes(spark.createDataFrame(rows, "log_file string, log_pos long, row_idx int, schema_name string, ddl string")))
 
 
-def test_layouts_against_one_after_the_other(spark):
+@pytest.mark.parametrize("folded", [0, 500])
+def test_layouts_against_one_after_the_other(spark, monkeypatch, folded):
+    """By tasks, and on the driver where the statements are few."""
     from ripplelog.functions.ddl import changes
 
+    monkeypatch.setattr(evolution, "FOLDED", folded)
     said, held = statements(spark, 60)
     found = {r.version: r.columns for r in evolution.layouts(held, evolution.versions(held)).collect()}
     layout = (evolution.Column("id", "int", "PRI"),)
