@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ripplelog.functions.types import inclusion
+
 METHODS = ("FULL_TABLE", "INCREMENTAL", "LOG_BASED")
 BOOKMARK_KEYS = {
     "LOG_BASED": {"log_file", "log_pos", "version"},
@@ -66,6 +68,15 @@ class Stream:
             raise ConfigError(f"{self.id}: no replication key")
 
 
+def discovered(catalogue: DataFrame) -> list[Stream]:
+    """A stream for each table of a server's catalogue (sources.server.catalogue), by schema and table: its columns in order
+    with their inclusion, and its primary key. Catalogues are read to the driver, as all planning is there."""
+    return [
+        Stream(r.schema_name, r.table_name, {c.column_name: inclusion(c.column_type, c.column_key) for c in r.columns}, [c.column_name for c in r.columns if c.column_key == "PRI"])
+        for r in catalogue.orderBy("schema_name", "table_name").collect()
+    ]
+
+
 def apply_mapping(streams: Iterable[Stream], mapping: Mapping) -> list[Stream]:
     """Streams with what the mapping asks for: {database: {tables: [{table: {selected, replication-method, ...}}]}}.
 

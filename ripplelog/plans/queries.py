@@ -13,8 +13,9 @@ from ripplelog.functions import types, values
 from ripplelog.functions.ddl import column_changes, register
 from ripplelog.operators import changelog, evolution, latest, offsets, snapshot
 from ripplelog.sources import log_source, server
-from ripplelog.plans.catalog import State, Stream, is_synced, route
-from ripplelog.plans.run import run
+from ripplelog.plans.catalog import ConfigError, State, Stream, apply_mapping, discovered, is_synced, mapping_of, route
+from ripplelog.plans.config import mapping_text, parse_mapping
+from ripplelog.plans.run import read_state, run
 from ripplelog.sources import sinks
 from ripplelog.sources.sinks import base_types
 from ripplelog.sources.versions import VersionedTable
@@ -844,3 +845,83 @@ def follow_to_positions(spark, sf_dir):
     for end in (("bin.20240108", 500), ("bin.20240120", 600)):
         follow(spark, folder, schema, target, f"{folder}-checkpoint", ["user_id"], end=end)
     return target.read().select("user_id", F.col("log_pos").alias("event_id"), "event_type")
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def export_slices(spark, sf_dir):
+    """orders as files of at most 1,000 rows without headers, read again by the columns of their manifest."""
+    folder, rows = new_folder(spark), table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    sinks.write_slices(rows, folder, 1_000)
+    found = spark.read.schema(rows.schema).options(header=False, escape='"').csv(folder)
+    if found.groupBy(F.input_file_name()).count().where("count > 1000").count():
+        raise ValueError("a slice has more rows than it may have")
+    return found
+
+
+@query(
+    """SELECT 't' || s_nationkey AS table_name, string_agg(s_name, ',' ORDER BY s_suppkey) FILTER (s_suppkey % 9 = 0 OR (s_suppkey % 8 <> 5 AND s_suppkey % 4 <> 0)) AS columns, string_agg(s_name, ',' ORDER BY s_suppkey) FILTER (s_suppkey % 9 = 0) AS key
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 7 <> 0 AND n_regionkey <> 2 AND n_nationkey % 2 = 0 GROUP BY ALL"""
+)
+def discovered_and_mapped(spark, sf_dir):
+    """Discovery writes a mapping of all there is; it is edited (every second table, without each fourth column, in other
+    letters) and read again: the columns that are read of each selected table, and its key."""
+    n = table(spark, sf_dir, "nation")
+    kinds = n.select(F.when(F.col("n_nationkey") % 7 == 0, "mysql").otherwise("shop").alias("schema_name"), F.concat(F.lit("t"), "n_nationkey").alias("table_name"), F.when(F.col("n_regionkey") == 2, "VIEW").otherwise("BASE TABLE").alias("table_type"))
+    streams = discovered(server.catalogue(supplier_columns(spark, sf_dir), kinds))
+    fourth = {r.s_name for r in table(spark, sf_dir, "supplier").where("s_suppkey % 4 = 0").select("s_name").collect()}
+    edited = parse_mapping(mapping_text(mapping_of(streams)).replace("shop", "SHOP"))
+    for entry in edited.get("SHOP", {}).get("tables", []):
+        for name, asked in entry.items():
+            asked["selected"] = int(name[1:]) % 2 == 0
+            asked["columns"] = {c.upper(): c not in fourth for c in asked["columns"]}
+    edited.setdefault("SHOP", {"tables": []})["tables"].append({"gone": {"selected": True}})
+    rows = [(s.table, ",".join(s.desired()) or None, ",".join(s.key) or None) for s in apply_mapping(streams, edited)]
+    return spark.createDataFrame(rows, "table_name string, columns string, key string")
+
+
+@query(
+    """SELECT s_name AS table_name, s_suppkey % 3 <> 0 AND s_suppkey % 2 = 0 AS incremental, CASE WHEN s_suppkey % 5 = 0 THEN 'in.c-my-app-' || s_suppkey ELSE 'in.c-' || lower(replace(s_name, '#', '')) END || '.' || upper(s_name) AS destination,
+    CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE 'ID' END AS key FROM supplier"""
+)
+def manifests(spark, sf_dir):
+    """Suppliers as tables: whether a load adds to what is there, where it goes, and its key."""
+    schema, rows = table(spark, sf_dir, "supplier").schema, []
+    for r in table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").collect():
+        method = ("FULL_TABLE", "INCREMENTAL", "LOG_BASED")[r.s_suppkey % 3]
+        place = sinks.bucket(None if r.s_suppkey % 5 == 0 else r.s_name.replace("#", "").lower(), "my.app", str(r.s_suppkey))
+        told = sinks.manifest(f"{place}.{r.s_name.upper()}", [] if r.s_suppkey % 4 == 0 else ["id"], schema, sinks.is_incremental(method, r.s_suppkey % 2 == 0))
+        rows.append((r.s_name, told["incremental"], told["destination"], ",".join(told["primary_key"]) or None))
+    return spark.createDataFrame(rows, "table_name string, incremental boolean, destination string, key string")
+
+
+@query(
+    """SELECT s_name AS table_name, CASE s_suppkey % 3 WHEN 0 THEN 'initial_full_table_complete,last_pk_fetched' WHEN 1 THEN 'replication_key,replication_key_value' ELSE 'initial_full_table_complete,last_pk_fetched,log_file,log_pos' END AS kept,
+    s_suppkey % 3 = 2 AS needs_snapshot FROM supplier"""
+)
+def state_round_trip(spark, sf_dir):
+    """A state of all suppliers' tables with more than their methods use, trimmed, written and read again."""
+    streams = [Stream("s", r.s_name, {"id": "automatic"}, ["id"], method=("FULL_TABLE", "INCREMENTAL", "LOG_BASED")[r.s_suppkey % 3], replication_key="id") for r in table(spark, sf_dir, "supplier").collect()]
+    state, out = State(), new_folder(spark)
+    for s in streams:
+        state.put(s, log_file="bin.1", log_pos=4, last_pk_fetched={"id": 3}, initial_full_table_complete=True, replication_key="id", replication_key_value="7", other=1)
+        state.trim(s)
+    sinks.write_json(spark, f"{out}/state.json", state.document())
+    again = read_state(spark, out)
+    return spark.createDataFrame([(s.table, ",".join(sorted(again.bookmarks[State.name(s)])), again.needs_snapshot(s)) for s in streams], "table_name string, kept string, needs_snapshot boolean")
+
+
+@query(
+    """SELECT s_name AS table_name, CASE WHEN s_suppkey % 4 = 3 THEN 'unknown method' WHEN s_suppkey % 4 = 2 AND s_suppkey % 3 = 0 THEN 'a view has no log' WHEN s_suppkey % 4 = 1 AND s_suppkey % 5 = 0 THEN 'no replication key' END AS problem FROM supplier"""
+)
+def configuration_checks(spark, sf_dir):
+    """Suppliers as tables, some of which can't be read as they are configured."""
+    rows = []
+    for r in table(spark, sf_dir, "supplier").select("s_suppkey", "s_name").collect():
+        method = ("FULL_TABLE", "INCREMENTAL", "LOG_BASED", "BY_HAND")[r.s_suppkey % 4]
+        stream = Stream("s", r.s_name, {"id": "automatic"}, ["id"], is_view=r.s_suppkey % 3 == 0, method=method, replication_key=None if r.s_suppkey % 5 == 0 else "id")
+        try:
+            stream.check()
+            rows.append((r.s_name, None))
+        except ConfigError as e:
+            rows.append((r.s_name, str(e).partition(": ")[2].removesuffix(f" {method}")))
+    return spark.createDataFrame(rows, "table_name string, problem string")
