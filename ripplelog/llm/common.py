@@ -17,8 +17,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or the warehouse where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """The folder that driver and executors share: spark.checkpoint.dir, or the warehouse where it is unset. A warehouse that
+    is a folder of the driver's machine will do for a local session only."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        path = spark.conf.get("spark.sql.warehouse.dir")
+        if path.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset, and the warehouse is a folder of one machine")
     return path.rstrip("/")
 
 

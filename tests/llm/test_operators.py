@@ -699,6 +699,19 @@ def test_suffix_array():
         assert suffix_array(s).tolist() == sorted(range(len(s)), key=lambda j: s[j:].tolist())
 
 
+def test_shared_folder():
+    class Session:
+        def __init__(self, master, **conf):
+            self.conf = {k.replace("_", "."): v for k, v in conf.items()}
+            self.sparkContext = type("Context", (), {"master": master})
+
+    assert common.shared_dir(Session("yarn", spark_checkpoint_dir="hdfs:///x/", spark_sql_warehouse_dir="file:/w")) == "hdfs:///x"
+    assert common.shared_dir(Session("yarn", spark_sql_warehouse_dir="hdfs:///w")) == "hdfs:///w"
+    assert common.shared_dir(Session("local[2]", spark_sql_warehouse_dir="file:/w")) == "file:/w"
+    with pytest.raises(ValueError, match="one machine"):
+        common.shared_dir(Session("spark://a:7077", spark_sql_warehouse_dir="file:/w"))
+
+
 def test_words():
     import pyarrow as pa
 
