@@ -182,14 +182,18 @@ def versions(held: DataFrame) -> DataFrame:
 
 
 def layouts(held: DataFrame, wanted: DataFrame) -> DataFrame:
-    """LAYOUTS of the versions in `wanted` (schema_name, table_name, version): what is asked for, in space and time."""
-    v = wanted.select("schema_name", "table_name", "version").distinct().alias("v")
-    c = held.where("place IS NOT NULL").alias("c")
-    there = (F.col("v.version") >= F.col("c.version")) & (F.col("c.until").isNull() | (F.col("v.version") < F.col("c.until")))
-    met = v.join(c, (F.col("v.schema_name") == F.col("c.schema_name")) & (F.col("v.table_name") == F.col("c.table_name")) & there, "left")
-    column = F.struct("c.place", F.struct(*[F.col(f"c.{n}") for n in ("name", "column_type", "key", "charset", "collation")]).alias("it"))
-    found = met.groupBy("v.schema_name", "v.table_name", "v.version").agg(F.array_sort(F.collect_list(F.when(F.col("c.place").isNotNull(), column))).alias("of"))
-    return found.select("schema_name", "table_name", "version", F.transform("of", lambda x: x["it"]["name"]).alias("columns"), F.transform("of", lambda x: x["it"]).alias("layout"))
+    """LAYOUTS of the versions in `wanted` (schema_name, table_name, version; its other columns stay), a row for each of its rows.
+
+    A table's columns are brought together once, and each version takes from them those that it has, in the task that writes
+    its row: what is shuffled and sorted follows the statements, not the layouts, which are as many times longer as a
+    table has versions.
+    """
+    key, c = ["schema_name", "table_name"], F.col
+    one = F.struct("place", c("version").alias("since"), "until", F.struct("name", "column_type", "key", "charset", "collation").alias("it"))
+    columns = held.where("place IS NOT NULL").groupBy(*key).agg(F.array_sort(F.collect_list(one)).alias("_of"))
+    there = lambda x: (c("version") >= x["since"]) & (x["until"].isNull() | (c("version") < x["until"]))
+    found = wanted.join(columns, key, "left").withColumn("_of", F.coalesce(F.filter("_of", there), F.array()))
+    return found.select(*wanted.columns, F.transform("_of", lambda x: x["it"]["name"]).alias("columns"), F.transform("_of", lambda x: x["it"]).alias("layout"))
 
 
 #: A table with more versions than this is not compared with each of its events.
@@ -246,8 +250,9 @@ def with_columns(placed: DataFrame, held: DataFrame) -> DataFrame:
     """What as_of returns, with the columns of each row's version: of all versions if they are few, else of those met."""
     begins = versions(held)
     wanted = begins if begins.limit(WHOLE + 1).count() <= WHOLE else placed.where("version IS NOT NULL")
-    found = layouts(held, wanted).select("schema_name", "table_name", "version", "columns")
-    return placed.join(small(found), ["schema_name", "table_name", "version"], "left")
+    key = ["schema_name", "table_name", "version"]
+    found = layouts(held, wanted.select(*key).distinct()).select(*key, "columns")
+    return placed.join(small(found), key, "left")
 
 
 def mismatches(events: DataFrame, held: DataFrame) -> DataFrame:
