@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import astuple, dataclass, replace
-from itertools import groupby
+from itertools import groupby, islice
 
 from pyspark.sql import Column as Col
 from pyspark.sql import DataFrame, Window
@@ -128,14 +128,16 @@ def history(start: DataFrame, changes: DataFrame, server: DataFrame | None = Non
 
     start: schema_name, table_name and layout; changes: what column_changes finds in DDL events with log_file, log_pos and
     row_idx. server: present layouts; tables that `start` doesn't know begin with theirs, and columns that a statement adds
-    are defined by theirs. Statements on tables that neither knows are left out. Each table's statements are one group; up to
-    FOLDED tables and statements are folded here, without tasks.
+    are defined by theirs. Statements on tables that neither knows are left out. A task folds its tables one after the other as
+    their rows come, by table and position, so that many small tables cost no more than their rows; up to FOLDED tables and
+    statements are folded here, without tasks.
     """
     key = [F.lower("schema_name").alias("s"), F.lower("table_name").alias("t")]
     first = start.select(*key, "schema_name", "table_name", "layout", F.lit(0).alias("rank"))
     if server is not None:
         first = first.union(server.select(*key, "schema_name", "table_name", "layout", F.lit(1).alias("rank")))
-    said = changes.select(F.lower("change.schema_name").alias("s"), F.lower("change.table_name").alias("t"), "log_file", "log_pos", F.col("row_idx").cast("double").alias("row_idx"), F.coalesce(file_number(F.col("log_file")), F.lit(-1)).alias("no"), "change")
+    placed = [F.lit(_SAID).alias("rank"), F.coalesce(file_number(F.col("log_file")), F.lit(-1)).alias("no"), "log_file", "log_pos", F.col("row_idx").cast("double").alias("row_idx"), F.col("change.n").alias("n")]
+    said = changes.select(F.lower("change.schema_name").alias("s"), F.lower("change.table_name").alias("t"), *placed, F.col("change").dropFields("n", "query").alias("change"))
 
     few = first.limit(FOLDED + 1).collect()
     if len(few) <= FOLDED and len(some := said.limit(FOLDED + 1).collect()) <= FOLDED:
@@ -143,37 +145,57 @@ def history(start: DataFrame, changes: DataFrame, server: DataFrame | None = Non
         for rows, side in ((few, 0), (some, 1)):
             for r in rows:
                 of.setdefault((r.s, r.t), ([], []))[side].append(r.asDict(True))
-        return start.sparkSession.createDataFrame([row for left, right in of.values() for row in _folded(left, right)], HISTORY)
+        return start.sparkSession.createDataFrame([row for left, right in of.values() for row in _folded(sorted(left, key=lambda r: r["rank"]), sorted(right, key=lambda r: (*_place(r), r["n"])))], HISTORY)
 
-    def fold(left, right):
+    def fold(batches):
         import pyarrow as pa
 
-        out = _folded(left.to_pylist(), right.to_pylist())
-        columns = zip(*out, strict=True) if out else [[]] * len(fields)
-        return pa.table([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=fields)
+        out = _folded_in_turn(r for b in batches for r in b.to_pylist())
+        while some := list(islice(out, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*some, strict=True), kinds, strict=True)], names=fields)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     schema = to_arrow_schema(StructType.fromDDL(HISTORY))
     fields, kinds = schema.names, schema.types
-    return first.groupBy("s", "t").cogroup(said.groupBy("s", "t")).applyInArrow(fold, HISTORY)
+    every = first.unionByName(said, allowMissingColumns=True).repartition("s", "t")
+    return every.sortWithinPartitions("s", "t", "rank", "no", "log_file", "log_pos", "row_idx", "n").mapInArrow(fold, HISTORY)
 
 
-def _folded(known: list[dict], said: list[dict]) -> list[tuple]:
-    """HISTORY of one table: its layouts, and what is said about it."""
-    known, out = sorted(known, key=lambda r: r["rank"]), []
+#: The rank of statements, behind the layouts of `start` and of `server`.
+_SAID = 2
+
+
+def _place(r: dict) -> tuple:
+    return r["no"], r["log_file"], r["log_pos"], r["row_idx"]
+
+
+def _folded_in_turn(rows: Iterable[dict]) -> Iterator[tuple]:
+    """HISTORY of tables that come one after the other, each with its layouts before its statements."""
+    for _, of in groupby(rows, key=lambda r: (r["s"], r["t"])):
+        known: list[dict] = []
+        for is_said, side in groupby(of, key=lambda r: r["rank"] == _SAID):
+            if is_said:
+                yield from _folded(known, side)
+                break
+            known = list(side)
+        else:
+            yield from _folded(known, ())
+
+
+def _folded(known: list[dict], said: Iterable[dict]) -> Iterator[tuple]:
+    """HISTORY of one table: its layouts by rank, and what is said about it in the order of the log."""
     if known:
         named = known[0]["schema_name"], known[0]["table_name"]
         table = Evolving(named[1], [Column(**c) for c in known[0]["layout"]])
         now = {c["name"].upper(): Column(**c) for c in known[-1]["layout"]} if known[-1]["rank"] else {}
-        out.append((*named, 0, None, -1, *[None] * 7))
-        place = lambda r: (r["no"], r["log_file"], r["log_pos"], r["row_idx"])
-        for (_, log_file, log_pos, _), rows in groupby(sorted(said, key=lambda r: (*place(r), r["change"]["n"])), place):
-            table.apply([Change(**{k: v for k, v in r["change"].items() if k != "n"}) for r in rows], now)
-            out.append((*named, table.version, log_file, log_pos, *[None] * 7))
-        out += [(*named, p.since, None, None, p.until, i, *astuple(p.column)) for i, p in enumerate(table.places())]
-    return out
+        yield (*named, 0, None, -1, *[None] * 7)
+        for (_, log_file, log_pos, _), rows in groupby(said, key=_place):
+            table.apply([Change(**r["change"], query="") for r in rows], now)
+            yield (*named, table.version, log_file, log_pos, *[None] * 7)
+        for i, p in enumerate(table.places()):
+            yield (*named, p.since, None, None, p.until, i, *astuple(p.column))
 
 
 def versions(held: DataFrame) -> DataFrame:

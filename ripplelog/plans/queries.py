@@ -812,7 +812,9 @@ def server_definition(spark, sf_dir):
     now = p.where("p_partkey % 2 = 0").select(*named, F.array(identity, column("flag", F.concat(F.lit("int("), "p_size", F.lit(")")), F.lit("MUL"))).alias("layout"))
     ddl = F.concat(F.lit("ALTER TABLE t"), "p_partkey", F.lit(" ADD flag TINYINT(1)"), F.when(F.col("p_partkey") % 3 == 0, " FIRST").otherwise(""))
     said = p.select(F.lit("bin.1").alias("log_file"), F.col("p_partkey").alias("log_pos"), F.lit(0).alias("row_idx"), F.lit("s").alias("schema_name"), ddl.alias("ddl"))
-    held = evolution.history(start, column_changes(said), now)
+    folder = new_folder(spark)
+    evolution.history(start, column_changes(said), now).write.parquet(folder)
+    held = spark.read.schema(evolution.HISTORY).parquet(folder)
     found = evolution.layouts(held, evolution.versions(held).where("version = 1")).select(F.substring("table_name", 2, 20).cast("long").alias("p_partkey"), F.posexplode("layout").alias("at", "c")).where("c.name = 'FLAG'")
     return found.select("p_partkey", "c.column_type", "c.key", (F.col("at") + 1).alias("place"))
 

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from ripplelog.functions.ddl import column_changes
 from ripplelog.operators import evolution
 from ripplelog.plans.queries import QUERIES
 
@@ -20,3 +21,24 @@ def test_columns_are_brought_together_by_table_not_by_version(spark):
     assert all([c.name for c in r.layout] == r.columns for r in found.collect())
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1 and plan.index("Join") < plan.index("Aggregate")
+
+
+def test_many_small_tables_are_folded_one_after_the_other(spark, monkeypatch):
+    """As a stream of rows, with tables that go over the batches' ends, and as on the driver."""
+    tables = [f"T{i}" for i in range(40)]
+    one = lambda *names: [(n, "int", "", None, None) for n in names]
+    known = "schema_name string, table_name string, layout " + LAYOUT
+    start = spark.createDataFrame([("s", t, one("id")) for t in tables[:30]], known)
+    server = spark.createDataFrame([("S", t.lower(), one("id", "a3")) for t in tables[20:35]], known)
+    said = [("bin.10" if n % 2 else "bin.9", n // 4, n, "s", f"ALTER TABLE {t} ADD a{n} INT{' FIRST' if n % 3 else ''}, ADD b{n} INT") for i, t in enumerate(tables) for n in range(i % 9)]
+    changes = column_changes(spark.createDataFrame(said[::-1], "log_file string, log_pos long, row_idx int, schema_name string, ddl string"))
+    here = sorted(map(repr, evolution.history(start, changes, server).collect()))
+    monkeypatch.setattr(evolution, "FOLDED", 0)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        found = evolution.history(start, changes, server)
+        assert sorted(map(repr, found.collect())) == here
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len({r.table_name.lower() for r in found.collect()}) == 35
+    assert "CoGroup" not in found._jdf.queryExecution().optimizedPlan().toString()
