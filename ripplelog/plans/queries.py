@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplelog.functions import types, values
-from ripplelog.functions.ddl import column_changes, register
+from ripplelog.functions.ddl import column_changes, register, spread
 from ripplelog.operators import changelog, evolution, latest, offsets, snapshot
 from ripplelog.sources import log_source, server
 from ripplelog.plans.catalog import ConfigError, State, Stream, apply_mapping, discovered, is_synced, mapping_of, route
@@ -382,7 +382,7 @@ def ddl_changes(spark, sf_dir):
 def ddl_table_function(spark, sf_dir):
     """The same in SQL, by the table function."""
     register(spark)
-    return spark.sql("SELECT p_partkey, c.schema_name, c.table_name, c.type, c.column_name, c.data_type FROM {said} s, LATERAL column_changes(s.ddl, s.schema_name) c", said=part_statements(spark, sf_dir))
+    return spark.sql("SELECT p_partkey, c.schema_name, c.table_name, c.type, c.column_name, c.data_type FROM {said} s, LATERAL column_changes(s.ddl, s.schema_name) c", said=spread(part_statements(spark, sf_dir)))
 
 
 @query(f"""SELECT schema_name AS "schema", table_name AS "table", type || '_COLUMN' AS change_type, column_name, CAST(1700000000 + p_partkey AS BIGINT) AS at_s FROM ({PART_CHANGES})""")

@@ -42,3 +42,12 @@ def test_many_small_tables_are_folded_one_after_the_other(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len({r.table_name.lower() for r in found.collect()}) == 35
     assert "CoGroup" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["ddl_table_function"])
+def test_statements_of_one_file_are_parsed_by_many_tasks(spark, name):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        assert QUERIES[name](spark, SF).select(F.spark_partition_id().alias("task")).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
