@@ -51,3 +51,9 @@ def test_statements_of_one_file_are_parsed_by_many_tasks(spark, name):
         assert QUERIES[name](spark, SF).select(F.spark_partition_id().alias("task")).distinct().count() > 1
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_statements_are_spread_before_the_audit_table(spark):
+    plan = [line.strip(" :+-") for line in QUERIES["schema_changes"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    parsed = next(i for i, line in enumerate(plan) if line.startswith("MapInArrow"))
+    assert plan[parsed + 1].startswith("RebalancePartitions")
