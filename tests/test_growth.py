@@ -44,7 +44,7 @@ def test_many_small_tables_are_folded_one_after_the_other(spark, monkeypatch):
     assert "CoGroup" not in found._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["ddl_table_function"])
+@pytest.mark.parametrize("name", ["ddl_table_function", "ddl_changes"])
 def test_statements_of_one_file_are_parsed_by_many_tasks(spark, name):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     try:
